@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, substrings, tokencount, urlfilter
+from . import decontaminate, packing, sharding, substrings, tokencount, urlfilter
 from .common import table
 
 # The rules of the url query.
@@ -23,6 +23,12 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, share=20)
+    joined = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), joined.alias("items_sha256"), "contaminated")
+
+
 def op7_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"), 16, strata="source")
 
@@ -35,7 +41,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_substring_dedup, op7_stratified_sharding, op8_url_filter, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_substring_dedup, op5_decontamination, op7_stratified_sharding, op8_url_filter, op10_token_counts)}
 
 ORACLE_SQL = {
     "op8_url_filter": """
