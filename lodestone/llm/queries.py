@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, sharding, substrings, tokencount, urlfilter
+from . import decontaminate, packing, quality, sharding, substrings, tokencount, urlfilter
 from .common import table
 
 # The rules of the url query.
@@ -37,11 +37,17 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, default="allow")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    net = quality.train(documents, table(spark, sf_dir, "labels"), label_col="quality")
+    return quality.score(documents, net, threshold=0.7)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_substring_dedup, op5_decontamination, op7_stratified_sharding, op8_url_filter, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_substring_dedup, op5_decontamination, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts)}
 
 ORACLE_SQL = {
     "op8_url_filter": """
