@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, sharding, substrings, tokencount, urlfilter
+from . import decontaminate, neardup, packing, quality, sharding, substrings, tokencount, urlfilter
 from .common import table
 
 # The rules of the url query.
@@ -18,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity=2048)
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=5, percent=75)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=20)
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -47,7 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_substring_dedup, op5_decontamination, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op4_substring_dedup, op5_decontamination, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts)}
 
 ORACLE_SQL = {
     "op8_url_filter": """
