@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, packing, quality, sharding, substrings, tokencount, urlfilter
+from . import chat, decontaminate, neardup, neighbours, packing, quality, sharding, substrings, tokencount, urlfilter
 from .common import table
 
 # The rules of the url query.
@@ -22,6 +22,14 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
+def op3_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against itself with another last reply: the table holds no preferences."""
+    pairs = chat.with_last_reply_replaced(chat.conversations(table(spark, sf_dir, "conversations")))
+    mask = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["stop"].cast("string"))), " ")
+    rows = chat.format_preferences(pairs).withColumns({c: mask(c) for c in ("chosen_mask", "rejected_mask")})
+    return rows.select("conv_id", "prompt_turns", "prompt", "chosen_text", "chosen_mask", "rejected_text", "rejected_mask")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=20)
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -33,6 +41,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), joined.alias("items_sha256"), "contaminated")
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), count=20, every=20)
+
+
 def op7_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"), 16, strata="source")
 
@@ -51,9 +63,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op4_substring_dedup, op5_decontamination, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_preference_formatting, op4_substring_dedup, op5_decontamination, op6_nearest_neighbours, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts)}
 
 ORACLE_SQL = {
+    "op3_preference_formatting": """
+WITH t AS (SELECT conv_id, list({'role': coalesce(role, 'user'), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS c
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+p AS (SELECT *, list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant') AS a FROM t),
+r AS (SELECT conv_id, c, list_transform(range(1, len(c) + 1), lambda i: {'role': c[i].role, 'text': CASE WHEN i = a[-1] THEN CASE WHEN len(a) > 1 THEN c[a[1]].text ELSE '' END ELSE c[i].text END}) AS r FROM p),
+n AS (SELECT *, coalesce(list_min(list_filter(range(1, len(c) + 1), lambda i: c[i] <> r[i])) - 1, len(c)) AS n FROM r),
+x AS (SELECT conv_id, n, c[1:n] AS p, c[n + 1:] AS c, r[n + 1:] AS r FROM n),
+s AS (SELECT conv_id, n, list_transform(p, lambda y: '<|' || y.role || '|>' || chr(10) || y.text || '<|end|>' || chr(10)) AS ps, c, r,
+  list_transform(c, lambda y: '<|' || y.role || '|>' || chr(10) || y.text || '<|end|>' || chr(10)) AS cs, list_transform(r, lambda y: '<|' || y.role || '|>' || chr(10) || y.text || '<|end|>' || chr(10)) AS rs FROM x)
+SELECT conv_id, cast(n AS INTEGER) AS prompt_turns, array_to_string(ps, '') AS prompt, array_to_string(cs, '') AS chosen_text, array_to_string(rs, '') AS rejected_text,
+  array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant'), lambda i: (length(array_to_string(cs[1:i - 1], '')) + length(c[i].role) + 5) || '-' || length(array_to_string(cs[1:i], ''))), ' ') AS chosen_mask,
+  array_to_string(list_transform(list_filter(range(1, len(r) + 1), lambda i: r[i].role = 'assistant'), lambda i: (length(array_to_string(rs[1:i - 1], '')) + length(r[i].role) + 5) || '-' || length(array_to_string(rs[1:i], ''))), ' ') AS rejected_mask
+FROM s
+""",
     "op8_url_filter": """
 WITH rules(host, path, rule, verdict) AS (VALUES ('org', '/', 'org/', 'allow'), ('example.org', '/es/', 'example.org/es/', 'block'),
   ('example.org', '/en/1', 'example.org/en/1', 'block'), ('com', '/fr/', 'com/fr/', 'allow'), ('com', '/de/', 'com/de/', 'block')),

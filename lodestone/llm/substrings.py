@@ -117,14 +117,14 @@ def _out(names: list[str], key, extra, ids: pa.Array, rows, place) -> pa.RecordB
     return pa.RecordBatch.from_arrays([cast(key), cast(extra), ids.take(pa.array(rows)), cast(place)], names=names)
 
 
-def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", text_col: str = "text", verbatim: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, spans (removed [start, stop) in words), kept (the other words, joined by one space), and the columns of ``carry``.
 
     Words are runs of bytes other than space and 0x09-0x0D. A word goes if it stands in a window of
-    ``window`` words (20 to 63) that also starts earlier: in a smaller id, or earlier in the same document; windows
+    ``window`` words (20 to 39) that also starts earlier: in a smaller id, or earlier in the same document; windows
     are judged on the input. A null text has no words. Rows with a null id are kept whole and are no one's
     reference. Rows with equal id and text are one document and get equal results; rows with equal
-    id and other text are ordered by a digest of the text.
+    id and other text are ordered by a digest of the text. With ``verbatim``, ``kept`` is the text itself where no word goes.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -221,7 +221,7 @@ def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", t
                 if not s.is_valid:
                     removed.append(0)
                     spans.append([])
-                    kept.append(b" ".join(w))
+                    kept.append(t if verbatim else b" ".join(w))
                     continue
                 lo, hi = merged(*(s.values.field(i).to_numpy() for i in range(2)))
                 removed.append(int((hi - lo).sum()))
