@@ -1,6 +1,6 @@
 """All queries of the market-data operators."""
 
-from lodestone.plans import events, labels, prices, warehouse  # noqa: F401
+from lodestone.plans import events, fundamentals, labels, prices, warehouse  # noqa: F401
 from lodestone.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
