@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-DEGREE, TABLES, GROUP, ROUNDS = 24, 4, 96, 5
+DEGREE, TABLES, GROUP, ROUNDS = 32, 4, 128, 6
 #: New candidates a node takes from one local join; share of changed edges below which building stops.
-TAKEN, STILL = 4, 0.02
-BEAM, EXPANDED, STEPS = 96, 12, 12
+TAKEN, STILL = 5, 0.02
+BEAM, EXPANDED, STEPS = 160, 32, 10
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
