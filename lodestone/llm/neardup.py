@@ -5,13 +5,13 @@ of one set are one node. Inverted lists of the INDEXED least values generate the
 look at:
 
 * in a list of up to CROWD nodes, all pairs;
-* in a longer one, each node with PIVOTS fixed nodes of the list, so no group emits all its pairs.
+* in a longer one, each node with PIVOTS fixed nodes of the list and its smallest one, so no group emits all its pairs.
 
 The sketch of the union of two sets estimates their similarity and drops most pairs; the rest are
-confirmed on the full shingle sets, and links become components. What longer lists may still hide,
-a link between two components that shares crowded values only, is looked for exactly once more: nodes
-of crowded values that are in different components meet in blocks, compared by their sketches
-without emitting a pair that is not likely a link.
+confirmed on the full shingle sets, and links become components. What longer lists may still hide, a
+link between two components that shares crowded values only, is looked for exactly once more: nodes that
+crowded values mostly describe meet in blocks, where matrix products count the intersections of
+their full sets, and a block pair emits no more links than join its components.
 """
 
 from __future__ import annotations
@@ -20,19 +20,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHashes, chunks, materialise, windows
 from .components import components
 
-SKETCH, INDEXED, CROWD, PIVOTS, BLOCK = 32, 24, 50, 3, 256
-#: Sketches must agree in this share of the union's: six standard deviations under 0.75, or four where blocks are compared.
-LIKELY, LIKELY_IN_BLOCKS = 0.29, 0.44
+SKETCH, INDEXED, CROWD, PIVOTS, BLOCK = 32, 24, 50, 3, 512
+#: Sketches must agree in this share of the union's: six standard deviations under 0.75.
+LIKELY = 0.29
 #: A node's indexed values that are crowded, as a share, from which a link could rest on crowded values alone.
 MOSTLY_CROWDED = 0.4
+#: A node meets others in the lists of so many of its least crowded values; linked nodes share each with a chance of 0.75 or more.
+LISTS = 8
 
 _hashes = WordHashes()
 
@@ -112,10 +113,10 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
     side = lambda e, x: e.select("value", F.col("node").alias(x), F.col("n").alias(f"n_{x}"))
     close = side(small, "a").join(side(small, "b"), "value").filter((F.col("a") < F.col("b")) & _near(percent=percent)).select("a", "b")
     # in crowded lists only nodes that crowded values mostly describe: others share a value of a short list with whom they are linked
-    share = crowded.groupBy("node", "n").agg(F.count("*").alias("crowded"), F.min("times").alias("rarest")).filter(F.col("crowded") >= MOSTLY_CROWDED * F.least(F.col("n"), F.lit(INDEXED)))
+    share = crowded.groupBy("node", "n").agg(F.count("*").alias("crowded")).filter(F.col("crowded") >= MOSTLY_CROWDED * F.least(F.col("n"), F.lit(INDEXED)))
     crowded = materialise(crowded.join(share.select("node", "n", "crowded"), ["node", "n"]), "crowded")
-    pivots = crowded.groupBy("value").agg(*[F.min_by(F.struct(F.col("node").alias("b"), F.col("n").alias("n_b")), F.struct(F.xxhash64("node", F.lit(i)), "node")).alias(f"p{i}") for i in range(PIVOTS)])
-    pivots = pivots.select("value", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")).select("value", "p.*").distinct()
+    pivots = crowded.groupBy("value").agg(*[F.min_by(F.struct(F.col("node").alias("b"), F.col("n").alias("n_b")), F.struct(F.xxhash64("node", F.lit(i)) if i else "n", "node")).alias(f"p{i}") for i in range(PIVOTS + 1)])
+    pivots = pivots.select("value", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS + 1)])).alias("p")).select("value", "p.*").distinct()
     star = side(crowded, "a").join(pivots, "value").filter((F.col("a") != F.col("b")) & _near(percent=percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = close.union(star).distinct()
 
@@ -131,9 +132,8 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
     links = materialise(confirm(pairs, texts, k, percent), "confirmed")
     roots = components(links)
 
-    links2 = confirm(_across(crowded, roots, sketches, percent), texts, k, percent)
-    edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links2)
-    roots = components(edges)
+    more = _across(crowded, roots, texts, k, percent)
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
     of_set = nodes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
     # rows of one set have the component of its node; an id with several sets has the least of theirs
@@ -142,32 +142,68 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _across(crowded: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Likely links (a, b) between nodes of different components that share crowded values."""
+def _across(crowded: DataFrame, roots: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of different components that share crowded values."""
     kind = crowded.schema["node"].dataType.simpleString()
-    known = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    nth = F.row_number().over(Window.partitionBy("node", "n").orderBy("value"))  # INDEXED rows at most
+    known = crowded.withColumn("nth", nth).filter(F.col("nth") <= LISTS).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = known.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("here")).filter("x <> y").select("value", "here")
-    members = known.join(open_, "value").join(sketches, "node")
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("here") / BLOCK)))
-    blocks = members.groupBy("value", "block").agg(F.collect_list(F.struct("node", "n", "root", "sketch")).alias("m"))
+    known = known.join(open_, "value").select("value", "here", "node", "root")
+    sets = _sets(texts.join(known.select("node").distinct(), "node"), k)
+    members = known.join(sets, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("here") / BLOCK)))
+    blocks = members.groupBy("value", "block").agg(F.collect_list(F.struct("node", "root", "members")).alias("m"))
     pairs = blocks.join(blocks.select("value", F.col("block").alias("other"), F.col("m").alias("o")), "value").filter("block <= other").select("m", "o")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                left, right = (b.column(j)[i].values for j in (0, 1))
-                (ids, n, root, s), (ids2, n2, root2, s2) = ([x.field(f) for f in ("node", "n", "root", "sketch")] for x in (left, right))
-                flat, flat2 = s.flatten().to_numpy(), s2.flatten().to_numpy()
-                vocabulary, at = np.unique(np.concatenate([flat, flat2]), return_inverse=True)
-                has, has2 = (np.zeros((len(x), len(vocabulary)), np.float32) for x in (s, s2))
-                has[np.repeat(np.arange(len(s)), pc.list_value_length(s).to_numpy()), at[: len(flat)]] = 1
-                has2[np.repeat(np.arange(len(s2)), pc.list_value_length(s2).to_numpy()), at[len(flat) :]] = 1
-                agree = has @ has2.T
-                n, n2, root, root2 = (x.to_numpy() for x in (n, n2, root, root2))
-                likely = agree >= LIKELY_IN_BLOCKS * np.minimum(SKETCH, np.maximum(n[:, None], n2))
-                likely &= (root[:, None] != root2) & (100 * np.minimum(n[:, None], n2) >= percent * np.maximum(n[:, None], n2))
-                x, y = np.nonzero(likely)
-                a, c = ids.to_numpy()[x], ids2.to_numpy()[y]
+                sides = []
+                for j in (0, 1):
+                    rows = b.column(j)[i].values
+                    parts = [np.frombuffer(x.as_py(), np.uint64) for x in rows.field("members")]
+                    sides.append((rows.field("node").to_numpy(), rows.field("root").to_numpy(), np.array([len(x) for x in parts]), np.concatenate(parts)))
+                x, y, a, c = joined(*sides, percent)
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, c)), pa.array(np.maximum(a, c))], names=["a", "b"])
 
     return pairs.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
+def _sets(texts: DataFrame, k: int) -> DataFrame:
+    """(node, members): the full set of each text, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at, some in chunks(b.column(1)):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(some)), pa.array([shingles(t, k).tobytes() for t in some], pa.binary())], names=["node", "members"])
+
+    return texts.select("node", "text").mapInArrow(run, f"node {texts.schema['node'].dataType.simpleString()}, members binary")
+
+
+def joined(left: tuple, right: tuple, percent: int) -> tuple[np.ndarray, ...]:
+    """Of all pairs of two blocks (nodes, roots, set sizes, members one after the other): such links that join all components that links join."""
+    (ids, root, n, flat), (ids2, root2, n2, flat2) = left, right
+    both = np.intersect1d(flat, flat2)  # all else is in no intersection
+    has = []
+    for size, members in ((n, flat), (n2, flat2)):
+        at = np.minimum(np.searchsorted(both, members), max(len(both) - 1, 0))
+        on = both[at] == members if len(both) else np.zeros(len(members), bool)
+        m = np.zeros((len(size), len(both)), np.float32)
+        m[np.repeat(np.arange(len(size)), size)[on], at[on]] = 1
+        has.append(m)
+    shared = np.rint(has[0] @ has[1].T).astype(np.int64)  # exact: counts under 2 to the 24th
+    linked = (root[:, None] != root2) & (100 * shared >= percent * (n[:, None] + n2 - shared))
+    x, y = np.nonzero(linked)
+    parent: dict[int, int] = {}
+
+    def find(r: int) -> int:
+        while parent.setdefault(r, r) != r:
+            r = parent[r]
+        return r
+
+    keep = []
+    for i, (r, q) in enumerate(zip(root[x].tolist(), root2[y].tolist(), strict=True)):
+        r, q = find(r), find(q)
+        if r != q:
+            parent[max(r, q)] = min(r, q)
+            keep.append(i)
+    return x[keep], y[keep], ids[x[keep]], ids2[y[keep]]
