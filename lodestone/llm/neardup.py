@@ -114,7 +114,9 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
     close = side(small, "a").join(side(small, "b"), "value").filter((F.col("a") < F.col("b")) & _near(percent=percent)).select("a", "b")
     # in crowded lists only nodes that crowded values mostly describe: others share a value of a short list with whom they are linked
     share = crowded.groupBy("node", "n").agg(F.count("*").alias("crowded")).filter(F.col("crowded") >= MOSTLY_CROWDED * F.least(F.col("n"), F.lit(INDEXED)))
-    crowded = materialise(crowded.join(share.select("node", "n", "crowded"), ["node", "n"]), "crowded")
+    crowded = crowded.join(share.select("node", "n"), ["node", "n"])
+    nth = F.row_number().over(Window.partitionBy("node", "n").orderBy("value"))  # INDEXED rows at most
+    crowded = materialise(crowded.withColumn("nth", nth).filter(F.col("nth") <= LISTS), "crowded")
     pivots = crowded.groupBy("value").agg(*[F.min_by(F.struct(F.col("node").alias("b"), F.col("n").alias("n_b")), F.struct(F.xxhash64("node", F.lit(i)) if i else "n", "node")).alias(f"p{i}") for i in range(PIVOTS + 1)])
     pivots = pivots.select("value", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS + 1)])).alias("p")).select("value", "p.*").distinct()
     star = side(crowded, "a").join(pivots, "value").filter((F.col("a") != F.col("b")) & _near(percent=percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -128,7 +130,8 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
 
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded.select("node")).distinct()
     texts = df.select(F.col(id_col).alias("node"), F.col(text_col).cast("binary").alias("text")).filter("text is not null")
-    texts = materialise(texts.join(needed, "node").distinct(), "texts")
+    # a merge join at every size: Spark would broadcast a small list of nodes, and the plan would change as the corpus grows
+    texts = materialise(texts.join(needed.hint("merge"), "node").distinct(), "texts")
     links = materialise(confirm(pairs, texts, k, percent), "confirmed")
     roots = components(links)
 
@@ -145,8 +148,7 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
 def _across(crowded: DataFrame, roots: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between nodes of different components that share crowded values."""
     kind = crowded.schema["node"].dataType.simpleString()
-    nth = F.row_number().over(Window.partitionBy("node", "n").orderBy("value"))  # INDEXED rows at most
-    known = crowded.withColumn("nth", nth).filter(F.col("nth") <= LISTS).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    known = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = known.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("here")).filter("x <> y").select("value", "here")
     known = known.join(open_, "value").select("value", "here", "node", "root")
     sets = _sets(texts.join(known.select("node").distinct(), "node"), k)
