@@ -177,3 +177,16 @@ def global_pct_rank(df: DataFrame, value: str, name: str = "rank_pct") -> DataFr
 def distribution(df: DataFrame, value: str, *by: str) -> DataFrame:
     """n, mean, population deviation, skewness and excess kurtosis."""
     return df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.skewness(value).alias("skew"), F.kurtosis(value).alias("kurtosis"))
+
+
+def action_labels(grid: DataFrame, trades: DataFrame) -> DataFrame:
+    """The grid (symbol, date) with the day's action (entries before exits, long before short) and position sign; ``hold`` and 0 where there is none."""
+    order = F.array_position(F.array(*[F.lit(a) for a in ("buy", "short", "sell", "cover")]), F.col("action"))
+    first = label_rows(trades).groupBy("symbol", "date").agg(F.min_by(F.struct("action", "position"), order).alias("a"))
+    return grid.join(first, ["symbol", "date"], "left").select(*grid.columns, F.coalesce("a.action", F.lit("hold")).alias("action"), F.coalesce("a.position", F.lit(0)).alias("position"))
+
+
+def dedupe_labels(rows: DataFrame) -> DataFrame:
+    """Of labels with equal (date, symbol, side, action) the one of the highest return."""
+    w = Window.partitionBy("date", "symbol", "side", "action").orderBy(F.desc("ret"), "trade_id")
+    return rows.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")

@@ -110,3 +110,13 @@ def same_table(a: DataFrame, b: DataFrame, date: str = "date") -> DataFrame:
     s = lambda d, p: d.agg(F.count("*").alias(f"{p}_rows"), F.min(date).alias(f"{p}_min"), F.max(date).alias(f"{p}_max"))
     both = s(a, "a").crossJoin(s(b, "b"))  # one row each
     return both.select((F.col("a_rows") == F.col("b_rows")).alias("rows"), F.lit(sorted(a.columns) == sorted(b.columns)).alias("columns"), (F.col("a_min").eqNullSafe(F.col("b_min")) & F.col("a_max").eqNullSafe(F.col("b_max"))).alias("dates"))
+
+
+def needs_update(states: DataFrame, target: Column, *, kind: str = "price", max_age_days: int = 7) -> DataFrame:
+    """needs_update and reason: nothing stored; price and macro data that end before the target; other data last fetched too long ago."""
+    empty = F.coalesce("row_count", F.lit(0)) == 0
+    if kind in ("price", "macro"):
+        old, why = F.col("max_date").isNull() | (F.col("max_date") < target), "ends before target"
+    else:
+        old, why = F.col("last_fetched").isNull() | (F.datediff(target, "last_fetched") > max_age_days), "fetched too long ago"
+    return states.withColumns({"needs_update": empty | old, "update_reason": F.when(empty, "no rows").when(old, why).otherwise("fresh")})

@@ -37,9 +37,9 @@ def o03(spark, sf):
     return o.greek_ratios(o.with_greeks(rows, 0.01)).select(*KEY, "iv", "iv_source", *o.GREEKS, "theta_to_mid", "vega_to_mid")
 
 
-@query("o06_surface", f"WITH {SPOT}, v AS (SELECT *, (ask - bid) / ask AS iv FROM q) SELECT underlying, snapshot_date, part, (iv - avg(iv) OVER w) / nullif(CASE WHEN count(*) OVER w > 1 THEN stddev_samp(iv) OVER w END, 0) AS iv_z, iv * sqrt(dte / 365.0::DOUBLE) AS iv_term FROM v WINDOW w AS (PARTITION BY snapshot_date, underlying, option_type, expiration)", floats=["iv_z", "iv_term"], dates=["snapshot_date"], digits=4)
+@query("o06_surface", f"WITH {SPOT}, v AS (SELECT *, volume / 64 AS iv FROM q) SELECT underlying, snapshot_date, part, (iv - avg(iv) OVER w) / nullif(CASE WHEN count(*) OVER w > 1 THEN stddev_samp(iv) OVER w END, 0) AS iv_z, iv * sqrt(dte / 365.0::DOUBLE) AS iv_term FROM v WINDOW w AS (PARTITION BY snapshot_date, underlying, option_type, expiration)", floats=["iv_z", "iv_term"], dates=["snapshot_date"], digits=4)
 def o06(spark, sf):
-    rows = quotes(spark, sf).withColumn("iv", (F.col("ask") - F.col("bid")) / F.col("ask"))
+    rows = quotes(spark, sf).withColumn("iv", F.col("volume") / 64)
     return o.surface(rows).select(*KEY, "iv_z", "iv_term")
 
 

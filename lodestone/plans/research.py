@@ -116,3 +116,35 @@ def o12(spark, sf):
 def o07(spark, sf):
     c = chain(spark, sf).withColumn("open_interest", F.lit(None).cast("double"))
     return c.agg(*[(F.count(x) > 0).alias(x) for x in ("ask", "bid", "volume", "open_interest")])
+
+
+@query("l11_l13_action_labels")
+def l11(spark, sf):
+    p = prices(spark, sf)
+    return labels.action_labels(p.select("symbol", "date"), labels.dedupe_trades(labels.oracle_trades(p, ks=(2,)), "entry_date"))
+
+
+MATRIX = "matrix AS (SELECT l_returnflag AS family, l_linestatus || l_returnflag AS feature, 'supplier_' || (l_suppkey % 3) AS target, avg(l_extendedprice) AS std_diff FROM lineitem GROUP BY ALL)"
+
+
+def matrix(sf, spark):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return li.groupBy(F.col("l_returnflag").alias("family"), F.concat("l_linestatus", "l_returnflag").alias("feature"), F.concat(F.lit("supplier_"), F.col("l_suppkey") % 3).alias("target")).agg(F.avg("l_extendedprice").alias("std_diff"))
+
+
+@query("v22_matrix_pivot", f"WITH {MATRIX} SELECT target, max(std_diff) FILTER (family = 'A') AS a, max(std_diff) FILTER (family = 'N') AS n, max(std_diff) FILTER (family = 'R') AS r FROM matrix GROUP BY ALL", floats=["a", "n", "r"], dates=[], digits=3)
+def v22(spark, sf):
+    return r.matrix_pivot(matrix(sf, spark), ("A", "N", "R")).withColumnsRenamed({"A": "a", "N": "n", "R": "r"})
+
+
+@query("v22_best_by_target", f"WITH {MATRIX} SELECT target, feature, std_diff, row_number() OVER (PARTITION BY target ORDER BY std_diff DESC, feature)::INT AS rank FROM matrix QUALIFY rank <= 3", floats=["std_diff"], dates=[], digits=3)
+def v22b(spark, sf):
+    return r.best_by_target(matrix(sf, spark)).select("target", "feature", "std_diff", "rank")
+
+
+@query("s35_needs_update", f"WITH {PRICES} SELECT symbol, max(date) < DATE '2001-10-20' AS needs_update, CASE WHEN max(date) < DATE '2001-10-20' THEN 'ends before target' ELSE 'fresh' END AS update_reason FROM prices GROUP BY ALL", dates=[])
+def s35(spark, sf):
+    from lodestone.operators import upsert
+
+    states = upsert.coverage(prices(spark, sf), ["symbol"])
+    return upsert.needs_update(states, F.lit("2001-10-20").cast("date")).select("symbol", "needs_update", "update_reason")
