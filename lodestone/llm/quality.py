@@ -128,7 +128,7 @@ def held_out(id_col: str) -> F.Column:
 def train(documents: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = 2400, longest: int = 20_000, seed: int = 0) -> Network:
     """Fit on at most ``rows`` labelled documents, half of either label, of at most ``longest`` bytes.
 
-    Ids held out, null, of no label or of two labels are not learned from. Which rows are taken is settled by a digest of the
+    The score is then moved to the odds of the labels among all rows that may be learned from. Ids held out, null, of no label or of two labels are not learned from. Which rows are taken is settled by a digest of the
     id. With rows of one label only, or none, the network stays as seeded but for its bias.
     """
     agreed = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.min(label_col).alias("label"), F.max(label_col).alias("most")).filter("label = most")
@@ -144,6 +144,9 @@ def train(documents: DataFrame, labels: DataFrame, *, label_col: str = "quality"
     y = np.array([k for _, k in sample], np.float64)
     if 0 < y.sum() < len(y):
         net.fit([t for t, _ in sample], y, seed=seed)
+        # the sample holds both labels alike: back to the odds of all labels that may be learned from
+        times = {r.label: r["count"] for r in agreed.groupBy("label").count().collect()}
+        net.p["out_b"] += np.float32(np.log(times[1] / times[0]))
     elif len(y):
         net.p["out_b"][:] = 4 if y[0] else -4
     return net
