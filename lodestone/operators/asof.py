@@ -41,6 +41,16 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_on: str, right_on: str,
     return rows.select(*keep, *[F.col(f"__found.{c}").alias(f"{prefix}{c}") for c in names])
 
 
+def window_join(trades: DataFrame, quotes: DataFrame, *, start: str, stop: str, on: str, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """Each trade with every quote of its key from day ``start`` to day ``stop``, both included; ``on``: the quotes' day.
+
+    Days of a trade's window are few: they are listed, and the range join becomes an equi-join that spreads evenly. A trade that
+    stops before it starts, or has a null day or key, has no quotes.
+    """
+    days = trades.filter(F.col(start) <= F.col(stop)).withColumn(on, F.explode(F.sequence(start, stop)))
+    return days.join(quotes, [*by, on])
+
+
 def lag_reports(sparse: DataFrame, *, date_col: str, days: int = 45, keys: tuple[str, ...] = ("symbol",)) -> DataFrame:
     """Reports as they were known: dates shifted by the filing lag, the last of equal dates kept."""
     shifted = sparse.withColumn(date_col, F.date_add(date_col, days))

@@ -65,10 +65,19 @@ def j11(spark, sf):
 
 @query("j13_trade_window_quotes", f"WITH {CHAIN}, t AS (SELECT symbol, event_date AS a, event_date + 5 AS b FROM (WITH {EVENTS} SELECT DISTINCT symbol, event_date FROM raw_events) WHERE day(event_date) = 1) SELECT t.symbol, t.a AS entry_date, c.snapshot_date, c.part FROM t JOIN chain c ON c.underlying = t.symbol AND c.snapshot_date BETWEEN t.a AND t.b", dates=["entry_date", "snapshot_date"])
 def j13(spark, sf):
-    """Days of a trade's window are few: they are listed, and the range join becomes an equi-join that spreads evenly."""
-    trades = raw_events(spark, sf).filter(F.dayofmonth("event_date") == 1).select("symbol", F.col("event_date").alias("entry_date")).distinct()
-    days = trades.withColumn("snapshot_date", F.explode(F.sequence("entry_date", F.date_add("entry_date", 5))))
-    return days.join(chain(spark, sf).select(F.col("underlying").alias("symbol"), "snapshot_date", "part"), ["symbol", "snapshot_date"]).select("symbol", "entry_date", "snapshot_date", "part")
+    """Trades of each month's first day, as its SQL has them; ``j13_all_trade_window_quotes`` takes every trade."""
+    return trade_window_quotes(raw_events(spark, sf).filter(F.dayofmonth("event_date") == 1), chain(spark, sf))
+
+
+def trade_window_quotes(events, quotes):
+    trades = events.select("symbol", F.col("event_date").alias("entry_date")).distinct().withColumn("exit_date", F.date_add("entry_date", 5))
+    found = asof.window_join(trades, quotes.select(F.col("underlying").alias("symbol"), "snapshot_date", "part"), start="entry_date", stop="exit_date", on="snapshot_date")
+    return found.select("symbol", "entry_date", "snapshot_date", "part")
+
+
+@query("j13_all_trade_window_quotes", f"WITH {CHAIN}, {EVENTS}, t AS (SELECT DISTINCT symbol, event_date AS a FROM raw_events) SELECT t.symbol, t.a AS entry_date, c.snapshot_date, c.part FROM t JOIN chain c ON c.underlying = t.symbol AND c.snapshot_date BETWEEN t.a AND t.a + 5", dates=["entry_date", "snapshot_date"])
+def j13_all(spark, sf):
+    return trade_window_quotes(raw_events(spark, sf), chain(spark, sf))
 
 
 @query("e05_e06_alias_columns", f"WITH {EVENTS} SELECT symbol, event_date, actor FROM raw_events", dates=["event_date"])
