@@ -30,10 +30,12 @@ from .components import components
 SKETCH, INDEXED, CROWD, PIVOTS, BLOCK = 32, 24, 50, 3, 512
 #: Sketches must agree in this share of the union's: six standard deviations under 0.75.
 LIKELY = 0.29
-#: A node's indexed values that are crowded, as a share, from which a link could rest on crowded values alone.
-MOSTLY_CROWDED = 0.4
-#: A node meets others in the lists of so many of its least crowded values; linked nodes share each with a chance of 0.75 or more.
-LISTS = 8
+#: A node's indexed values that are crowded, as a share, from which a link could rest on crowded values alone. Linked nodes share
+#: each of their union's INDEXED least values with a chance of 0.75 or more: fewer than this all told with one of 3e-9.
+MOSTLY_CROWDED = 0.2
+#: A node meets others in the lists of so many of its least crowded values; linked nodes share each with a chance of 0.75 or more,
+#: and none of them with one of 6e-8 or less.
+LISTS = 12
 
 _hashes = WordHashes()
 
@@ -112,7 +114,7 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
 
     side = lambda e, x: e.select("value", F.col("node").alias(x), F.col("n").alias(f"n_{x}"))
     close = side(small, "a").join(side(small, "b"), "value").filter((F.col("a") < F.col("b")) & _near(percent=percent)).select("a", "b")
-    # in crowded lists only nodes that crowded values mostly describe: others share a value of a short list with whom they are linked
+    # in crowded lists only nodes that crowded values describe in part: others share a value of a short list with whom they are linked
     share = crowded.groupBy("node", "n").agg(F.count("*").alias("crowded")).filter(F.col("crowded") >= MOSTLY_CROWDED * F.least(F.col("n"), F.lit(INDEXED)))
     crowded = crowded.join(share.select("node", "n"), ["node", "n"])
     nth = F.row_number().over(Window.partitionBy("node", "n").orderBy("value"))  # INDEXED rows at most
