@@ -107,7 +107,8 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
     nodes = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     nodes = materialise(nodes, "nodes")
 
-    entries = nodes.select("node", "n", F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
+    # an id's texts keep their own values, sizes and sketches: ``set`` tells them apart
+    entries = nodes.select("node", F.xxhash64("digest").alias("set"), "n", F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
     shared = entries.groupBy("value").agg(F.count("*").alias("times")).filter("times > 1")
     entries = materialise(entries.join(shared, "value"), "entries")
     small, crowded = entries.filter(F.col("times") <= CROWD), entries.filter(F.col("times") > CROWD)
@@ -115,20 +116,20 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
     side = lambda e, x: e.select("value", F.col("node").alias(x), F.col("n").alias(f"n_{x}"))
     close = side(small, "a").join(side(small, "b"), "value").filter((F.col("a") < F.col("b")) & _near(percent=percent)).select("a", "b")
     # in crowded lists only nodes that crowded values describe in part: others share a value of a short list with whom they are linked
-    share = crowded.groupBy("node", "n").agg(F.count("*").alias("crowded")).filter(F.col("crowded") >= MOSTLY_CROWDED * F.least(F.col("n"), F.lit(INDEXED)))
-    crowded = crowded.join(share.select("node", "n"), ["node", "n"])
-    nth = F.row_number().over(Window.partitionBy("node", "n").orderBy("value"))  # INDEXED rows at most
+    share = crowded.groupBy("node", "set", "n").agg(F.count("*").alias("crowded")).filter(F.col("crowded") >= MOSTLY_CROWDED * F.least(F.col("n"), F.lit(INDEXED)))
+    crowded = crowded.join(share.select("node", "set"), ["node", "set"])
+    nth = F.row_number().over(Window.partitionBy("node", "set").orderBy("value"))  # INDEXED rows at most
     crowded = materialise(crowded.withColumn("nth", nth).filter(F.col("nth") <= LISTS), "crowded")
     pivots = crowded.groupBy("value").agg(*[F.min_by(F.struct(F.col("node").alias("b"), F.col("n").alias("n_b")), F.struct(F.xxhash64("node", F.lit(i)) if i else "n", "node")).alias(f"p{i}") for i in range(PIVOTS + 1)])
     pivots = pivots.select("value", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS + 1)])).alias("p")).select("value", "p.*").distinct()
     star = side(crowded, "a").join(pivots, "value").filter((F.col("a") != F.col("b")) & _near(percent=percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = close.union(star).distinct()
 
-    sketches = nodes.groupBy("node").agg(F.max_by("sketch", "digest").alias("sketch"))  # one for each id
+    sketches = nodes.select("node", "sketch")  # of an id of several texts one for each: any two that agree will do
     pairs = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("s_a")), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("s_b")), "b")
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
     pairs = pairs.withColumn("u", union).filter(F.size(F.array_intersect(F.array_intersect("u", "s_a"), "s_b")) >= LIKELY * F.size("u"))
-    pairs = materialise(pairs.select("a", "b"), "pairs")
+    pairs = materialise(pairs.select("a", "b").distinct(), "pairs")
 
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded.select("node")).distinct()
     texts = df.select(F.col(id_col).alias("node"), F.col(text_col).cast("binary").alias("text")).filter("text is not null")
@@ -138,11 +139,15 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
     roots = components(links)
 
     more = _across(crowded, roots, texts, k, percent)
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    # ids whose rows have different sets join the nodes of these
+    several = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x <> y").select("doc_id")
+    own = rows.join(several, "doc_id").join(nodes.select("digest", "node"), "digest").select(F.col("node").alias("a"), F.col("doc_id").alias("b")).distinct()
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more).union(own.filter("a <> b")))
 
     of_set = nodes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
-    # rows of one set have the component of its node; an id with several sets has the least of theirs
-    found = rows.join(of_set, "digest", "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")))
+    # rows of one set have the component of its node; those of an id with several sets, an empty one too, that of the id
+    by_id = several.join(roots.withColumnRenamed("node", "doc_id"), "doc_id").withColumnRenamed("root", "of_id")
+    found = rows.join(of_set, "digest", "left").join(by_id, "doc_id", "left").withColumn("component_id", F.coalesce("of_id", F.when(F.col("n_shingles") > 0, F.col("component_id"))))
     found = found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

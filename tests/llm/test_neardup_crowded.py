@@ -30,3 +30,14 @@ def test_passage_with_a_third_more(spark, tail):
     want = brute(docs)
     assert (1, 400, 0) in want
     assert found(spark, docs) == want
+
+
+def test_rows_of_one_id(spark):
+    """Ids of different texts, each of which may hold the id's only link, be a copy of another id's or be empty."""
+    text = lambda name, n=40: [f"{name}{i}" for i in range(n)]
+    docs = []
+    for i in range(8):  # another text of the id must not stand for the linked one, whichever has the greater digest
+        docs += [(10 * i, text(f"p{i}x")), (10 * i + 1, text(f"q{i}x", 41)), (10 * i + 1, text(f"p{i}x", 41)), (10 * i + 2, text(f"q{i}x"))]
+    docs += [(100, text("r")), (101, text("r")), (101, text("s")), (102, []), (102, text("r")), (103, text("s") + ["end"]), (104, []), (None, text("s"))]
+    docs = [(i, " ".join(t)) for i, t in docs]
+    assert found(spark, docs) == brute(docs)
