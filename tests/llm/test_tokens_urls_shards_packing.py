@@ -79,6 +79,62 @@ def test_best_fit_is_bounded_and_tight():
         assert len(filled) <= slack * sum(lengths) / 2048 + 1
 
 
+def naive_best_fit(lengths, capacity, open_bins):
+    """Open bins in a plain list: the fullest that takes the piece, the one opened or filled last of equals; the fullest closes."""
+    free, bins, offsets, made = [], [], [], 0
+    for n in lengths:
+        fit = min((f for f, _ in free if f >= n), default=None)
+        if fit is None:
+            if len(free) == open_bins:
+                least = min(f for f, _ in free)
+                free.pop(max(i for i, (f, _) in enumerate(free) if f == least))
+            fit, k, made = capacity, made, made + 1
+        else:
+            k = free.pop(max(i for i, (f, _) in enumerate(free) if f == fit))[1]
+        bins.append(k)
+        offsets.append(capacity - fit)
+        if fit > n:
+            free.append((fit - n, k))
+    return bins, offsets
+
+
+@pytest.mark.parametrize("open_bins", [1, 7, 100, 5000])
+def test_best_fit_equals_naive_best_fit(open_bins):
+    rng = random.Random(open_bins)
+    for most in (3, 60, 200):
+        lengths = [rng.randint(1, most) for _ in range(2500)] + sorted((rng.randint(1, most) for _ in range(500)), reverse=True)
+        assert packing.best_fit(lengths, 200, open_bins) == naive_best_fit(lengths, 200, open_bins)
+
+
+def test_packing_deals_equal_rows_out_and_fills(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SAME", 20)
+    rng = random.Random(4)
+    rows = [(None, 0, 100)] * 3000 + [(i, 0, rng.choice([5, 40, 300, 1200, 2048])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, length long").selectExpr("*", "'x' as text", "0 as offset_", "1 as `__x`")
+    got = packing.pack(df, group_rows=500).collect()
+    assert sorted((str(r.doc_id), r.length) for r in got) == sorted((str(d), n) for d, _, n in rows)
+    copies = [r.sequence_id >> 40 for r in got if r.doc_id is None]
+    assert len(set(copies)) == 12 and max(copies.count(g) for g in set(copies)) < 400
+    assert len({r.sequence_id for r in got}) < 1.03 * sum(n for *_, n in rows) / 2048
+
+
+def test_words_are_remembered_in_two_generations(monkeypatch):
+    monkeypatch.setattr(packing, "GENERATION", 50)
+    ids, t, rng = packing.WordIds(WORD), Tokenizer.from_file(WORD), random.Random(3)
+    assert ids.by_word
+    for _ in range(30):
+        texts = [" ".join(rng.choice(["the", "of", "naïve", "x.y", "12,5", f"w{rng.randrange(90)}", "ab" * 40]) for _ in range(30)) for _ in range(5)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in ids([x.encode() for x in texts])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+        assert len(ids.known) < 200 and not any(len(w) > packing.LONGEST for w in ids.known)
+
+
+def test_other_tokenizer_files_encode_whole_texts():
+    ids, t = packing.WordIds(BYTE), Tokenizer.from_file(BYTE)
+    assert not ids.by_word
+    texts = [x for x in TEXTS if x]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids([x.encode() for x in texts])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_packing_refuses_what_cannot_fit(spark):
     with pytest.raises(Exception, match="piece's length"):
         packing.pack(spark.createDataFrame([(1, 0, 9)], "doc_id long, piece int, length long"), capacity=8).collect()
