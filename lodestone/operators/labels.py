@@ -51,47 +51,47 @@ def period_end(date: str, freq: str) -> Column:
     raise ValueError(f"unknown frequency {freq}")
 
 
-def best_trades(entry: np.ndarray, exit_: np.ndarray, k: int, least: float, short: bool) -> list[tuple[int, int]]:
-    """At most ``k`` trades that don't overlap, each of a profit share of ``least`` or more, of the largest total gain.
+def best_trades(entry: np.ndarray, exit_: np.ndarray, k: int, least: float, short: bool) -> list[list[tuple[int, int]]]:
+    """For each count up to ``k``: the trades (entry row, exit row) of the largest total gain among all sets of so many trades at most.
 
-    One day may close a trade and open the next only if the next counts as a later one. Gains within 1e-12 are equal, and then
-    the earlier choice stays. For the short side prices are negated, the share is of the entry's absolute value.
+    Trades of a set follow each other, the next entry on a later row than the exit before; each has a gain of ``least`` or more as a share of its
+    entry price's size. Sets of equal gain (within 1e-12): the one of fewer trades, then of earlier exits, then of earlier entries.
+    Exact: the gain of every allowed pair of rows is one matrix, and the best sets of t trades that end by a row follow from those of t - 1.
     """
-    ep, xp = (-entry, -exit_) if short else (entry, exit_)
-    n = len(ep)
-    flat, held = np.zeros(k + 1), np.full(k + 1, -np.inf)
-    since, paid = np.full(k + 1, -1), np.zeros(k + 1)
-    closes = np.full((n, k + 1), -1)
-    for i in range(n):
-        base = np.abs(paid[1:])
-        share = np.divide(xp[i] - paid[1:], base, out=np.zeros(k), where=base > 0)
-        gain = held[1:] + xp[i]
-        better = np.isfinite(held[1:]) & (share >= least) & (gain > flat[1:] + 1e-12)
-        flat[1:] = np.where(better, gain, flat[1:])
-        closes[i, 1:] = np.where(better, since[1:], -1)
-        opened = flat[:-1] - ep[i]
-        new = opened > held[1:]
-        held[1:], since[1:], paid[1:] = np.where(new, opened, held[1:]), np.where(new, i, since[1:]), np.where(new, ep[i], paid[1:])
-    t, top = 0, 0.0
-    for j in range(k + 1):
-        if flat[j] > top + 1e-12:
-            t, top = j, flat[j]
-    trades, i = [], n - 1
-    while t > 0 and i >= 0:
-        start = closes[i, t]
-        if 0 <= start < i:
-            trades.append((int(start), i))
-            i, t = int(start) - 1, t - 1
-        else:
-            i -= 1
-    return trades[::-1]
+    n = len(entry)
+    gain = exit_[None, :] - entry[:, None]
+    if short:
+        gain = -gain
+    size = np.abs(entry)[:, None]
+    allowed = np.triu(np.ones((n, n), bool), 1) & (size > 0) & (gain >= least * size)
+    gain = np.where(allowed, gain, -np.inf)
+    # by[t][j]: the best of exactly t trades with exits before row j; ends[t], starts[t]: the last trade of a set that exits at row j
+    by, starts = [np.zeros(n + 1)], [np.zeros(n, np.int64)]
+    at = [np.full(n, -np.inf)]
+    for t in range(1, k + 1):
+        total = by[t - 1][:n, None] + gain
+        starts.append(total.argmax(axis=0) if n else np.zeros(0, np.int64))
+        at.append(total.max(axis=0, initial=-np.inf))
+        by.append(np.maximum.accumulate(np.concatenate([[-np.inf], at[t]])))
+    found: list[list[tuple[int, int]]] = []
+    best, count = 0.0, 0
+    for k_ in range(1, k + 1):
+        if by[k_][n] > best + 1e-12:
+            best, count = by[k_][n], k_
+        trades, stop = [], n
+        for t in range(count, 0, -1):
+            exit_row = int(np.flatnonzero(at[t][:stop] >= by[t][stop] - 1e-12)[0])
+            trades.append((int(starts[t][exit_row]), exit_row))
+            stop = trades[-1][0]
+        found.append(trades[::-1])
+    return found
 
 
 TRADES = "symbol string, side string, freq string, period date, k int, entry_date date, exit_date date, entry_px double, exit_px double, profit double, ret double"
 
 
 def oracle_trades(prices: DataFrame, *, freq: str = "YE", ks: Iterable[int] = (1, 2, 3), least: float = 0.05, sides: Iterable[str] = ("long", "short"), entry: dict[str, str] | None = None, exit_: dict[str, str] | None = None) -> DataFrame:
-    """The best at most k trades of each symbol, calendar period, side and k, in hindsight.
+    """The best at most k trades of each symbol, calendar period, side and k, in hindsight; see `best_trades`.
 
     Long trades buy at the low and sell at the high by default, short ones the other way round. One group is a symbol's
     period: its rows are bounded by the calendar.
@@ -106,12 +106,11 @@ def oracle_trades(prices: DataFrame, *, freq: str = "YE", ks: Iterable[int] = (1
         dates, out = pdf["date"].tolist(), []
         for side in sides:
             a, b = pdf[entry[side]].to_numpy(float), pdf[exit_[side]].to_numpy(float)
+            sets = best_trades(a, b, max(ks), least, side == "short")
             for k in ks:
-                for i, j in best_trades(a, b, k, least, side == "short"):
+                for i, j in sets[k - 1]:
                     profit = b[j] - a[i] if side == "long" else a[i] - b[j]
-                    ret = profit / abs(a[i]) if a[i] else 0.0
-                    if ret >= least:
-                        out.append((pdf["symbol"].iat[0], side, freq, pdf["period"].iat[0], k, dates[i], dates[j], a[i], b[j], profit, ret))
+                    out.append((pdf["symbol"].iat[0], side, freq, pdf["period"].iat[0], k, dates[i], dates[j], a[i], b[j], profit, profit / abs(a[i])))
         return pd.DataFrame(out, columns=[c.split()[0] for c in TRADES.split(", ")])
 
     rows = prices.select("symbol", "date", *columns).dropna().withColumn("period", period_end("date", freq))

@@ -32,6 +32,21 @@ def l03(spark, sf):
     return l.oracle_trades(prices(spark, sf), ks=(1,), sides=("long",)).select("symbol", "period", "profit")
 
 
+_GAINS = """pairs AS (SELECT a.symbol, a.period, s.side, a.i, z.i AS j, CASE s.side WHEN 'long' THEN z.high - a.low ELSE a.high - z.low END AS gain
+  FROM p a JOIN p z ON a.symbol = z.symbol AND a.period = z.period AND a.i < z.i CROSS JOIN (VALUES ('long'), ('short')) s(side)
+  WHERE CASE s.side WHEN 'long' THEN z.high - a.low >= 0.05 * a.low ELSE a.high - z.low >= 0.05 * a.high END),
+upto AS (SELECT symbol, period, side, j, max(max(gain)) OVER (PARTITION BY symbol, period, side ORDER BY j) AS best FROM pairs GROUP BY ALL),
+two AS (SELECT x.symbol, x.period, x.side, max(x.gain + coalesce(u.best, 0)) AS gain FROM pairs x ASOF LEFT JOIN upto u ON x.symbol = u.symbol AND x.period = u.period AND x.side = u.side AND x.i > u.j GROUP BY ALL)"""
+
+
+@query("l04_oracle_gains", f"""WITH {PRICES}, p AS (SELECT *, make_date(year(date), 12, 31) AS period, row_number() OVER (PARTITION BY symbol, year(date) ORDER BY date) AS i FROM prices), {_GAINS}
+SELECT symbol, period, side, 1::INTEGER AS k, max(gain) AS gain FROM pairs GROUP BY ALL UNION ALL SELECT symbol, period, side, 2::INTEGER, gain FROM two""", floats=["gain"], dates=["period"])
+def l04_gains(spark, sf):
+    """What the best one and the best two trades of each year gain: in SQL by listing pairs of days, and the best pair before each."""
+    trades = l.oracle_trades(prices(spark, sf), ks=(1, 2))
+    return trades.groupBy("symbol", "period", "side", "k").agg(F.sum("profit").alias("gain"))
+
+
 @query("l04_oracle_trades")
 def l04(spark, sf):
     return l.oracle_trades(prices(spark, sf))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lodestone.operators import technical as t
-from lodestone.plans.registry import query
+from lodestone.plans.registry import ORACLE_SQL, query
 from lodestone.views import PRICES, prices
 
 KEY = ("symbol", "date")
@@ -114,9 +114,14 @@ def p09(spark, sf):
     return _select(t.volumes(prices(spark, sf)), *_v_names)
 
 
-@query("p12_p13_all_price_features")
+_parts = ("p01_returns", "p02_moving_averages", "p03_exponential", "p04_bands", "p05_p06_p11_ranges", "p07_volatility", "p08_channels", "p09_p10_volumes")
+_all_names = [f"px__ret_{n}d" for n in t.RETURNS] + _sma_names + _ema_names + [f"px__{k}_{n}" for n in (10, 20, 63) for k in ("z_close", "bb_pos")] + _range_names + _vol_names + _ch_names + _v_names
+
+
+@query("p12_p13_all_price_features", "SELECT * FROM " + " JOIN ".join(f"({ORACLE_SQL[p]}) AS {p} {'USING (symbol, date)' if i else ''}" for i, p in enumerate(_parts)), floats=_all_names)
 def p12(spark, sf):
-    return t.all_features(prices(spark, sf))
+    """All families in one pass: equal to the families' own SQL, joined."""
+    return _select(t.all_features(prices(spark, sf)), *_all_names)
 
 
 @query("p14_sanitised_zero", f"WITH {PRICES}, {RET1} SELECT symbol, date, coalesce(r, 0) AS px__ret_1d FROM rets", floats=["px__ret_1d"])
@@ -124,16 +129,19 @@ def p14(spark, sf):
     return _select(t.sanitised(t.returns(prices(spark, sf), (1,)), "zero"), "px__ret_1d")
 
 
-_rs_names = [f"rs__{k}_{n}" for n in (20, 60, 120) for k in ("return", "vol", "sharpe", "sma_dist", "volume_z")] + ["rs__rsi_14"]
+_rs_names = [f"rs__{k}_{n}" for n in (20, 60, 120) for k in ("return", "vol", "sharpe", "max_drawdown", "sma_dist", "volume_z")] + ["rs__rsi_14", "rs__bollinger_z_20", "rs__atr_price_14", "rs__downside_60", "rs__var_60"]
+_fell = ", ".join(f"CASE WHEN count(close) OVER (PARTITION BY symbol ORDER BY date ROWS {n - 1} PRECEDING) >= {max(5, n // 4)} THEN close / max(close) OVER (PARTITION BY symbol ORDER BY date ROWS {n - 1} PRECEDING) - 1 END AS fell{n}" for n in (20, 60, 120))
 _rs = ", ".join(
-    f"close / lag(close, {n}) OVER (PARTITION BY symbol ORDER BY date) - 1 AS rs__return_{n}, {_guard('stddev_samp', 'r', n)} * sqrt(252) AS rs__vol_{n}, {_guard('avg', 'r', n)} * 252 / nullif({_guard('stddev_samp', 'r', n)} * sqrt(252), 0) AS rs__sharpe_{n}, close / ({_guard('avg', 'close', n)}) - 1 AS rs__sma_dist_{n}, (volume - {_guard('avg', 'volume', n)}) / nullif({_guard('stddev_samp', 'volume', n)}, 0) AS rs__volume_z_{n}"
+    f"close / lag(close, {n}) OVER (PARTITION BY symbol ORDER BY date) - 1 AS rs__return_{n}, {_guard('stddev_samp', 'r', n)} * sqrt(252) AS rs__vol_{n}, {_guard('avg', 'r', n)} * 252 / nullif({_guard('stddev_samp', 'r', n)} * sqrt(252), 0) AS rs__sharpe_{n}, close / ({_guard('avg', 'close', n)}) - 1 AS rs__sma_dist_{n}, (volume - {_guard('avg', 'volume', n)}) / nullif({_guard('stddev_samp', 'volume', n)}, 0) AS rs__volume_z_{n}, CASE WHEN count(fell{n}) OVER (PARTITION BY symbol ORDER BY date ROWS {n - 1} PRECEDING) >= {max(5, n // 4)} THEN min(fell{n}) OVER (PARTITION BY symbol ORDER BY date ROWS {n - 1} PRECEDING) END AS rs__max_drawdown_{n}"
     for n in (20, 60, 120)
 )
 
 
-@query("p24_research_family", f"""WITH {PRICES}, rets AS (SELECT *, close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1 AS r, close - lag(close) OVER (PARTITION BY symbol ORDER BY date) AS d FROM prices),
-g AS (SELECT *, CASE WHEN d IS NULL THEN 0.0 ELSE greatest(d, 0) END AS g, CASE WHEN d IS NULL THEN 0.0 ELSE greatest(-d, 0) END AS x FROM rets)
-SELECT symbol, date, {_rs}, 100 - 100 / (1 + ({_guard('avg', 'g', 14)}) / nullif({_guard('avg', 'x', 14)}, 0)) AS rs__rsi_14 FROM g""", floats=_rs_names)
+@query("p24_research_family", f"""WITH {PRICES}, rets AS (SELECT *, close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1 AS r, close - lag(close) OVER (PARTITION BY symbol ORDER BY date) AS d, lag(close) OVER (PARTITION BY symbol ORDER BY date) AS b, {_fell} FROM prices),
+g AS (SELECT *, CASE WHEN d IS NULL THEN 0.0 ELSE greatest(d, 0) END AS g, CASE WHEN d IS NULL THEN 0.0 ELSE greatest(-d, 0) END AS x, least(r, 0) AS low_r, greatest(abs(high - low), abs(high - b), abs(low - b)) AS tr FROM rets),
+h AS (SELECT * REPLACE (CASE WHEN r IS NOT NULL THEN low_r END AS low_r) FROM g)
+SELECT symbol, date, {_rs}, 100 - 100 / (1 + ({_guard('avg', 'g', 14)}) / nullif({_guard('avg', 'x', 14)}, 0)) AS rs__rsi_14, (close - {_guard('avg', 'close', 20)}) / nullif({_guard('stddev_samp', 'close', 20)}, 0) AS rs__bollinger_z_20,
+({_guard('avg', 'tr', 14)}) / close AS rs__atr_price_14, ({_guard('stddev_samp', 'low_r', 60)}) * sqrt(252) AS rs__downside_60, CASE WHEN count(r) OVER (PARTITION BY symbol ORDER BY date ROWS 59 PRECEDING) = 60 THEN quantile_cont(r, 0.05) OVER (PARTITION BY symbol ORDER BY date ROWS 59 PRECEDING) END AS rs__var_60 FROM h""", floats=_rs_names)
 def p24(spark, sf):
     return _select(t.research_family(prices(spark, sf)), *_rs_names)
 

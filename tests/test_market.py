@@ -50,33 +50,35 @@ PATH = [(10, 11), (8, 9), (12, 13), (7, 8), (15, 16)]
 
 def test_best_trades_on_a_path():
     low, high = (np.array(x, float) for x in zip(*PATH, strict=True))
-    assert labels.best_trades(low, low + 1, 2, 0.05, False) == [(1, 2), (3, 4)]
-    assert labels.best_trades(low, high, 1, 0.05, False) == [(3, 4)]
+    assert labels.best_trades(low, low + 1, 2, 0.05, False) == [[(3, 4)], [(1, 2), (3, 4)]]
+    assert labels.best_trades(low, high, 1, 0.05, False) == [[(3, 4)]]
     short = [(10, 11), (8, 9), (12, 13), (6, 7)]
     low, high = (np.array(x, float) for x in zip(*short, strict=True))
-    assert labels.best_trades(high, low, 1, 0.10, True) == [(2, 3)]
-    assert labels.best_trades(np.array([5.0]), np.array([5.0]), 3, 0.0, False) == []
+    assert labels.best_trades(high, low, 1, 0.10, True) == [[(2, 3)]]
+    assert labels.best_trades(np.array([5.0]), np.array([5.0]), 3, 0.0, False) == [[], [], []]
+    assert labels.best_trades(np.array([]), np.array([]), 1, 0.0, False) == [[]]
 
 
 def test_best_trades_equal_exhaustive_search():
     rng = np.random.default_rng(4)
 
-    def best(a, b, k, start):
+    def best(a, b, k, start, sign):
         top = 0.0
         if k:
             for i in range(start, len(a)):
                 for j in range(i + 1, len(a)):
-                    if (b[j] - a[i]) / abs(a[i]) >= 0.05:
-                        top = max(top, b[j] - a[i] + best(a, b, k - 1, j + 1))
+                    if sign * (b[j] - a[i]) >= 0.05 * abs(a[i]):
+                        top = max(top, sign * (b[j] - a[i]) + best(a, b, k - 1, j + 1, sign))
         return top
 
-    for _ in range(20):
-        a = rng.uniform(5, 15, 8)
-        for k in (1, 2, 3):
-            got = labels.best_trades(a, a + 0.5, k, 0.05, False)
-            gain = sum(a[j] + 0.5 - a[i] for i, j in got)
-            assert all(x[1] <= y[0] for x, y in zip(got, got[1:], strict=False)) and len(got) <= k
-            assert gain >= best(a, a + 0.5, k, 0) - 1e-9 or k > 1
+    for trial in range(200):
+        a = rng.uniform(5, 15, 8) if trial % 2 else rng.integers(5, 12, 8).astype(float)
+        sign = 1 if trial % 3 else -1
+        b = a + 0.5 * sign
+        for k, got in enumerate(labels.best_trades(a, b, 3, 0.05, sign < 0), 1):
+            assert all(i < j for i, j in got) and all(x[1] < y[0] for x, y in zip(got, got[1:], strict=False)) and len(got) <= k
+            assert all(sign * (b[j] - a[i]) >= 0.05 * abs(a[i]) for i, j in got)
+            assert sum(sign * (b[j] - a[i]) for i, j in got) == pytest.approx(best(a, b, k, 0, sign), abs=1e-9)
 
 
 def test_technical_features_match_the_formulas(spark):
@@ -153,7 +155,7 @@ def test_stream_upsert_and_counts_equal_batch(spark, tmp_path):
     for ts, user, kind, value, day in sorted(rows[:30]) + sorted(rows[30:]):
         want[user, kind, day] = value
     got = {(r.user_id, r.event_type, str(r.day)): r.value for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert set(got) == set(want)
+    assert got == want
     counts = jobs.event_counts(stream).writeStream.outputMode("complete").format("memory").queryName("counted").trigger(availableNow=True).start()
     counts.awaitTermination()
     batch = jobs.event_counts(spark.read.parquet(str(source)))
