@@ -90,7 +90,7 @@ def statistical_family(prices: DataFrame) -> DataFrame:
 
 
 def rolling_beta(prices: DataFrame, rows: int = 20) -> DataFrame:
-    """beta and correlation of the close with its own mean over ``rows`` rows, and the run of both exponential means (1 if both rose)."""
+    """beta and correlation of the close with its own full mean over ``rows`` rows; the runs of exponential means are in `indicators`."""
     w = by_date("symbol")
     out = prices.withColumn("__m", rolling(F.avg, "close", rows, w))
     frame = w.rowsBetween(1 - rows, 0)
@@ -98,17 +98,6 @@ def rolling_beta(prices: DataFrame, rows: int = 20) -> DataFrame:
     return out.withColumns({"sp__beta": F.when(full, ratio(F.covar_samp("close", "__m").over(frame), F.var_samp("__m").over(frame))), "sp__correl": F.when(full, F.corr("close", "__m").over(frame))}).drop("__m")
 
 
-def math_family(prices: DataFrame, rows: int = 20) -> DataFrame:
-    """Deviation, variance, median, quartiles and regression slope of the close over ``rows`` rows."""
-    w = by_date("symbol")
-    frame = w.rowsBetween(1 - rows, 0)
-    out = prices.withColumn("__i", F.row_number().over(w).cast("double"))
-    full = F.count("close").over(frame) == rows
-    q = lambda p: F.when(full, F.percentile("close", p).over(frame))
-    slope = F.when(full, F.covar_samp("__i", "close").over(frame) / F.var_samp("__i").over(frame))
-    return out.withColumns({"ta__stdev": rolling(F.stddev_samp, "close", rows, w), "ta__variance": rolling(F.var_samp, "close", rows, w), "ta__median": q(0.5), "ta__q25": q(0.25), "ta__q75": q(0.75), "ta__slope": slope}).drop("__i")
-
-
 def oracle_panel(grid: DataFrame, trades: DataFrame) -> DataFrame:
     """The grid (symbol, date) with 0/1 columns of entry days: long, short, any."""
     days = trades.select("symbol", F.col("entry_date").alias("date"), "side").distinct()

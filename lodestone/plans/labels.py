@@ -35,7 +35,7 @@ def l03(spark, sf):
 _GAINS = """pairs AS (SELECT a.symbol, a.period, s.side, a.i, z.i AS j, CASE s.side WHEN 'long' THEN z.high - a.low ELSE a.high - z.low END AS gain
   FROM p a JOIN p z ON a.symbol = z.symbol AND a.period = z.period AND a.i < z.i CROSS JOIN (VALUES ('long'), ('short')) s(side)
   WHERE CASE s.side WHEN 'long' THEN z.high - a.low >= 0.05 * a.low ELSE a.high - z.low >= 0.05 * a.high END),
-upto AS (SELECT symbol, period, side, j, max(max(gain)) OVER (PARTITION BY symbol, period, side ORDER BY j) AS best FROM pairs GROUP BY ALL),
+ends AS (SELECT symbol, period, side, j, max(gain) AS gain FROM pairs GROUP BY ALL), upto AS (SELECT symbol, period, side, j, max(gain) OVER (PARTITION BY symbol, period, side ORDER BY j) AS best FROM ends),
 two AS (SELECT x.symbol, x.period, x.side, max(x.gain + coalesce(u.best, 0)) AS gain FROM pairs x ASOF LEFT JOIN upto u ON x.symbol = u.symbol AND x.period = u.period AND x.side = u.side AND x.i > u.j GROUP BY ALL)"""
 
 

@@ -150,28 +150,3 @@ def p24(spark, sf):
 SELECT symbol, date, equity, equity / max(equity) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING) - 1 AS drawdown FROM e""", floats=["equity", "drawdown"])
 def p26(spark, sf):
     return _select(t.drawdowns(prices(spark, sf)), "equity", "drawdown")
-
-
-_TP = "(high + low + close) / 3"
-_ta_names = ["ta__roc_10", "ta__mom_10", "ta__willr_14", "ta__stoch_k_14", "ta__stoch_d_3", "ta__cmo_14", "ta__bop", "ta__ao", "ta__dpo_20", "ta__donchian_mid_20", "ta__midpoint_14", "ta__hlc3", "ta__ohlc4", "ta__vwma_20", "ta__log_return_1", "ta__pct_return_5", "ta__drawdown"]
-_W = "OVER (PARTITION BY symbol ORDER BY date)"
-
-
-@query("p16_p18_p20_p21_window_indicators", f"""WITH {PRICES}, d AS (SELECT *, {_TP} AS tp, (high + low) / 2 AS med, close - lag(close) {_W} AS d FROM prices),
-u AS (SELECT *, CASE WHEN d IS NULL THEN 0.0 ELSE greatest(d, 0) END AS up, CASE WHEN d IS NULL THEN 0.0 ELSE greatest(-d, 0) END AS dn, {_guard('max', 'high', 14)} AS h14, {_guard('min', 'low', 14)} AS l14 FROM d),
-k AS (SELECT *, 100 * (close - l14) / nullif(h14 - l14, 0) AS ta__stoch_k_14 FROM u)
-SELECT symbol, date, 100 * (close / lag(close, 10) {_W} - 1) AS ta__roc_10, close - lag(close, 10) {_W} AS ta__mom_10, -100 * (h14 - close) / nullif(h14 - l14, 0) AS ta__willr_14, ta__stoch_k_14, {_guard('avg', 'ta__stoch_k_14', 3)} AS ta__stoch_d_3,
-100 * ({_guard('sum', 'up', 14)} - {_guard('sum', 'dn', 14)}) / nullif({_guard('sum', 'up', 14)} + {_guard('sum', 'dn', 14)}, 0) AS ta__cmo_14, (close - open) / nullif(high - low, 0) AS ta__bop, {_guard('avg', 'med', 5)} - {_guard('avg', 'med', 34)} AS ta__ao,
-lag(close, 11) {_W} - {_guard('avg', 'close', 20)} AS ta__dpo_20, ({_guard('max', 'high', 20)} + {_guard('min', 'low', 20)}) / 2 AS ta__donchian_mid_20, ({_guard('max', 'close', 14)} + {_guard('min', 'close', 14)}) / 2 AS ta__midpoint_14, tp AS ta__hlc3, (open + high + low + close) / 4 AS ta__ohlc4,
-sum(close * volume) OVER (PARTITION BY symbol ORDER BY date ROWS 19 PRECEDING) / nullif({_guard('sum', 'volume', 20)}, 0) AS ta__vwma_20, ln(close / lag(close) {_W}) AS ta__log_return_1, close / lag(close, 5) {_W} - 1 AS ta__pct_return_5, close / max(close) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING) - 1 AS ta__drawdown FROM k""", floats=_ta_names)
-def p16(spark, sf):
-    from lodestone.operators.indicators import window_indicators
-
-    return _select(window_indicators(prices(spark, sf)), *_ta_names)
-
-
-@query("p17_p19_recursive_indicators")
-def p17(spark, sf):
-    from lodestone.operators.indicators import RECURSIVE, recursive_indicators
-
-    return _select(recursive_indicators(prices(spark, sf)), *RECURSIVE)

@@ -64,22 +64,21 @@ def v12(spark, sf):
     return r.task_inventory(typed(spark, sf).select(F.col("event_family").alias("task"), F.col("event_type").alias("label"), F.col("source").alias("family")))
 
 
-@query("p25_statistical_family", f"""WITH {RET} SELECT symbol, date, (r - {_guard('avg', 'r', 20)}) / nullif({_guard('stddev_samp', 'r', 20)}, 0) AS st__z_20 FROM r""", floats=["st__z_20"])
-def p25(spark, sf):
-    return r.statistical_family(prices(spark, sf)).select("symbol", "date", "st__z_20")
+def _moment(p: int) -> str:
+    m = lambda k: f"list_avg(list_transform(l, lambda v: (v - list_avg(l)) ** {k}))"
+    return f"CASE WHEN n = 63 THEN {m(p)} / {m(2)} ** {p / 2!r}{' - 3' if p == 4 else ''} END"
 
 
-@query("p15_math_family", f"""WITH {PRICES}, i AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date)::DOUBLE AS i FROM prices)
-SELECT symbol, date, {_guard('stddev_samp', 'close', 20)} AS ta__stdev, {_guard('median', 'close', 20)} AS ta__median, CASE WHEN count(close) OVER w = 20 THEN quantile_cont(close, 0.25) OVER w END AS ta__q25, CASE WHEN count(close) OVER w = 20 THEN quantile_cont(close, 0.75) OVER w END AS ta__q75,
-CASE WHEN count(close) OVER w = 20 THEN regr_slope(close, i) OVER w END AS ta__slope FROM i WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 19 PRECEDING)""", floats=["ta__stdev", "ta__median", "ta__q25", "ta__q75", "ta__slope"], digits=4)
-def p15(spark, sf):
-    return r.math_family(prices(spark, sf)).select("symbol", "date", "ta__stdev", "ta__median", "ta__q25", "ta__q75", "ta__slope")
+@query("p25_statistical_family", f"""WITH {RET}, s AS (SELECT symbol, date, (r - {_guard('avg', 'r', 20)}) / nullif({_guard('stddev_samp', 'r', 20)}, 0) AS st__z_20, list(r) OVER w AS l, count(r) OVER w AS n, {_guard('avg', 'close', 21)} AS m FROM r WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 62 PRECEDING))
+SELECT symbol, date, st__z_20, {_moment(3)} AS st__skew_63, {_moment(4)} AS st__kurt_63, lag(m) OVER (PARTITION BY symbol ORDER BY date) AS st__trend_21 FROM s""", floats=["st__z_20", "st__skew_63", "st__kurt_63", "st__trend_21"], digits=5)
+def p25(spark, sf):
+    return r.statistical_family(prices(spark, sf)).select("symbol", "date", "st__z_20", "st__skew_63", "st__kurt_63", "st__trend_21")
 
 
 @query("p22_rolling_beta", f"""WITH {PRICES}, m AS (SELECT *, {_guard('avg', 'close', 20)} AS m FROM prices)
-SELECT symbol, date, CASE WHEN count(m) OVER w = 20 THEN covar_samp(close, m) OVER w / nullif(var_samp(m) OVER w, 0) END AS sp__beta FROM m WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 19 PRECEDING)""", floats=["sp__beta"], digits=4)
+SELECT symbol, date, CASE WHEN count(m) OVER w = 20 THEN covar_samp(close, m) OVER w / nullif(var_samp(m) OVER w, 0) END AS sp__beta, CASE WHEN count(m) OVER w = 20 THEN corr(close, m) OVER w END AS sp__correl FROM m WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 19 PRECEDING)""", floats=["sp__beta", "sp__correl"], digits=4)
 def p22(spark, sf):
-    return r.rolling_beta(prices(spark, sf)).select("symbol", "date", "sp__beta")
+    return r.rolling_beta(prices(spark, sf)).select("symbol", "date", "sp__beta", "sp__correl")
 
 
 @query("l17_oracle_panel")
