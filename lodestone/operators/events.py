@@ -18,6 +18,8 @@ BUY = ("purchase", "buy", "acquisition", "acquired", " p ", " a ")
 SELL = ("sale", "sell", "disposition", "disposed", " s ", " d ")
 # Rating words and their score.
 RATINGS = ((5, ("strong buy", "outperform", "overweight", "buy")), (4, ("market perform", "neutral", "hold", "equal weight")), (3, ("underperform", "underweight", "sell")))
+# Words of an action that tell the direction; the former are tested first.
+RAISED, LOWERED = ("upgrade", "raised", "initiated"), ("downgrade", "lowered")
 KEYS = ("symbol", "event_date", "event_family", "event_type", "actor", "source", "strength")
 
 
@@ -58,7 +60,7 @@ def rating_type(action: Column, new: Column, old: Column) -> Column:
     a = F.lower(F.coalesce(action, F.lit("")))
     up, down = FAMILIES["analyst_rating"]
     n, o = rating_score(new), rating_score(old)
-    return F.when(has_any(a, ("upgrade", "upgraded", "raised", "initiated")), up).when(has_any(a, ("downgrade", "downgraded", "lowered")), down).when(n > o, up).when(n < o, down)
+    return F.when(has_any(a, RAISED), up).when(has_any(a, LOWERED), down).when(n > o, up).when(n < o, down)
 
 
 def revision_type(now: Column, before: Column, family: str) -> Column:

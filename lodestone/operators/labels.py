@@ -87,6 +87,8 @@ def best_trades(entry: np.ndarray, exit_: np.ndarray, k: int, least: float, shor
     return found
 
 
+#: Slices of a value's range in which global ranks are counted.
+SLICES = 200
 TRADES = "symbol string, side string, freq string, period date, k int, entry_date date, exit_date date, entry_px double, exit_px double, profit double, ret double"
 
 
@@ -162,11 +164,15 @@ def weighted_labels(events: DataFrame, *, alpha: float = 1.0, clip: float = 0.5,
 
 
 def global_pct_rank(df: DataFrame, value: str, name: str = "rank_pct") -> DataFrame:
-    """Average rank over all rows, by their number, without one task that holds them all: ranks are summed up over distinct values, in slices of their range."""
+    """Average rank over all rows, by their number, without one task that holds them all: ranks are summed up over distinct values, in slices of their range.
+
+    The bounds of the slices are SLICES quantiles at most, found once, so that every part of the plan cuts alike.
+    """
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
-    ranged = counts.repartitionByRange(value).withColumn("__part", F.spark_partition_id())
-    # slices by rank of a value's rounded magnitude would skew; Spark's range partitions are even
-    totals = ranged.groupBy("__part").agg(F.sum("n").alias("here"))
+    bounds = sorted(set(counts.select(F.col(value).cast("double").alias("v")).approxQuantile("v", [i / SLICES for i in range(1, SLICES)], 0.002)))
+    part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(value))) if bounds else F.lit(0)
+    ranged = counts.withColumn("__part", part)
+    totals = ranged.groupBy("__part").agg(F.sum("n").alias("here"))  # a row for each slice
     before = totals.select("__part", (F.sum("here").over(Window.orderBy("__part")) - F.col("here")).alias("before"), F.sum("here").over(Window.partitionBy()).alias("all"))
     w = Window.partitionBy("__part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranks = ranged.join(before, "__part").withColumn(name, (F.col("before") + F.sum("n").over(w) - (F.col("n") - 1) / 2) / F.col("all"))

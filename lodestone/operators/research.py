@@ -98,12 +98,14 @@ def rolling_beta(prices: DataFrame, rows: int = 20) -> DataFrame:
     return out.withColumns({"sp__beta": F.when(full, ratio(F.covar_samp("close", "__m").over(frame), F.var_samp("__m").over(frame))), "sp__correl": F.when(full, F.corr("close", "__m").over(frame))}).drop("__m")
 
 
-def oracle_panel(grid: DataFrame, trades: DataFrame) -> DataFrame:
-    """The grid (symbol, date) with 0/1 columns of entry days: long, short, any."""
-    days = trades.select("symbol", F.col("entry_date").alias("date"), "side").distinct()
-    flags = days.groupBy("symbol", "date").pivot("side", ["long", "short"]).agg(F.lit(1)).withColumnsRenamed({"long": "target_oracle_long", "short": "target_oracle_short"})
-    rows = grid.join(flags, ["symbol", "date"], "left").fillna(0, ["target_oracle_long", "target_oracle_short"])
-    return rows.withColumn("target_oracle_any", F.greatest("target_oracle_long", "target_oracle_short"))
+def oracle_panel(grid: DataFrame, trades: DataFrame, freqs: Iterable[str] = (), ks: Iterable[int] = ()) -> DataFrame:
+    """The grid (symbol, date) with 0/1 columns of entry days: target_oracle_long, _short and _any, and for each of ``freqs`` and ``ks`` the same with __{freq}_{k}."""
+    days = trades.select("symbol", F.col("entry_date").alias("date"), "side", "freq", "k")
+    hit = lambda c: F.max(c.cast("int"))
+    on = {f"target_oracle_{s}": F.col("side") == s for s in ("long", "short")} | {"target_oracle_any": F.lit(True)}
+    wanted = dict(on) | {f"{n}__{f.lower()}_{k}": c & (F.col("freq") == f) & (F.col("k") == k) for f in freqs for k in ks for n, c in on.items()}
+    flags = days.groupBy("symbol", "date").agg(*[hit(c).alias(n) for n, c in wanted.items()])
+    return grid.join(flags, ["symbol", "date"], "left").fillna(0, list(wanted))
 
 
 def option_label_panel(trades: DataFrame, chain: DataFrame) -> DataFrame:

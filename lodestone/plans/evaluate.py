@@ -74,9 +74,9 @@ def v10(spark, sf):
 
 
 @query("l19_feature_target_matrix", f"""WITH {PANEL}, f AS (SELECT symbol, date, 'volume' AS feature, volume AS x FROM prices UNION ALL SELECT symbol, date, 'mom', close / lag(close, 5) OVER (PARTITION BY symbol ORDER BY date) - 1 FROM prices),
-t AS (SELECT symbol, date, 'target_event_on__insider_buy' AS target, target_event_on__insider_buy AS y FROM panel), m AS (SELECT feature, target, count(x) / count(*)::DOUBLE AS coverage, count(x) FILTER (y > 0) AS positives,
+t AS (SELECT symbol, date, 'target_event_on__insider_buy' AS target, target_event_on__insider_buy AS y FROM panel), m AS (SELECT feature, target, count(x) AS rows, count(x) / count(*)::DOUBLE AS coverage, count(x) FILTER (y > 0) AS positives,
 avg(x) FILTER (y > 0) AS m1, avg(x) FILTER (y = 0) AS m0, var_samp(x) FILTER (y > 0) AS v1, var_samp(x) FILTER (y = 0) AS v0 FROM f JOIN t USING (symbol, date) GROUP BY ALL)
-SELECT feature, target, coverage, positives, abs((m1 - m0) / nullif(sqrt((v1 + v0) / 2), 0)) AS std_diff FROM m""", floats=["coverage", "std_diff"], dates=[])
+SELECT feature, target, rows, coverage, positives, abs((m1 - m0) / nullif(sqrt((v1 + v0) / 2), 0)) AS std_diff FROM m""", floats=["coverage", "std_diff"], dates=[])
 def l19(spark, sf):
     f = returns(prices(spark, sf), (5,)).select("symbol", "date", F.col("px__ret_5d").alias("mom"), "volume")
     return v.feature_target_matrix(f, panel(spark, sf), ("mom", "volume"), ("target_event_on__insider_buy",))
