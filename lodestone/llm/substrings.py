@@ -1,20 +1,21 @@
-"""Removal of repeated passages by relative Lempel-Ziv parsing over content-defined phrases.
+"""Removal of repeated passages by parsing against a reference, as in relative Lempel-Ziv, in phrases that the text itself delimits.
 
-A word window is repeated if its words also start earlier in the corpus. Documents are parsed into
-phrases: each window of WINDOW words belongs to the least of its GRAM-word hashes (its anchor), and a
-run of windows with one anchor is a phrase of 20 to 32 words. Phrases depend on their words alone, so
-equal text is cut alike wherever it stands. The reference is the first place of every phrase; it is
+A word window is repeated if its words also start earlier in the corpus. Greedy factors, which start wherever the one before ended,
+would be cut differently in every copy, and each document would have to be parsed against every block: work that grows with the
+square of the corpus. So the dealt greedy factoring is replaced: each window of WINDOW words belongs to the least of its
+GRAM-word hashes (its anchor), and a run of windows with one anchor is a phrase of 20 to 32 words. Phrases depend on their words
+alone, so equal text is cut alike wherever it stands. The reference is the first place of every phrase; it is
 indexed in blocks, which are the partitions of the shuffle by anchor, and every document meets every
 block that can hold one of its phrases:
 
 1. A phrase found earlier in its block is copied from there; neighbouring copied phrases join into one
-   factor, greedily, as far as the reference goes. All windows inside a factor are repeated.
+   factor as long as phrases are copied. All windows inside a factor are repeated.
 2. Where a factor ends, the next phrase is new but its anchor may be known with other words around
    it. Only there the windows are checked one by one, against all windows at such boundaries.
 
-Both steps look at hashes of 64 bits. Rows that repeat inside a batch are merged before the
-shuffle, and anchors with very many phrases are dealt out by phrase, so no key gathers its copies in one task.
-Plain parsing of each document against each block would grow with the square of the corpus.
+Phrases are told apart by the 64 bits of their anchor and 64 of their words, windows at boundaries by 128 bits of their words.
+Rows that repeat inside a batch of BATCH bytes are merged before the shuffle, and anchors with very many phrases are dealt out by
+phrase, so a key gathers one row for each batch at most, of 40 bytes, and these are only ranked.
 """
 
 from __future__ import annotations
@@ -27,13 +28,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunks, mix, windows
+from .common import WordHashes, chunks, materialise, mix, windows
 
 #: Words of an anchor; text bytes of a batch; phrases of one anchor in a batch from which it is dealt out.
 GRAM, BATCH, CROWD = 8, 6 << 20, 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-# What a row says, in the two lowest bits of `place`; above them 6 bits of length, 32 of start, 15 of tag.
+# What a row says, in the two lowest bits of `place`; above them 6 bits of length (two unused), then the start.
 PLAIN, KNOWN, SPAN = 0, 1, 2
 
 
@@ -81,19 +82,21 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[head], stops[np.concatenate([head[1:], [True]])]
 
 
-_hashes = WordHashes()
-
-
-def _read(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _read(texts: list[bytes], of: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes of the texts, one after the other, and where each begins and ends."""
     split = [t.split() for t in texts]
     counts = np.array([len(w) for w in split], np.int64)
     ends = np.cumsum(counts)
-    return _hashes.of([w for words in split for w in words]), ends - counts, ends
+    return of.of([w for words in split for w in words]), ends - counts, ends
+
+
+def _place(starts, lengths, kind) -> np.ndarray:
+    return (starts.astype(np.int64) << 16) | (lengths << 2) | kind
 
 
-def _place(tags, starts, lengths, kind) -> np.ndarray:
-    return (tags.astype(np.int64) << 48) | (starts.astype(np.int64) << 16) | (lengths << 2) | kind
+def _other(hashes: np.ndarray) -> np.ndarray:
+    """Second hashes of words, for a second hash of windows."""
+    return mix(hashes + np.uint64(0xD1B54A32D192ED03))
 
 
 def _batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
@@ -112,9 +115,21 @@ def _documents(b: pa.RecordBatch) -> pa.RecordBatch:
     return b.filter(pa.concat_arrays([pa.array([True]), pc.invert(same)]))
 
 
-def _out(names: list[str], key, extra, ids: pa.Array, rows, place) -> pa.RecordBatch:
+def _out(key, extra, b: pa.RecordBatch, rows, place) -> pa.RecordBatch:
     cast = lambda x: pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
-    return pa.RecordBatch.from_arrays([cast(key), cast(extra), ids.take(pa.array(rows)), cast(place)], names=names)
+    at = pa.array(rows)
+    return pa.RecordBatch.from_arrays([cast(key), cast(extra), b.column(0).take(at), b.column(1).take(at), cast(place)], names=["key", "extra", "doc_id", "tag", "place"])
+
+
+def _given(df: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...]) -> DataFrame:
+    """(doc_id, tag, text, ...): the tag counts the different texts of one id, in the order of a digest; nearly all are 0."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    given = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("digest"), text.cast("binary").alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
+    named = given.select("doc_id", "digest").filter("doc_id is not null")
+    several = named.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x <> y").select("doc_id")
+    tags = named.join(several, "doc_id").distinct().withColumn("tag", F.row_number().over(Window.partitionBy("doc_id").orderBy("digest")) - 1)
+    tags = materialise(tags, "tags")
+    return given.join(tags, ["doc_id", "digest"], "left").select("doc_id", F.coalesce("tag", F.lit(0)).alias("tag"), "text", *given.columns[3:])
 
 
 def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", text_col: str = "text", verbatim: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -129,22 +144,20 @@ def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", t
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = df.schema[id_col].dataType.simpleString()
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    tag = F.pmod(F.xxhash64(text), F.lit(1 << 15)).cast("int")
-    given = df.select(F.col(id_col).alias("doc_id"), tag.alias("tag"), text.cast("binary").alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
     # the texts are shuffled once; all three passes over them read the same exchange
-    docs = given.repartition(n, "doc_id", "tag")
+    docs = _given(df, id_col, text_col, carry).repartition(n, "doc_id", "tag")
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()  # of this task alone
         for b in _batches(batches, 2):
             b = _documents(b)
             if not b.num_rows:
                 continue
-            hashes, begins, ends = _read(b.column(2).to_pylist())
+            hashes, begins, ends = _read(b.column(2).to_pylist(), words)
             doc, first, last, anchor = parse(hashes, ends, window)
             lengths = last - first + window
             phrase = spans_of(hashes, first, lengths) + anchor
-            tags, starts = b.column(1).to_numpy(), first - begins[doc]
+            starts = first - begins[doc]
             # the first of each phrase in this batch goes on; all others are repeated already
             _, lead = np.unique(phrase, return_index=True)
             copy = np.ones(len(phrase), bool)
@@ -162,29 +175,32 @@ def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", t
             crowded = np.empty(len(lead), bool)
             crowded[order] = np.repeat(size > CROWD, size)
             known = crowded & (nth >= 2)
-            key = np.where(known, mix(phrase[lead] + np.uint64(1)), anchor[lead])
-            yield _out(["key", "extra", "doc_id", "place"], key, phrase[lead], b.column(0), doc[lead], _place(tags[doc[lead]], starts[lead], lengths[lead], np.where(known, KNOWN, PLAIN)))
-            yield _out(["key", "extra", "doc_id", "place"], mix(lo.astype(np.uint64) + hashes[begins[own] + lo - (own << 32)]), hi - (own << 32), b.column(0), own, _place(tags[own], lo - (own << 32), 0 * lo, SPAN))
+            key, extra = np.where(known, mix(phrase[lead] + np.uint64(1)), anchor[lead]), phrase[lead]
+            if known.any():
+                extra[known] = spans_of(_other(hashes), first[lead][known], lengths[lead][known])
+            yield _out(key, extra, b, doc[lead], _place(starts[lead], lengths[lead], np.where(known, KNOWN, PLAIN)))
+            yield _out(mix(lo.astype(np.uint64) + hashes[begins[own] + lo - (own << 32)]), hi - (own << 32), b, own, _place(lo - (own << 32), 0 * lo, SPAN))
 
-    schema = f"key long, extra long, doc_id {kind}, place long"
+    schema = f"key long, extra long, doc_id {kind}, tag int, place long"
     found = docs.select("doc_id", "tag", "text", *docs.columns[3:]).mapInArrow(phrases, schema).repartition(n, "key")
     says = F.col("place").bitwiseAND(3)
-    of_phrase = Window.partitionBy("key", "extra").orderBy("doc_id", "place")
+    of_phrase = Window.partitionBy("key", "extra").orderBy("doc_id", "tag", "place")
     of_anchor = Window.partitionBy("key")
     found = found.withColumn("nth", F.rank().over(of_phrase)).withColumn("others", F.min("extra").over(of_anchor) != F.max("extra").over(of_anchor))
     # a span as it is; a later copy as a span; the first of a phrase as boundary, where its anchor has other phrases
-    stop = F.shiftrightunsigned("place", 16).bitwiseAND((1 << 32) - 1) + F.shiftrightunsigned("place", 2).bitwiseAND(63)
+    start = F.shiftrightunsigned("place", 16)
+    stop = start + F.shiftrightunsigned("place", 2).bitwiseAND(63)
     copied = (says == SPAN) | (F.col("nth") > 1)
     found = found.filter(copied | (says == KNOWN) | F.col("others")).select(
-        "doc_id", F.shiftrightunsigned("place", 48).cast("int").alias("tag"),
-        F.struct(F.shiftrightunsigned("place", 16).bitwiseAND((1 << 32) - 1).alias("start"), F.when(says == SPAN, F.col("extra")).otherwise(stop).alias("stop"), copied.alias("copied")).alias("s"),
+        "doc_id", "tag", F.struct(start.alias("start"), F.when(says == SPAN, F.col("extra")).otherwise(stop).alias("stop"), copied.alias("copied")).alias("s"),
     )
     of_doc = found.groupBy("doc_id", "tag").agg(F.collect_list("s").alias("s"))  # at most one for each place of a document
 
     def boundaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
         for b in _batches(batches, 2):
             b = _documents(b)
-            tags, s = b.column(1).to_numpy(), b.column(3)
+            s = b.column(3)
             flat = s.flatten()
             starts, stops, copied = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
             own = np.repeat(np.arange(b.num_rows), np.diff(s.offsets.to_numpy()))
@@ -192,7 +208,7 @@ def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", t
             lo, hi = merged(wide[0][copied], wide[1][copied])
             # every window at a boundary: also one whose words all go may be where another document's window starts first
             texts = [t if k else b"" for t, k in zip(b.column(2).to_pylist(), np.bincount(own[~copied], minlength=b.num_rows) > 0, strict=True)]
-            hashes, begins, _ = _read(texts)
+            hashes, begins, _ = _read(texts, words)
             count = stops[~copied] - starts[~copied] - window + 1
             at = np.repeat(wide[0][~copied] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum()) if len(count) else np.zeros(0, np.int64)
             at = np.unique(at)
@@ -201,15 +217,16 @@ def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", t
             _, lead = np.unique(key, return_index=True)
             again = np.ones(len(at), bool)
             again[lead] = False
-            yield _out(["key", "extra", "doc_id", "place"], key[lead], start[lead] + window, b.column(0), doc[lead], _place(tags[doc[lead]], start[lead], 0 * lead, PLAIN))
+            extra = spans_of(_other(hashes), begins[doc[lead]] + start[lead], np.full(len(lead), window))
+            yield _out(key[lead], extra, b, doc[lead], _place(start[lead], 0 * lead, PLAIN))
             lo, hi = merged(np.concatenate([lo, at[again]]), np.concatenate([hi, at[again] + window]))
             doc, start = lo >> 32, lo & ((1 << 32) - 1)
-            yield _out(["key", "extra", "doc_id", "place"], mix(lo.astype(np.uint64)), hi - (doc << 32), b.column(0), doc, _place(tags[doc], start, 0 * lo, SPAN))
+            yield _out(mix(lo.astype(np.uint64)), hi - (doc << 32), b, doc, _place(start, 0 * lo, SPAN))
 
     checked = docs.join(of_doc, ["doc_id", "tag"]).select("doc_id", "tag", "text", "s", *docs.columns[3:]).mapInArrow(boundaries, schema).repartition(n, "key")
-    nth = F.rank().over(Window.partitionBy("key", says).orderBy("doc_id", "place"))
+    nth = F.rank().over(Window.partitionBy("key", "extra", says).orderBy("doc_id", "tag", "place"))
     gone = checked.withColumn("nth", nth).filter((says == SPAN) | (F.col("nth") > 1))
-    gone = gone.select("doc_id", F.shiftrightunsigned("place", 48).cast("int").alias("tag"), F.struct(F.shiftrightunsigned("place", 16).bitwiseAND((1 << 32) - 1).alias("start"), F.col("extra").alias("stop")).alias("s"))
+    gone = gone.select("doc_id", "tag", F.struct(start.alias("start"), F.when(says == SPAN, F.col("extra")).otherwise(start + window).alias("stop")).alias("s"))
     gone = gone.groupBy("doc_id", "tag").agg(F.collect_list("s").alias("s"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

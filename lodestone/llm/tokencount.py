@@ -23,7 +23,7 @@ from .common import chunks
 # Fixed value: the byte-level pre-tokenizer's split pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens longer than this are merged anew each time; shorter ones are remembered, up to MEMORY of them.
-LONGEST, MEMORY = 48, 600_000
+LONGEST, MEMORY = 48, 300_000
 
 
 @lru_cache(maxsize=4)
@@ -70,7 +70,10 @@ class Counter:
         self.findall = regex.compile(PATTERN).findall
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.odd = unassigned()
-        self.known = dict.fromkeys(whole, 1)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = dict.fromkeys(self.whole, 1)
 
     def _merge(self, pieces: list[str]) -> dict[str, int]:
         return dict(zip(pieces, map(len, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)), strict=True))
@@ -88,7 +91,7 @@ class Counter:
             else:
                 cut.append(self.findall(text))
         if len(self.known) > len(self.whole) + MEMORY:
-            self.known = dict.fromkeys(self.whole, 1)
+            self.forget()
         new = self._merge(list(set().union(*cut).difference(self.known)))
         self.known.update((k, n) for k, n in new.items() if len(k) <= LONGEST)
         long = {k: n for k, n in new.items() if len(k) > LONGEST}
@@ -113,9 +116,12 @@ def count_tokens(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
         if path not in _counters:
             _counters[path] = Counter(path, shared.value)
         count = _counters[path]
-        for b in batches:
-            n = [k for _, texts in chunks(b.column(2)) for k in count(texts)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+        try:
+            for b in batches:
+                n = [k for _, texts in chunks(b.column(2)) for k in count(texts)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+        finally:
+            count.forget()
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))

@@ -62,3 +62,13 @@ def test_one_very_long_text(spark):
     long = " ".join(f"w{rng.randrange(5000)}" for _ in range(150_000))
     df = spark.createDataFrame([(1, long), (2, "tail " + long)], "doc_id long, text string")
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept[:4]) for r in substrings.remove_repeats(df).collect()}[2] == (150_001, 150_000, "tail")
+
+
+def test_many_texts_of_one_id(spark):
+    """Each text of an id is a document of its own, however many there are; a later id's copies of them go."""
+    texts_ = [" ".join(f"t{k}x{i}" for i in range(25)) for k in range(400)]
+    rows = [(7, t) for t in texts_] + [(7, texts_[0])] + [(8 + k, "new " + t) for k, t in enumerate(texts_)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 801 and all(r.n_removed == 0 for r in got if r.doc_id == 7)
+    assert all((r.n_removed, r.kept) == (25, "new") for r in got if r.doc_id > 7)
+    assert len({r.kept for r in got if r.doc_id == 7}) == 400
