@@ -151,37 +151,82 @@ def hybrid_mu(candidates: DataFrame, *keys: str, weight: float = 0.5) -> DataFra
     return candidates.withColumn("hybrid_mu", weight * F.col("rank_pct") + (1 - weight) * F.coalesce(ratio(F.col("realised_return") - lo, hi - lo), F.lit(0.0)))
 
 
-def mean_variance_weights(mu: np.ndarray, cov: np.ndarray, *, aversion: float = 1.0, cap: float = 1.0, steps: int = 60) -> np.ndarray:
-    """Long-only weights that sum to 1, each at most ``cap``: projected gradient on mu'w - aversion w'Cw / 2."""
-    n = len(mu)
-    if n == 0:
-        return np.zeros(0)
+def _projected(v: np.ndarray, cap: float) -> np.ndarray:
+    """The nearest weights to ``v`` from 0 to ``cap`` that sum to 1."""
+    # the shift at which the clipped weights sum to 1: their sum is piecewise linear between the sorted corners
+    corners = np.sort(np.concatenate([v, v - cap]))
+    sums = np.clip(v[:, None] - corners, 0, cap).sum(axis=0)
+    i = min(max(int(np.searchsorted(-sums, -1.0)), 1), len(corners) - 1)
+    gap = sums[i - 1] - sums[i]
+    shift = corners[i] if gap <= 0 else corners[i - 1] + (sums[i - 1] - 1) / gap * (corners[i] - corners[i - 1])
+    x = np.clip(v - shift, 0, cap)
+    return x / x.sum()
+
+
+def closed_form_weights(mu: np.ndarray, cov: np.ndarray, *, aversion: float = 1.0) -> np.ndarray:
+    """Weights of either sign that sum to 1 and maximise mu'w - aversion w'Cw / 2 (by pseudo-inverse)."""
+    inverse = np.linalg.pinv(cov)
+    ones = np.ones(len(mu))
+    a = ones @ inverse @ ones
+    if abs(a) < 1e-12:
+        return ones / len(mu)
+    level = (ones @ inverse @ mu - aversion) / a
+    return inverse @ (mu - level) / aversion
+
+
+def mean_variance_weights(mu: np.ndarray, cov: np.ndarray, *, aversion: float = 1.0, cap: float = 1.0, steps: int = 60, long_only: bool = True, gross: float | None = None, least: float = 0.0, eligible: np.ndarray | None = None, shrink: float = 0.0) -> np.ndarray:
+    """Weights that sum to 1 and nearly maximise mu'w - aversion w'Cw / 2.
+
+    ``cov``: a covariance matrix, or variances alone. ``eligible``: the others get 0. ``shrink``: the share by which returns move to the mean of the eligible ones.
+    Long-only (projected gradient): from 0 to ``cap`` each; weights under ``least`` become 0 and the others grow in proportion, up to ``cap``.
+    Else the closed form, cut to ``cap`` in size; with sizes that sum to more than ``gross``, it is mixed with equal weights until they don't.
+    """
+    on = np.ones(len(mu), bool) if eligible is None else np.asarray(eligible, bool)
+    out = np.zeros(len(mu))
+    if not on.any():
+        return out
+    cov = np.diag(np.maximum(cov, 0)) if np.ndim(cov) == 1 else np.asarray(cov, float)
+    m, c = np.asarray(mu, float)[on], cov[np.ix_(on, on)]
+    m = (1 - shrink) * m + shrink * m.mean()
+    n = len(m)
     cap = max(cap, 1 / n)
+    if long_only:
+        w = np.full(n, 1 / n)
+        rate = 1 / (aversion * max(np.linalg.eigvalsh(c)[-1], 1e-9) + 1e-9)
+        for _ in range(steps):
+            w = _projected(w + rate * (m - aversion * c @ w), cap)
+        if least > 0 and (w >= least).any():
+            big = w >= least
+            w = np.zeros(n) if not big.any() else np.where(big, w, 0.0)
+            w[big] = _projected(w[big] / w[big].sum(), max(cap, 1 / big.sum()))
+    else:
+        w = np.clip(closed_form_weights(m, c, aversion=aversion), -cap, cap)
+        w = w / w.sum() if abs(w.sum()) > 1e-9 else np.full(n, 1 / n)
+        size = np.abs(w).sum()
+        if gross is not None and size > gross >= 1:
+            equal = np.full(n, 1 / n)
+            lo, hi = 0.0, 1.0
+            for _ in range(50):
+                mid = (lo + hi) / 2
+                lo, hi = (mid, hi) if np.abs(mid * w + (1 - mid) * equal).sum() <= gross else (lo, mid)
+            w = lo * w + (1 - lo) * equal
+    out[on] = w
+    return out
 
-    def project(v: np.ndarray) -> np.ndarray:
-        # the shift at which the clipped weights sum to 1: their sum is piecewise linear between the sorted corners
-        corners = np.sort(np.concatenate([v, v - cap]))
-        sums = np.clip(v[:, None] - corners, 0, cap).sum(axis=0)
-        i = min(max(int(np.searchsorted(-sums, -1.0)), 1), len(corners) - 1)
-        gap = sums[i - 1] - sums[i]
-        shift = corners[i] if gap <= 0 else corners[i - 1] + (sums[i - 1] - 1) / gap * (corners[i] - corners[i - 1])
-        x = np.clip(v - shift, 0, cap)
-        return x / x.sum()
 
-    w = np.full(n, 1 / n)
-    rate = 1 / (aversion * max(np.linalg.eigvalsh(cov)[-1], 1e-9) + 1e-9)
-    for _ in range(steps):
-        w = project(w + rate * (mu - aversion * cov @ w))
-    return w
+# Named settings of the solver.
+PROFILES = {"conservative": {"aversion": 5.0, "cap": 0.25}, "balanced": {"aversion": 1.0, "cap": 0.5}, "aggressive": {"aversion": 0.2, "cap": 1.0}}
 
 
-def trade_weights(quotes: DataFrame, *, shrink: float = 0.1, aversion: float = 1.0, cap: float = 1.0) -> DataFrame:
-    """(trade_id, contract, weight) from quotes (trade_id, contract, date, price) in each trade's window.
+def trade_weights(quotes: DataFrame, *, shrink: float = 0.1, profile: str | None = None, **solver: float) -> DataFrame:
+    """(trade_id, contract, weight) by `mean_variance_weights`, with the settings of a profile or one's own, from quotes (trade_id, contract, date, price) in each trade's window.
 
     Per trade: mean price of a day, gaps filled forward then backward, daily returns, covariance shrunk to its diagonal
     with eigenvalues floored at 0, expected return of the whole window. A trade's contracts and days are a bounded group.
     """
 
+    settings = PROFILES[profile] | solver if profile else solver
+
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         wide = pdf.groupby(["date", "contract"])["price"].mean().unstack().sort_index().ffill().bfill()
         r = wide.pct_change().iloc[1:].replace([np.inf, -np.inf], np.nan).fillna(0.0)
@@ -190,7 +235,7 @@ def trade_weights(quotes: DataFrame, *, shrink: float = 0.1, aversion: float = 1
         c = (1 - shrink) * c + shrink * np.diag(np.diag(c))
         values, vectors = np.linalg.eigh(c)
         c = (vectors * np.maximum(values, 0)) @ vectors.T
-        return pd.DataFrame({"trade_id": pdf["trade_id"].iat[0], "contract": wide.columns, "weight": mean_variance_weights(mu, c, aversion=aversion, cap=cap)})
+        return pd.DataFrame({"trade_id": pdf["trade_id"].iat[0], "contract": wide.columns, "weight": mean_variance_weights(mu, c, **settings)})
 
     kinds = dict(quotes.dtypes)
     return quotes.select("trade_id", "contract", "date", "price").groupBy("trade_id").applyInPandas(solve, f"trade_id {kinds['trade_id']}, contract {kinds['contract']}, weight double")

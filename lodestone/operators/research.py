@@ -108,15 +108,38 @@ def oracle_panel(grid: DataFrame, trades: DataFrame, freqs: Iterable[str] = (),
     return grid.join(flags, ["symbol", "date"], "left").fillna(0, list(wanted))
 
 
-def option_label_panel(trades: DataFrame, chain: DataFrame) -> DataFrame:
-    """Each trade (trade_id, symbol, entry_date, exit_date) with the contracts quoted on both days: bought at the ask, sold at the bid, worthless at no bid; return and its pct rank."""
-    a = chain.select(F.col("underlying").alias("symbol"), F.col("snapshot_date").alias("entry_date"), "part", F.col("ask").alias("entry_px"))
-    b = chain.select(F.col("underlying").alias("symbol"), F.col("snapshot_date").alias("exit_date"), "part", F.coalesce("bid", F.lit(0.0)).alias("exit_px"))
+def option_label_panel(trades: DataFrame, chain: DataFrame, *, entry: Iterable[str] = ("ask", "mid", "last", "bid"), exit_: Iterable[str] = ("bid", "mid", "last"), equity: bool = False) -> DataFrame:
+    """Each trade (trade_id, symbol, entry_date, exit_date; for the worthless rule underlying_exit_px, for equity legs ret) with the contracts quoted at its entry.
+
+    Bought at the first of the ``entry`` quotes above 0, sold at the first of the ``exit_`` quotes that is there (0 without any). A contract is worthless, at a return of -1, if it
+    sells for nothing, or has expired by the exit out of the money. Adds realised_return, its pct rank (average, best 1) and order (ties by contract) in
+    the trade. With ``equity`` the underlying itself is one more leg, part -1.
+    """
+    price = lambda names, least: F.coalesce(*[F.when(F.col(c) > least, F.col(c)) for c in names if c in chain.columns], F.lit(None).cast("double"))
+    keep = [c for c in ("expiration", "strike", "right") if c in chain.columns]
+    a = chain.select(F.col("underlying").alias("symbol"), F.col("snapshot_date").alias("entry_date"), "part", *keep, price(entry, 0).alias("entry_px")).filter("entry_px is not null")
+    b = chain.select(F.col("underlying").alias("symbol"), F.col("snapshot_date").alias("exit_date"), "part", F.greatest(price(exit_, -1), F.lit(0.0)).alias("exit_px"))
     rows = trades.join(a, ["symbol", "entry_date"]).join(b, ["symbol", "exit_date", "part"], "left").withColumn("exit_px", F.coalesce("exit_px", F.lit(0.0)))
-    rows = rows.withColumn("realised_return", ratio(F.col("exit_px") - F.col("entry_px"), F.col("entry_px")))
+    dead = F.col("exit_px") <= 0
+    if {"expiration", "strike", "right"} <= set(keep) and "underlying_exit_px" in trades.columns:
+        out = F.when(F.upper("right") == "CALL", F.col("underlying_exit_px") <= F.col("strike")).otherwise(F.col("underlying_exit_px") >= F.col("strike"))
+        dead = dead | ((F.col("expiration") <= F.col("exit_date")) & F.coalesce(out, F.lit(False)))
+    rows = rows.withColumn("worthless", dead).withColumn("realised_return", F.when(F.col("worthless"), -1.0).otherwise(ratio(F.col("exit_px") - F.col("entry_px"), F.col("entry_px")))).withColumn("part", F.col("part").cast("bigint"))
+    if equity:
+        legs = trades.join(rows.select("trade_id").distinct(), "trade_id", "left_semi").withColumns({"part": F.lit(-1).cast("bigint"), "worthless": F.lit(False), "realised_return": F.col("ret").cast("double")})
+        rows = rows.unionByName(legs, allowMissingColumns=True)
     from lodestone.operators.options import return_rank
 
-    return return_rank(rows, "trade_id").withColumn("worthless", F.col("exit_px") <= 0)
+    order = F.row_number().over(Window.partitionBy("trade_id").orderBy(F.desc_nulls_last("realised_return"), "part"))
+    return return_rank(rows, "trade_id").withColumns({"is_equity": F.col("part") == -1, "rank_order": order})
+
+
+def label_statistics(panel: DataFrame) -> DataFrame:
+    """One row: trades, legs, legs a trade, mean and median return, share of gains and of worthless legs."""
+    return panel.agg(
+        F.countDistinct("trade_id").alias("trades"), F.count("*").alias("legs"), (F.count("*") / F.nullif(F.countDistinct("trade_id"), F.lit(0))).alias("legs_a_trade"), F.avg("realised_return").alias("mean_return"),
+        F.percentile_approx("realised_return", 0.5, 10_000).alias("median_return"), F.avg((F.col("realised_return") > 0).cast("double")).alias("win_share"), F.avg(F.col("worthless").cast("double")).alias("worthless_share"),
+    )
 
 
 def with_underlying(candidates: DataFrame, trades: DataFrame) -> DataFrame:
@@ -125,6 +148,12 @@ def with_underlying(candidates: DataFrame, trades: DataFrame) -> DataFrame:
     return candidates.select("trade_id", "symbol", F.col("part").cast("bigint").alias("part"), "realised_return").unionByName(legs)
 
 
+def tag_statistics(rows: DataFrame, *tasks: str) -> DataFrame:
+    """Of `tagged` label sets before they are made distinct: rows of each task, distinct ones, and how many repeat."""
+    each = rows.groupBy("task").agg(F.count("*").alias("rows"), F.countDistinct("trade_id", "part").alias("distinct_rows"))
+    return each.filter(F.col("task").isin(*tasks) if tasks else F.lit(True)).withColumn("repeated", F.col("rows") - F.col("distinct_rows"))
+
+
 def tagged(*tasks: tuple[str, DataFrame, Column]) -> DataFrame:
     """Several label sets (name, rows, label) as one: task, and the columns trade_id, part, label; one row of each."""
     out = None

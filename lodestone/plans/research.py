@@ -84,11 +84,12 @@ def p22(spark, sf):
 @query("l17_oracle_panel")
 def l17(spark, sf):
     p = prices(spark, sf)
-    return r.oracle_panel(p.select("symbol", "date"), labels.oracle_trades(p, freq="QE", ks=(1, 2)))
+    trades = labels.oracle_trades(p, freq="QE", ks=(1, 2)).unionByName(labels.oracle_trades(p, freq="YE", ks=(1,)))
+    return r.oracle_panel(p.select("symbol", "date"), trades, ("QE", "YE"), (1, 2))
 
 
 TRADES = f"""{CHAIN}, td AS (SELECT underlying || '_' || snapshot_date AS trade_id, underlying AS symbol, snapshot_date AS entry_date, lead(snapshot_date) OVER (PARTITION BY underlying ORDER BY snapshot_date) AS exit_date FROM (SELECT DISTINCT underlying, snapshot_date FROM chain)),
-lp AS (SELECT t.trade_id, a.part, a.ask AS entry_px, coalesce(b.bid, 0) AS exit_px, (coalesce(b.bid, 0) - a.ask) / nullif(a.ask, 0) AS realised_return FROM td t JOIN chain a ON a.underlying = t.symbol AND a.snapshot_date = t.entry_date LEFT JOIN chain b ON b.underlying = t.symbol AND b.snapshot_date = t.exit_date AND b.part = a.part WHERE t.exit_date IS NOT NULL)"""
+lp AS (SELECT t.trade_id, a.part, a.ask AS entry_px, coalesce(b.bid, 0) AS exit_px, coalesce(b.bid, 0) <= 0 AS worthless, CASE WHEN coalesce(b.bid, 0) <= 0 THEN -1.0 ELSE (b.bid - a.ask) / nullif(a.ask, 0) END AS realised_return FROM td t JOIN chain a ON a.underlying = t.symbol AND a.snapshot_date = t.entry_date LEFT JOIN chain b ON b.underlying = t.symbol AND b.snapshot_date = t.exit_date AND b.part = a.part WHERE t.exit_date IS NOT NULL AND a.ask > 0)"""
 
 
 def daily_trades(spark, sf):
@@ -99,9 +100,29 @@ def daily_trades(spark, sf):
     return rows.withColumn("trade_id", F.concat_ws("_", "symbol", "entry_date"))
 
 
-@query("o11_option_label_panel", f"WITH {TRADES} SELECT trade_id, part, entry_px, exit_px, realised_return, exit_px <= 0 AS worthless FROM lp", floats=["entry_px", "exit_px", "realised_return"], dates=[])
+_order = "row_number() OVER (PARTITION BY trade_id ORDER BY realised_return DESC NULLS LAST, part)::INT AS rank_order"
+_pct = "(rank() OVER (PARTITION BY trade_id ORDER BY realised_return) + (count(*) OVER (PARTITION BY trade_id, realised_return) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY trade_id) AS rank_pct"
+
+
+@query("o11_option_label_panel", f"WITH {TRADES} SELECT trade_id, part, entry_px, exit_px, realised_return, worthless, {_pct}, {_order} FROM lp", floats=["entry_px", "exit_px", "realised_return", "rank_pct"], dates=[])
 def o11(spark, sf):
-    return r.option_label_panel(daily_trades(spark, sf), chain(spark, sf)).select("trade_id", "part", "entry_px", "exit_px", "realised_return", "worthless")
+    return r.option_label_panel(daily_trades(spark, sf), chain(spark, sf)).select("trade_id", "part", "entry_px", "exit_px", "realised_return", "worthless", "rank_pct", "rank_order")
+
+
+@query("o11_o12_equity_legs", f"""WITH {TRADES}, {PRICES}, t2 AS (SELECT td.*, x.close AS px, x.close / p.close - 1 AS ret FROM td JOIN prices p ON p.symbol = td.symbol AND p.date = td.entry_date JOIN prices x ON x.symbol = td.symbol AND x.date = td.exit_date),
+o AS (SELECT t.trade_id, a.part, coalesce(b.bid, 0) <= 0 OR (a.expiration <= t.exit_date AND CASE WHEN a."right" = 'CALL' THEN t.px <= a.strike ELSE t.px >= a.strike END) AS worthless, a.ask, b.bid FROM t2 t JOIN chain a ON a.underlying = t.symbol AND a.snapshot_date = t.entry_date AND a.ask > 0 LEFT JOIN chain b ON b.underlying = t.symbol AND b.snapshot_date = t.exit_date AND b.part = a.part),
+l AS (SELECT trade_id, part, worthless, CASE WHEN worthless THEN -1.0 ELSE (bid - ask) / ask END AS realised_return FROM o UNION ALL SELECT trade_id, -1, false, ret FROM t2)
+SELECT trade_id, part, worthless, realised_return, part = -1 AS is_equity, {_pct}, {_order} FROM l""", floats=["realised_return", "rank_pct"], dates=[])
+def o12_equity(spark, sf):
+    p = prices(spark, sf).select("symbol", "date", "close")
+    t = daily_trades(spark, sf).join(p.withColumnsRenamed({"date": "entry_date", "close": "a"}), ["symbol", "entry_date"]).join(p.withColumnsRenamed({"date": "exit_date", "close": "underlying_exit_px"}), ["symbol", "exit_date"])
+    t = t.withColumn("ret", F.col("underlying_exit_px") / F.col("a") - 1).drop("a")
+    return r.option_label_panel(t, chain(spark, sf), equity=True).select("trade_id", "part", "worthless", "realised_return", "is_equity", "rank_pct", "rank_order")
+
+
+@query("o11_label_statistics", f"WITH {TRADES} SELECT count(DISTINCT trade_id) AS trades, count(*) AS legs, count(*) / count(DISTINCT trade_id)::DOUBLE AS legs_a_trade, avg(realised_return) AS mean_return, avg((realised_return > 0)::DOUBLE) AS win_share, avg(worthless::DOUBLE) AS worthless_share FROM lp", floats=["legs_a_trade", "mean_return", "win_share", "worthless_share"], dates=[])
+def o11_statistics(spark, sf):
+    return r.label_statistics(r.option_label_panel(daily_trades(spark, sf), chain(spark, sf))).drop("median_return")
 
 
 @query("o12_o16_tagged_labels", f"WITH {TRADES} SELECT task, count(*) AS n, sum(label) AS label FROM (SELECT 'return' AS task, realised_return AS label FROM lp UNION ALL SELECT 'worthless', (exit_px <= 0)::INT FROM lp) GROUP BY ALL", floats=["label"], dates=[], digits=3)
