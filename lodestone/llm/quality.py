@@ -102,21 +102,30 @@ class Network:
         embed[0] = 0
         return {k: v.astype(np.float32) for k, v in (g | {"embed": embed}).items()}
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, *, epochs: int = 7, batch: int = 48, rate: float = 4e-3, seed: int = 0) -> Network:
-        """Adam on the mean cross-entropy; the order of batches is seeded."""
+    def fit(self, texts: list[bytes], labels: np.ndarray, *, steps: int = 350, batch: int = 48, rate: float = 4e-3, seed: int = 0) -> Network:
+        """``steps`` steps of Adam on the mean cross-entropy, however many texts there are; the order of batches is seeded."""
         rng = np.random.default_rng(seed)
-        m, v, t = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2)), None, 0
-        m, v = m
-        steps = epochs * -(-len(texts) // batch)
-        for _ in range(epochs):
-            order = rng.permutation(len(texts))
-            for lo in range(0, len(order), batch):
-                some = order[lo : lo + batch]
-                t += 1
-                for k, g in self.gradients([texts[i] for i in some], labels[some]).items():
-                    m[k] += 0.1 * (g - m[k])
-                    v[k] += 0.001 * (g * g - v[k])
-                    self.p[k] -= rate * (1 - t / (steps + 1)) * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+        m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
+        order = np.zeros(0, np.int64)
+        for t in range(1, steps + 1):
+            if len(order) < min(batch, len(texts)):
+                order = np.concatenate([order, rng.permutation(len(texts))])
+            some, order = order[:batch], order[batch:]
+            for k, g in self.gradients([texts[i] for i in some], labels[some]).items():
+                m[k] += 0.1 * (g - m[k])
+                v[k] += 0.001 * (g * g - v[k])
+                self.p[k] -= rate * (1 - t / (steps + 1)) * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+        return self
+
+    def place(self, texts: list[bytes], labels: np.ndarray, threshold: float) -> Network:
+        """Shift the bias so that ``threshold`` tells ``texts`` apart best: most right of either label, in the middle of what does equally well."""
+        p = self.score(texts)
+        z = np.log(p) - np.log1p(-p)
+        cuts = np.concatenate([[z.min() - 1], np.sort(z), [z.max() + 1]])
+        cuts = (cuts[1:] + cuts[:-1]) / 2
+        right = [(z[labels == 1] >= c).mean() + (z[labels == 0] < c).mean() for c in cuts]
+        best = cuts[np.isclose(right, max(right))]
+        self.p["out_b"] += np.float32(np.log(threshold / (1 - threshold)) - (best[0] + best[-1]) / 2)
         return self
 
 
@@ -125,28 +134,29 @@ def held_out(id_col: str) -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def train(documents: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = 2400, longest: int = 20_000, seed: int = 0) -> Network:
+def train(documents: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = 2400, longest: int = 20_000, threshold: float = 0.7, seed: int = 0) -> Network:
     """Fit on at most ``rows`` labelled documents, half of either label, of at most ``longest`` bytes.
 
-    The score is then moved to the odds of the labels among all rows that may be learned from. Ids held out, null, of no label or of two labels are not learned from. Which rows are taken is settled by a digest of the
-    id. With rows of one label only, or none, the network stays as seeded but for its bias.
+    One in five of these is kept back from the fit; on them the score is placed so that ``threshold`` tells the labels apart
+    best. Ids held out, null, of no label or of two labels are not learned from. Which rows are taken is settled by a digest of the
+    id (of equal ids, of the text). With rows of one label only, or none, the network stays as seeded but for its bias.
     """
     agreed = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.min(label_col).alias("label"), F.max(label_col).alias("most")).filter("label = most")
     short = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).filter(F.octet_length("text") <= longest)
     digest = F.md5(F.col("id").cast("string").cast("binary"))
-    sample = []
+    learned, kept_back = [], []
     for label in (0, 1):
         # a label's first ids by digest; some of their documents may be too long, so more are drawn than used
         ids = agreed.filter(F.col("label") == label).select(F.col(id_col).alias("id")).orderBy(digest).limit(rows)
         found = short.join(F.broadcast(ids), "id").orderBy(digest, F.md5("text")).limit(rows // 2)
-        sample += [(bytes(r.text), label) for r in found.select("text").collect()]
+        for i, r in enumerate(found.select("text").collect()):
+            (kept_back if i % 5 == 4 else learned).append((bytes(r.text), label))
     net = Network(seed)
-    y = np.array([k for _, k in sample], np.float64)
+    y = np.array([k for _, k in learned], np.float64)
     if 0 < y.sum() < len(y):
-        net.fit([t for t, _ in sample], y, seed=seed)
-        # the sample holds both labels alike: back to the odds of all labels that may be learned from
-        times = {r.label: r["count"] for r in agreed.groupBy("label").count().collect()}
-        net.p["out_b"] += np.float32(np.log(times[1] / times[0]))
+        net.fit([t for t, _ in learned], y, seed=seed)
+        kept_back = kept_back if len({k for _, k in kept_back}) == 2 else learned
+        net.place([t for t, _ in kept_back], np.array([k for _, k in kept_back]), threshold)
     elif len(y):
         net.p["out_b"][:] = 4 if y[0] else -4
     return net
