@@ -32,9 +32,10 @@ class Network:
 
     @staticmethod
     def lay_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The texts' bytes, each padded to whole blocks (one at least), and each one's number of blocks."""
-        blocks = np.array([max(1, -(-len(t) // BLOCK)) for t in texts], np.int64)
-        joined = b"".join(t.ljust(n * BLOCK, b"\0") for t, n in zip(texts, blocks.tolist(), strict=True))
+        """The texts' bytes, each after as much padding as windows reach over, so that none sees two texts, and padded to whole blocks; and each one's number of blocks."""
+        lead = bytes(WIDTH - STRIDE)
+        blocks = np.array([-(-(len(t) + len(lead)) // BLOCK) for t in texts], np.int64)
+        joined = b"".join((lead + t).ljust(n * BLOCK, b"\0") for t, n in zip(texts, blocks.tolist(), strict=True))
         return np.frombuffer(joined + bytes(WIDTH), np.uint8), blocks
 
     def windows(self, data: np.ndarray) -> np.ndarray:
