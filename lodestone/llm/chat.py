@@ -42,7 +42,7 @@ def format_preferences(pairs: DataFrame, *, role: str = "assistant") -> DataFram
 
     prompt_turns: turns of the longest common prefix; prompt: its rendering; chosen_text, rejected_text: renderings of what
     follows; chosen_mask, rejected_mask: the spans of those to learn from. A null conversation has no turns. Equal
-    conversations have all turns in the prompt and empty completions. Native expressions only, no shuffle.
+    conversations have all turns in the prompt and empty completions, and so has a pair made of a conversation without any reply. Native expressions only, no shuffle.
     """
     none = F.expr("cast(array() as array<struct<role:string,text:string>>)")
     rows = pairs.withColumns({c: F.coalesce(F.col(c), none) for c in ("chosen", "rejected")})

@@ -27,7 +27,7 @@ def interleave(df: DataFrame, shards: int, *, strata: str = "source", id_col: st
     """Per row: doc_id, size (UTF-8 bytes + 1), text_crc32, law ``rows``, shard, slot (from 0, gapless in a shard), grown_shard (null).
 
     Shard row counts are at most one apart. Every cut falls at one fractional rank for all strata, so
-    a shard's rows of a stratum differ from its share by less than the number of strata. A null text counts as empty, a null stratum as a stratum of its own; rows with equal id and
+    a shard's rows of a stratum differ from its share by less than the number of strata. Of equal texts each row is placed for itself. A null text counts as empty, a null stratum as a stratum of its own; rows with equal id and
     text are interchangeable; an empty table gives no rows; other columns are not looked at.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -37,7 +37,8 @@ def interleave(df: DataFrame, shards: int, *, strata: str = "source", id_col: st
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.coalesce(F.concat(F.lit("="), F.col(strata).cast("string")), F.lit("null")).alias("stratum"),
-        F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary")).alias("digest"),
+        # rows of no id are told apart by their texts, so they don't share one slice
+        F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null"), F.md5(text.cast("binary"))))).cast("binary")).alias("digest"),
     )
     total = df.count()
     n = _slices(total)

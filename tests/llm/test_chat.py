@@ -29,3 +29,10 @@ def test_conversations_and_replacement(spark):
     assert [tuple(t) for t in got[1].rejected][-1] == ("assistant", "b") and [tuple(t) for t in got[3].rejected] == [("assistant", "")]
     assert got[2].chosen == got[2].rejected and set(got) == {1, 2, 3}
     assert chat.format_preferences(chat.with_last_reply_replaced(talks.limit(0))).count() == 0
+
+
+def test_very_long_turns(spark):
+    a, b, c = ("user", "q" * 700_000), ("assistant", "é" * 700_000), ("assistant", "no")
+    r = chat.format_preferences(spark.createDataFrame([(1, [a, b], [a, c])], "id int, chosen array<struct<role:string,text:string>>, rejected array<struct<role:string,text:string>>")).first()
+    assert (r.prompt_turns, r.prompt, r.chosen_text) == (1, render([a]), render([b]))
+    assert [r.chosen_text[m.start : m.stop] for m in r.chosen_mask] == ["é" * 700_000 + "<|end|>\n"]

@@ -60,6 +60,16 @@ def test_empty_tables(spark):
     assert d.find_contamination(docs.limit(0), bench).count() == 0
 
 
+def test_very_long_text(spark):
+    rng = random.Random(4)
+    long = [f"w{rng.randrange(3000)}" for _ in range(120_000)]
+    item = " ".join(f"w{rng.randrange(3000)}" for _ in range(30))
+    docs = [(1, " ".join(long[:60_000]) + " " + item + " " + " ".join(long[60_000:])), (2, item), (3, " ".join(long))]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.contaminated) for r in d.find_contamination(df, bench).collect()}
+    assert got == {1: (120_030, 30, False), 2: (30, 30, True), 3: (120_000, 0, False)}
+
+
 def test_index_finds_all(seed=3):
     rng = np.random.default_rng(seed)
     for s in (rng.integers(1, 4, 300), np.full(200, 2), np.tile([2, 3, 1], 80)):

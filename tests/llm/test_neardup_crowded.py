@@ -41,3 +41,32 @@ def test_rows_of_one_id(spark):
     docs += [(100, text("r")), (101, text("r")), (101, text("s")), (102, []), (102, text("r")), (103, text("s") + ["end"]), (104, []), (None, text("s"))]
     docs = [(i, " ".join(t)) for i, t in docs]
     assert found(spark, docs) == brute(docs)
+
+
+def test_ten_thousand_documents_linked_by_crowded_values_alone(spark):
+    """Families of documents, and chains of documents between them, of which a link shares nothing but what many documents share."""
+    base = [[f"f{k}x{i}" for i in range(60)] for k in range(61)]
+    texts = [base[k] + [f"n{k}x{i}", f"m{k}x{i}"] for k in range(61) for i in range(155)]
+    for k in range(60):
+        texts += [base[k][t:] + base[k + 1][:t] for t in range(6, 60, 6) if k % 2 == 0 or t != 30]  # every other chain is broken
+    assert len(texts) > 9_900
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    want = brute(docs)
+    assert len({root for *_, root in want}) == 31
+    assert found(spark, docs) == want
+
+
+def test_blocks_and_slices_of_one_hot_value(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 4096)
+    monkeypatch.setattr(neardup, "COLUMNS", 300)
+    base = [[f"g{k}x{i}" for i in range(60)] for k in range(4)]
+    texts = [base[k] + [f"n{k}x{i}", f"m{k}x{i}"] for k in range(4) for i in range(70)] + [base[k][t:] + base[k + 1][:t] for k in range(3) for t in range(6, 60, 6)]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert found(spark, docs) == brute(docs)
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"w{i * 7 % 100_003}" for i in range(200_000))
+    docs = [(1, long), (2, long + " and more"), (3, "x " + long), (4, long[: len(long) // 2]), (5, "a b c d e f")]
+    assert found(spark, docs) == brute(docs)

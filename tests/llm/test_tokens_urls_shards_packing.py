@@ -165,6 +165,52 @@ def test_sharding(spark):
     assert rows.text_crc32[rows.doc_id == 5].item() == zlib.crc32(b"t5")
 
 
+def test_sharding_equals_plain_ranking(spark):
+    """Every row ranked in plain Python: nulls, ties, repeated rows, a hot stratum."""
+    import hashlib
+
+    rng = random.Random(8)
+    rows = [(None if rng.random() < 0.1 else rng.randrange(400), rng.choice(["", None, "a", "b" * 9, "é", str(rng.random())]), rng.choice(["hot"] * 4 + ["s1", "s2", None])) for _ in range(900)]
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    strata = {}
+    for d, t, s in rows:
+        b = (t or "").encode()
+        digest = md5(f"7:{d if d is not None else 'null' + md5(t or '')}")
+        strata.setdefault("null" if s is None else f"={s}", []).append((digest, -1 if d is None else d, zlib.crc32(b), len(b) + 1, d))
+    order = []
+    for name, some in strata.items():
+        for k, (_, _, crc, size, d) in enumerate(sorted(some), 1):
+            order.append(((2 * k - 1) / (2 * len(some)), name, k, d, size, crc))
+    order.sort(key=lambda x: x[:3])
+    want, seen = [], {}
+    for p, (_, _, _, d, size, crc) in enumerate(order):
+        shard = p * 5 // len(order)
+        want.append((str(d), size, crc, shard, seen.get(shard, 0)))
+        seen[shard] = seen.get(shard, 0) + 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6).selectExpr("*", "'x' as shard", "1 as slice", "2 as stratum")
+    got = [(str(r.doc_id), r["size"], r.text_crc32, r.shard, r.slot) for r in sharding.interleave(df, 5).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_very_long_texts(spark):
+    """One text of some million bytes beside short ones: counts, pieces, shard sizes and url rules."""
+    long = "lorem ipsum, dolor. " * 60_000
+    df = spark.createDataFrame([(1, long, "a"), (2, "x", "a"), (3, "é" * 500_000, "b")], "doc_id long, text string, source string")
+    t = Tokenizer.from_file(BYTE)
+    got = {r.doc_id: r.n_tokens for r in tokencount.count_tokens(df, BYTE).collect()}
+    assert got == {d: len(t.encode(x, add_special_tokens=False).ids) for d, x in ((1, long), (2, "x"), (3, "é" * 500_000))}
+    w = Tokenizer.from_file(WORD)
+    rows = packing.pack(packing.pieces(df, WORD)).collect()
+    for d, x in ((1, long), (2, "x")):
+        ids = w.encode(x, add_special_tokens=False).ids + [0]
+        mine = sorted((r.piece, r.ids) for r in rows if r.doc_id == d)
+        assert np.frombuffer(b"".join(i for _, i in mine), "<u4").tolist() == ids
+    assert {r.doc_id: r["size"] for r in sharding.interleave(df, 2).collect()} == {1: len(long) + 1, 2: 2, 3: 1_000_001}
+    url = "http://a.example.org/es/" + "x" * 300_000 + "?" + "y" * 300_000
+    judged = urlfilter.judge_urls(spark.createDataFrame([(1, url)], "page_id long, url string"), [("example.org/es/", "block")]).first()
+    assert judged.rule == "example.org/es/" and len(judged.path) == 300_004
+
+
 def test_sharding_odd_rows(docs):
     rows = sharding.interleave(docs, 4).collect()
     assert len(rows) == len(TEXTS) + 2 and {r["size"] for r in rows if r.doc_id == 1} == {1}
