@@ -8,7 +8,8 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["p01_returns", "p04_bands", "p08_channels", "l02_cross_sectional_rank", "l12_global_rank", "j01_asof_nearest", "j05_align_events", "s13_upsert", "s26_contiguous_ranges", "f20_insider_activity", "e11_event_study", "v01_daily_rank_ic", "o09_return_rank"]
+NAMES = ["p01_returns", "p04_bands", "p08_channels", "l02_cross_sectional_rank", "l12_global_rank", "j01_asof_nearest", "j05_align_events", "s13_upsert", "s26_contiguous_ranges", "f20_insider_activity", "e11_event_study", "v01_daily_rank_ic", "o09_return_rank", "p12_p13_all_price_features", "p16_p18_p20_p21_window_indicators", "p22_special_indicators", "p23_output_contract", "l04_oracle_gains", "f06_f08_f12_income_section", "f11_repriced_ratios", "f15_growth_section", "f27_f28_gated_panels",
+    "e03_e07_analyst_ratings", "e02_e07_e08_insider_congress", "e04_e07_institutional_dividend_split_earnings", "j12_contracts_with_fallback", "j07_j08_j14_j15_profile_joins", "v04_family_table", "v06_pooled_spearman", "v07_variant_winners", "l19_matrix_status", "o11_o12_equity_legs"]
 
 
 @pytest.fixture(scope="module")
