@@ -125,8 +125,8 @@ def completed(trades: DataFrame) -> DataFrame:
 
 
 def dedupe_trades(trades: DataFrame, mode: str = "exact") -> DataFrame:
-    """``exact``: one of each (symbol, side, entry, exit), of the least k; ``entry_date``: the best return of each (symbol, side, entry), on ties the earliest exit."""
-    keys, order = (["symbol", "side", "entry_date", "exit_date"], ["k", "period"]) if mode == "exact" else (["symbol", "side", "entry_date"], [F.desc("ret"), "exit_date", "k", "period"])
+    """``exact``: one of each (symbol, side, entry, exit), of the least k, period and frequency; ``entry_date``: the best return of each (symbol, side, entry), on ties the earliest exit."""
+    keys, order = (["symbol", "side", "entry_date", "exit_date"], ["k", "period", "freq"]) if mode == "exact" else (["symbol", "side", "entry_date"], [F.desc("ret"), "exit_date", "k", "period", "freq"])
     return trades.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")
 
 

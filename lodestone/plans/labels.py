@@ -85,3 +85,67 @@ def l20(spark, sf):
 def periods(spark, sf):
     rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.to_date("l_shipdate").alias("date"))
     return rows.select("date", *[l.period_end("date", f).alias(a) for f, a in (("W", "w"), ("ME", "m"), ("QE", "q"), ("YE", "y"))]).groupBy("date", "w", "m", "q", "y").agg(F.count("*").alias("n"))
+
+
+def _trades(name: str, period: str, freq: str) -> str:
+    """The best single trade of each period and side, by listing all pairs of days."""
+    return f"""{name}p AS (SELECT *, {period} AS period, row_number() OVER (PARTITION BY symbol, {period} ORDER BY date) AS i FROM prices),
+{name}x AS (SELECT a.symbol, s.side, '{freq}' AS freq, a.period, 1::INTEGER AS k, a.date AS entry_date, z.date AS exit_date, CASE s.side WHEN 'long' THEN a.low ELSE a.high END AS entry_px, CASE s.side WHEN 'long' THEN z.high ELSE z.low END AS exit_px, CASE s.side WHEN 'long' THEN z.high - a.low ELSE a.high - z.low END AS profit
+  FROM {name}p a JOIN {name}p z ON a.symbol = z.symbol AND a.period = z.period AND a.i < z.i CROSS JOIN (VALUES ('long'), ('short')) s(side)),
+{name} AS (SELECT *, profit / abs(entry_px) AS ret FROM {name}x WHERE profit >= 0.05 * abs(entry_px) QUALIFY row_number() OVER (PARTITION BY symbol, period, side ORDER BY profit DESC, exit_date, entry_date) = 1)"""
+
+
+_YEAR, _QUARTER = "make_date(year(date), 12, 31)", "cast(date_trunc('quarter', date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)"
+ONE = f"{PRICES}, {_trades('ye', _YEAR, 'YE')}, {_trades('qe', _QUARTER, 'QE')}, t AS (SELECT * FROM ye UNION ALL SELECT * FROM qe)"
+_ID = "concat_ws('_', symbol, side, freq, k, entry_date, exit_date) AS trade_id"
+
+
+def one_trade(spark, sf):
+    p = prices(spark, sf)
+    return l.oracle_trades(p, freq="YE", ks=(1,)).unionByName(l.oracle_trades(p, freq="QE", ks=(1,)))
+
+
+@query("l05_completed_k1", f"WITH {ONE} SELECT symbol, side, freq, period, k, entry_date, exit_date, entry_px, exit_px, profit, ret, (exit_date - entry_date)::INTEGER AS hold_days, {_ID} FROM t", floats=["entry_px", "exit_px", "profit", "ret"], dates=["period", "entry_date", "exit_date"])
+def l05_one(spark, sf):
+    return l.completed(one_trade(spark, sf))
+
+
+_DEDUPED = "d AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY symbol, side, entry_date, exit_date ORDER BY k, period, freq) = 1)"
+
+
+@query("l06_deduped_k1", f"WITH {ONE}, {_DEDUPED}, e AS (SELECT 'exact' AS mode, symbol, side, entry_date, exit_date, ret FROM d UNION ALL SELECT 'entry_date', symbol, side, entry_date, exit_date, ret FROM (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY symbol, side, entry_date ORDER BY ret DESC, exit_date, k, period, freq) = 1)) SELECT * FROM e", floats=["ret"], dates=["entry_date", "exit_date"])
+def l06_one(spark, sf):
+    t = one_trade(spark, sf)
+    both = [l.dedupe_trades(t, m).select(F.lit(m).alias("mode"), "symbol", "side", "entry_date", "exit_date", "ret") for m in ("exact", "entry_date")]
+    return both[0].unionByName(both[1])
+
+
+_stats = ["win_pct", "loss_pct", "mean_ret", "median_ret", "std_ret", "sharpe", "mean_hold"]
+
+
+@query("l08_statistics_k1", f"""WITH {ONE} SELECT symbol, side, freq, count(*) AS trades, round(100 * avg((ret > 0)::DOUBLE), 2) AS win_pct, round(100 * avg((ret < 0)::DOUBLE), 2) AS loss_pct, avg(ret) AS mean_ret, median(ret) AS median_ret, stddev_samp(ret) AS std_ret, avg(ret) / nullif(stddev_samp(ret), 0) AS sharpe, avg(exit_date - entry_date) AS mean_hold
+FROM t GROUP BY ALL""", floats=_stats, dates=[])
+def l08_one(spark, sf):
+    """By symbol, side and frequency."""
+    return l.trade_statistics(one_trade(spark, sf), "symbol", "side", "freq")
+
+
+_LEGS = f"""{_DEDUPED}, e AS (SELECT *, {_ID} FROM d), legs AS (SELECT trade_id, symbol, side, freq, k, ret, entry_date AS date, entry_px AS px, CASE side WHEN 'long' THEN 'buy' ELSE 'short' END AS action, CASE side WHEN 'long' THEN 1 ELSE -1 END AS position FROM e
+  UNION ALL SELECT trade_id, symbol, side, freq, k, ret, exit_date, exit_px, CASE side WHEN 'long' THEN 'sell' ELSE 'cover' END, 0 FROM e)"""
+
+
+@query("l07_l09_l10_weights_k1", f"""WITH {ONE}, {_LEGS}, n AS (SELECT side, k, count(*) AS n FROM legs GROUP BY ALL), c AS (SELECT *, ret - 2 * 3 / 1e4 AS net FROM legs)
+SELECT trade_id, symbol, c.side, freq, c.k, net AS ret, date, px, action, position, (action IN ('buy', 'cover'))::INTEGER AS target, (1 + 1.0 * least(greatest(net, 0.0), 0.5) / 0.5) * least(greatest((SELECT max(n) FROM n) / n.n, 1.0), 3.0) AS weight FROM c JOIN n ON c.side = n.side AND c.k = n.k""", floats=["ret", "px", "weight"])
+def l10_one(spark, sf):
+    return l.weighted_labels(l.optimal_events(l.dedupe_trades(one_trade(spark, sf))))
+
+
+@query("l11_l13_actions_k1", f"""WITH {ONE}, {_LEGS}, f AS (SELECT symbol, date, action, position FROM legs QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY CASE action WHEN 'buy' THEN 1 WHEN 'short' THEN 2 WHEN 'sell' THEN 3 ELSE 4 END) = 1)
+SELECT p.symbol, p.date, coalesce(f.action, 'hold') AS action, coalesce(f.position, 0) AS position FROM prices p LEFT JOIN f USING (symbol, date)""")
+def l11_one(spark, sf):
+    return l.action_labels(prices(spark, sf).select("symbol", "date"), l.dedupe_trades(one_trade(spark, sf)))
+
+
+@query("l13_label_panel_k1", f"WITH {ONE}, {_LEGS}, g AS (SELECT * FROM legs QUALIFY row_number() OVER (PARTITION BY date, symbol, side, action ORDER BY ret DESC, trade_id) = 1) SELECT trade_id, symbol, side, freq, k, ret, date, px, action, position FROM g", floats=["ret", "px"])
+def l13_one(spark, sf):
+    return l.dedupe_labels(l.label_rows(l.dedupe_trades(one_trade(spark, sf))))
