@@ -210,12 +210,12 @@ def direction_of(family: str, column: str) -> str:
 
 
 def statement_over_market_cap(daily: DataFrame, columns: Iterable[str], *, section: str = "income", cap: str = "market_cap") -> tuple[DataFrame, list[Feature]]:
-    """Each of a statement's numeric columns over the day's market cap, as fmp_{section}_mcap__{column}, and what each is. Columns of no value are left out."""
-    family = f"fmp_{section}_mcap"
+    """Each of a statement's numeric columns over the day's market cap, as {section}_mcap__{column}, and what each is. Columns of no value are left out."""
+    family = f"{section}_mcap"
     names = [c for c in columns if daily.schema[c].dataType.simpleString() in ("double", "float", "int", "bigint")]
     made = {f"{family}__{c}": ratio(F.col(c).cast("double"), F.col(cap)) for c in names}
     out = _without_empty(daily.select("symbol", "date", *[v.alias(k) for k, v in made.items()]), list(made))
-    return out, [Feature(f"{family}__{c}", family, "fmp", f"{section}.{c}", direction_of(family, c)) for c in names if f"{family}__{c}" in out.columns]
+    return out, [Feature(f"{family}__{c}", family, "statements", f"{section}.{c}", direction_of(family, c)) for c in names if f"{family}__{c}" in out.columns]
 
 
 def ratio_families(daily: DataFrame, columns: Iterable[str], *, section: str = "ratios") -> tuple[DataFrame, list[Feature]]:
@@ -225,7 +225,7 @@ def ratio_families(daily: DataFrame, columns: Iterable[str], *, section: str = "
     of = {c: (growth if c.startswith("growth_") else None) if growth else family_of(c, families) for c in columns}
     kept = {c: f for c, f in of.items() if f}
     out = _without_empty(daily.select("symbol", "date", *[numeric(F.col(c)).alias(f"{f}__{c}") for c, f in kept.items()]), [f"{f}__{c}" for c, f in kept.items()])
-    return out, [Feature(f"{f}__{c}", f, "financetoolkit", f"{section}.{c}", direction_of(f, c)) for c, f in kept.items() if f"{f}__{c}" in out.columns]
+    return out, [Feature(f"{f}__{c}", f, "ratios", f"{section}.{c}", direction_of(f, c)) for c, f in kept.items() if f"{f}__{c}" in out.columns]
 
 
 def static_panel(grid: DataFrame, sparse: DataFrame, columns: Mapping[str, Column], *, least: int = 120) -> DataFrame:

@@ -111,10 +111,10 @@ def with_cap(spark, sf):
     return f.daily_statements(prices(spark, sf).select("symbol", "date", "close"), statements(spark, sf)).withColumn("market_cap", F.col("shares") * F.col("close"))
 
 
-_f25 = [f"fmp_income_mcap__{c}" for c in ("revenue", "cost", "debt")]
+_f25 = [f"income_mcap__{c}" for c in ("revenue", "cost", "debt")]
 
 
-@query("f25_statement_over_cap", f"WITH {CAP} SELECT symbol, date, {', '.join(f'{c} / nullif(shares * close, 0) AS fmp_income_mcap__{c}' for c in ('revenue', 'cost', 'debt'))}, 'higher_is_better,lower_is_better,lower_is_better' AS directions FROM daily", floats=_f25, digits=4)
+@query("f25_statement_over_cap", f"WITH {CAP} SELECT symbol, date, {', '.join(f'{c} / nullif(shares * close, 0) AS income_mcap__{c}' for c in ('revenue', 'cost', 'debt'))}, 'higher_is_better,lower_is_better,lower_is_better' AS directions FROM daily", floats=_f25, digits=4)
 def f25(spark, sf):
     rows, features = s.statement_over_market_cap(with_cap(spark, sf), ("revenue", "cost", "debt", "period_ending"))
     return rows.withColumn("directions", F.lit(",".join(x.direction for x in features)))

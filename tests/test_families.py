@@ -118,7 +118,7 @@ def test_builders(spark):
 
 def test_specifications(spark):
     assert sections.family_of("net_debt_to_ebitda", sections.RATIO_FAMILIES) == "ft_ratios_solvency" and sections.family_of("other", sections.RATIO_FAMILIES) is None
-    assert sections.direction_of("ft_ratios_valuation", "dividend_yield") == "higher_is_better" and sections.direction_of("fmp_cash_mcap", "total_debt") == "lower_is_better"
+    assert sections.direction_of("ft_ratios_valuation", "dividend_yield") == "higher_is_better" and sections.direction_of("cash_mcap", "total_debt") == "lower_is_better"
     with pytest.raises(ValueError, match="doesn't make sense|don't make sense"):
         specs.LabelSpec(ks={"YE": (0,)})
     with pytest.raises(ValueError, match="no feature set for ratios"):
