@@ -131,3 +131,9 @@ def target_summary(panel: DataFrame) -> DataFrame:
     long = panel.withColumn("__active", active.cast("int")).unpivot(["symbol", "date", "__active"], names, "target", "value")
     hit = F.col("value") > 0
     return long.groupBy("target").agg(F.count("*").alias("rows"), F.sum("__active").alias("active"), F.sum(hit.cast("long")).alias("positives"), F.try_divide(F.sum(hit.cast("double")), F.nullif(F.sum("__active"), F.lit(0))).alias("rate"), F.countDistinct(F.when(hit, F.col("symbol"))).alias("symbols"), F.min(F.when(hit, F.col("date"))).alias("first_date"), F.max(F.when(hit, F.col("date"))).alias("last_date"))
+
+
+def collapsed_target(grid: DataFrame, aligned: DataFrame, types: tuple[str, ...], name: str) -> DataFrame:
+    """The grid (symbol, date) with ``name``: 1 on days with an event of ``types``, and ``active``: 1 on days with any event."""
+    days = aligned.groupBy("symbol", "date").agg(F.max(F.col("event_type").isin(*types).cast("int")).alias(name), F.lit(1).alias("active"))
+    return grid.join(days, ["symbol", "date"], "left").fillna(0, [name, "active"])

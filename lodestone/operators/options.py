@@ -239,3 +239,28 @@ def trade_weights(quotes: DataFrame, *, shrink: float = 0.1, profile: str | None
 
     kinds = dict(quotes.dtypes)
     return quotes.select("trade_id", "contract", "date", "price").groupBy("trade_id").applyInPandas(solve, f"trade_id {kinds['trade_id']}, contract {kinds['contract']}, weight double")
+
+
+# Features a contract ranker can use.
+RANKER = (
+    "dte", "dte_gap", "moneyness", "abs_moneyness", "spread_pct", "volume", "open_interest", "liquidity_score", "delta", "abs_delta", "gamma", "abs_gamma", "theta", "abs_theta", "vega", "abs_vega", "rho", "abs_rho",
+    "theta_to_mid", "vega_to_mid", "iv", "iv_expiration_z", "iv_times_sqrt_dte",
+)
+
+
+def ranker_features(chain: DataFrame) -> list[str]:
+    """Those of RANKER that the chain has and of which any value is a number; one aggregation."""
+    there = [c for c in RANKER if c in chain.columns]
+    found = chain.agg(*[F.count(F.col(c).try_cast("double")).alias(c) for c in there]).first() if there else {}
+    return [c for c in there if found[c]]
+
+
+def at_snapshots(chain: DataFrame, days: DataFrame) -> DataFrame:
+    """Quotes of the snapshot dates asked for (snapshot_date)."""
+    return chain.join(days.select("snapshot_date"), "snapshot_date", "left_semi")
+
+
+def window_days(trades: DataFrame) -> DataFrame:
+    """(trade_id, date): every weekday from a trade's entry to its exit."""
+    day = F.explode(F.sequence("entry_date", "exit_date"))
+    return trades.filter("entry_date <= exit_date").select("trade_id", day.alias("date")).filter(F.weekday("date") < 5)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestone.operators import planning
 from lodestone.operators import asof, upsert as u
 from lodestone.plans.registry import query
 from lodestone.sources import normalize as n
@@ -99,9 +100,18 @@ def s21(spark, sf):
     return prices(spark, sf).filter(F.col("symbol").isin(names)).groupBy("date").pivot("symbol", names).agg(F.max("close"))
 
 
-@query("s22_macro_panel", f"WITH {MACRO} SELECT date, max(value) FILTER (series_code = 'macro__asia') AS macro__asia, max(value) FILTER (series_code = 'macro__europe') AS macro__europe FROM macro GROUP BY ALL", floats=["macro__asia", "macro__europe"])
+SERIES = ("macro__africa", "macro__america", "macro__asia", "macro__europe", "macro__middle_east")
+
+
+@query("s22_macro_panel", f"WITH {MACRO} SELECT date, {', '.join(f"max(value) FILTER (series_code = '{c}') AS {c}" for c in SERIES)} FROM macro GROUP BY ALL", floats=SERIES)
 def s22(spark, sf):
-    return macro(spark, sf).groupBy("date").pivot("series_code", ["macro__asia", "macro__europe"]).agg(F.max("value"))
+    return macro(spark, sf).groupBy("date").pivot("series_code", list(SERIES)).agg(F.max("value"))
+
+
+@query("s21_price_panel_blocks", f"WITH {PRICES}, n AS (SELECT symbol, row_number() OVER (ORDER BY symbol) - 1 AS n FROM (SELECT DISTINCT symbol FROM prices)), r AS (SELECT p.date, p.symbol, p.close, n.n, n.n // 50 AS block FROM prices p JOIN n USING (symbol)), f AS (SELECT n // 50 AS block, min(symbol) AS first_symbol FROM n GROUP BY ALL) SELECT block::INT AS block, date, first_symbol, {', '.join(f'max(close) FILTER (n % 50 = {i}) AS p{i}' for i in range(50))} FROM r JOIN f USING (block) GROUP BY ALL", floats=[f"p{i}" for i in range(50)])
+def s21_blocks(spark, sf):
+    """All symbols; ``s21_price_panel`` shows the panel of a list of three, which is an argument."""
+    return planning.panel_blocks(prices(spark, sf))
 
 
 @query("s23_s24_coverage", f"WITH {PRICES} SELECT symbol, min(date) AS min_date, max(date) AS max_date, count(*) AS row_count, count(DISTINCT date) AS days, 'open,high,low,close,volume' AS columns_present FROM prices GROUP BY ALL", dates=["min_date", "max_date"])

@@ -21,7 +21,9 @@ def event_counts(events: DataFrame, *, window: str = "1 day", late: str = "5 day
 def start_upsert(stream: DataFrame, path: str, checkpoint: str, keys: list[str], *, partition: str, late: str = "5 days") -> StreamingQuery:
     """Upsert each micro-batch into the Parquet table at ``path``, rewriting only the partitions it touches.
 
-    A batch that is run again upserts the same rows, so the sink is idempotent; inside a batch the last by ``ts`` wins.
+    A batch that is run again upserts the same rows, so the sink is idempotent; inside a batch the last by ``ts`` wins. Partitions are replaced one
+    after the other, not at once: a reader may see some of a batch, and after a failure between them the batch's own rerun completes it, since
+    what it writes was cut off from the table by a checkpoint before.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
