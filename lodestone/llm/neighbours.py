@@ -282,8 +282,9 @@ def search(met: DataFrame, queries: DataFrame, dim: int, beam: int) -> DataFrame
     """The beams of ``queries`` (q, code, scale; each a node) after a greedy walk from the node itself: BEAM, best first."""
     spark = met.sparkSession
     name = f"lodestone_around_{uuid.uuid4().hex[:12]}"
-    # kept in buckets, so that the walk's steps do not shuffle it again
-    met.select("v", "us", "codes", "scales").write.bucketBy(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "v").sortBy("v").saveAsTable(name)
+    # kept in buckets, a file each, so that the walk's steps do not shuffle it again
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    met.select("v", "us", "codes", "scales").repartition(buckets, "v").write.bucketBy(buckets, "v").sortBy("v").saveAsTable(name)
     ready, expand = spark.table(name), beam // 2
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
