@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, neardup, neighbours, packing, quality, sharding, substrings, tokencount, urlfilter
+from . import alignment, chat, decontaminate, neardup, neighbours, packing, quality, sharding, substrings, tokencount, urlfilter
 from .common import table
 
 # The rules of the url query.
@@ -63,7 +63,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_preference_formatting, op4_substring_dedup, op5_decontamination, op6_nearest_neighbours, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts)}
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_preference_formatting, op4_substring_dedup, op5_decontamination, op6_nearest_neighbours, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts, op12_token_alignment)}
 
 ORACLE_SQL = {
     "op3_preference_formatting": """
