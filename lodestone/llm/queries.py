@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontaminate, neardup, neighbours, packing, quality, sharding, substrings, tokencount, urlfilter
+from . import alignment, chat, decontaminate, lexical, neardup, neighbours, packing, quality, sharding, substrings, tokencount, urlfilter
 from .common import table
 
 # The rules of the url query.
@@ -67,7 +67,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_preference_formatting, op4_substring_dedup, op5_decontamination, op6_nearest_neighbours, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts, op12_token_alignment)}
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), count=10)
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_preference_formatting, op4_substring_dedup, op5_decontamination, op6_nearest_neighbours, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts, op12_token_alignment, op13_lexical_search)}
 
 ORACLE_SQL = {
     "op3_preference_formatting": """
@@ -83,6 +87,19 @@ SELECT conv_id, cast(n AS INTEGER) AS prompt_turns, array_to_string(ps, '') AS p
   array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant'), lambda i: (length(array_to_string(cs[1:i - 1], '')) + length(c[i].role) + 5) || '-' || length(array_to_string(cs[1:i], ''))), ' ') AS chosen_mask,
   array_to_string(list_transform(list_filter(range(1, len(r) + 1), lambda i: r[i].role = 'assistant'), lambda i: (length(array_to_string(rs[1:i - 1], '')) + length(r[i].role) + 5) || '-' || length(array_to_string(rs[1:i], ''))), ' ') AS rejected_mask
 FROM s
+""",
+    "op13_lexical_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+h AS (SELECT * FROM d WHERE len(words) > 0),
+total AS (SELECT count(*) AS n, cast(sum(len(words)) AS BIGINT) AS l FROM h),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL),
+w AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM h) WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+f AS (SELECT term, cast(floor(1000 * ln((2 * any_value(total.n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM w, total GROUP BY term),
+m AS (SELECT r, doc_id, 10 + (90 * len(words) * total.n) // total.l AS m FROM h, total),
+s AS (SELECT q.item_id, m.r, m.doc_id, cast(sum(f.weight * ((1000000000 * w.tf) // (1000 * w.tf + 8 * m.m))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN f USING (term) JOIN m ON m.r = w.r GROUP BY q.item_id, m.r, m.doc_id),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, cast(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
 """,
     "op8_url_filter": """
 WITH rules(host, path, rule, verdict) AS (VALUES ('org', '/', 'org/', 'allow'), ('example.org', '/es/', 'example.org/es/', 'block'),
