@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontaminate, lexical, neardup, neighbours, packing, quality, sharding, substrings, tokencount, urlfilter
-from .common import table
+from . import alignment, chat, decontaminate, lexical, neardup, neighbours, packing, quality, sharding, substrings, tokencount, urlfilter, warc
+from .common import shared_dir, table
 
 # The rules of the url query.
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
@@ -63,6 +65,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex[:12]}"
+    records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), folder), folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -71,7 +79,7 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), count=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_preference_formatting, op4_substring_dedup, op5_decontamination, op6_nearest_neighbours, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts, op12_token_alignment, op13_lexical_search)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_minhash_near_dedup, op3_preference_formatting, op4_substring_dedup, op5_decontamination, op6_nearest_neighbours, op7_stratified_sharding, op8_url_filter, op9_quality_classifier, op10_token_counts, op11_warc, op12_token_alignment, op13_lexical_search)}
 
 ORACLE_SQL = {
     "op3_preference_formatting": """
@@ -87,6 +95,14 @@ SELECT conv_id, cast(n AS INTEGER) AS prompt_turns, array_to_string(ps, '') AS p
   array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant'), lambda i: (length(array_to_string(cs[1:i - 1], '')) + length(c[i].role) + 5) || '-' || length(array_to_string(cs[1:i], ''))), ' ') AS chosen_mask,
   array_to_string(list_transform(list_filter(range(1, len(r) + 1), lambda i: r[i].role = 'assistant'), lambda i: (length(array_to_string(rs[1:i - 1], '')) + length(r[i].role) + 5) || '-' || length(array_to_string(rs[1:i], ''))), ' ') AS rejected_mask
 FROM s
+""",
+    "op11_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex, row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST) AS k,
+  max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+d AS (SELECT *, list_transform(range(0, 8), lambda i: cast('0x' || substr(hex, cast(5 * i + 1 AS INTEGER), 5) AS BIGINT)) AS five FROM p)
+SELECT page_id, cast(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(((five[i // 4 + 1] >> cast(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN first END AS refers_to FROM d
 """,
     "op13_lexical_search": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
