@@ -33,10 +33,15 @@ from .tokencount import LONGEST, PATTERN, unassigned
 #: Characters of text that are aligned at once, and from which a text is aligned in parts.
 CHUNK, PART = 2 << 20, 1 << 20
 #: Words of each tokenizer that are remembered; longer ones than LONGEST never are.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
+#: A text's number in a chunk stands above so many bits of a byte's place in it.
+END_BITS = 40
 #: Partial counts are merged in a task when so many rows of them are held.
 HELD = 500_000
 
+# Fixed value: PATTERN for texts of Latin-1 characters, its classes spelled out.
+LETTER, NUMBER, BLANK = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", "\\t-\\r \\x85\\xa0"
+LATIN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{BLANK}{LETTER}{NUMBER}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
 # The second tokenizer's sign for a space, and the bytes that stand for themselves in byte-level vocabularies.
 SPACE = "▁"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -60,7 +65,7 @@ class ByteLevel:
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = True
         self.known = Memory()
-        self.findall, self.odd = regex.compile(PATTERN).findall, unassigned()
+        self.findall, self.latin, self.odd = regex.compile(PATTERN).findall, re.compile(LATIN).findall, unassigned()
         byte, special = _byte_of_char(), {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         names = {i: s for s, i in self.tokenizer.get_vocab().items()}
         token = lambda i: special[i].encode() if i in special else bytes(byte[c] for c in names.get(i, ""))
@@ -71,7 +76,11 @@ class ByteLevel:
         return not text.isascii() and not self.odd.isdisjoint(text)
 
     def words(self, text: str) -> list[str]:
-        return [text] if self.whole(text) else self.findall(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return [text] if self.whole(text) else self.findall(text)
+        return self.latin(text)
 
     def encode(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -120,22 +129,29 @@ def most_pairs(a_path: str, b_path: str) -> int:
     return longer + sum(times[0].get(x[i:], 0) for x in sides[1] for i in range(1, len(x)))
 
 
-class Memory(dict):
-    """The ids of words as bytes of int32, remembered from chunk to chunk."""
+class Memory:
+    """The ids of words as bytes of int32, remembered from chunk to chunk: those of the last chunks, and before them those that were used again."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def lists(self, parts: list[list[str]], encode) -> pa.ListArray:
         """The ids of every text, given as its words: each distinct word that is not remembered is encoded once."""
-        new = list(set().union(*parts).difference(self))
-        self.update(zip(new, (array("i", x).tobytes() for x in encode(new)), strict=True))
-        coded = [self[w] for w in chain.from_iterable(parts)]
-        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) // 4)])
-        out = pa.ListArray.from_arrays(pa.array(ends[np.cumsum([0, *map(len, parts)])], pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32)))
-        if len(self) > REMEMBERED:
-            self.clear()
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        missing = set().union(*parts).difference(known)
+        known.update((w, before[w]) for w in missing.intersection(before))
+        new = list(missing.difference(before))
+        known.update(zip(new, (array("i", x).tobytes() for x in encode(new)), strict=True))
+        coded = list(map(known.__getitem__, chain.from_iterable(parts)))
+        ends = np.zeros(len(coded) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) >> 2, out=ends[1:])
         for word in new:
             if len(word) > LONGEST:
-                self.pop(word, None)
-        return out
+                del known[word]
+        return pa.ListArray.from_arrays(pa.array(ends[np.cumsum([0, *map(len, parts)])], pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32)))
 
 
 def _bytes(ids: pa.ListArray, token: pa.Array) -> pa.Array:
@@ -144,11 +160,12 @@ def _bytes(ids: pa.ListArray, token: pa.Array) -> pa.Array:
 
 
 def _ends(ids: pa.ListArray, lengths: pa.Array, name: str) -> pa.Table:
-    """Per token: its text, the byte where it ends in it, its id and its place among all tokens."""
+    """Per token: its text and the byte where it ends in it as one key, its id and its place among all tokens."""
     flat, text = pc.list_flatten(ids), pc.list_parent_indices(ids)
     total = np.concatenate([[0], pc.cumulative_sum(lengths.take(flat)).to_numpy()])
     start = pa.array(total[ids.offsets.to_numpy()[:-1]])
-    return pa.table({"text": text, "end": pc.subtract(pa.array(total[1:]), start.take(text)), name: flat, f"{name}_at": np.arange(len(flat))})
+    end = pc.subtract(pa.array(total[1:]), start.take(text))
+    return pa.table({"key": pc.add(pc.shift_left(text.cast(pa.int64()), END_BITS), end), name: flat, f"{name}_at": np.arange(len(flat), dtype=np.int32)})
 
 
 def _joined(ids: pa.ListArray, names: pa.Array, cuts: np.ndarray) -> pa.Array:
@@ -170,14 +187,15 @@ def align_texts(texts: list[str], a: ByteLevel, b: Pieces, a_names: pa.Array, b_
     which = np.flatnonzero(right.to_numpy(zero_copy_only=False))
     ids_a, ids_b = (x.take(pa.array(which)) for x in (ids_a, ids_b))
     left, rest = (_ends(x, pc.binary_length(c.bytes).cast(pa.int64()), n) for x, c, n in ((ids_a, a, "a"), (ids_b, b, "b")))
-    ends = left.join(rest, ["text", "end"], join_type="inner", use_threads=False).sort_by("a_at").combine_chunks()
+    ends = left.join(rest, "key", join_type="inner", use_threads=False).sort_by("a_at").combine_chunks()
+    ends = ends.append_column("text", pc.shift_right(ends["key"], END_BITS))
     groups = pc.binary_join_element_wise(*(_joined(x, names, ends[f"{n}_at"].to_numpy() + 1) for x, names, n in ((ids_a, a_names, "a"), (ids_b, b_names, "b"))), "|")
     per = np.bincount(ends["text"].to_numpy(), minlength=len(which)).astype(np.int64)
     strings = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per)]), pa.int32()), groups), ";").to_pylist()
     found: list = [None] * len(texts)
     for i, *row in zip(which.tolist(), pc.list_value_length(ids_a).to_pylist(), pc.list_value_length(ids_b).to_pylist(), per.tolist(), strings, strict=True):
         found[i] = tuple(row)
-    pairs = ends.group_by(["text", "a", "b"], use_threads=False).aggregate([("end", "count")]).rename_columns(["text", "a", "b", "n"])
+    pairs = ends.group_by(["text", "a", "b"], use_threads=False).aggregate([("key", "count")]).rename_columns(["text", "a", "b", "n"])
     return found, pairs.set_column(0, "text", pa.array(which, pa.int64()).take(pairs["text"].combine_chunks() if len(pairs) else pa.array([], pa.int64())))
 
 

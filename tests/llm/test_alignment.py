@@ -101,3 +101,11 @@ def test_empty_table_and_nulls(spark):
     assert al.align(df, A, B).count() == 0
     rows = al.align(spark.createDataFrame([(None, None)], "doc_id long, text string"), A, B).collect()
     assert [tuple(r) for r in rows] == [(None, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_pattern_of_latin_texts_is_the_same():
+    whole, latin = al.regex.compile(al.PATTERN), al.re.compile(al.LATIN)
+    for c in map(chr, range(256)):
+        for d in "a 1.'\n":
+            for t in (c + d, d + c, c + c + d + c, f"a{c}{d}{c} b"):
+                assert whole.findall(t) == latin.findall(t)
