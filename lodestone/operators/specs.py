@@ -4,28 +4,74 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, fields
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The sections by how their rows are dated.
-SECTIONS = {
-    "period": ("income", "balance", "cash", "ratios", "metrics", "income_growth", "balance_growth", "cash_growth"), "dated": ("dividends", "historical_splits", "earnings", "estimates_price_target", "ownership_insider_trading", "ownership_government_trades"),
-    "snapshot": ("ownership_institutional", "etf_holdings", "etf_sectors", "management", "profile"), "calendar": ("equity_calendar_earnings", "equity_calendar_dividend", "equity_calendar_splits", "equity_calendar_ipo", "economic_calendar"),
+# The sections of the warehouse, by what they are about.
+EQUITY_SECTIONS = (
+    "income", "balance", "cash", "metrics", "ratios", "income_growth", "balance_growth", "cash_growth", "dividends", "historical_eps", "historical_splits", "reported_financials", "revenue_per_geography",
+    "revenue_per_segment", "trailing_dividend_yield", "employee_count", "historical_market_cap", "esg_score", "management_compensation", "management", "filings", "transcript", "compare_peers", "estimates_historical",
+    "estimates_consensus", "estimates_forward_eps", "estimates_forward_ebitda", "estimates_price_target", "ownership_insider_trading", "ownership_government_trades", "ownership_institutional", "ownership_share_statistics",
+)
+ETF_SECTIONS = ("etf_holdings", "etf_sectors", "etf_countries", "etf_equity_exposure", "etf_nport_disclosure", "etf_price_performance")
+MORE_SECTIONS = ("earnings", "financial_growth", "senate_trading")
+CALENDAR_SECTIONS = ("equity_calendar_earnings", "equity_calendar_dividend", "equity_calendar_splits", "equity_calendar_ipo")
+PRICE_SECTIONS = ("prices", "etf_prices", "fund_prices", "crypto_prices", "currency_prices", "index_prices")
+PROFILE_SECTIONS = ("profile", "etf_profile")
+MACRO_SECTIONS = ("macro_economic", "macro_treasury", "macro_yield_curve", "macro_calendar", "macro_risk_premium")
+# Sections of annual or quarterly periods; rows that are the whole state of a day; sections that can be fetched by a range of dates.
+PERIOD_SECTIONS = ("income", "balance", "cash", "metrics", "ratios", "income_growth", "balance_growth", "cash_growth", "reported_financials", "revenue_per_geography", "revenue_per_segment")
+SNAPSHOT_SECTIONS = ("etf_holdings", "etf_sectors", "etf_countries", "etf_equity_exposure", "etf_price_performance", "management", "compare_peers", "estimates_consensus", "ownership_institutional", "ownership_share_statistics")
+WINDOWED_SECTIONS = (
+    *PRICE_SECTIONS, "historical_market_cap", "income", "balance", "cash", "metrics", "ratios", "income_growth", "balance_growth", "cash_growth", "dividends", "historical_eps", "historical_splits", "employee_count",
+    "esg_score", "management_compensation", "estimates_historical", "estimates_forward_eps", "estimates_forward_ebitda", "ownership_insider_trading", "ownership_government_trades", "filings", "estimates_price_target",
+    "revenue_per_geography", "revenue_per_segment",
+)
+# Sections of several rows a day, and the column that tells these apart.
+PANEL_DIMENSIONS = {
+    "revenue_per_segment": "business_line", "revenue_per_geography": "region", "etf_nport_disclosure": "cusip", "ownership_insider_trading": "owner_name", "ownership_government_trades": "representative",
+    "estimates_price_target": "analyst_name", "filings": "report_type", "transcript": "quarter", "equity_calendar_earnings": "symbol", "equity_calendar_dividend": "symbol", "equity_calendar_splits": "symbol", "equity_calendar_ipo": "symbol",
 }
-# The column that dates a kind of section's rows.
-DATED_BY = {"period": "period_ending", "dated": "date", "snapshot": "as_of", "calendar": "date"}
+# What is fetched of the markets and series without a list of symbols; the symbols that stand for whole bundles.
+DEFAULT_SYMBOLS = {
+    "crypto_prices": ("BTCUSD", "ETHUSD", "SOLUSD", "XRPUSD", "ADAUSD", "DOGEUSD", "BNBUSD", "LTCUSD"), "currency_prices": ("EURUSD", "GBPUSD", "USDJPY", "AUDUSD", "USDCAD", "USDCHF", "NZDUSD"),
+    "index_prices": ("^GSPC", "^DJI", "^IXIC", "^VIX", "^RUT"),
+    "macro_economic": ("GDP", "CPI", "unemploymentRate", "inflationRate", "federalFunds", "retailSales", "industrialProductionTotalIndex", "totalNonfarmPayroll", "initialClaims", "newPrivatelyOwnedHousingUnitsStartedTotalUnits"),
+    "macro_treasury": ("TREASURY_CURVE",), "macro_yield_curve": ("YIELD_CURVE",), "macro_calendar": ("MACRO_CALENDAR",), "macro_risk_premium": ("RISK_PREMIUM",), **dict.fromkeys(CALENDAR_SECTIONS, ("EQUITY_CALENDAR",)),
+}
+# The column that dates a kind of section's rows, and the names of a period.
+DATED_BY = {"period": "period_ending", "snapshot": "as_of"}
+PERIODS = {"quarter": "quarter", "quarterly": "quarter", "annual": "annual", "year": "annual", "yearly": "annual"}
+ALL_SECTIONS = tuple(dict.fromkeys((*PRICE_SECTIONS, *PROFILE_SECTIONS, *EQUITY_SECTIONS, *ETF_SECTIONS, *MORE_SECTIONS, *CALENDAR_SECTIONS, *MACRO_SECTIONS, "economic_calendar")))
 
 
 def section_kind(section: str) -> str:
-    found = next((k for k, names in SECTIONS.items() if section in names), None)
-    if not found:
+    """period, snapshot, calendar, price, macro, or dated (rows of single days)."""
+    if section not in ALL_SECTIONS:
         raise ValueError(f"unknown section {section}")
-    return found
+    kinds = (("period", PERIOD_SECTIONS), ("snapshot", (*SNAPSHOT_SECTIONS, *PROFILE_SECTIONS)), ("calendar", (*CALENDAR_SECTIONS, "economic_calendar")), ("price", PRICE_SECTIONS), ("macro", MACRO_SECTIONS))
+    return next((k for k, names in kinds if section in names), "dated")
+
+
+def period_of(section: str, preferred: str | None = "quarter") -> str | None:
+    """The period to ask for, quarterly unless another is preferred; none where the section has no periods."""
+    return PERIODS.get((preferred or "quarter").strip().lower(), "quarter") if section in PERIOD_SECTIONS else None
+
+
+def library_of(section: str) -> str:
+    """The name of the table that holds a section: company sections carry a prefix, all others their own name."""
+    return f"fundamental_{section}" if section in EQUITY_SECTIONS or section in MORE_SECTIONS else section
+
+
+def registry(spark: SparkSession) -> DataFrame:
+    """The sections as a table: section, library, kind, period, dimension, windowed, default_symbols."""
+    rows = [(s, library_of(s), section_kind(s), period_of(s), PANEL_DIMENSIONS.get(s), s in WINDOWED_SECTIONS, list(DEFAULT_SYMBOLS.get(s, ()))) for s in ALL_SECTIONS]
+    return spark.createDataFrame(rows, "section string, library string, kind string, period string, dimension string, windowed boolean, default_symbols array<string>")
 
 
 def read_section(rows: DataFrame, section: str, *, symbols: tuple[str, ...] = (), start: str | None = None, end: str | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
     """Rows of a section table from ``start`` to ``end``, both included, of some symbols and columns (all by default); filters reach the scan."""
-    date = DATED_BY[section_kind(section)]
+    date = DATED_BY.get(section_kind(section), "date")
     rows = rows.filter(F.col("symbol").isin(*symbols)) if symbols else rows
     rows = rows.filter(F.col(date) >= F.lit(start).cast("date")) if start else rows
     rows = rows.filter(F.col(date) <= F.lit(end).cast("date")) if end else rows

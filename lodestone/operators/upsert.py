@@ -63,8 +63,10 @@ def contiguous_ranges(days: DataFrame, keys: Iterable[str], *, most: int | None
 
 def date_chunks(bounds: DataFrame, keys: Iterable[str], start: str, end: str, days: int = 365) -> DataFrame:
     """Spans of at most ``days`` days that cover [start, end]."""
-    first = F.explode(F.sequence(F.col(start), F.col(end), F.expr(f"interval {days} days")))
-    return bounds.filter(F.col(start) <= F.col(end)).select(*keys, F.col(end).alias("__end"), first.alias("start")).select(*keys, "start", F.least(F.date_add("start", days - 1), "__end").alias("end"))
+    # outer, and filtered afterwards: a filter on long expressions for the bounds would repeat them at the scan
+    first = F.explode_outer(F.when(F.col(start) <= F.col(end), F.sequence(F.col(start), F.col(end), F.expr(f"interval {days} days"))))
+    rows = bounds.select(*keys, F.col(end).alias("__end"), first.alias("start")).filter("start is not null")
+    return rows.select(*keys, "start", F.least(F.date_add("start", days - 1), "__end").alias("end"))
 
 
 def first_provider(states: DataFrame, target: Column, priority: Iterable[str]) -> DataFrame:
@@ -74,21 +76,6 @@ def first_provider(states: DataFrame, target: Column, priority: Iterable[str]) -
     return rows.withColumn("__n", F.row_number().over(Window.partitionBy("symbol").orderBy("__o"))).filter("__n = 1").drop("__o", "__n")
 
 
-def refresh_plan(states: DataFrame, target: Column, *, overlap: int = 5, least_rows: int = 1, fresh_days: int = 0) -> DataFrame:
-    """Per state (min_date, max_date, row_count, listing_date): mode full, head, tail or skip, its reason, and the range to fetch.
-
-    Tests in this order: nothing stored: full; starts later than listed: head; ends before the target: tail, from an overlap before its end; else skip.
-    """
-    empty = F.coalesce("row_count", F.lit(0)) < least_rows
-    late = F.col("listing_date").isNotNull() & (F.col("min_date") > F.date_add("listing_date", 7))
-    stale = F.col("max_date") < F.date_sub(target, fresh_days)
-    mode = F.when(empty, "full").when(late, "head").when(stale, "tail").otherwise("skip")
-    reason = F.when(empty, "no rows").when(late, "starts after listing").when(stale, "ends before target").otherwise("fresh")
-    start = F.when(empty, F.col("listing_date")).when(late, F.col("listing_date")).when(stale, F.date_sub("max_date", overlap))
-    end = F.when(empty, target).when(late, F.date_sub("min_date", 1)).when(stale, target)
-    return states.withColumns({"mode": mode, "reason": reason, "fetch_start": start, "fetch_end": end})
-
-
 def expected_price_date(utc: Column) -> Column:
     """The latest day whose prices should be there: today from 17:00 New York time on weekdays, else the weekday before."""
     local = F.from_utc_timestamp(utc, "America/New_York")
@@ -110,13 +97,3 @@ def same_table(a: DataFrame, b: DataFrame, date: str = "date") -> DataFrame:
     s = lambda d, p: d.agg(F.count("*").alias(f"{p}_rows"), F.min(date).alias(f"{p}_min"), F.max(date).alias(f"{p}_max"))
     both = s(a, "a").crossJoin(s(b, "b"))  # one row each
     return both.select((F.col("a_rows") == F.col("b_rows")).alias("rows"), F.lit(sorted(a.columns) == sorted(b.columns)).alias("columns"), (F.col("a_min").eqNullSafe(F.col("b_min")) & F.col("a_max").eqNullSafe(F.col("b_max"))).alias("dates"))
-
-
-def needs_update(states: DataFrame, target: Column, *, kind: str = "price", max_age_days: int = 7) -> DataFrame:
-    """needs_update and reason: nothing stored; price and macro data that end before the target; other data last fetched too long ago."""
-    empty = F.coalesce("row_count", F.lit(0)) == 0
-    if kind in ("price", "macro"):
-        old, why = F.col("max_date").isNull() | (F.col("max_date") < target), "ends before target"
-    else:
-        old, why = F.col("last_fetched").isNull() | (F.datediff(target, "last_fetched") > max_age_days), "fetched too long ago"
-    return states.withColumns({"needs_update": empty | old, "update_reason": F.when(empty, "no rows").when(old, why).otherwise("fresh")})

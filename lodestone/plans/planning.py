@@ -17,10 +17,13 @@ from lodestone.sources.normalize import COUNTRIES
 from lodestone.views import CHAIN, PRICES, PROFILES, chain, prices, profiles, table
 
 NOW, TARGET = "2001-11-05 12:00:00", "2001-11-02"
-# States of many kinds: a customer's orders as a section, a fifth of them without rows, a sixth without a last day.
-STATES = """st AS (SELECT concat('C', c_custkey) AS symbol, CASE c_custkey % 4 WHEN 0 THEN 'price' WHEN 1 THEN 'period' WHEN 2 THEN 'snapshot' ELSE 'dated' END AS kind, concat('p', c_custkey % 3) AS provider, concat('s', c_custkey % 5) AS section,
-  CASE WHEN c_custkey % 13 = 0 THEN 0 ELSE count(o_orderkey) END AS row_count, CASE WHEN c_custkey % 11 = 0 THEN DATE '1850-01-01' ELSE cast(min(o_orderdate) AS DATE) END AS min_date, CASE WHEN c_custkey % 6 <> 0 THEN CASE WHEN c_custkey % 5 = 0 THEN DATE '2001-11-03' ELSE cast(max(o_orderdate) AS DATE) END END AS max_date,
-  CASE WHEN c_custkey % 7 < 3 THEN TIMESTAMP '2001-11-05 06:00:00' WHEN c_custkey % 7 < 6 THEN TIMESTAMP '2001-10-01 00:00:00' END AS last_fetched, CASE WHEN c_custkey % 8 <> 0 THEN DATE '1995-01-01' + (c_custkey % 40)::INT * 3 END AS listing_date, CASE WHEN c_custkey % 9 = 0 THEN ['a'] ELSE ['a', 'b'] END AS columns_present
+# Fixed small list: sections of every kind that a plan tells apart.
+KINDS = ("prices", "income", "filings", "etf_nport_disclosure", "dividends", "management", "etf_prices")
+_LISTED = ", ".join(f"'{k}'" for k in KINDS)
+# States of many kinds: a customer's orders as a section, some without rows, a sixth without a last day, an eighth without a listing date.
+STATES = f"""st AS (SELECT concat('C', c_custkey) AS symbol, [{_LISTED}][c_custkey % 7 + 1] AS section, concat('p', c_custkey % 3) AS provider, c_custkey % 7 IN (3, 6) AS is_etf,
+  CASE WHEN c_custkey % 13 = 0 THEN 0 ELSE count(o_orderkey) END AS row_count, CASE WHEN c_custkey % 11 = 0 THEN DATE '1850-01-01' WHEN c_custkey % 17 <> 0 THEN cast(min(o_orderdate) AS DATE) END AS min_date, CASE WHEN c_custkey % 6 <> 0 THEN CASE WHEN c_custkey % 5 = 0 THEN DATE '2001-11-03' ELSE cast(max(o_orderdate) AS DATE) END END AS max_date,
+  CASE WHEN c_custkey % 10 < 3 THEN TIMESTAMP '2001-11-05 06:00:00' WHEN c_custkey % 10 < 9 THEN TIMESTAMP '2001-10-01 00:00:00' END AS last_fetched, CASE WHEN c_custkey % 8 <> 0 THEN DATE '1995-01-01' + (c_custkey % 40)::INT * 3 END AS listing_date, CASE WHEN c_custkey % 9 > 0 THEN ['report_type', 'cusip'] WHEN c_custkey % 2 = 0 THEN ['other'] END AS columns_present
   FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey)"""
 
 
@@ -29,9 +32,10 @@ def states(spark, sf):
     rows = table(spark, sf, "customer").join(table(spark, sf, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left").groupBy("c_custkey").agg(F.count("o_orderkey").alias("n"), F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("z"))
     day = lambda x: F.lit(x).cast("date")
     return rows.select(
-        F.concat(F.lit("C"), k).alias("symbol"), F.element_at(F.array(*[F.lit(x) for x in ("price", "period", "snapshot", "dated")]), (k % 4 + 1).cast("int")).alias("kind"), F.concat(F.lit("p"), k % 3).alias("provider"), F.concat(F.lit("s"), k % 5).alias("section"),
-        F.when(k % 13 == 0, 0).otherwise(F.col("n")).alias("row_count"), F.when(k % 11 == 0, day("1850-01-01")).otherwise(F.col("a")).alias("min_date"), F.when(k % 6 != 0, F.when(k % 5 == 0, day("2001-11-03")).otherwise(F.col("z"))).alias("max_date"),
-        F.when(k % 7 < 3, F.lit("2001-11-05 06:00:00")).when(k % 7 < 6, F.lit("2001-10-01 00:00:00")).cast("timestamp").alias("last_fetched"), F.when(k % 8 != 0, F.date_add(day("1995-01-01"), (k % 40 * 3).cast("int"))).alias("listing_date"), F.when(k % 9 == 0, F.array(F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b"))).alias("columns_present"),
+        F.concat(F.lit("C"), k).alias("symbol"), F.element_at(F.array(*[F.lit(x) for x in KINDS]), (k % 7 + 1).cast("int")).alias("section"), F.concat(F.lit("p"), k % 3).alias("provider"), (k % 7).isin(3, 6).alias("is_etf"),
+        F.when(k % 13 == 0, 0).otherwise(F.col("n")).alias("row_count"), F.when(k % 11 == 0, day("1850-01-01")).when(k % 17 != 0, F.col("a")).alias("min_date"), F.when(k % 6 != 0, F.when(k % 5 == 0, day("2001-11-03")).otherwise(F.col("z"))).alias("max_date"),
+        F.when(k % 10 < 3, F.lit("2001-11-05 06:00:00")).when(k % 10 < 9, F.lit("2001-10-01 00:00:00")).cast("timestamp").alias("last_fetched"), F.when(k % 8 != 0, F.date_add(day("1995-01-01"), (k % 40 * 3).cast("int"))).alias("listing_date"),
+        F.when(k % 9 > 0, F.array(F.lit("report_type"), F.lit("cusip"))).when(k % 2 == 0, F.array(F.lit("other"))).alias("columns_present"),
     )
 
 
@@ -43,47 +47,61 @@ def target() -> F.Column:
     return F.lit(TARGET).cast("date")
 
 
-_PLAN = f"""{STATES}, x AS (SELECT *, greatest(DATE '1900-01-01', coalesce(listing_date, DATE '1900-01-01')) AS s, kind IN ('price', 'dated') AS w, CASE kind WHEN 'price' THEN 7 ELSE 90 END AS lim, coalesce(last_fetched > TIMESTAMP '{NOW}' - INTERVAL 24 HOUR, false) AS recent, DATE '2001-11-05' - max_date AS age FROM st),
-y AS (SELECT *, coalesce(w AND listing_date IS NOT NULL AND min_date - s > 30, false) AS late, CASE WHEN kind = 'period' AND min_date > s AND min_date - s <= 120 THEN min_date ELSE s END AS b, least(CASE WHEN kind = 'period' THEN max_date + 120 ELSE max_date END, CASE WHEN max_date IS NOT NULL THEN DATE '{TARGET}' END) AS z FROM x),
-c AS (SELECT *, greatest(coalesce((z - greatest(min_date, b) + 1) / greatest(DATE '{TARGET}' - b + 1, 1)::DOUBLE, 0), 0) >= 0.75 AS cov, w AND min_date IS NOT NULL AND max_date IS NOT NULL AS wb, coalesce(max_date < DATE '{TARGET}', false) AS early FROM y),
-r AS (SELECT *, CASE WHEN coalesce(row_count, 0) <= 0 THEN 'full missing' WHEN min_date < DATE '1900-01-01' THEN 'full before_first_day' WHEN len(columns_present) < 2 THEN 'full columns_missing' WHEN kind = 'snapshot' AND max_date IS NULL THEN 'full no_last_day' WHEN kind = 'snapshot' AND age > lim THEN 'full stale'
-  WHEN kind = 'snapshot' AND recent THEN 'skip fetched_lately' WHEN kind = 'snapshot' THEN 'skip fresh' WHEN recent AND max_date >= DATE '{TARGET}' THEN 'skip fetched_lately' WHEN recent AND cov AND NOT late THEN 'skip deferred' WHEN wb AND cov AND early THEN 'tail ends_early' WHEN wb AND cov AND late THEN 'head starts_late'
-  WHEN wb AND cov AND recent THEN 'skip fetched_lately' WHEN wb AND cov THEN 'skip fresh' WHEN wb AND late THEN 'head starts_late' WHEN max_date IS NULL THEN 'full no_last_day' WHEN early AND w THEN 'tail ends_early' WHEN early THEN 'full ends_early' WHEN late THEN 'head starts_late' WHEN age > lim THEN 'full stale' WHEN recent THEN 'skip fetched_lately' ELSE 'skip fresh' END AS m FROM c),
-plan AS (SELECT symbol, split_part(m, ' ', 1) AS mode, split_part(m, ' ', 2) AS reason, CASE split_part(m, ' ', 1) WHEN 'full' THEN s WHEN 'head' THEN s WHEN 'tail' THEN greatest(s, max_date - 5) END AS fetch_start, CASE split_part(m, ' ', 1) WHEN 'full' THEN DATE '{TARGET}' WHEN 'tail' THEN DATE '{TARGET}' WHEN 'head' THEN min_date - 1 END AS fetch_end FROM r)"""
+_LACKS = "(section = 'filings' AND NOT coalesce(list_contains(columns_present, 'report_type'), false) OR section = 'etf_nport_disclosure' AND NOT coalesce(list_contains(columns_present, 'cusip'), false))"
+LADDER = f"""x AS (SELECT *, CASE WHEN is_etf THEN DATE '1900-01-01' ELSE greatest(DATE '1900-01-01', coalesce(listing_date, DATE '1900-01-01')) END AS s, section IN ('prices', 'etf_prices', 'income', 'filings', 'dividends') AS w, section = 'income' AS per, section = 'management' AS snap,
+  CASE WHEN section IN ('prices', 'etf_prices') THEN 7 ELSE 90 END AS lim, coalesce(last_fetched > TIMESTAMP '{NOW}' - INTERVAL 24 HOUR, false) AS recent, DATE '2001-11-05' - max_date AS age FROM st),
+y AS (SELECT *, coalesce(w AND (is_etf OR listing_date IS NOT NULL) AND min_date - s > 30, false) AS late, CASE WHEN is_etf OR listing_date IS NOT NULL OR min_date < s THEN s ELSE min_date END AS b0, least(CASE WHEN per THEN max_date + 120 ELSE max_date END, DATE '{TARGET}') AS z FROM x),
+y2 AS (SELECT *, CASE WHEN per AND min_date > b0 AND min_date - b0 <= 120 THEN min_date ELSE b0 END AS b FROM y),
+c AS (SELECT *, CASE WHEN min_date IS NULL OR max_date IS NULL THEN false ELSE (z - greatest(min_date, b) + 1) / greatest(DATE '{TARGET}' - b + 1, 1)::DOUBLE >= 0.75 END AS cov, w AND min_date IS NOT NULL AND max_date IS NOT NULL AS wb, coalesce(max_date < DATE '{TARGET}', false) AS early FROM y2),
+r AS (SELECT *, CASE WHEN coalesce(row_count, 0) <= 0 THEN 'full missing' WHEN min_date < DATE '1900-01-01' THEN 'full below_min_historical_date' WHEN {_LACKS} THEN 'full upgrade_panel_schema' WHEN snap AND max_date IS NULL THEN 'full missing_max_date' WHEN snap AND age > lim THEN 'full stale_max_date'
+  WHEN snap AND recent THEN 'skip recent_attempt' WHEN snap THEN 'skip fresh' WHEN recent AND max_date >= DATE '{TARGET}' THEN 'skip recent_attempt' WHEN recent AND cov AND NOT late THEN 'skip defer_recent_attempt' WHEN wb AND cov AND early THEN 'tail stale_max_date' WHEN wb AND cov AND late THEN 'head incomplete_early_history'
+  WHEN wb AND cov AND recent THEN 'skip recent_attempt' WHEN wb AND cov THEN 'skip fresh' WHEN wb AND late THEN 'head incomplete_early_history' WHEN max_date IS NULL THEN 'full missing_max_date' WHEN early AND w THEN 'tail stale_max_date' WHEN early THEN 'full stale_max_date'
+  WHEN late THEN 'head incomplete_early_history' WHEN age > lim THEN 'full stale_max_date' WHEN recent THEN 'skip recent_attempt' ELSE 'skip fresh' END AS m FROM c),
+plan AS (SELECT symbol, section, split_part(m, ' ', 1) AS mode, split_part(m, ' ', 2) AS reason, split_part(m, ' ', 2) IN ('missing', 'below_min_historical_date', 'upgrade_panel_schema') AS full_refresh,
+  CASE split_part(m, ' ', 1) WHEN 'full' THEN s WHEN 'head' THEN s WHEN 'tail' THEN greatest(s, max_date - 5) END AS fetch_start, CASE split_part(m, ' ', 1) WHEN 'full' THEN DATE '{TARGET}' WHEN 'tail' THEN DATE '{TARGET}' WHEN 'head' THEN min_date - 1 END AS fetch_end FROM r)"""
+
+_PLAN = f"{STATES}, {LADDER}"
+
+
+def _gap_plan(spark, sf):
+    return p.gap_plan(states(spark, sf), target(), now(), snapshots=("management",))
 
 
 @query("s34_gap_plan", f"WITH {_PLAN} SELECT * FROM plan", dates=["fetch_start", "fetch_end"])
 def s34(spark, sf):
-    return p.gap_plan(states(spark, sf), target(), now(), needs_columns=("a", "b")).select("symbol", "mode", "reason", "fetch_start", "fetch_end")
+    return _gap_plan(spark, sf).select("symbol", "section", "mode", "reason", "full_refresh", "fetch_start", "fetch_end")
 
 
 @query("s27_s34_fetch_ranges", f"WITH {_PLAN}, d AS (SELECT symbol, mode, fetch_end, unnest(generate_series(fetch_start, fetch_end, INTERVAL 365 DAY))::DATE AS first_day FROM plan WHERE mode <> 'skip' AND fetch_start <= fetch_end) SELECT symbol, mode, first_day, least(first_day + 364, fetch_end) AS last_day FROM d", dates=["first_day", "last_day"])
 def s27(spark, sf):
-    plan = p.gap_plan(states(spark, sf), target(), now(), needs_columns=("a", "b"))
-    return p.fetch_ranges(plan, ("symbol",)).withColumnsRenamed({"start": "first_day", "end": "last_day"})
+    return p.fetch_ranges(_gap_plan(spark, sf), ("symbol",)).withColumnsRenamed({"start": "first_day", "end": "last_day"})
 
 
 _missing = "coalesce(row_count, 0) <= 0"
 _lately = f"last_fetched > TIMESTAMP '{NOW}' - INTERVAL 24 HOUR"
 
 
-def _needs(kind: str, *rungs: tuple[str, str], recent: str | None = _lately) -> str:
+def _needs(kind: str, *rungs: tuple[str, str], recent: str | None = _lately, rows: str = "st") -> str:
     tests = " ".join(f"WHEN {t} THEN '{w}'" for t, w in rungs)
-    why = f"CASE {tests} {f'''WHEN {recent} THEN 'fetched_lately' ''' if recent else ''}ELSE 'fresh' END"
-    return f"SELECT '{kind}' AS predicate, symbol, {why} NOT IN ('fetched_lately', 'fresh') AS needs_update, {why} AS update_reason FROM st"
+    lately = f"WHEN {recent} THEN 'recent_attempt' " if recent else ""
+    why = f"CASE {tests} {lately}ELSE 'fresh' END"
+    return f"SELECT '{kind}' AS predicate, symbol, {why} NOT IN ('recent_attempt', 'fresh') AS needs_update, {why} AS update_reason FROM {rows}"
 
 
-_old, _nolast, _early = ("min_date < DATE '1900-01-01'", "before_first_day"), ("max_date IS NULL", "no_last_day"), (f"max_date < DATE '{TARGET}'", "ends_early")
+_old, _nolast, _early = ("min_date < DATE '1900-01-01'", "below_min_historical_date"), ("max_date IS NULL", "missing_max_date"), (f"max_date < DATE '{TARGET}'", "stale_max_date")
+_aged = ("DATE '2001-11-05' - max_date > 90", "stale_max_date")
 
 
-@query("s35_all_predicates", f"""WITH {STATES} {_needs('price', (_missing, 'missing'), _old, _nolast, _early)} UNION ALL {_needs('fundamental', (_missing, 'missing'), _nolast, ("DATE '2001-11-05' - max_date > 90", 'stale'))}
-UNION ALL {_needs('macro', (_missing, 'missing'), ("min_date > DATE '1995-06-01'", 'starts_late'), _old, _nolast, _early)} UNION ALL {_needs('profile', ('last_fetched IS NULL', 'never_fetched'), (f"last_fetched <= TIMESTAMP '{NOW}' - INTERVAL 720 HOUR", 'stale'), recent=None)}
-UNION ALL {_needs('filing', (_missing, 'missing'), _nolast, ("DATE '2001-11-05' - max_date > 150", 'filing_due'))}""", dates=[])
+@query("s35_all_predicates", f"""WITH {STATES} {_needs('price', (_missing, 'missing'), _old, _nolast, _early)} UNION ALL {_needs('fundamental', (_missing, 'missing'), _nolast, _aged)}
+UNION ALL {_needs('macro', (_missing, 'missing'), ("min_date > DATE '1995-06-01'", 'incomplete_early_history'), _old, _nolast, _early)}
+UNION ALL {_needs('profile', ('row_count = 0', 'missing'), ('last_fetched IS NULL', 'missing_fetched_at'), (f"last_fetched <= TIMESTAMP '{NOW}' - INTERVAL 720 HOUR", 'stale_profile'), recent=None)}
+UNION ALL {_needs('disclosure', (_missing, 'missing'), _old, (_LACKS, 'upgrade_panel_schema'), ('year(min_date) > 1996', 'incomplete_history'), _nolast, _aged, rows="st WHERE section = 'etf_nport_disclosure'")}""", dates=[])
 def s35(spark, sf):
     s = states(spark, sf)
+    profiles = s.filter("row_count > 0").select("symbol", F.col("last_fetched").alias("fetched_at"))
     each = {
         "price": p.price_needs_update(s, target(), now()), "fundamental": p.fundamental_needs_update(s, now()), "macro": p.macro_needs_update(s, target(), now(), history_start=F.lit("1995-06-01").cast("date")),
-        "profile": p.profile_needs_update(s.withColumn("fetched_at", F.col("last_fetched")), now()), "filing": p.filing_needs_update(s, now()),
+        "profile": p.profile_needs_update(s.select("symbol"), profiles, now()), "disclosure": p.disclosure_needs_update(s.filter("section = 'etf_nport_disclosure'"), now(), start_year=1995),
     }
     out = None
     for kind, rows in each.items():
@@ -92,6 +110,17 @@ def s35(spark, sf):
     return out
 
 
+@query("s35_macro_and_fresh_symbols", f"""WITH {STATES}, m AS (SELECT ['GDP', 'CPI', 'unemploymentRate'][(substr(symbol, 2)::INT) % 3 + 1] AS series, substr(symbol, 2)::INT // 3 AS g, * FROM st), w(series) AS (VALUES ('GDP'), ('CPI')),
+n AS (SELECT coalesce(bool_or(coalesce(row_count, 0) <= 0 OR min_date > DATE '1900-01-01' OR min_date < DATE '1900-01-01' OR max_date IS NULL OR max_date < DATE '{TARGET}'), false) AS b FROM w LEFT JOIN m USING (series))
+SELECT symbol, (SELECT b FROM n) AS macro_needed FROM st WHERE section = 'prices' AND provider IN ('p0', 'p1') AND max_date >= DATE '{TARGET}'""", dates=[])
+def s35_more(spark, sf):
+    s = states(spark, sf)
+    n = F.substring("symbol", 2, 20).cast("int")
+    macro = s.withColumns({"symbol": F.element_at(F.array(*[F.lit(x) for x in ("GDP", "CPI", "unemploymentRate")]), n % 3 + 1), "section": F.lit("macro_economic")})
+    needed = p.macro_backfill_needed(macro, target(), now(), series=("GDP", "CPI"), treasury=False)
+    return p.fresh_symbols(s, target(), ("p0", "p1")).crossJoin(needed.withColumnRenamed("needs_backfill", "macro_needed"))  # one row
+
+
 _code = "CASE upper(country) " + " ".join(f"WHEN '{k}' THEN '{c}'" for k, c in COUNTRIES.items()) + " ELSE upper(country) END"
 
 

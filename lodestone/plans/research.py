@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestone.operators import labels, research as r
+from lodestone.operators import labels, planning, research as r, upsert
 from lodestone.operators.technical import returns
 from lodestone.plans.events import TYPED, typed
 from lodestone.plans.prices import _guard
@@ -162,9 +162,7 @@ def v22b(spark, sf):
     return r.best_by_target(matrix(sf, spark)).select("target", "feature", "std_diff", "rank")
 
 
-@query("s35_needs_update", f"WITH {PRICES} SELECT symbol, max(date) < DATE '2001-10-20' AS needs_update, CASE WHEN max(date) < DATE '2001-10-20' THEN 'ends before target' ELSE 'fresh' END AS update_reason FROM prices GROUP BY ALL", dates=[])
+@query("s35_needs_update", f"WITH {PRICES} SELECT symbol, max(date) < DATE '2001-10-20' AS needs_update, CASE WHEN max(date) < DATE '2001-10-20' THEN 'stale_max_date' ELSE 'fresh' END AS update_reason FROM prices GROUP BY ALL", dates=[])
 def s35(spark, sf):
-    from lodestone.operators import upsert
-
-    states = upsert.coverage(prices(spark, sf), ["symbol"])
-    return upsert.needs_update(states, F.lit("2001-10-20").cast("date")).select("symbol", "needs_update", "update_reason")
+    states = upsert.coverage(prices(spark, sf), ["symbol"]).withColumn("last_fetched", F.lit(None).cast("timestamp"))
+    return planning.price_needs_update(states, F.lit("2001-10-20").cast("date"), F.current_timestamp()).select("symbol", "needs_update", "update_reason")

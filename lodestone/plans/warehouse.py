@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestone.operators import planning
-from lodestone.operators import asof, upsert as u
+from lodestone.operators import asof, planning, upsert as u
+from lodestone.operators.planning import gap_plan
+from lodestone.plans.planning import LADDER, NOW, TARGET
 from lodestone.plans.registry import query
 from lodestone.sources import normalize as n
 from lodestone.views import CHAIN, MACRO, PRICES, PROFILES, STATEMENTS, chain, macro, prices, profiles, raw_events, statements, table, EVENTS
@@ -169,14 +170,20 @@ def s33(spark, sf):
     return u.eligibility(profiles(spark, sf).select("symbol"), ("prices", "early"), counts.unionByName(early))
 
 
-PLAN = f"""{PRICES}, st AS (SELECT symbol, min(date) AS min_date, max(date) AS max_date, count(*) AS row_count, cast(DATE '1995-01-01' + INTERVAL 1 DAY * cast(cast(substr(symbol, 2) AS INTEGER) % 20 - 10 AS INTEGER) AS DATE) AS listing_date FROM prices GROUP BY ALL)"""
+# Prices as states of a section, never fetched by a known time.
+PLAN = f"""{PRICES}, st AS (SELECT symbol, 'prices' AS section, min(date) AS min_date, max(date) AS max_date, count(*) AS row_count, cast(DATE '1995-01-01' + INTERVAL 1 DAY * cast((cast(substr(symbol, 2) AS INTEGER) % 20 - 19) * 5 AS INTEGER) AS DATE) AS listing_date,
+  cast(NULL AS TIMESTAMP) AS last_fetched, false AS is_etf, cast(NULL AS VARCHAR[]) AS columns_present FROM prices GROUP BY ALL), {LADDER}"""
 
 
-@query("s34_refresh_plan", f"""WITH {PLAN} SELECT symbol, CASE WHEN min_date > listing_date + 7 THEN 'head' WHEN max_date < DATE '2001-10-20' THEN 'tail' ELSE 'skip' END AS mode,
-CASE WHEN min_date > listing_date + 7 THEN listing_date WHEN max_date < DATE '2001-10-20' THEN max_date - 5 END AS fetch_start, CASE WHEN min_date > listing_date + 7 THEN min_date - 1 WHEN max_date < DATE '2001-10-20' THEN DATE '2001-10-20' END AS fetch_end FROM st""", dates=["fetch_start", "fetch_end"])
+def price_plan(spark, sf):
+    listed = F.date_add(F.lit("1995-01-01").cast("date"), (F.substring("symbol", 2, 20).cast("int") % 20 - 19) * 5)
+    states = u.coverage(prices(spark, sf), ["symbol"]).withColumns({"section": F.lit("prices"), "listing_date": listed, "last_fetched": F.lit(None).cast("timestamp")})
+    return gap_plan(states, F.lit(TARGET).cast("date"), F.lit(NOW).cast("timestamp"))
+
+
+@query("s34_refresh_plan", f"WITH {PLAN} SELECT symbol, mode, fetch_start, fetch_end FROM plan", dates=["fetch_start", "fetch_end"])
 def s34(spark, sf):
-    states = u.coverage(prices(spark, sf), ["symbol"]).withColumn("listing_date", F.date_add(F.lit("1995-01-01").cast("date"), F.substring("symbol", 2, 20).cast("int") % 20 - 10))
-    return u.refresh_plan(states, F.lit("2001-10-20").cast("date")).select("symbol", "mode", "fetch_start", "fetch_end")
+    return price_plan(spark, sf).select("symbol", "mode", "fetch_start", "fetch_end")
 
 
 @query("s36_expected_date", "SELECT event_id, cast(CASE WHEN isodow(l) < 6 AND hour(l) >= 17 THEN cast(l AS DATE) ELSE cast(l AS DATE) - CASE isodow(l) WHEN 1 THEN 3 WHEN 7 THEN 2 ELSE 1 END END AS DATE) AS date FROM (SELECT event_id, ts - INTERVAL 5 HOUR AS l FROM events)")
@@ -195,10 +202,9 @@ def s38(spark, sf):
     return u.same_table(prices(spark, sf), prices(spark, sf))
 
 
-@query("s42_s45_listing_and_summary", f"WITH {PLAN}, p AS (SELECT CASE WHEN min_date > listing_date + 7 THEN 'head' WHEN max_date < DATE '2001-10-20' THEN 'tail' ELSE 'skip' END AS mode FROM st) SELECT mode, count(*) AS n FROM p GROUP BY ALL", dates=[])
+@query("s42_s45_listing_and_summary", f"WITH {PLAN} SELECT mode, count(*) AS n FROM plan GROUP BY ALL", dates=[])
 def s45(spark, sf):
-    states = u.coverage(prices(spark, sf), ["symbol"]).withColumn("listing_date", F.date_add(F.lit("1995-01-01").cast("date"), F.substring("symbol", 2, 20).cast("int") % 20 - 10))
-    return u.refresh_plan(states, F.lit("2001-10-20").cast("date")).groupBy("mode").agg(F.count("*").alias("n"))
+    return price_plan(spark, sf).groupBy("mode").agg(F.count("*").alias("n"))
 
 
 JOINED = "p.symbol = s.symbol AND p.date >= s.period_ending"

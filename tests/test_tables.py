@@ -25,13 +25,7 @@ def test_prices_are_normalised(spark):
     assert [(r.date, r.close, r.volume, r["v__market_cap"]) for r in rows] == [(D("2024-01-01"), 2.5, None, 8.0)]
 
 
-def test_refresh_plan_and_gaps(spark):
-    s = spark.createDataFrame([("new", None, None, 0, D("2024-01-01")), ("late", D("2024-03-01"), D("2024-06-01"), 9, D("2024-01-01")), ("old", D("2024-01-01"), D("2024-05-01"), 9, D("2024-01-01")), ("ok", D("2024-01-01"), D("2024-06-03"), 9, None)], "symbol string, min_date date, max_date date, row_count int, listing_date date")
-    from pyspark.sql import functions as F
-
-    plan = {r.symbol: r for r in upsert.refresh_plan(s, F.lit("2024-06-03").cast("date")).collect()}
-    assert {k: r["mode"] for k, r in plan.items()} == {"new": "full", "late": "head", "old": "tail", "ok": "skip"}
-    assert (plan["old"].fetch_start, plan["late"].fetch_end) == (D("2024-04-26"), D("2024-02-29"))
+def test_gaps(spark):
     days = spark.createDataFrame([("A", D(f"2024-01-{d:02}")) for d in (1, 2, 4, 5, 8, 9)], "symbol string, date date")
     runs = sorted((r.start.day, r.end.day, r.days) for r in upsert.contiguous_ranges(days, ["symbol"]).collect())
     assert runs == [(1, 2, 2), (4, 9, 4)]
