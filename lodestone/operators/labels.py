@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.columns import by_date
+from lodestone.operators.quantiles import exact_quantiles
+from lodestone.scratch import written
 
 
 def forward_returns(prices: DataFrame, horizons: Iterable[int] = (1, 5, 20), *, price: str = "close", log: bool = False) -> DataFrame:
@@ -139,13 +141,18 @@ def label_rows(trades: DataFrame) -> DataFrame:
 
 
 def trade_statistics(trades: DataFrame, *by: str) -> DataFrame:
-    """Counts, shares of wins and losses in percent, mean, median, deviation, Sharpe-like ratio and mean holding of trades."""
-    t = completed(trades)
+    """Counts, shares of wins and losses in percent, mean, median, deviation, Sharpe-like ratio and mean holding of trades; the trades are written once."""
+    t = written(completed(trades).select(*by, "ret", "hold_days"), "trade-statistics")
     share = lambda c: F.round(100 * F.avg(c.cast("double")), 2)
-    return t.groupBy(*by).agg(
-        F.count("*").alias("trades"), share(F.col("ret") > 0).alias("win_pct"), share(F.col("ret") < 0).alias("loss_pct"), F.avg("ret").alias("mean_ret"), F.percentile("ret", 0.5).alias("median_ret"),
+    medians = exact_quantiles(t, "ret", (0.5,), by, name="__m").withColumnsRenamed({c: f"__{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    out = t.groupBy(*by).agg(
+        F.count("*").alias("trades"), share(F.col("ret") > 0).alias("win_pct"), share(F.col("ret") < 0).alias("loss_pct"), F.avg("ret").alias("mean_ret"),
         F.stddev_samp("ret").alias("std_ret"), F.try_divide(F.avg("ret"), F.nullif(F.stddev_samp("ret"), F.lit(0.0))).alias("sharpe"), F.avg("hold_days").alias("mean_hold"),
     )
+    return out.join(medians, same, "left").select(*by, "trades", "win_pct", "loss_pct", "mean_ret", F.get("__m", F.lit(0)).alias("median_ret"), "std_ret", "sharpe", "mean_hold")
 
 
 def optimal_events(trades: DataFrame, *, fee_bps: float = 1.0, slip_bps: float = 2.0) -> DataFrame:
@@ -168,7 +175,7 @@ def global_pct_rank(df: DataFrame, value: str, name: str = "rank_pct") -> DataFr
 
     The bounds of the slices are SLICES quantiles at most, found once, so that every part of the plan cuts alike.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
+    counts = written(df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n")), "ranks")
     bounds = sorted(set(counts.select(F.col(value).cast("double").alias("v")).approxQuantile("v", [i / SLICES for i in range(1, SLICES)], 0.002)))
     part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(value))) if bounds else F.lit(0)
     ranged = counts.withColumn("__part", part)
@@ -176,12 +183,34 @@ def global_pct_rank(df: DataFrame, value: str, name: str = "rank_pct") -> DataFr
     before = totals.select("__part", (F.sum("here").over(Window.orderBy("__part")) - F.col("here")).alias("before"), F.sum("here").over(Window.partitionBy()).alias("all"))
     w = Window.partitionBy("__part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranks = ranged.join(before, "__part").withColumn(name, (F.col("before") + F.sum("n").over(w) - (F.col("n") - 1) / 2) / F.col("all"))
-    return df.join(ranks.select(value, name), value, "left")
+    # rows of no value have no rank: they don't meet in the join
+    return df.filter(F.col(value).isNotNull()).join(ranks.select(value, name), value).unionByName(df.filter(F.col(value).isNull()).withColumn(name, F.lit(None).cast("double")))
 
 
 def distribution(df: DataFrame, value: str, *by: str) -> DataFrame:
-    """n, mean, population deviation, skewness and excess kurtosis."""
-    return df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.skewness(value).alias("skew"), F.kurtosis(value).alias("kurtosis"))
+    """n, mean, population deviation, skewness, excess kurtosis and the p-value of the omnibus test of normality (null under 8 values or without spread)."""
+    rows = df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.skewness(value).alias("skew"), F.kurtosis(value).alias("kurtosis"))
+    return rows.withColumn("normal_p", F.when((F.col("n") >= 8) & (F.col("std") > 0), normality(F.col("n"), F.col("skew"), F.col("kurtosis"))))
+
+
+def normality(n: Column, skew: Column, kurtosis: Column) -> Column:
+    """The p-value of the omnibus statistic: population skewness and excess kurtosis, each turned to a standard normal, squared and added; chi-squared with two degrees of freedom.
+
+    The transforms are D'Agostino's of the skewness and Anscombe and Glynn's of the kurtosis; see D'Agostino, Belanger and D'Agostino (1990).
+    """
+    n = n.cast("double")
+    y = skew * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
+    beta = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
+    w2 = F.sqrt(2 * (beta - 1)) - 1
+    scaled = y / F.sqrt(2 / (w2 - 1))
+    z_skew = F.asinh(scaled) / F.sqrt(F.ln(w2) / 2)
+    spread = F.sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5)))
+    x = (kurtosis + 3 - 3 * (n - 1) / (n + 1)) / spread
+    root = 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
+    a = 6 + 8 / root * (2 / root + F.sqrt(1 + 4 / (root * root)))
+    denominator = 1 + x * F.sqrt(2 / (a - 4))
+    z_kurtosis = (1 - 2 / (9 * a) - F.signum(denominator) * F.cbrt((1 - 2 / a) / F.abs(denominator))) / F.sqrt(2 / (9 * a))
+    return F.exp(-(z_skew * z_skew + z_kurtosis * z_kurtosis) / 2)
 
 
 def action_labels(grid: DataFrame, trades: DataFrame) -> DataFrame:

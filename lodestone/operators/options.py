@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import functools
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -62,44 +62,80 @@ def implied_vol(call: np.ndarray, price: np.ndarray, spot: np.ndarray, strike: n
     return out
 
 
-def greeks(call: np.ndarray, spot: np.ndarray, strike: np.ndarray, years: np.ndarray, rate: float, vol: np.ndarray) -> dict[str, np.ndarray]:
-    """Delta, gamma, theta a day, vega and rho for a change of 1 in volatility and rate."""
-    with np.errstate(all="ignore"):
-        root = vol * np.sqrt(years)
-        d1 = (np.log(spot / strike) + (rate + vol**2 / 2) * years) / root
-        d2, discount = d1 - root, np.exp(-rate * years)
-        density = np.exp(-(d1**2) / 2) / math.sqrt(2 * math.pi)
-        decay = -spot * density * vol / (2 * np.sqrt(years))
-        carry = rate * strike * discount
-        return {
-            "delta": np.where(call, normal_cdf(d1), normal_cdf(d1) - 1), "gamma": density / (spot * root), "theta": np.where(call, decay - carry * normal_cdf(d2), decay + carry * normal_cdf(-d2)) / 365,
-            "vega": spot * density * np.sqrt(years), "rho": np.where(call, strike * years * discount * normal_cdf(d2), -strike * years * discount * normal_cdf(-d2)),
-        }
+# Hart's rational approximation of the normal distribution's lower tail (as given by West, 2005), and where its continued fraction takes over.
+TAIL_OVER = (0.0352624965998911, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931, 220.206867912376)
+TAIL_UNDER = (0.0883883476483184, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752)
+FAR = 7.07106781186547
+
+
+def normal_distribution(x: Column) -> Column:
+    """The normal distribution function, right to 1e-14 or so, as an expression that stays in generated code."""
+    size = F.abs(x)
+    polynomial = lambda coefficients: functools.reduce(lambda p, c: p * size + c, coefficients[1:], F.lit(coefficients[0]))
+    fraction = size + 1 / (size + 2 / (size + 3 / (size + 4 / (size + 0.65))))
+    tail = F.exp(-size * size / 2) * F.when(size < FAR, polynomial(TAIL_OVER) / polynomial(TAIL_UNDER)).otherwise(1 / fraction / 2.506628274631)
+    return F.when(size > 37, F.when(x > 0, 1.0).otherwise(0.0)).when(x > 0, 1 - tail).otherwise(tail)
+
+
+def _terms(spot: Column, strike: Column, years: Column, rate: float, vol: Column) -> tuple[Column, Column, Column]:
+    """d1, d2 and the discount; null where a logarithm or root has no value."""
+    ok = (spot > 0) & (strike > 0) & (years > 0) & (vol > 0)
+    root = vol * F.sqrt(years)
+    d1 = F.when(ok, (F.ln(spot / strike) + (rate + vol * vol / 2) * years) / root)
+    return d1, d1 - root, F.exp(-rate * years)
+
+
+def _distributions(rows: DataFrame, spot: Column, strike: Column, years: Column, rate: float, vol: Column) -> DataFrame:
+    """Adds __d1, __n1 and __n2 (the distribution at d1 and d2) and __disc, one after the other, so that no expression holds another many times."""
+    d1, d2, discount = _terms(spot, strike, years, rate, vol)
+    return rows.withColumns({"__d1": d1, "__d2": d2, "__disc": discount}).withColumns({"__n1": normal_distribution(F.col("__d1")), "__n2": normal_distribution(F.col("__d2"))}).drop("__d2")
+
+
+def add_price(rows: DataFrame, call: Column, spot: Column, strike: Column, years: Column, rate: float, vol: Column, *, name: str = "price") -> DataFrame:
+    """Adds the Black-Scholes price; null where it has no value."""
+    rows = _distributions(rows, spot, strike, years, rate, vol)
+    n1, n2, kept = F.col("__n1"), F.col("__n2"), strike * F.col("__disc")
+    return rows.withColumn(name, F.when(call, spot * n1 - kept * n2).otherwise(kept * (1 - n2) - spot * (1 - n1))).drop("__d1", "__n1", "__n2", "__disc")
+
+
+def add_greeks(rows: DataFrame, call: Column, spot: Column, strike: Column, years: Column, rate: float, vol: Column) -> DataFrame:
+    """Adds delta, gamma, theta a day, vega and rho (for a change of 1 in volatility and rate), where they are null or not there; null where they have no value."""
+    rows = _distributions(rows, spot, strike, years, rate, vol).withColumn("__phi", F.exp(-F.col("__d1") * F.col("__d1") / 2) / math.sqrt(2 * math.pi))
+    n1, n2, phi, disc = F.col("__n1"), F.col("__n2"), F.col("__phi"), F.col("__disc")
+    decay, carry = -spot * phi * vol / (2 * F.sqrt(years)), rate * strike * disc
+    found = {
+        "delta": F.when(call, n1).otherwise(n1 - 1), "gamma": phi / (spot * vol * F.sqrt(years)), "theta": F.when(call, decay - carry * n2).otherwise(decay + carry * (1 - n2)) / 365,
+        "vega": spot * phi * F.sqrt(years), "rho": F.when(call, strike * years * disc * n2).otherwise(-strike * years * disc * (1 - n2)),
+    }
+    return rows.withColumns({k: F.coalesce(k, v) if k in rows.columns else v for k, v in found.items()}).drop("__d1", "__disc", "__n1", "__n2", "__phi")
 
 
 def with_greeks(chain: DataFrame, rate: float = 0.0) -> DataFrame:
-    """Fills null iv and greeks from the mid price (columns option_type, mid, spot, strike, dte); iv_source and greeks_source tell which were."""
+    """Fills null iv and greeks from the mid price (columns option_type, mid, spot, strike, dte); iv_source and greeks_source tell which were.
+
+    Greeks are expressions; only the search for the volatility is Python, over batches of the five columns that it needs.
+    """
     rows = chain
     for c in ("iv", *GREEKS):
         if c not in chain.columns:
             rows = rows.withColumn(c, F.lit(None).cast("double"))
-    schema = rows.withColumns({"iv_source": F.lit(""), "greeks_source": F.lit("")}).schema
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            call = pdf["option_type"].str.lower().eq("call").to_numpy()
-            price, spot, strike, years = (pdf[c].to_numpy(float) for c in ("mid", "spot", "strike", "dte"))
-            years = years / 365.0
-            given = pdf["iv"].notna()
-            pdf["iv"] = pdf["iv"].where(given, implied_vol(call, price, spot, strike, years, rate))
-            pdf["iv_source"] = np.where(given, "vendor", np.where(pdf["iv"].notna(), "implied", None))
-            had = pdf[list(GREEKS)].notna().all(axis=1)
-            for name, x in greeks(call, spot, strike, years, rate, pdf["iv"].to_numpy(float)).items():
-                pdf[name] = pdf[name].where(pdf[name].notna(), np.where(np.isfinite(x), x, np.nan))
-            pdf["greeks_source"] = np.where(had, "vendor", np.where(pdf["delta"].notna(), "implied", None))
-            yield pdf
+    @F.pandas_udf("double")
+    def search(call: pd.Series, price: pd.Series, spot: pd.Series, strike: pd.Series, years: pd.Series) -> pd.Series:
+        found = implied_vol(call.to_numpy(bool), *(x.to_numpy(float) for x in (price, spot, strike, years)), rate)
+        return pd.Series(found).astype(object).where(np.isfinite(found), None).astype("Float64")
 
-    return rows.mapInPandas(run, schema)
+    call, years = F.lower("option_type") == "call", F.col("dte") / 365.0
+    number = lambda c: F.col(c).cast("double")
+    implied = search(F.coalesce(call, F.lit(False)), *(F.when(F.col("iv").isNull(), number(c)) for c in ("mid", "spot", "strike")), years)
+    rows = rows.withColumns({"__given": F.col("iv").isNotNull(), "__iv": F.nanvl(implied, F.lit(None).cast("double"))})
+    given = F.lit(True)
+    for c in GREEKS:
+        given = given & F.col(c).isNotNull()
+    rows = rows.withColumns({"iv": F.coalesce("iv", "__iv"), "greeks_source": F.when(given, "vendor")}).withColumn("iv_source", F.when(F.col("__given"), "vendor").when(F.col("iv").isNotNull(), "implied"))
+    rows = add_greeks(rows, F.coalesce(call, F.lit(False)), number("spot"), number("strike"), years, rate, F.col("iv"))
+    rows = rows.withColumn("greeks_source", F.coalesce("greeks_source", F.when(F.col("delta").isNotNull(), "implied")))
+    return rows.select(*chain.columns, *[c for c in ("iv", *GREEKS) if c not in chain.columns], "iv_source", "greeks_source")
 
 
 def greek_ratios(chain: DataFrame) -> DataFrame:
@@ -131,17 +167,41 @@ def return_rank(candidates: DataFrame, *keys: str) -> DataFrame:
     return candidates.withColumns({"rank": down, "rank_pct": up / n})
 
 
-def score_weights(candidates: DataFrame, *keys: str, aversion: float = 1.0, cap: float | None = None, rounds: int = 8, tie: str = "option_symbol") -> DataFrame:
-    """Score (expected return less aversion times risk), its rank, and weights in proportion to positive scores; weight over ``cap`` is dealt to the others."""
+def score_weights(candidates: DataFrame, *keys: str, aversion: float = 1.0, cap: float | None = None, long_only: bool = True, tie: str = "option_symbol") -> DataFrame:
+    """Score (expected return less aversion times risk), its rank (equal scores by ``tie``), selected (rank 1), and weights of a group that sum to 1, none above ``cap``.
+
+    Weights are in proportion to positive scores, null scores counting 0; if none is positive, the best has all. Not ``long_only``: in proportion to the gap from the worst, or equal.
+    What lies above the cap goes to the others in their proportion, exactly: in order of size the first rows are at the cap, the rest share what they leave. If even all
+    rows of a positive share at the cap leave something, the others get it in equal parts; if the cap times the group's rows is below 1, all weights are equal.
+    """
+    if cap is not None and cap <= 0:
+        raise ValueError("cap must be positive")
     w = Window.partitionBy(*keys)
     rows = candidates.withColumn("score", F.col("expected_return") - aversion * F.col("risk"))
-    rows = rows.withColumns({"score_rank": F.row_number().over(w.orderBy(F.desc_nulls_last("score"), tie)), "__p": F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(0.0))})
-    rows = rows.withColumn("weight", F.coalesce(ratio(F.col("__p"), F.sum("__p").over(w)), F.lit(0.0)))
-    for _ in range(rounds if cap is not None else 0):
-        excess = F.sum(F.greatest(F.col("weight") - cap, F.lit(0.0))).over(w)
-        room = F.sum(F.when(F.col("weight") < cap, F.col("weight")).otherwise(0.0)).over(w)
-        rows = rows.withColumns({"__e": excess, "__r": room}).withColumn("weight", F.when(F.col("weight") >= cap, F.lit(cap)).otherwise(F.col("weight") + F.coalesce(F.col("__e") * ratio(F.col("weight"), F.col("__r")), F.lit(0.0)))).drop("__e", "__r")
-    return rows.drop("__p").withColumn("selected", F.col("score_rank") == 1)
+    number = F.coalesce(F.nanvl("score", F.lit(None).cast("double")), F.lit(0.0))
+    rows = rows.withColumns({"score_rank": F.row_number().over(w.orderBy(F.desc_nulls_last("score"), tie)), "__p": F.when(F.abs(number) == float("inf"), 0.0).otherwise(number)})
+    if long_only:
+        best = F.row_number().over(w.orderBy(F.desc("__p"), tie)) == 1
+        rows = rows.withColumn("__p", F.when(F.max("__p").over(w) > 0, F.greatest("__p", F.lit(0.0))).otherwise(best.cast("double")))
+    else:
+        rows = rows.withColumn("__p", F.col("__p") - F.min("__p").over(w)).withColumn("__p", F.when(F.sum("__p").over(w) > 0, F.col("__p")).otherwise(1.0))
+    rows = rows.withColumn("__p", F.col("__p") / F.sum("__p").over(w))
+    if cap is None or cap >= 1:
+        return rows.withColumnRenamed("__p", "weight").withColumn("selected", F.col("score_rank") == 1)
+    down = w.orderBy(F.desc("__p"), tie)
+    before = F.coalesce(F.sum("__p").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    rows = rows.withColumns({"__i": F.row_number().over(down) - 1, "__b": before, "__n": F.count("*").over(w), "__some": F.sum((F.col("__p") > 0).cast("long")).over(w)})
+    # a row is at the cap if its share of what the larger ones leave is more; these rows come first
+    rows = rows.withColumn("__at", (F.col("__p") > 0) & (F.col("__p") * (1 - F.col("__i") * cap) >= cap * (1 - F.col("__b"))))
+    capped = F.sum(F.col("__at").cast("long")).over(w)
+    taken = F.sum(F.when(F.col("__at"), F.col("__p")).otherwise(0.0)).over(w)
+    rows = rows.withColumns({"__c": capped, "__t": taken})
+    share = (1 - F.col("__c") * cap) * F.col("__p") / (1 - F.col("__t"))
+    weight = (
+        F.when(cap * F.col("__n") < 1, 1.0 / F.col("__n")).when((F.col("__p") > 0) & (cap * F.col("__some") <= 1), F.lit(cap)).when(cap * F.col("__some") < 1, (1 - cap * F.col("__some")) / (F.col("__n") - F.col("__some")))
+        .when(F.col("__p") <= 0, 0.0).when(F.col("__at"), F.lit(cap)).otherwise(F.least(share, F.lit(cap)))
+    )
+    return rows.withColumn("weight", weight).drop("__p", "__i", "__b", "__n", "__some", "__at", "__c", "__t").withColumn("selected", F.col("score_rank") == 1)
 
 
 def hybrid_mu(candidates: DataFrame, *keys: str, weight: float = 0.5) -> DataFrame:
@@ -174,33 +234,105 @@ def closed_form_weights(mu: np.ndarray, cov: np.ndarray, *, aversion: float = 1.
     return inverse @ (mu - level) / aversion
 
 
-def mean_variance_weights(mu: np.ndarray, cov: np.ndarray, *, aversion: float = 1.0, cap: float = 1.0, steps: int = 60, long_only: bool = True, gross: float | None = None, least: float = 0.0, eligible: np.ndarray | None = None, shrink: float = 0.0) -> np.ndarray:
-    """Weights that sum to 1 and nearly maximise mu'w - aversion w'Cw / 2.
+def active_set_weights(mu: np.ndarray, cov: np.ndarray, *, aversion: float = 1.0, cap: float = 1.0) -> np.ndarray:
+    """The weights from 0 to ``cap`` that sum to 1 and maximise mu'w - aversion w'Cw / 2, to rounding.
+
+    Weights are free, or held at 0 or the cap. With those held, the free ones solve a linear system (optimal but for the bounds); a step towards its solution ends at the first
+    bound it meets, which is then held. At the solution a held weight whose gradient wants it back is freed, the most wanted first. A small ridge keeps the system solvable
+    where the covariance is not of full rank; it is a 10^-12 part of the mean variance.
+    """
+    n = len(mu)
+    cap = max(cap, 1 / n)
+    c = aversion * np.asarray(cov, float)
+    c = c + np.eye(n) * max(1e-12 * np.trace(c) / n, 1e-15)
+    order = np.argsort(-mu, kind="stable")
+    w, left = np.zeros(n), 1.0
+    for i in order:  # a start on the bounds: the best returns at the cap
+        w[i] = min(cap, left)
+        left -= w[i]
+    free = (w > 0) & (w < cap)
+    near = 1e-12 * max(1.0, np.abs(mu).max())
+    for _ in range(50 * n + 50):
+        f, held = np.flatnonzero(free), ~free
+        if len(f) > 1:  # one alone cannot move
+            system = np.zeros((len(f) + 1, len(f) + 1))
+            system[:-1, :-1], system[:-1, -1], system[-1, :-1] = c[np.ix_(f, f)], 1, 1
+            solved = np.linalg.lstsq(system, np.append(mu[f] - c[np.ix_(f, held)] @ w[held], 1 - w[held].sum()), rcond=None)[0]
+            step = solved[:-1] - w[f]
+            moving = np.abs(step) > 1e-14
+            reach = np.full(len(f), np.inf)
+            reach[moving] = np.where(step < 0, -w[f], cap - w[f])[moving] / step[moving]
+            first = int(np.argmin(reach))
+            if reach[first] < 1:
+                w[f] = np.clip(w[f] + max(reach[first], 0.0) * step, 0, cap)
+                w[f[first]] = 0.0 if step[first] < 0 else cap
+                free[f[first]] = False
+                continue
+            w[f] = solved[:-1]
+        gradient = mu - c @ w
+        up, down = np.where(w < cap, gradient, -np.inf), np.where(w > 0, gradient, np.inf)
+        if len(f):
+            level = gradient[f].mean()
+            wants = np.where(free, 0.0, np.maximum(np.where(w < cap, gradient - level, 0.0), np.where(w > 0, level - gradient, 0.0)))
+            if wants.max() <= near:
+                break
+            free[wants.argmax()] = True
+        elif up.max() - down.min() <= near:
+            break
+        else:
+            free[[up.argmax(), down.argmin()]] = True
+    w = np.clip(w, 0, cap)
+    return w / w.sum()
+
+
+def diagonal_weights(mu: np.ndarray, variances: np.ndarray, *, aversion: float = 1.0, cap: float = 1.0) -> np.ndarray:
+    """The same for variances alone, in closed form: each weight is its return over a common level, by aversion times variance, cut to [0, cap].
+
+    The sum of the cut weights is piecewise linear in the level: the piece that sums to 1 is found by its corners. A variance of 0 counts as a 10^-12 part of the largest.
+    """
+    n = len(mu)
+    cap = max(cap, 1 / n)
+    v = aversion * np.maximum(variances, max(1e-12 * np.max(variances), 1e-15))
+    corners = np.sort(np.concatenate([mu, mu - cap * v]))  # ascending levels: the sum falls
+    sums = np.clip((mu[:, None] - corners) / v[:, None], 0, cap).sum(axis=0)
+    i = min(max(int(np.searchsorted(-sums, -1.0)), 1), len(corners) - 1)
+    gap = sums[i - 1] - sums[i]
+    level = corners[i] if gap <= 0 else corners[i - 1] + (sums[i - 1] - 1) / gap * (corners[i] - corners[i - 1])
+    w = np.clip((mu - level) / v, 0, cap)
+    return w / w.sum()
+
+
+def mean_variance_weights(mu: np.ndarray, cov: np.ndarray, *, aversion: float = 1.0, cap: float = 1.0, steps: int = 0, long_only: bool = True, gross: float | None = None, least: float = 0.0, eligible: np.ndarray | None = None, shrink: float = 0.0) -> np.ndarray:
+    """Weights that sum to 1 and maximise mu'w - aversion w'Cw / 2.
 
     ``cov``: a covariance matrix, or variances alone. ``eligible``: the others get 0. ``shrink``: the share by which returns move to the mean of the eligible ones.
-    Long-only (projected gradient): from 0 to ``cap`` each; weights under ``least`` become 0 and the others grow in proportion, up to ``cap``.
-    Else the closed form, cut to ``cap`` in size; with sizes that sum to more than ``gross``, it is mixed with equal weights until they don't.
+    Long-only: from 0 to ``cap`` each, exactly (`active_set_weights`, `diagonal_weights`), or by so many ``steps`` of projected gradient, if asked for; weights under ``least`` become 0 and the
+    others grow in proportion, up to ``cap``. Else the closed form, cut to ``cap`` in size; with sizes that sum to more than ``gross``, it is mixed with equal weights until they don't.
     """
     on = np.ones(len(mu), bool) if eligible is None else np.asarray(eligible, bool)
     out = np.zeros(len(mu))
     if not on.any():
         return out
-    cov = np.diag(np.maximum(cov, 0)) if np.ndim(cov) == 1 else np.asarray(cov, float)
-    m, c = np.asarray(mu, float)[on], cov[np.ix_(on, on)]
+    cov = np.asarray(cov, float)
+    m, c = np.asarray(mu, float)[on], np.maximum(cov, 0)[on] if cov.ndim == 1 else cov[np.ix_(on, on)]
     m = (1 - shrink) * m + shrink * m.mean()
     n = len(m)
     cap = max(cap, 1 / n)
     if long_only:
-        w = np.full(n, 1 / n)
-        rate = 1 / (aversion * max(np.linalg.eigvalsh(c)[-1], 1e-9) + 1e-9)
-        for _ in range(steps):
-            w = _projected(w + rate * (m - aversion * c @ w), cap)
+        if steps:
+            full = np.diag(c) if c.ndim == 1 else c
+            w = np.full(n, 1 / n)
+            rate = 1 / (aversion * max(np.linalg.eigvalsh(full)[-1], 1e-9) + 1e-9)
+            for _ in range(steps):
+                w = _projected(w + rate * (m - aversion * full @ w), cap)
+        else:
+            w = (diagonal_weights if c.ndim == 1 else active_set_weights)(m, c, aversion=aversion, cap=cap)
         if least > 0 and (w >= least).any():
             big = w >= least
-            w = np.zeros(n) if not big.any() else np.where(big, w, 0.0)
+            w = np.where(big, w, 0.0)
             w[big] = _projected(w[big] / w[big].sum(), max(cap, 1 / big.sum()))
     else:
-        w = np.clip(closed_form_weights(m, c, aversion=aversion), -cap, cap)
+        w = np.clip(closed_form_weights(m, np.diag(c) if c.ndim == 1 else c, aversion=aversion), -cap, cap)
         w = w / w.sum() if abs(w.sum()) > 1e-9 else np.full(n, 1 / n)
         size = np.abs(w).sum()
         if gross is not None and size > gross >= 1:

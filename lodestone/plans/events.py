@@ -65,7 +65,7 @@ q AS (SELECT event_type, horizon, quantile_cont(value, 0.01) AS lo, quantile_con
 @query("e11_event_study", f"WITH {STUDY} SELECT event_type, horizon, count(*) AS n, avg(least(greatest(value, lo), hi)) AS mean, median(value) AS median, avg((value > 0)::DOUBLE) AS hit_rate FROM v JOIN q USING (event_type, horizon) WHERE value IS NOT NULL GROUP BY ALL", floats=["mean", "median", "hit_rate"], dates=[])
 def e11(spark, sf):
     p = prices(spark, sf)
-    return e.event_study(typed(spark, sf), p, p.groupBy("date").agg(F.avg("close").alias("level")))
+    return e.event_study(typed(spark, sf), p, p.groupBy("date").agg(F.avg("close").alias("level")), horizons=(20, 60))
 
 
 PANEL = f"""{PRICES}, {TYPED}, al AS (SELECT DISTINCT symbol, date, event_type FROM (SELECT t.symbol, t.event_type, t.event_date, p.date FROM typed t ASOF JOIN prices p ON t.symbol = p.symbol AND t.event_date <= p.date) WHERE date - event_date <= 7),

@@ -75,12 +75,18 @@ def l12(spark, sf):
 
 
 @query("l20_distribution", f"""WITH {LONG}, m AS (SELECT target_name, avg(target_value) AS mean FROM long GROUP BY ALL),
-d AS (SELECT target_name, count(target_value) AS n, any_value(mean) AS mean, avg((target_value - mean) ** 2) AS m2, avg((target_value - mean) ** 3) AS m3, avg((target_value - mean) ** 4) AS m4 FROM long JOIN m USING (target_name) GROUP BY ALL)
-SELECT target_name, n, mean, sqrt(m2) AS std, m3 / m2 ** 1.5 AS skew, m4 / m2 ** 2 - 3 AS kurtosis FROM d""", floats=["mean", "std", "skew", "kurtosis"], dates=[])
+d AS (SELECT target_name, count(target_value) AS n, any_value(mean) AS mean, avg((target_value - mean) ** 2) AS m2, avg((target_value - mean) ** 3) AS m3, avg((target_value - mean) ** 4) AS m4 FROM long JOIN m USING (target_name) GROUP BY ALL),
+e AS (SELECT target_name, n::DOUBLE AS n, mean, sqrt(m2) AS std, m3 / m2 ** 1.5 AS skew, m4 / m2 ** 2 - 3 AS kurtosis FROM d),
+s AS (SELECT *, skew * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) AS y, sqrt(2 * (3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) - 1)) - 1 AS w,
+  (kurtosis + 3 - 3 * (n - 1) / (n + 1)) / sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3) * (n + 5))) AS x, 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS b FROM e),
+z AS (SELECT *, ln(y / sqrt(2 / (w - 1)) + sqrt(y * y / (2 / (w - 1)) + 1)) / sqrt(ln(w) / 2) AS zs, 6 + 8 / b * (2 / b + sqrt(1 + 4 / (b * b))) AS a FROM s),
+k AS (SELECT *, (1 - 2 / (9 * a) - sign(1 + x * sqrt(2 / (a - 4))) * ((1 - 2 / a) / abs(1 + x * sqrt(2 / (a - 4)))) ** (1 / 3.0::DOUBLE)) / sqrt(2 / (9 * a)) AS zk FROM z)
+SELECT target_name, n::BIGINT AS n, mean, std, skew, kurtosis, CASE WHEN n >= 8 AND std > 0 THEN exp(-(zs * zs + zk * zk) / 2) END AS normal_p FROM k""", floats=["mean", "std", "skew", "kurtosis", "normal_p"], dates=[])
 def l20(spark, sf):
     return l.distribution(l.forward_returns(prices(spark, sf)), "target_value", "target_name")
 
 
+
 @query("period_ends", "SELECT cast(l_shipdate AS DATE) AS date, cast(date_trunc('week', l_shipdate) + INTERVAL 6 DAY AS DATE) AS w, cast(last_day(l_shipdate) AS DATE) AS m, cast(date_trunc('quarter', l_shipdate) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS q, make_date(year(l_shipdate), 12, 31) AS y, count(*) AS n FROM lineitem GROUP BY ALL", dates=["date", "w", "m", "q", "y"])
 def periods(spark, sf):
     rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.to_date("l_shipdate").alias("date"))

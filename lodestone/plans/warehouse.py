@@ -229,6 +229,25 @@ def j01n(spark, sf):
     return asof.asof_join(prices(spark, sf).select("symbol", "date"), statements(spark, sf).select("symbol", "period_ending"), left_on="date", right_on="period_ending", by=("symbol",), direction="nearest")
 
 
+@query("j01_asof_without_key", f"""WITH {PRICES}, {MACRO}, r AS (SELECT date AS known, max(value) AS level FROM macro GROUP BY ALL) SELECT p.symbol, p.date, p.close, r.known, r.level FROM prices p ASOF LEFT JOIN r ON p.date > r.known""", floats=["level"], dates=["date", "known"], digits=2)
+def j01_keyless(spark, sf):
+    """Every price with the last month's level before its day, without a key: the days are cut into slices."""
+    levels = macro(spark, sf).groupBy(F.col("date").alias("known")).agg(F.max("value").alias("level"))
+    return asof.asof_join(prices(spark, sf).select("symbol", "date", "close"), levels, left_on="date", right_on="known", by=(), exact=False)
+
+
+_HOT = "CASE WHEN substr(symbol, 2)::INT % 2 = 0 THEN 'all even' ELSE symbol END"
+
+
+@query("j01_asof_dominant_key", f"""WITH {PRICES}, {STATEMENTS}, l AS (SELECT {_HOT} AS pool, symbol, date FROM prices), r AS (SELECT {_HOT} AS pool, period_ending, max(revenue) AS revenue FROM statements GROUP BY ALL)
+SELECT l.pool, l.symbol, l.date, r.period_ending, r.revenue FROM l ASOF LEFT JOIN r ON l.pool = r.pool AND l.date >= r.period_ending""", floats=["revenue"], dates=["date", "period_ending"], digits=2)
+def j01_hot(spark, sf):
+    """Half of all rows share one key, which is cut into slices of time."""
+    pool = F.when(F.substring("symbol", 2, 20).cast("int") % 2 == 0, "all even").otherwise(F.col("symbol")).alias("pool")
+    right = statements(spark, sf).groupBy(pool, "period_ending").agg(F.max("revenue").alias("revenue"))
+    return asof.asof_join(prices(spark, sf).select(pool, "symbol", "date"), right, left_on="date", right_on="period_ending", by=("pool",), slices=64)
+
+
 @query("j02_j03_lagged_statements", f"WITH {PRICES}, {STATEMENTS}, l AS (SELECT * REPLACE (period_ending + 45 AS period_ending) FROM statements) SELECT p.symbol, p.date, s.period_ending, s.revenue FROM prices p ASOF LEFT JOIN l s ON {JOINED}", floats=["revenue"], dates=["date", "period_ending"], digits=2)
 def j03(spark, sf):
     s = asof.lag_reports(statements(spark, sf), date_col="period_ending").select("symbol", "period_ending", "revenue")
