@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lodestone.functions.columns import by_date, ratio, rolling
@@ -79,14 +81,28 @@ def task_inventory(rows: DataFrame) -> DataFrame:
     return rows.groupBy("task").agg(F.count("*").alias("rows"), F.countDistinct("label").alias("labels"), F.countDistinct("family").alias("families"))
 
 
+def smoothing_weights(rows: int, degree: int, at: int) -> list[float]:
+    """The weights by which the least-squares polynomial through ``rows`` values gives its value at place ``at`` (0 the first)."""
+    powers = np.vander(np.arange(rows) - (rows - 1) / 2, degree + 1)
+    return (powers @ np.linalg.pinv(powers))[at].tolist()
+
+
+def smoothed(value: str, w: WindowSpec, *, rows: int = 21, degree: int = 2, at: int | None = None, lag: int = 1) -> Column:
+    """The value's smoothing polynomial over the ``rows`` rows that end ``lag`` rows before; by default at their last row, so that nothing later is known. Null until all are there."""
+    weights = smoothing_weights(rows, degree, rows - 1 if at is None else at)
+    return functools.reduce(lambda a, b: a + b, (x * F.lag(value, lag + rows - 1 - k).over(w) for k, x in enumerate(weights)))
+
+
 def statistical_family(prices: DataFrame) -> DataFrame:
-    """z-score of returns over 20 rows, population skewness and excess kurtosis over 63, and their mean of 21 rows lagged by one."""
+    """z-score of returns over 20 rows (population), population skewness and excess kurtosis over 63, the smoothed close (a parabola through 21 rows) as known the day before,
+    at the last of these rows and at their middle, and the close's distance from the former."""
     w = by_date("symbol")
     rows = prices.withColumn("r", ratio(F.col("close"), F.lag("close").over(w)) - 1)
     out = {
-        "st__z_20": ratio(F.col("r") - rolling(F.avg, "r", 20, w), rolling(F.stddev_samp, "r", 20, w)), "st__skew_63": rolling(F.skewness, "r", 63, w), "st__kurt_63": rolling(F.kurtosis, "r", 63, w),
+        "st__z_20": ratio(F.col("r") - rolling(F.avg, "r", 20, w), rolling(F.stddev_pop, "r", 20, w)), "st__skew_63": rolling(F.skewness, "r", 63, w), "st__kurt_63": rolling(F.kurtosis, "r", 63, w),
+        "st__trend_21": smoothed("close", w), "st__middle_21": smoothed("close", w, at=10),
     }
-    return rows.withColumns(out).withColumn("st__trend_21", F.lag(rolling(F.avg, "close", 21, w)).over(w)).drop("r")
+    return rows.withColumns(out).withColumn("st__dist_21", ratio(F.col("close"), F.col("st__trend_21")) - 1).drop("r")
 
 
 def rolling_beta(prices: DataFrame, rows: int = 20) -> DataFrame:

@@ -62,13 +62,13 @@ def guarded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a / (np.where(b == 0, np.nan, b) + EPS)
 
 
-def grouped(prices: DataFrame, *makers: Callable[[dict[str, np.ndarray]], Arrays], names: list[str]) -> DataFrame:
-    """``prices`` with the columns ``names`` that the makers give from a symbol's columns (open, high, low, close, volume as floats, by date); NaN becomes null."""
+def grouped(prices: DataFrame, *makers: Callable[[dict[str, np.ndarray]], Arrays], names: list[str], more: tuple[str, ...] = ()) -> DataFrame:
+    """``prices`` with the columns ``names`` that the makers give from a symbol's columns (open, high, low, close, volume and ``more`` as floats, by date); NaN becomes null."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prices.schema)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date", kind="stable")
-        x = {c: pdf[c].to_numpy(float, na_value=np.nan) for c in ("open", "high", "low", "close", "volume") if c in pdf}
+        x = {c: pdf[c].to_numpy(float, na_value=np.nan) for c in dict.fromkeys(("open", "high", "low", "close", "volume", *more)) if c in pdf}
         made: Arrays = {}
         with np.errstate(all="ignore"):
             for make in makers:

@@ -69,10 +69,18 @@ def _moment(p: int) -> str:
     return f"CASE WHEN n = 63 THEN {m(p)} / {m(2)} ** {p / 2!r}{' - 3' if p == 4 else ''} END"
 
 
-@query("p25_statistical_family", f"""WITH {RET}, s AS (SELECT symbol, date, (r - {_guard('avg', 'r', 20)}) / nullif({_guard('stddev_samp', 'r', 20)}, 0) AS st__z_20, list(r) OVER w AS l, count(r) OVER w AS n, {_guard('avg', 'close', 21)} AS m FROM r WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 62 PRECEDING))
-SELECT symbol, date, st__z_20, {_moment(3)} AS st__skew_63, {_moment(4)} AS st__kurt_63, lag(m) OVER (PARTITION BY symbol ORDER BY date) AS st__trend_21 FROM s""", floats=["st__z_20", "st__skew_63", "st__kurt_63", "st__trend_21"], digits=5)
+# The parabola by its normal equations: sums of the value, and of it times the place and the place's square, from -10 to 10.
+_sum = lambda e: f"list_sum(list_transform(range(-10, 11), lambda x: {e}))"
+_s0, _s1, _s2 = _sum("p[x + 11]"), _sum("x * p[x + 11]"), _sum("x * x * p[x + 11]")
+_fit = lambda x: f"((50666.0::DOUBLE * {_s0} - 770 * {_s2}) / (21 * 50666.0::DOUBLE - 770 * 770) + {x} * {_s1} / 770 + {x} * {x} * (21.0::DOUBLE * {_s2} - 770 * {_s0}) / (21 * 50666.0::DOUBLE - 770 * 770))"
+
+
+@query("p25_statistical_family", f"""WITH {RET}, s AS (SELECT symbol, date, close, (r - {_guard('avg', 'r', 20)}) / nullif(CASE WHEN count(r) OVER v = 20 THEN stddev_pop(r) OVER v END, 0) AS st__z_20, list(r) OVER w AS l, count(r) OVER w AS n, list(close) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 21 PRECEDING AND 1 PRECEDING) AS p
+  FROM r WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 62 PRECEDING), v AS (PARTITION BY symbol ORDER BY date ROWS 19 PRECEDING)),
+t AS (SELECT symbol, date, close, st__z_20, {_moment(3)} AS st__skew_63, {_moment(4)} AS st__kurt_63, CASE WHEN len(p) = 21 THEN {_fit(10)} END AS st__trend_21, CASE WHEN len(p) = 21 THEN {_fit(0)} END AS st__middle_21 FROM s)
+SELECT * EXCLUDE (close), close / nullif(st__trend_21, 0) - 1 AS st__dist_21 FROM t""", floats=["st__z_20", "st__skew_63", "st__kurt_63", "st__trend_21", "st__middle_21", "st__dist_21"], digits=5)
 def p25(spark, sf):
-    return r.statistical_family(prices(spark, sf)).select("symbol", "date", "st__z_20", "st__skew_63", "st__kurt_63", "st__trend_21")
+    return r.statistical_family(prices(spark, sf)).select("symbol", "date", "st__z_20", "st__skew_63", "st__kurt_63", "st__trend_21", "st__middle_21", "st__dist_21")
 
 
 @query("p22_rolling_beta", f"""WITH {PRICES}, m AS (SELECT *, {_guard('avg', 'close', 20)} AS m FROM prices)
