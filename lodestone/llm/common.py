@@ -46,9 +46,14 @@ def discard(df: DataFrame) -> None:
     """Delete the files of a materialised ``df`` that nothing reads any more."""
     spark = df.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/lodestone/" in folder and spark.sparkContext.applicationId in folder:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of this application's scratch folder."""
+    if "/lodestone/" in folder and spark.sparkContext.applicationId in folder:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def chunks(values: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, list]]:

@@ -33,6 +33,8 @@ SKETCH, INDEXED, CROWD, PIVOTS = 32, 24, 50, 3
 PIVOT_LISTS = 8
 #: Of a block of nodes: bytes of full sets (but for a single larger set), and nodes.
 BLOCK_BYTES, BLOCK = 2 << 20, 512
+#: Blocks of a value that meet in one tile, on either side.
+TILE = 64
 #: Cells of a matrix that counts intersections.
 COLUMNS = 2 << 20
 #: Sketches must agree in this share of the union's: six standard deviations under 0.75. Linked nodes fall below with a chance of 3e-8.
@@ -104,12 +106,15 @@ def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     return full.select("a", "b", "t_a", "t_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, likely: float = LIKELY, mostly: float = MOSTLY_CROWDED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable by links, itself included), kept (doc_id = component_id).
 
     Two documents are linked if 100 * intersection >= percent * union of their shingle sets. A null, empty or blank text has
     an empty set and no links. Rows of equal id are one document, linked by any of their texts. Rows with a null id have no links,
     a null component and are kept. Other columns are not looked at.
+
+    A pair at the threshold itself is missed with a chance of 3.3e-8 at most: that its union sketch agrees in less than ``likely``, or that a node of it has fewer than a share ``mostly`` of
+    crowded values though the pair shares crowded ones only. ``likely=0`` and ``mostly=0`` drop both tests: every pair that shares a retained value is then verified on its full sets.
     """
     rows = materialise(sketch(df, k=k, id_col=id_col, text_col=text_col), "sketches")
     nodes = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
@@ -126,7 +131,7 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
     # in crowded lists only nodes that crowded values describe in part: others share a value of a short list with whom they are linked
     own = Window.partitionBy("node", "set")  # INDEXED rows at most
     crowded = crowded.withColumns({"here": F.count("*").over(own), "nth": F.row_number().over(own.orderBy("value"))})
-    crowded = materialise(crowded.filter(F.col("here") >= MOSTLY_CROWDED * F.least(F.col("n"), F.lit(INDEXED))).select("node", "set", "n", "value", "nth"), "crowded")
+    crowded = materialise(crowded.filter(F.col("here") >= mostly * F.least(F.col("n"), F.lit(INDEXED))).select("node", "set", "n", "value", "nth"), "crowded")
     first = crowded.filter(F.col("nth") <= PIVOT_LISTS)
     # written first, so that Spark can split the rows of a value when they meet its pivots; a node meets each pivot once, in however many lists
     pivot = lambda i: F.min_by(F.struct(F.col("node").alias("b"), F.col("n").alias("n_b")), F.struct(F.xxhash64("node", F.lit(i)) if i else "n", "node"))
@@ -139,7 +144,7 @@ def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, id_col: str
     sketches = nodes.select("node", "sketch")  # of an id of several texts one for each: any two that agree will do
     pairs = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("s_a")), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("s_b")), "b")
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
-    pairs = pairs.withColumn("u", union).filter(F.size(F.array_intersect(F.array_intersect("u", "s_a"), "s_b")) >= LIKELY * F.size("u"))
+    pairs = pairs.withColumn("u", union).filter(F.size(F.array_intersect(F.array_intersect("u", "s_a"), "s_b")) >= likely * F.size("u"))
     # pairs of ids of several texts may repeat; not made distinct here, so that Spark can split the rows of a pivot
     pairs = materialise(pairs.select("a", "b"), "pairs")
 
@@ -177,14 +182,19 @@ def _across(crowded: DataFrame, roots: DataFrame, texts: DataFrame, k: int, perc
     size = lambda rows, members: F.ceil(F.greatest(rows / BLOCK, 8 * members / BLOCK_BYTES, F.lit(1))).cast("int")
     open_ = of_value.select("value", F.col("top.root").alias("most"), size(F.col("top.here"), F.col("top.members")).alias("tops"), size(F.col("all") - F.col("top.here"), F.col("all_members") - F.col("top.members")).alias("fews"))
     top = F.col("root") == F.col("most")
-    known = known.join(open_, "value").select("value", "node", "root", top.alias("top"), F.pmod(F.xxhash64("node"), F.when(top, F.col("tops")).otherwise(F.col("fews"))).alias("block"))
+    known = known.join(open_, "value").select("value", "node", "root", "tops", "fews", top.alias("top"), F.pmod(F.xxhash64("node"), F.when(top, F.col("tops")).otherwise(F.col("fews"))).alias("block"))
     known = materialise(known, "known")
     sets = materialise(_sets(texts.join(known.select("node").distinct(), "node"), k), "sets")
-    blocks = known.join(sets, "node").groupBy("value", "top", "block").agg(F.collect_list(F.struct("node", "root", "members")).alias("m"))
+    blocks = known.join(sets, "node").groupBy("value", "top", "block", "tops", "fews").agg(F.collect_list(F.struct("node", "root", "members")).alias("m"))
     blocks = materialise(blocks, "blocks")
-    # the nodes of a value's largest component don't meet each other
-    other = blocks.select("value", F.col("top").alias("other_top"), F.col("block").alias("other"), F.col("m").alias("o"))
-    pairs = blocks.filter("not top").join(other, "value").filter("other_top or other >= block").select("m", "o")
+    # the nodes of a value's largest component don't meet each other; the blocks of a value meet in tiles of so many by so many, so that no task holds all pairs of one
+    tiles = lambda c: F.ceil(F.col(c) / TILE).cast("int")
+    up_to = lambda n: F.sequence(F.lit(0), n - 1)
+    own = F.pmod("block", F.when(F.col("top"), tiles("tops")).otherwise(tiles("fews")))
+    partners = F.concat(F.transform(up_to(tiles("fews")), lambda i: F.struct(F.lit(False).alias("top"), i.alias("column"))), F.transform(up_to(tiles("tops")), lambda i: F.struct(F.lit(True).alias("top"), i.alias("column"))))
+    left = blocks.filter("not top").select("value", own.alias("row"), F.explode(partners).alias("p"), "block", "m").select("value", "row", F.col("p.top").alias("other_top"), F.col("p.column").alias("column"), "block", "m")
+    right = blocks.select("value", F.explode(up_to(tiles("fews"))).alias("row"), F.col("top").alias("other_top"), own.alias("column"), F.col("block").alias("other"), F.col("m").alias("o"))
+    pairs = left.join(right, ["value", "row", "other_top", "column"]).filter("other_top or other >= block").select("m", "o")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

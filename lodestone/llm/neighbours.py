@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, mix
+from .common import discard, materialise, mix, remove, shared_dir
 
 #: Neighbours of a node, and as many at most that it is a neighbour of; tables of random planes; nodes of a group on average.
 DEGREE, TABLES, GROUP = 20, 4, 2048
@@ -266,6 +266,9 @@ def build(nodes: DataFrame, dim: int, rows: int, *, seed: int = 11) -> tuple[Dat
     return graph, met
 
 
+#: A node that more than one in so many questions of a step ask is a hub.
+HUBS = 200
+
 BEAM = "q long, code binary, scale double, us binary, scores binary, done binary, open int"
 
 
@@ -284,8 +287,18 @@ def search(met: DataFrame, queries: DataFrame, dim: int, beam: int) -> DataFrame
     name = f"lodestone_around_{uuid.uuid4().hex[:12]}"
     # kept in buckets, a file each, so that the walk's steps do not shuffle it again
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    met.select("v", "us", "codes", "scales").repartition(buckets, "v").write.bucketBy(buckets, "v").sortBy("v").saveAsTable(name)
-    ready, expand = spark.table(name), beam // 2
+    folder = f"{shared_dir(spark)}/{name}"
+    met.select("v", "us", "codes", "scales").repartition(buckets, "v").write.bucketBy(buckets, "v").sortBy("v").option("path", folder).saveAsTable(name)
+    try:
+        return _walk(spark.table(name), queries, dim, beam)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+        remove(spark, folder)
+
+
+def _walk(ready: DataFrame, queries: DataFrame, dim: int, beam: int) -> DataFrame:
+    """`search` over the table of neighbours and their codes."""
+    expand = beam // 2
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -340,7 +353,13 @@ def search(met: DataFrame, queries: DataFrame, dim: int, beam: int) -> DataFrame
     ended = now.limit(0)
     while not now.isEmpty():
         asked = now.mapInArrow(ask, "v long, q long, code binary, scale double, worst double")
-        answers = asked.join(ready, "v").select("q", "code", "scale", "worst", "us", "codes", "scales").mapInArrow(answer, BEAM)
+        # a node that many queries ask at once would be one task's work: the few such nodes are handed to all tasks instead
+        total = now.agg(F.sum(F.least("open", F.lit(expand)))).first()[0]
+        hubs = [r.v for r in asked.groupBy("v").agg(F.count("*").alias("n")).filter(F.col("n") * HUBS > total).collect()]  # fewer than HUBS
+        met = asked.filter(~F.col("v").isin(hubs)).join(ready, "v")
+        if hubs:
+            met = met.unionByName(asked.filter(F.col("v").isin(hubs)).join(F.broadcast(ready.filter(F.col("v").isin(hubs))), "v"))
+        answers = met.select("q", "code", "scale", "worst", "us", "codes", "scales").mapInArrow(answer, BEAM)
         after = materialise(_by_key(now.union(answers)).mapInArrow(take, BEAM), "beam")
         discard(now)
         now, over = after.filter("open > 0"), after.filter("open = 0")
@@ -349,7 +368,6 @@ def search(met: DataFrame, queries: DataFrame, dim: int, beam: int) -> DataFrame
             now = materialise(now, "beam")
         else:
             now = after
-    spark.sql(f"DROP TABLE {name}")
     return ended
 
 

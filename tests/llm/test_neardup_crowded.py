@@ -56,7 +56,9 @@ def test_ten_thousand_documents_linked_by_crowded_values_alone(spark):
     assert found(spark, docs) == want
 
 
-def test_blocks_and_slices_of_one_hot_value(spark, monkeypatch):
+@pytest.mark.parametrize("tile", [2, 64])
+def test_blocks_and_slices_of_one_hot_value(spark, monkeypatch, tile):
+    monkeypatch.setattr(neardup, "TILE", tile)
     monkeypatch.setattr(neardup, "BLOCK", 16)
     monkeypatch.setattr(neardup, "BLOCK_BYTES", 4096)
     monkeypatch.setattr(neardup, "COLUMNS", 300)
@@ -70,3 +72,10 @@ def test_very_long_texts(spark):
     long = " ".join(f"w{i * 7 % 100_003}" for i in range(200_000))
     docs = [(1, long), (2, long + " and more"), (3, "x " + long), (4, long[: len(long) // 2]), (5, "a b c d e f")]
     assert found(spark, docs) == brute(docs)
+
+
+def test_every_pair_that_shares_a_value_can_be_verified(spark):
+    docs = [(i, " ".join([f"g{x}" for x in range(60)] + [f"n{i}x{j}" for j in range(i % 20)])) for i in range(120)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(df, likely=0.0, mostly=0.0).collect())
+    assert got == sorted(x[:3] for x in brute(docs))
