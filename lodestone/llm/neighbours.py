@@ -358,7 +358,8 @@ def _walk(ready: DataFrame, queries: DataFrame, dim: int, beam: int) -> DataFram
         hubs = [r.v for r in asked.groupBy("v").agg(F.count("*").alias("n")).filter(F.col("n") * HUBS > total).collect()]  # fewer than HUBS
         met = asked.filter(~F.col("v").isin(hubs)).join(ready, "v")
         if hubs:
-            met = met.unionByName(asked.filter(F.col("v").isin(hubs)).join(F.broadcast(ready.filter(F.col("v").isin(hubs))), "v"))
+            # dealt anew, so that asking and answering are not two Python workers of one task
+            met = met.unionByName(asked.filter(F.col("v").isin(hubs)).repartition("q").join(F.broadcast(ready.filter(F.col("v").isin(hubs))), "v"))
         answers = met.select("q", "code", "scale", "worst", "us", "codes", "scales").mapInArrow(answer, BEAM)
         after = materialise(_by_key(now.union(answers)).mapInArrow(take, BEAM), "beam")
         discard(now)
