@@ -78,44 +78,6 @@ def statement_ratios(statements: DataFrame, date: str = "period_ending") -> Data
     })
 
 
-def surprises(reports: DataFrame) -> DataFrame:
-    """From (symbol, date, actual, estimate): surprise, beat flag, and the share of beats among the last 4 reports."""
-    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(-3, 0)
-    rows = reports.withColumns({"surprise": ratio(F.col("actual") - F.col("estimate"), F.abs("estimate")), "beat": (F.col("actual") > F.col("estimate")).cast("int")})
-    return rows.withColumn("beat_streak", F.avg("beat").over(w))
-
-
-def estimate_changes(estimates: DataFrame) -> DataFrame:
-    """Average estimates with their change from the period before."""
-    w = Window.partitionBy("symbol").orderBy("date")
-    return estimates.withColumn("change", F.col("estimate") - F.lag("estimate").over(w))
-
-
-def grade_ratios(grades: DataFrame) -> DataFrame:
-    """Bullish, bearish and net share of five counts of grades."""
-    names = ("strong_buy", "buy", "hold", "sell", "strong_sell")
-    n = sum((F.coalesce(c, F.lit(0)) for c in names), F.lit(0.0))
-    up, down = F.coalesce("strong_buy", F.lit(0)) + F.coalesce("buy", F.lit(0)), F.coalesce("sell", F.lit(0)) + F.coalesce("strong_sell", F.lit(0))
-    return grades.withColumns({"bullish": ratio(up, n), "bearish": ratio(down, n), "net": ratio(up - down, n)})
-
-
-def insider_activity(trades: DataFrame, rows: int = 90) -> DataFrame:
-    """Daily signed value and counts of buys and sells of insiders, summed over the last ``rows`` days with trades, and the buys' share."""
-    day = trades.groupBy("symbol", "date").agg(F.sum(F.col("side") * F.col("value")).alias("net_value"), F.sum((F.col("side") > 0).cast("long")).alias("buys"), F.sum((F.col("side") < 0).cast("long")).alias("sells"))
-    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(1 - rows, 0)
-    out = day.withColumns({f"{c}_{rows}": F.sum(c).over(w) for c in ("net_value", "buys", "sells")})
-    return out.withColumn("buy_ratio", ratio(F.col(f"buys_{rows}").cast("double"), (F.col(f"buys_{rows}") + F.col(f"sells_{rows}")).cast("double")))
-
-
-def position_changes(positions: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Difference and relative change of each column from the report before."""
-    w = Window.partitionBy("symbol").orderBy("date")
-    out: dict[str, Column] = {}
-    for c in columns:
-        out |= {f"{c}_diff": F.col(c) - F.lag(c).over(w), f"{c}_pct": ratio(F.col(c), F.lag(c).over(w)) - 1}
-    return positions.withColumns(out)
-
-
 def merge_features(grid: DataFrame, sets: Iterable[DataFrame]) -> DataFrame:
     """The grid (symbol, date) with all sets' columns; of columns with one name the last set's wins."""
     sets = list(sets)

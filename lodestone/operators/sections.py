@@ -14,6 +14,8 @@ from lodestone.operators.fundamental import growth_adjusted, merge_features
 
 # Vendor columns, lower-cased, that hold the count of shares; the first a section has counts.
 SHARES = ("sharesoutstanding", "weightedaverageshsout", "weightedaverageshsoutdil")
+# Those of an income statement, in its order.
+INCOME_SHARES = ("weightedaverageshsoutdil", "weightedaverageshsout")
 # Multiples of a share's price that are priced anew each day.
 MULTIPLES = ("pricetoearningsratio", "pricetobookratio", "pricetosalesratio", "pricetofreecashflowratio", "pricetooperatingcashflowratio")
 
@@ -64,7 +66,7 @@ GROWTH = {
         OverGrowth(("freecashflowgrowth",), ("rt__pricetofreecashflowratio", "km__evtofreecashflow"), "freecashflow_growth_valuation_daily"), OverGrowth(("capitalexpendituregrowth", "capitalexpendituresgrowth"), ("cf__capex_to_mcap_daily",), "capex_growth_valuation_daily"),
     ),
     "bsg__": (
-        OverGrowth(("totalstockholdersequitygrowth", "totalequitygrowth", "bookvaluepersharegrowth"), ("rt__pricetobookratio", "bs__equity_to_mcap_daily"), "equity_growth_valuation_daily"), OverGrowth(("totalassetsgrowth",), ("bs__assets_to_mcap_daily",), "assets_growth_valuation_daily"),
+        OverGrowth(("totalstockholdersequitygrowth", "totalequitygrowth", "bookvaluepersharegrowth"), ("rt__pricetobookratio", "bs__equity_to_mcap_daily"), "book_growth_valuation_daily"), OverGrowth(("totalassetsgrowth",), ("bs__assets_to_mcap_daily",), "assets_growth_valuation_daily"),
         OverGrowth(("cashandcashequivalentsgrowth", "cashandshortterminvestmentsgrowth"), ("bs__cash_to_mcap_daily",), "cash_growth_valuation_daily"), OverGrowth(("totaldebtgrowth", "netdebtgrowth"), ("bs__debt_to_mcap_daily", "bs__netdebt_to_mcap_daily"), "debt_growth_valuation_daily"),
     ),
     "fg__": (
@@ -108,48 +110,66 @@ def _without_empty(df: DataFrame, names: list[str]) -> DataFrame:
     return df.drop(*[c for c in names if not found[c]])
 
 
-def linked_ratios(prices: DataFrame, sparse: DataFrame, prefix: str, specs: Iterable[Linked]) -> DataFrame:
-    """A section's columns on each day of ``prices`` and its ``specs``; shares times close is the market cap. Ratios without any value are left out."""
+def last_known(sparse: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Sparse rows with each column's last known value: a report without it does not hide it."""
+    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    return sparse.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+
+
+def linked_ratios(prices: DataFrame, sparse: DataFrame, prefix: str, specs: Iterable[Linked], *, shares: Iterable[str] = SHARES, market_cap: DataFrame | None = None) -> DataFrame:
+    """A section's columns on each day of ``prices`` and its ``specs``. Ratios without any value are left out.
+
+    The market cap is ``market_cap`` (symbol, date, market_cap) if given, as sections of cash flows and balances hold no shares; else the first of ``shares`` that the section has, times close.
+    """
     daily = to_daily(prices, sparse).join(prices.select("symbol", "date", "close"), ["symbol", "date"])
-    shares = _first(daily, prefix, SHARES)
+    if market_cap is not None:
+        daily = daily.join(market_cap.select("symbol", "date", F.col("market_cap").alias("__cap")), ["symbol", "date"], "left")
+    else:
+        count = _first(daily, prefix, shares)
+        daily = daily.withColumn("__cap", F.lit(None).cast("double") if count is None else count * F.col("close"))
     out: dict[str, Column] = {}
     for s in specs:
         item = _first(daily, prefix, s.items)
-        base = F.col("close") if s.per_share else None if shares is None else shares * F.col("close")
-        if item is not None and base is not None:
-            out[prefix + s.name] = ratio(-item if s.negate else item, base)
-    return _without_empty(daily.withColumns(out), list(out)).drop("close")
+        if item is not None:
+            out[prefix + s.name] = ratio(-item if s.negate else item, F.col("close") if s.per_share else F.col("__cap"))
+    return _without_empty(daily.withColumns(out), list(out)).drop("close", "__cap")
 
 
 def key_metrics(prices: DataFrame, sparse: DataFrame, prefix: str = "km__") -> DataFrame:
-    """Key metrics on each day; the market cap is shares times close, and the free cash flow yield is the reported one times the reported market cap over it."""
-    base = f"{prefix}freecashflow_base"
+    """Key metrics on each day; the market cap is the last known shares times close, and the free cash flow yield is the last reported one times the reported market cap over it."""
+    base = "__base"
     if {f"{prefix}marketcap", f"{prefix}freecashflowyield"} <= set(sparse.columns):
         sparse = sparse.withColumn(base, F.col(f"{prefix}marketcap") * F.col(f"{prefix}freecashflowyield"))
+    shares = next((prefix + c for c in SHARES if prefix + c in sparse.columns), None)
+    if shares is not None:
+        sparse = sparse.withColumn("__shares", F.col(shares))
+    sparse = last_known(sparse, [c for c in (base, "__shares") if c in sparse.columns])
     daily = to_daily(prices, sparse).join(prices.select("symbol", "date", "close"), ["symbol", "date"])
-    shares = _first(daily, prefix, SHARES)
     if shares is not None:
-        daily = daily.withColumn(f"{prefix}marketcap", shares * F.col("close"))
+        daily = daily.withColumn(f"{prefix}marketcap", F.col("__shares") * F.col("close"))
         if base in daily.columns:
             daily = daily.withColumn(f"{prefix}freecashflowyield", ratio(F.col(base), F.col(f"{prefix}marketcap")))
-    return daily.drop("close", base)
+    return daily.drop("close", base, "__shares")
 
 
 def repriced_ratios(prices: DataFrame, sparse: DataFrame, prefix: str = "rt__") -> DataFrame:
-    """Ratios on each day. A multiple's per-share value is the close known at the report over the reported multiple, and the day's multiple the close over that;
-    dividends per share over the close are the yield, also in percent.
+    """Ratios on each day. A multiple's per-share value is the close known at the report over the reported multiple, and the day's multiple the close over the last known of these;
+    the last known dividends per share over the close are the yield, also in percent.
     """
     days = prices.select("symbol", F.col("date").alias("__day"), F.col("close").alias("__then"))
     at_report = asof_join(sparse, days, left_on="date", right_on="__day", by=("symbol",)).drop("__day")
     multiples = [prefix + m for m in MULTIPLES if prefix + m in sparse.columns]
     at_report = at_report.withColumns({f"{m}__share": ratio(F.col("__then"), F.col(m)) for m in multiples}).drop("__then")
+    paid = f"{prefix}dividendpershare"
+    if paid in sparse.columns:
+        at_report = at_report.withColumn("__paid", F.col(paid))
+    at_report = last_known(at_report, [*[f"{m}__share" for m in multiples], *(["__paid"] if paid in sparse.columns else [])])
     daily = to_daily(prices, at_report).join(prices.select("symbol", "date", "close"), ["symbol", "date"])
     daily = daily.withColumns({m: ratio(F.col("close"), F.col(f"{m}__share")) for m in multiples})
-    paid = f"{prefix}dividendpershare"
     if paid in daily.columns:
-        part = ratio(F.col(paid), F.col("close"))
+        part = ratio(F.col("__paid"), F.col("close"))
         daily = daily.withColumns({f"{prefix}dividendyield": part, f"{prefix}dividendyieldpercentage": part * 100})
-    return daily.drop("close", *[f"{m}__share" for m in multiples])
+    return daily.drop("close", "__paid", *[f"{m}__share" for m in multiples])
 
 
 def growth_section(prices: DataFrame, sparse: DataFrame, valuations: DataFrame, prefix: str, specs: Iterable[OverGrowth] | None = None) -> DataFrame:
@@ -244,11 +264,14 @@ def inverse_panel(daily: DataFrame, items: Iterable[str], *, cap: str = "market_
     return rows.withColumns({f"{i}_inverse": F.when(F.count(f"{i}_inverse").over(n) >= least, F.col(f"{i}_inverse")) for i in items})
 
 
-# An owner's report: each figure and the vendor columns that may hold it.
+# An owner's report: each figure and the lower-case vendor columns that may hold it.
 POSITIONS = {
-    "investor_count": ("investor_count", "investorcount", "investorscount", "holdercount"), "shares_held": ("shares_held", "sharesheld", "totalshares", "sharecount", "shares"), "investment_value": ("investment_value", "investmentvalue", "totalinvestmentvalue", "marketvalue"),
-    "ownership_pct": ("ownership_pct", "ownershippct", "ownershippercentage", "ownershippercent"), "shares_change": ("shares_change", "shareschange", "changeinshares"), "investment_change": ("investment_change", "investmentchange", "changeininvestment"),
-    "ownership_pct_change": ("ownership_pct_change", "ownershippctchange", "ownershippercentagechange"), "put_call_ratio": ("put_call_ratio", "putcallratio", "putcall"), "call_count": ("call_count", "callcount", "calls"), "put_count": ("put_count", "putcount", "puts"),
+    "investor_count": ("investor_count", "investorcount", "investorscount", "holdercount", "holderscount", "institutionalholders", "numberofinvestors", "numberofholders"),
+    "shares_held": ("shares_held", "sharesheld", "totalshares", "sharecount", "shares", "institutionalshares"),
+    "investment_value": ("investment_value", "investmentvalue", "totalinvestmentvalue", "marketvalue", "positionvalue"),
+    "ownership_pct": ("ownership_pct", "ownershippct", "ownershippercentage", "ownershippercent"), "shares_change": ("shares_change", "shareschange", "changeinshares", "sharechange"),
+    "investment_change": ("investment_change", "investmentchange", "changeininvestment", "valuechange"), "ownership_pct_change": ("ownership_pct_change", "ownershippctchange", "ownershippercentagechange", "changeinownership"),
+    "put_call_ratio": ("put_call_ratio", "putcallratio", "putcall"), "call_count": ("call_count", "callcount", "calls", "callscount"), "put_count": ("put_count", "putcount", "puts", "putscount"),
 }
 
 
@@ -262,7 +285,7 @@ def positions_summary(reports: DataFrame) -> DataFrame:
     out: dict[str, Column] = {}
     for k in ("investor_count", "shares_held", "investment_value", "ownership_pct", "put_call_ratio"):
         if k in there:
-            out |= {f"ps__{k}_diff": F.col(f"ps__{k}") - before(k), f"ps__{k}_pct_change": ratio(F.col(f"ps__{k}"), before(k)) - 1}
+            out |= {f"ps__{k}_change": F.col(f"ps__{k}") - before(k), f"ps__{k}_pct_change": ratio(F.col(f"ps__{k}"), before(k)) - 1}
     for name, a, b in (("shares_per_investor", "shares_held", "investor_count"), ("investment_per_investor", "investment_value", "investor_count"), ("shares_ownership_ratio", "shares_held", "ownership_pct")):
         if a in there and b in there:
             out[f"ps__{name}"] = ratio(F.col(f"ps__{a}"), F.col(f"ps__{b}"))

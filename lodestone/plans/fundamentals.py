@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lodestone.operators import event_features as ev
 from lodestone.operators import fundamental as f
 from lodestone.plans.events import TYPED, typed
 from lodestone.plans.registry import query
-from lodestone.views import EVENTS, PRICES, STATEMENTS, prices, raw_events, statements
+from lodestone.views import EVENTS, PRICES, STATEMENTS, prices, raw_events, statements, table
 
 DAILY = f"""{PRICES}, {STATEMENTS}, lagged AS (SELECT * REPLACE (period_ending + 45 AS period_ending) FROM statements),
 daily AS (SELECT p.symbol, p.date, p.close, s.revenue, s.cost, s.net_income, s.shares, s.debt, s.cash FROM prices p ASOF LEFT JOIN lagged s ON p.symbol = s.symbol AND p.date >= s.period_ending)"""
@@ -51,38 +53,70 @@ def f09(spark, sf):
     return f.growth_adjusted(rows, "v", "g", "peg").select("symbol", "date", "peg")
 
 
-@query("f17_surprises", f"""WITH {STATEMENTS}, r AS (SELECT symbol, period_ending AS date, net_income AS actual, lag(net_income) OVER (PARTITION BY symbol ORDER BY period_ending) AS estimate FROM statements),
-b AS (SELECT *, (actual - estimate) / nullif(abs(estimate), 0) AS surprise, (actual > estimate)::INT AS beat FROM r) SELECT symbol, date, surprise, beat, avg(beat) OVER (PARTITION BY symbol ORDER BY date ROWS 3 PRECEDING) AS beat_streak FROM b""", floats=["surprise", "beat_streak"])
+def _asof(columns: str, since: str) -> str:
+    """The latest sparse row known on each day and the days since."""
+    return f"SELECT p.symbol, p.date, {columns}, (p.date - r.date)::DOUBLE AS {since} FROM prices p ASOF LEFT JOIN r ON p.symbol = r.symbol AND p.date >= r.date"
+
+
+_earn = ["evt__earn_eps_surprise", "evt__earn_rev_surprise", "evt__earn_beat_flag", "evt__earn_beat_streak_4", "evt__earn_days_since", "earn__epsactual"]
+
+
+@query("f17_surprises", f"""WITH {PRICES}, {STATEMENTS}, x AS (SELECT symbol, period_ending AS date, CASE WHEN month(period_ending) <> 6 THEN net_income / shares END AS a, lag(net_income / shares) OVER w AS e, revenue AS ra, lag(revenue) OVER w AS re FROM statements WINDOW w AS (PARTITION BY symbol ORDER BY period_ending)),
+y AS (SELECT *, coalesce(a >= e, false)::INT::DOUBLE AS f FROM x), r AS (SELECT *, sum(f) OVER (PARTITION BY symbol ORDER BY date ROWS 3 PRECEDING) AS k FROM y)
+{_asof("(a - e) / nullif(abs(e), 0) AS evt__earn_eps_surprise, (ra - re) / nullif(abs(re), 0) AS evt__earn_rev_surprise, f AS evt__earn_beat_flag, k AS evt__earn_beat_streak_4, a AS earn__epsactual", "evt__earn_days_since")}""", floats=_earn, digits=4)
 def f17(spark, sf):
-    from pyspark.sql import Window
+    """Second quarters come without a figure."""
+    w = Window.partitionBy("symbol").orderBy("period_ending")
+    s = statements(spark, sf).withColumn("eps", F.col("net_income") / F.col("shares"))
+    r = s.select("symbol", F.col("period_ending").alias("date"), F.when(F.month("period_ending") != 6, F.col("eps")).cast("string").alias("epsActual"), F.lag("eps").over(w).alias("epsEstimated"), F.col("revenue").alias("revenueActual"), F.lag("revenue").over(w).alias("revenueEstimated"))
+    return ev.earnings_features(prices(spark, sf).select("symbol", "date"), r).select("symbol", "date", *_earn)
+
 
-    s = statements(spark, sf)
-    r = s.select("symbol", F.col("period_ending").alias("date"), F.col("net_income").alias("actual"), F.lag("net_income").over(Window.partitionBy("symbol").orderBy("period_ending")).alias("estimate"))
-    return f.surprises(r).select("symbol", "date", "surprise", "beat", "beat_streak")
+_ae = ["evt__ae_eps_avg", "evt__ae_revenue_avg", "evt__ae_eps_rev_qoq", "evt__ae_revenue_rev_qoq", "evt__ae_days_since", "ae__forward_eps_to_price_daily", "ae__forward_revenue_to_mcap_daily"]
 
 
-@query("f18_estimate_changes", f"WITH {STATEMENTS} SELECT symbol, period_ending AS date, revenue - lag(revenue) OVER (PARTITION BY symbol ORDER BY period_ending) AS change FROM statements", floats=["change"], digits=2)
+@query("f18_estimate_changes", f"""WITH {PRICES}, {STATEMENTS}, r AS (SELECT symbol, period_ending AS date, net_income / shares AS e, revenue AS v, (net_income / shares) / nullif(lag(net_income / shares) OVER w, 0) - 1 AS ec, revenue / nullif(lag(revenue) OVER w, 0) - 1 AS vc FROM statements WINDOW w AS (PARTITION BY symbol ORDER BY period_ending))
+{_asof("e AS evt__ae_eps_avg, v AS evt__ae_revenue_avg, ec AS evt__ae_eps_rev_qoq, vc AS evt__ae_revenue_rev_qoq, e / nullif(p.close, 0) AS ae__forward_eps_to_price_daily, v / nullif(p.close * p.volume, 0) AS ae__forward_revenue_to_mcap_daily", "evt__ae_days_since")}""", floats=_ae, digits=4)
 def f18(spark, sf):
-    return f.estimate_changes(statements(spark, sf).select("symbol", F.col("period_ending").alias("date"), F.col("revenue").alias("estimate"))).select("symbol", "date", "change")
+    p = prices(spark, sf)
+    r = statements(spark, sf).select("symbol", F.col("period_ending").alias("date"), (F.col("net_income") / F.col("shares")).alias("epsAvg"), F.col("revenue").cast("string").alias("revenueAvg"))
+    return ev.estimate_features(p.select("symbol", "date"), r, prices=p, market_cap=p.withColumn("market_cap", F.col("close") * F.col("volume"))).select("symbol", "date", *_ae)
+
+
+_gr = ["evt__grade_bullish_ratio", "evt__grade_bearish_ratio", "evt__grade_net_bullish", "evt__grade_days_since", "evt__rating_score", "evt__rating_score_change", "evt__rating_days_since"]
+_counts = ", ".join(f"count(*) FILTER (l_linenumber = {i})::DOUBLE AS n{i}" for i in range(1, 6))
 
 
-@query("f19_grade_ratios", "WITH g AS (SELECT l_suppkey, count(*) FILTER (l_linenumber = 1) AS a, count(*) FILTER (l_linenumber = 2) AS b, count(*) FILTER (l_linenumber = 3) AS c, count(*) FILTER (l_linenumber = 4) AS d, count(*) FILTER (l_linenumber = 5) AS e FROM lineitem GROUP BY ALL) SELECT l_suppkey, (a + b) / nullif(a + b + c + d + e, 0)::DOUBLE AS bullish, (d + e) / nullif(a + b + c + d + e, 0)::DOUBLE AS bearish, (a + b - d - e) / nullif(a + b + c + d + e, 0)::DOUBLE AS net FROM g", floats=["bullish", "bearish", "net"], dates=[])
+@query("f19_grade_ratios", f"""WITH {PRICES}, r AS (SELECT concat('S', l_suppkey) AS symbol, date_trunc('month', l_shipdate)::DATE AS date, {_counts}, max(l_linenumber)::DOUBLE AS score FROM lineitem GROUP BY ALL), q AS (SELECT *, n1 + n2 + n3 + n4 + n5 AS n, lag(score) OVER (PARTITION BY symbol ORDER BY date) AS was FROM r)
+SELECT p.symbol, p.date, (n1 + n2) / nullif(n, 0) AS evt__grade_bullish_ratio, (n4 + n5) / nullif(n, 0) AS evt__grade_bearish_ratio, (n1 + n2 - n4 - n5) / nullif(n, 0) AS evt__grade_net_bullish, (p.date - q.date)::DOUBLE AS evt__grade_days_since, score AS evt__rating_score, score - was AS evt__rating_score_change, (p.date - q.date)::DOUBLE AS evt__rating_days_since
+FROM prices p ASOF LEFT JOIN q ON p.symbol = q.symbol AND p.date >= q.date""", floats=_gr)
 def f19(spark, sf):
-    names = ("strong_buy", "buy", "hold", "sell", "strong_sell")
-    g = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_suppkey").agg(*[F.count_if(F.col("l_linenumber") == i).cast("double").alias(c) for i, c in enumerate(names, 1)])
-    return f.grade_ratios(g).select("l_suppkey", "bullish", "bearish", "net")
+    """Grades and ratings of a month, and the bundle of both."""
+    rows = table(spark, sf, "lineitem").groupBy(F.concat(F.lit("S"), "l_suppkey").alias("symbol"), F.trunc("l_shipdate", "month").alias("date"))
+    counted = rows.agg(*[F.count_if(F.col("l_linenumber") == i).alias(c) for i, c in enumerate(ev.GRADES, 1)], F.max("l_linenumber").alias("overallScore"))
+    grid = prices(spark, sf).select("symbol", "date")
+    return ev.event_features(grid, ratings=counted.select("symbol", "date", "overallScore"), grades=counted.drop("overallScore")).select("symbol", "date", *_gr)
+
+
+_ins = ["own__insider_net_buy_value_90d", "own__insider_buy_count_90d", "own__insider_sell_count_90d", "own__insider_buy_sell_ratio_90d", "own__insider_days_since"]
 
 
-@query("f20_insider_activity", f"""WITH {TYPED}, d AS (SELECT symbol, event_date AS date, sum(side * strength) AS v, count(*) FILTER (side > 0) AS b, count(*) FILTER (side < 0) AS s FROM typed GROUP BY ALL)
-SELECT symbol, date, sum(v) OVER w AS net_value_90, cast(sum(b) OVER w AS BIGINT) AS buys_90, cast(sum(s) OVER w AS BIGINT) AS sells_90, (sum(b) OVER w) / nullif(sum(b) OVER w + sum(s) OVER w, 0)::DOUBLE AS buy_ratio FROM d WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 89 PRECEDING)""", floats=["net_value_90", "buy_ratio"], digits=3)
+@query("f20_insider_activity", f"""WITH {PRICES}, t AS (SELECT concat('S', l_suppkey) AS symbol, cast(l_shipdate AS DATE) + 1 AS date, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN -1 ELSE 0 END AS s, CASE WHEN l_linenumber = 3 THEN 0 ELSE l_extendedprice / 1000 END AS px, l_quantity AS q FROM lineitem WHERE l_suppkey % 10 <> 7),
+d AS (SELECT symbol, date, sum(s * px * q) AS v, count(*) FILTER (s > 0)::DOUBLE AS b, count(*) FILTER (s < 0)::DOUBLE AS s FROM t GROUP BY ALL), g AS (SELECT p.symbol, p.date, coalesce(v, 0) AS v, coalesce(b, 0) AS b, coalesce(s, 0) AS s FROM prices p LEFT JOIN d USING (symbol, date)),
+w AS (SELECT symbol, date, sum(v) OVER w AS v, sum(b) OVER w AS b, sum(s) OVER w AS s FROM g WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 89 PRECEDING))
+SELECT w.symbol, w.date, w.v AS own__insider_net_buy_value_90d, w.b AS own__insider_buy_count_90d, w.s AS own__insider_sell_count_90d, w.b / nullif(w.s, 0) AS own__insider_buy_sell_ratio_90d, (w.date - d.date)::DOUBLE AS own__insider_days_since FROM w ASOF LEFT JOIN d ON w.symbol = d.symbol AND w.date >= d.date""", floats=_ins, digits=2)
 def f20(spark, sf):
-    t = typed(spark, sf).select("symbol", F.col("event_date").alias("date"), "side", F.col("strength").alias("value"))
-    return f.insider_activity(t).select("symbol", "date", "net_value_90", "buys_90", "sells_90", "buy_ratio")
+    """Trades a day after the prices' days: some fall on days that the grid lacks; a tenth of the symbols has none."""
+    kind = F.when(F.col("l_returnflag") == "A", "a").when(F.col("l_returnflag") == "R", "D")
+    raw = table(spark, sf, "lineitem").filter("l_suppkey % 10 <> 7").select(F.concat(F.lit("S"), "l_suppkey").alias("symbol"), F.date_add("l_shipdate", 1).alias("date"), kind.alias("acquisitionOrDisposition"), F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice") / 1000).alias("price"), F.col("l_quantity").alias("securitiesTransacted"))
+    return ev.ownership_features(prices(spark, sf).select("symbol", "date"), insiders=raw).select("symbol", "date", *_ins)
 
 
-@query("f21_position_changes", f"WITH {STATEMENTS} SELECT symbol, period_ending AS date, shares - lag(shares) OVER w AS shares_diff, shares / nullif(lag(shares) OVER w, 0) - 1 AS shares_pct FROM statements WINDOW w AS (PARTITION BY symbol ORDER BY period_ending)", floats=["shares_diff", "shares_pct"])
+@query("f21_position_changes", f"""WITH {PRICES}, {STATEMENTS}, r AS (SELECT symbol, period_ending AS date, shares AS h, shares - lag(shares) OVER w AS c, shares / nullif(lag(shares) OVER w, 0) - 1 AS pc FROM statements WINDOW w AS (PARTITION BY symbol ORDER BY period_ending))
+{_asof("h AS ps__shares_held, c AS ps__shares_held_change, pc AS ps__shares_held_pct_change", "ps__days_since_report")}""", floats=["ps__shares_held", "ps__shares_held_change", "ps__shares_held_pct_change", "ps__days_since_report"])
 def f21(spark, sf):
-    return f.position_changes(statements(spark, sf).withColumnRenamed("period_ending", "date"), ("shares",)).select("symbol", "date", "shares_diff", "shares_pct")
+    raw = statements(spark, sf).select("symbol", F.col("period_ending").alias("date"), F.col("shares").alias("institutionalShares"))
+    return ev.ownership_features(prices(spark, sf).select("symbol", "date"), positions=raw).select("symbol", "date", "ps__shares_held", "ps__shares_held_change", "ps__shares_held_pct_change", "ps__days_since_report")
 
 
 _val = ", ".join(f"{i} / nullif(cap, 0) AS {i}_yield, cap / nullif({i}, 0) AS {i}_multiple, {i} / nullif(ev, 0) AS {i}_ev_yield" for i in ("revenue", "net_income"))

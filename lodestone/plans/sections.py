@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestone.operators import builders as b
+from lodestone.operators import event_features as ev
 from lodestone.operators import events as e
 from lodestone.operators import fundamental as f
 from lodestone.operators import joins as j
@@ -14,13 +15,13 @@ from lodestone.plans.registry import query
 from lodestone.views import CHAIN, PRICES, PROFILES, STATEMENTS, chain, prices, profiles, statements, table
 
 # A statement section in vendor names: the same figures, and a text column of numbers and one of words.
-INCOME = f"{PRICES}, {STATEMENTS}, sec AS (SELECT symbol, period_ending + 45 AS known, revenue AS Revenue, revenue - cost AS grossProfit, net_income AS netIncome, shares AS weightedAverageShsOut, net_income / shares AS eps FROM statements)"
+INCOME = f"{PRICES}, {STATEMENTS}, sec AS (SELECT symbol, period_ending + 45 AS known, revenue AS Revenue, revenue - cost AS grossProfit, net_income AS netIncome, shares AS weightedAverageShsOut, shares * 1.1::DOUBLE AS weightedAverageShsOutDil, net_income / shares AS eps FROM statements)"
 DAILY = "daily AS (SELECT p.symbol, p.date, p.close, sec.* EXCLUDE (symbol, known) FROM prices p ASOF LEFT JOIN sec ON p.symbol = sec.symbol AND p.date >= sec.known)"
 
 
 def income(spark, sf):
     st = statements(spark, sf)
-    return st.select("symbol", "period_ending", F.col("revenue").alias("Revenue"), (F.col("revenue") - F.col("cost")).alias("grossProfit"), F.col("net_income").alias("netIncome"), F.col("shares").alias("weightedAverageShsOut"), (F.col("net_income") / F.col("shares")).alias("eps"))
+    return st.select("symbol", "period_ending", F.col("revenue").alias("Revenue"), (F.col("revenue") - F.col("cost")).alias("grossProfit"), F.col("net_income").alias("netIncome"), F.col("shares").alias("weightedAverageShsOut"), (F.col("shares") * 1.1).alias("weightedAverageShsOutDil"), (F.col("net_income") / F.col("shares")).alias("eps"))
 
 
 @query("f04_section_rows", f"WITH {STATEMENTS} SELECT symbol, period_ending + 30 AS date, revenue AS is__revenue, cost AS is__cost, 'USD' AS is__reportedcurrency FROM statements", floats=["is__revenue", "is__cost"], digits=2)
@@ -30,56 +31,107 @@ def f04(spark, sf):
 
 
 _names = ["is__revenue", "is__grossprofit", "is__netincome", "is__weightedaverageshsout", "is__eps", "is__eps_to_price_daily", "is__revenue_to_mcap_daily", "is__grossprofit_to_mcap_daily", "is__netincome_to_mcap_daily"]
-_cap = "nullif(weightedAverageShsOut * close, 0)"
+_cap = "nullif(weightedAverageShsOutDil * close, 0)"
 
 
 @query("f06_f08_f12_income_section", f"""WITH {INCOME}, {DAILY} SELECT symbol, date, Revenue AS is__revenue, grossProfit AS is__grossprofit, netIncome AS is__netincome, weightedAverageShsOut AS is__weightedaverageshsout, eps AS is__eps,
 eps / nullif(close, 0) AS is__eps_to_price_daily, Revenue / {_cap} AS is__revenue_to_mcap_daily, grossProfit / {_cap} AS is__grossprofit_to_mcap_daily, netIncome / {_cap} AS is__netincome_to_mcap_daily FROM daily""", floats=_names, digits=3)
 def f12(spark, sf):
     """The income section on each day with its linked ratios; ratios of items that the section lacks are left out."""
-    return s.linked_ratios(prices(spark, sf), s.section_rows(income(spark, sf), "is__"), "is__", s.INCOME).select("symbol", "date", *_names)
+    return s.linked_ratios(prices(spark, sf), s.section_rows(income(spark, sf), "is__"), "is__", s.INCOME, shares=s.INCOME_SHARES).select("symbol", "date", *_names)
 
 
 _cf = ["cf__operatingcashflow_to_mcap_daily", "cf__freecashflow_to_mcap_daily", "cf__capex_to_mcap_daily"]
 
 
-@query("f13_cash_section", f"""WITH {PRICES}, {STATEMENTS}, sec AS (SELECT symbol, period_ending + 45 AS known, cash, debt, cost, shares FROM statements), {DAILY}
-SELECT symbol, date, cash / nullif(shares * close, 0) AS cf__operatingcashflow_to_mcap_daily, debt / nullif(shares * close, 0) AS cf__freecashflow_to_mcap_daily, -cost / nullif(shares * close, 0) AS cf__capex_to_mcap_daily FROM daily""", floats=_cf, digits=4)
+# Statements of cash flows and balances hold no shares: the market cap is the income statement's diluted shares times close.
+_known = "sec AS (SELECT symbol, period_ending + 45 AS known, cash, debt, cost, revenue, shares * 1.1::DOUBLE AS shares FROM statements)"
+
+
+def cash_flow(spark, sf):
+    return statements(spark, sf).select("symbol", "period_ending", F.col("cash").alias("netCashProvidedByOperatingActivities"), F.col("debt").alias("freeCashFlow"), F.col("cost").alias("capitalExpenditure"))
+
+
+def balance(spark, sf):
+    st = statements(spark, sf)
+    return st.select("symbol", "period_ending", F.col("cash").alias("cashAndCashEquivalents"), F.col("debt").alias("totalDebt"), (F.col("debt") - F.col("cash")).alias("netDebt"), F.col("revenue").alias("totalEquity"), (F.col("revenue") + F.col("cost")).alias("totalAssets"))
+
+
+def _over_cap(spark, sf, raw, prefix, specs, names):
+    p = prices(spark, sf)
+    cap = ev.market_cap_of(p, s.section_rows(income(spark, sf), "is__"), "is__")
+    return s.linked_ratios(p, s.section_rows(raw, prefix), prefix, specs, shares=(), market_cap=cap).select("symbol", "date", *names)
+
+
+_cash_sql = "cash / nullif(shares * close, 0) AS cf__operatingcashflow_to_mcap_daily, debt / nullif(shares * close, 0) AS cf__freecashflow_to_mcap_daily, -cost / nullif(shares * close, 0) AS cf__capex_to_mcap_daily"
+_balance_sql = """cash / nullif(shares * close, 0) AS bs__cash_to_mcap_daily, debt / nullif(shares * close, 0) AS bs__debt_to_mcap_daily, (debt - cash) / nullif(shares * close, 0) AS bs__netdebt_to_mcap_daily,
+revenue / nullif(shares * close, 0) AS bs__equity_to_mcap_daily, (revenue + cost) / nullif(shares * close, 0) AS bs__assets_to_mcap_daily"""
+
+
+@query("f13_cash_section", f"WITH {PRICES}, {STATEMENTS}, {_known}, {DAILY} SELECT symbol, date, {_cash_sql} FROM daily", floats=_cf, digits=4)
 def f13(spark, sf):
-    raw = statements(spark, sf).select("symbol", "period_ending", F.col("cash").alias("netCashProvidedByOperatingActivities"), F.col("debt").alias("freeCashFlow"), F.col("cost").alias("capitalExpenditure"), F.col("shares").alias("sharesOutstanding"))
-    return s.linked_ratios(prices(spark, sf), s.section_rows(raw, "cf__"), "cf__", s.CASH).select("symbol", "date", *_cf)
+    return _over_cap(spark, sf, cash_flow(spark, sf), "cf__", s.CASH, _cf)
 
 
 _bs = ["bs__cash_to_mcap_daily", "bs__debt_to_mcap_daily", "bs__netdebt_to_mcap_daily", "bs__equity_to_mcap_daily", "bs__assets_to_mcap_daily"]
 
 
-@query("f14_balance_section", f"""WITH {PRICES}, {STATEMENTS}, sec AS (SELECT symbol, period_ending + 45 AS known, cash, debt, cost, revenue, shares FROM statements), {DAILY}
-SELECT symbol, date, cash / nullif(shares * close, 0) AS bs__cash_to_mcap_daily, debt / nullif(shares * close, 0) AS bs__debt_to_mcap_daily, (debt - cash) / nullif(shares * close, 0) AS bs__netdebt_to_mcap_daily,
-revenue / nullif(shares * close, 0) AS bs__equity_to_mcap_daily, (revenue + cost) / nullif(shares * close, 0) AS bs__assets_to_mcap_daily FROM daily""", floats=_bs, digits=4)
+@query("f14_balance_section", f"WITH {PRICES}, {STATEMENTS}, {_known}, {DAILY} SELECT symbol, date, {_balance_sql} FROM daily", floats=_bs, digits=4)
 def f14(spark, sf):
+    return _over_cap(spark, sf, balance(spark, sf), "bs__", s.BALANCE, _bs)
+
+
+_quality = ["is__revenue_to_mcap_daily", *_cf, *_bs, "bsg__book_growth_valuation_daily"]
+
+
+@query("f16_statement_quality", f"""WITH {PRICES}, {STATEMENTS}, g AS (SELECT symbol, period_ending, revenue / nullif(lag(revenue) OVER (PARTITION BY symbol ORDER BY period_ending), 0) - 1 AS rg FROM statements),
+sec AS (SELECT symbol, period_ending + 45 AS known, cash, debt, cost, revenue, shares * 1.1::DOUBLE AS shares, rg FROM statements JOIN g USING (symbol, period_ending)), {DAILY}, m AS (SELECT symbol, median(abs(rg)) AS a FROM daily GROUP BY ALL),
+q AS (SELECT symbol, date, {_cash_sql}, {_balance_sql}, revenue / nullif(shares * close, 0) AS is__revenue_to_mcap_daily, CASE WHEN a <= 2 THEN rg * 100 ELSE rg END AS x FROM daily JOIN m USING (symbol))
+SELECT * EXCLUDE (x), CASE WHEN x > 0 THEN bs__equity_to_mcap_daily / x END AS bsg__book_growth_valuation_daily FROM q""", floats=_quality, digits=4)
+def f16_quality(spark, sf):
+    """The bundle of all three statements and a growth section."""
+    from pyspark.sql import Window
+
     st = statements(spark, sf)
-    raw = st.select("symbol", "period_ending", F.col("cash").alias("cashAndCashEquivalents"), F.col("debt").alias("totalDebt"), (F.col("debt") - F.col("cash")).alias("netDebt"), F.col("revenue").alias("totalEquity"), (F.col("revenue") + F.col("cost")).alias("totalAssets"), F.col("shares").alias("sharesOutstanding"))
-    return s.linked_ratios(prices(spark, sf), s.section_rows(raw, "bs__"), "bs__", s.BALANCE).select("symbol", "date", *_bs)
+    grow = F.try_divide(F.col("revenue"), F.nullif(F.lag("revenue").over(Window.partitionBy("symbol").orderBy("period_ending")), F.lit(0.0))) - 1
+    growth = s.section_rows(st.select("symbol", "period_ending", grow.alias("totalEquityGrowth")), "bsg__")
+    rows = ev.statement_quality(prices(spark, sf), income=s.section_rows(income(spark, sf), "is__"), cash=s.section_rows(cash_flow(spark, sf), "cf__"), balance=s.section_rows(balance(spark, sf), "bs__"), growth={"bsg__": growth})
+    return rows.select("symbol", "date", *_quality)
 
 
-@query("f10_key_metrics", f"""WITH {PRICES}, {STATEMENTS}, sec AS (SELECT symbol, period_ending + 45 AS known, shares, (shares * 1000) * (cash / revenue) AS base, debt AS km__roe FROM statements), {DAILY}
+_ttm = [c.replace("__", "_ttm__", 1) for c in ("is__revenue_to_mcap_daily", *_cf)]
+
+
+@query("f12_f13_trailing_statements", f"WITH {PRICES}, {STATEMENTS}, {_known}, {DAILY}, q AS (SELECT symbol, date, revenue / nullif(shares * close, 0) AS is__revenue_to_mcap_daily, {_cash_sql} FROM daily) SELECT symbol, date, {', '.join(f'{c} AS {t}' for c, t in zip(('is__revenue_to_mcap_daily', *_cf), _ttm))} FROM q", floats=_ttm, digits=4)
+def f12_ttm(spark, sf):
+    rows = ev.trailing_statements(prices(spark, sf), income=s.section_rows(income(spark, sf), "is_ttm__"), cash=s.section_rows(cash_flow(spark, sf), "cf_ttm__"))
+    return rows.select("symbol", "date", *_ttm)
+
+
+@query("f10_key_metrics", f"""WITH {PRICES}, {STATEMENTS}, x AS (SELECT symbol, period_ending + 45 AS known, CASE WHEN month(period_ending) <> 9 THEN shares END AS n, CASE WHEN month(period_ending) <> 3 THEN (shares * 1000) * (cash / revenue) END AS b, debt AS km__roe FROM statements),
+sec AS (SELECT symbol, known, km__roe, last_value(n IGNORE NULLS) OVER w AS shares, last_value(b IGNORE NULLS) OVER w AS base FROM x WINDOW w AS (PARTITION BY symbol ORDER BY known ROWS UNBOUNDED PRECEDING)), {DAILY}
 SELECT symbol, date, shares * close AS km__marketcap, base / nullif(shares * close, 0) AS km__freecashflowyield, km__roe FROM daily""", floats=["km__marketcap", "km__freecashflowyield", "km__roe"], digits=4)
 def f10(spark, sf):
-    raw = statements(spark, sf).select("symbol", "period_ending", F.col("shares").alias("sharesOutstanding"), (F.col("shares") * 1000).alias("marketCap"), (F.col("cash") / F.col("revenue")).alias("freeCashFlowYield"), F.col("debt").alias("roe"))
-    return s.key_metrics(prices(spark, sf), s.section_rows(raw, "km__")).select("symbol", "date", "km__marketcap", "km__freecashflowyield", "km__roe")
+    """Some reports come without shares, some without a yield: the last known ones hold."""
+    month = F.month("period_ending")
+    raw = statements(spark, sf).select("symbol", "period_ending", F.when(month != 9, F.col("shares")).alias("sharesOutstanding"), (F.col("shares") * 1000).alias("marketCap"), F.when(month != 3, F.col("cash") / F.col("revenue")).alias("freeCashFlowYield"), F.col("debt").alias("roe"))
+    return ev.fundamental_changes(prices(spark, sf), metrics=s.section_rows(raw, "km__")).select("symbol", "date", "km__marketcap", "km__freecashflowyield", "km__roe")
 
 
 _mult = {m: i for i, m in enumerate(s.MULTIPLES, 10)}
 _rt = [f"rt__{m}" for m in _mult] + ["rt__dividendyield", "rt__dividendyieldpercentage"]
+_kept = lambda e: f"last_value({e} IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY known ROWS UNBOUNDED PRECEDING)"
 
 
-@query("f11_repriced_ratios", f"""WITH {PRICES}, {STATEMENTS}, sec0 AS (SELECT symbol, period_ending + 45 AS known, revenue / cost AS q, cash / shares AS paid FROM statements),
-sec AS (SELECT sec0.symbol, sec0.known, sec0.q, sec0.paid, p.close AS then_ FROM sec0 ASOF LEFT JOIN prices p ON sec0.symbol = p.symbol AND sec0.known >= p.date), {DAILY}
-SELECT symbol, date, {', '.join(f'close / nullif(then_ / nullif(q * {i}, 0), 0) AS rt__{m}' for m, i in _mult.items())}, paid / nullif(close, 0) AS rt__dividendyield, paid / nullif(close, 0) * 100 AS rt__dividendyieldpercentage FROM daily""", floats=_rt, digits=4)
+@query("f11_repriced_ratios", f"""WITH {PRICES}, {STATEMENTS}, sec0 AS (SELECT symbol, period_ending + 45 AS known, month(period_ending) AS m, revenue / cost AS q, CASE WHEN month(period_ending) <> 12 THEN cash / shares END AS paid FROM statements),
+sec1 AS (SELECT sec0.symbol, sec0.known, sec0.m, sec0.q, sec0.paid, p.close AS then_ FROM sec0 ASOF LEFT JOIN prices p ON sec0.symbol = p.symbol AND sec0.known >= p.date),
+sec AS (SELECT symbol, known, {_kept('paid')} AS paid, {', '.join(f"{_kept(f'CASE WHEN (m + {i}) % 4 <> 0 THEN then_ / nullif(q * {i}, 0) END')} AS s{i}" for i in _mult.values())} FROM sec1), {DAILY}
+SELECT symbol, date, {', '.join(f'close / nullif(s{i}, 0) AS rt__{m}' for m, i in _mult.items())}, paid / nullif(close, 0) AS rt__dividendyield, paid / nullif(close, 0) * 100 AS rt__dividendyieldpercentage FROM daily""", floats=_rt, digits=4)
 def f11(spark, sf):
-    st = statements(spark, sf)
-    raw = st.select("symbol", "period_ending", *[(F.col("revenue") / F.col("cost") * i).alias(m) for m, i in _mult.items()], (F.col("cash") / F.col("shares")).alias("dividendPerShare"))
-    return s.repriced_ratios(prices(spark, sf), s.section_rows(raw, "rt__")).select("symbol", "date", *_rt)
+    """Each multiple is missing in some quarters, the dividend in the last."""
+    month = F.month("period_ending")
+    raw = statements(spark, sf).select("symbol", "period_ending", *[F.when((month + i) % 4 != 0, F.col("revenue") / F.col("cost") * i).alias(m) for m, i in _mult.items()], F.when(month != 12, F.col("cash") / F.col("shares")).alias("dividendPerShare"))
+    return ev.fundamental_changes(prices(spark, sf), ratios=s.section_rows(raw, "rt__")).select("symbol", "date", *_rt)
 
 
 @query("f15_growth_section", f"""WITH {PRICES}, {STATEMENTS}, g AS (SELECT symbol, period_ending + 45 AS known, revenue / nullif(lag(revenue) OVER w, 0) - 1 AS rg, 100 * (net_income / nullif(lag(net_income) OVER w, 0) - 1) AS eg FROM statements WINDOW w AS (PARTITION BY symbol ORDER BY period_ending)),
@@ -141,11 +193,11 @@ def f27(spark, sf):
     return static.join(inverse, ["symbol", "date"])
 
 
-_ps = [f"ps__{k}" for k in ("investor_count", "shares_held", "investor_count_diff", "investor_count_pct_change", "shares_held_diff", "shares_held_pct_change", "shares_per_investor")]
+_ps = [f"ps__{k}" for k in ("investor_count", "shares_held", "investor_count_change", "investor_count_pct_change", "shares_held_change", "shares_held_pct_change", "shares_per_investor")]
 
 
 @query("f21_positions_summary", f"""WITH {STATEMENTS}, r AS (SELECT symbol, period_ending AS date, floor(shares / 7)::DOUBLE AS i, shares AS h FROM statements)
-SELECT symbol, date, i AS ps__investor_count, h AS ps__shares_held, i - lag(i) OVER w AS ps__investor_count_diff, i / nullif(lag(i) OVER w, 0) - 1 AS ps__investor_count_pct_change, h - lag(h) OVER w AS ps__shares_held_diff, h / nullif(lag(h) OVER w, 0) - 1 AS ps__shares_held_pct_change, h / nullif(i, 0) AS ps__shares_per_investor
+SELECT symbol, date, i AS ps__investor_count, h AS ps__shares_held, i - lag(i) OVER w AS ps__investor_count_change, i / nullif(lag(i) OVER w, 0) - 1 AS ps__investor_count_pct_change, h - lag(h) OVER w AS ps__shares_held_change, h / nullif(lag(h) OVER w, 0) - 1 AS ps__shares_held_pct_change, h / nullif(i, 0) AS ps__shares_per_investor
 FROM r WINDOW w AS (PARTITION BY symbol ORDER BY date)""", floats=_ps, digits=4)
 def f21(spark, sf):
     raw = statements(spark, sf).select("symbol", F.col("period_ending").alias("date"), F.floor(F.col("shares") / 7).cast("string").alias("InvestorsCount"), F.col("shares").alias("totalShares"))
