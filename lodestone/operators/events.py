@@ -23,7 +23,8 @@ SELL = ("sale", "sell", "disposition", "disposed", " s ", " d ")
 RATINGS = ((5, ("strong buy", "outperform", "overweight", "buy")), (4, ("market perform", "neutral", "hold", "equal weight")), (3, ("underperform", "underweight", "sell")))
 # Words of an action that tell the direction; the former are tested first.
 RAISED, LOWERED = ("upgrade", "raised", "initiated"), ("downgrade", "lowered")
-KEYS = ("symbol", "event_date", "event_family", "event_type", "actor", "source", "strength")
+# What tells an event from another.
+KEYS = ("symbol", "event_date", "event_family", "event_type", "actor_type", "actor", "strength")
 
 
 def has_any(text: Column, words: tuple[str, ...]) -> Column:
@@ -77,11 +78,6 @@ def sign_type(value: Column, family: str) -> Column:
     return F.when(value > 0, up).when(value < 0, down)
 
 
-def role_bucket(role: Column) -> Column:
-    r = F.lower(F.coalesce(role, F.lit("")))
-    return F.when(r.rlike(r"\b(ceo|chief executive)"), "ceo").when(r.rlike(r"\b(cfo|chief financial)"), "cfo").when(r.rlike("director"), "director").when(r.rlike(r"10 ?%|owner"), "owner").when(r.rlike("officer|president|vp"), "officer").otherwise("other")
-
-
 def normalize_events(rows: DataFrame) -> DataFrame:
     """Fixed columns with midnight dates, the disclosure lag in days, mirror type and side; rows of no type or date are left out, an unknown type is an error."""
     opposite, side = mirror()
@@ -91,8 +87,8 @@ def normalize_events(rows: DataFrame) -> DataFrame:
 
 
 def merge_events(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Upsert by the seven identifying columns; nulls are equal."""
-    return upsert(existing, incoming, KEYS)
+    """Upsert by the identifying columns (those of KEYS that the events have); nulls are equal."""
+    return upsert(existing, incoming, [k for k in KEYS if k in existing.columns])
 
 
 def fill_missing_families(cached: DataFrame, built: DataFrame) -> DataFrame:

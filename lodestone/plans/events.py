@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestone.operators import asof, events as e
+from lodestone.operators import asof, builders as b, events as e
 from lodestone.plans.registry import query
 from lodestone.views import EVENTS, PRICES, prices, raw_events
 
@@ -37,9 +37,10 @@ def e04(spark, sf):
     return e.dividend_changes(raw_events(spark, sf).groupBy("symbol", "event_date").agg(F.max("shares").alias("amount")))
 
 
-@query("e08_role_buckets", f"WITH {EVENTS} SELECT role, CASE WHEN regexp_matches(lower(role), 'owner') THEN 'owner' ELSE 'other' END AS bucket, count(*) AS n FROM raw_events GROUP BY ALL", dates=[])
+@query("e08_role_buckets", f"""WITH {EVENTS}, r AS (SELECT *, lower(trim(role)) AS t FROM raw_events) SELECT role, CASE WHEN t = '' THEN NULL WHEN regexp_matches(t, 'chief executive|\\bceo\\b') THEN 'ceo' WHEN regexp_matches(t, 'chief financial|\\bcfo\\b') THEN 'cfo' WHEN contains(t, 'director') THEN 'director' WHEN contains(t, 'president') THEN 'president'
+WHEN contains(t, 'officer') THEN 'officer' WHEN regexp_matches(t, '10%|ten percent|beneficial owner') THEN 'large_holder' WHEN t IS NOT NULL THEN 'other_insider' END AS bucket, count(*) AS n FROM r GROUP BY ALL""", dates=[])
 def e08(spark, sf):
-    return raw_events(spark, sf).groupBy("role", e.role_bucket(F.col("role")).alias("bucket")).agg(F.count("*").alias("n"))
+    return raw_events(spark, sf).groupBy("role", b.bucket(F.col("role"), b.ROLES).alias("bucket")).agg(F.count("*").alias("n"))
 
 
 @query("e10_fill_families", f"WITH {TYPED}, c AS (SELECT * FROM typed WHERE symbol <> 'S3'), b AS (SELECT * REPLACE (value AS strength) FROM (SELECT typed.*, strength * 2 AS value FROM typed)) SELECT symbol, event_type, count(*) AS n, sum(strength) AS strength FROM (SELECT symbol, event_type, strength FROM c UNION ALL SELECT symbol, event_type, strength FROM b WHERE symbol NOT IN (SELECT symbol FROM c)) GROUP BY ALL", floats=["strength"], digits=2, dates=[])

@@ -104,7 +104,7 @@ _ins = ["own__insider_net_buy_value_90d", "own__insider_buy_count_90d", "own__in
 @query("f20_insider_activity", f"""WITH {PRICES}, t AS (SELECT concat('S', l_suppkey) AS symbol, cast(l_shipdate AS DATE) + 1 AS date, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN -1 ELSE 0 END AS s, CASE WHEN l_linenumber = 3 THEN 0 ELSE l_extendedprice / 1000 END AS px, l_quantity AS q FROM lineitem WHERE l_suppkey % 10 <> 7),
 d AS (SELECT symbol, date, sum(s * px * q) AS v, count(*) FILTER (s > 0)::DOUBLE AS b, count(*) FILTER (s < 0)::DOUBLE AS s FROM t GROUP BY ALL), g AS (SELECT p.symbol, p.date, coalesce(v, 0) AS v, coalesce(b, 0) AS b, coalesce(s, 0) AS s FROM prices p LEFT JOIN d USING (symbol, date)),
 w AS (SELECT symbol, date, sum(v) OVER w AS v, sum(b) OVER w AS b, sum(s) OVER w AS s FROM g WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 89 PRECEDING))
-SELECT w.symbol, w.date, w.v AS own__insider_net_buy_value_90d, w.b AS own__insider_buy_count_90d, w.s AS own__insider_sell_count_90d, w.b / nullif(w.s, 0) AS own__insider_buy_sell_ratio_90d, (w.date - d.date)::DOUBLE AS own__insider_days_since FROM w ASOF LEFT JOIN d ON w.symbol = d.symbol AND w.date >= d.date""", floats=_ins, digits=2)
+SELECT w.symbol, w.date, w.v AS own__insider_net_buy_value_90d, w.b AS own__insider_buy_count_90d, w.s AS own__insider_sell_count_90d, w.b / nullif(w.s, 0) AS own__insider_buy_sell_ratio_90d, (w.date - d.date)::DOUBLE AS own__insider_days_since FROM w ASOF LEFT JOIN d ON w.symbol = d.symbol AND w.date >= d.date""", floats=_ins, digits=4)
 def f20(spark, sf):
     """Trades a day after the prices' days: some fall on days that the grid lacks; a tenth of the symbols has none."""
     kind = F.when(F.col("l_returnflag") == "A", "a").when(F.col("l_returnflag") == "R", "D")

@@ -205,7 +205,6 @@ def f21(spark, sf):
 
 
 EVENT_COLUMNS = ("symbol", "event_date", "event_family", "event_type", "mirror_type", "side", "actor", "actor_role")
-_EV = "symbol, event_date, event_family, event_type, mirror_type, side, actor, actor_role"
 
 
 def _li(spark, sf):
@@ -216,49 +215,52 @@ _grade = lambda c: f"CASE {c} % 3 WHEN 0 THEN 'Strong Buy' WHEN 1 THEN 'Hold' EL
 _score = lambda c: f"(5 - {c} % 3)"
 
 
-@query("e03_e07_analyst_ratings", f"""WITH r AS (SELECT concat('S', l_suppkey) AS symbol, cast(l_shipdate AS DATE) AS event_date, l_partkey % 50 AS firm, CASE WHEN l_orderkey % 7 = 0 THEN 'up' WHEN l_orderkey % 7 = 1 THEN 'down' WHEN {_score('l_partkey')} > {_score('l_linenumber')} THEN 'up' WHEN {_score('l_partkey')} < {_score('l_linenumber')} THEN 'down' END AS t FROM lineitem)
-SELECT symbol, event_date, 'analyst_rating' AS event_family, CASE t WHEN 'up' THEN 'analyst_upgrade' ELSE 'analyst_downgrade' END AS event_type, CASE t WHEN 'up' THEN 'analyst_downgrade' ELSE 'analyst_upgrade' END AS mirror_type, CASE t WHEN 'up' THEN 1 ELSE -1 END AS side, 'firm ' || firm AS actor, 'analyst' AS actor_role, cast(event_date AS VARCHAR) AS reported_date
-FROM r WHERE t IS NOT NULL""", dates=["event_date"])
+@query("e03_e07_analyst_ratings", f"""WITH r AS (SELECT DISTINCT concat('S', l_suppkey) AS symbol, cast(l_shipdate AS DATE) AS event_date, l_partkey % 50 AS firm, {_grade('l_partkey')} AS strength, CASE WHEN l_orderkey % 7 = 0 THEN 'up' WHEN l_orderkey % 7 = 1 THEN 'down' WHEN {_score('l_partkey')} > {_score('l_linenumber')} THEN 'up' WHEN {_score('l_partkey')} < {_score('l_linenumber')} THEN 'down' END AS t FROM lineitem)
+SELECT symbol, event_date, 'analyst_rating' AS event_family, CASE t WHEN 'up' THEN 'analyst_upgrade' ELSE 'analyst_downgrade' END AS event_type, CASE t WHEN 'up' THEN 'analyst_downgrade' ELSE 'analyst_upgrade' END AS mirror_type, CASE t WHEN 'up' THEN 1 ELSE -1 END AS side, 'firm ' || firm AS actor, 'analyst' AS actor_role, cast(event_date AS VARCHAR) AS reported_date,
+'firm ' || firm AS actor_firm, 'analyst' AS actor_type, strength, 'warehouse:estimates_price_target' AS source FROM r WHERE t IS NOT NULL""", dates=["event_date"])
 def e07_ratings(spark, sf):
     grade = lambda c: F.when(F.col(c) % 3 == 0, "Strong Buy").when(F.col(c) % 3 == 1, "Hold").otherwise("Sell")
     raw = _li(spark, sf).select("symbol", F.col("l_shipdate").alias("published_date"), F.when(F.col("l_orderkey") % 7 == 0, "Upgraded").when(F.col("l_orderkey") % 7 == 1, "lowered to hold").alias("action"), grade("l_partkey").alias("newGrade"), grade("l_linenumber").alias("previousGrade"), F.lit(" ").alias("company"), F.concat(F.lit("firm "), F.col("l_partkey") % 50).alias("analystFirm"))
-    return b.build(raw, "analyst_rating").select(*EVENT_COLUMNS, F.col("reported_date").cast("string").alias("reported_date"))
+    return b.build(raw, "analyst_rating").select(*EVENT_COLUMNS, F.col("reported_date").cast("string").alias("reported_date"), "actor_firm", "actor_type", "strength", "source")
 
 
 @query("e07_capital_actions", f"""WITH {STATEMENTS}, c AS (SELECT symbol, period_ending, 'buyback_authorization' AS event_type, -cash AS v FROM statements WHERE cash <> 0 UNION ALL SELECT symbol, period_ending, 'equity_offering', debt - cash FROM statements WHERE debt - cash > 0)
-SELECT symbol, period_ending AS event_date, 'capital_action' AS event_family, event_type, CASE event_type WHEN 'equity_offering' THEN 'buyback_authorization' ELSE 'equity_offering' END AS mirror_type, CASE event_type WHEN 'equity_offering' THEN -1 ELSE 1 END AS side, symbol AS actor, 'issuer' AS actor_role, v AS strength FROM c""", dates=["event_date"], floats=["strength"], digits=2)
+SELECT symbol, period_ending AS event_date, 'capital_action' AS event_family, event_type, CASE event_type WHEN 'equity_offering' THEN 'buyback_authorization' ELSE 'equity_offering' END AS mirror_type, CASE event_type WHEN 'equity_offering' THEN -1 ELSE 1 END AS side, symbol AS actor, 'issuer' AS actor_type, v AS strength FROM c""", dates=["event_date"], floats=["strength"], digits=3)
 def e07_capital(spark, sf):
     raw = statements(spark, sf).select("symbol", "period_ending", (-F.col("cash")).alias("commonStockRepurchased"), (F.col("debt") - F.col("cash")).alias("stock_issued"))
-    return b.build(raw, "capital_action").select(*EVENT_COLUMNS, F.col("strength").cast("double").alias("strength"))
+    return b.build(raw, "capital_action").select(*EVENT_COLUMNS[:-1], "actor_type", F.col("strength").cast("double").alias("strength"))
 
 
-def _both(up: str, down: str, family: str, actor: str, role: str, t: str = "t") -> str:
-    return f"'{family}' AS event_family, CASE {t} WHEN 'up' THEN '{up}' ELSE '{down}' END AS event_type, CASE {t} WHEN 'up' THEN '{down}' ELSE '{up}' END AS mirror_type, CASE {t} WHEN 'up' THEN 1 ELSE -1 END AS side, {actor} AS actor, {role} AS actor_role"
+def _both(up: str, down: str, family: str, actor: str, kind: str, t: str = "t") -> str:
+    return f"'{family}' AS event_family, CASE {t} WHEN 'up' THEN '{up}' ELSE '{down}' END AS event_type, CASE {t} WHEN 'up' THEN '{down}' ELSE '{up}' END AS mirror_type, CASE {t} WHEN 'up' THEN 1 ELSE -1 END AS side, {actor} AS actor, {kind} AS actor_type"
 
 
-_roles = "CASE l_linenumber WHEN 1 THEN 'ceo' WHEN 2 THEN 'cfo' WHEN 3 THEN 'director' WHEN 4 THEN 'president' WHEN 5 THEN 'officer' WHEN 6 THEN 'large_holder' ELSE 'other_insider' END"
+# Titles and offices, and the buckets they fall in.
+TITLES = (("Chief Executive Officer", "ceo"), ("EVP, CFO", "cfo"), ("Director", "director"), ("Vice President", "president"), ("officer: legal", "officer"), ("10% owner", "large_holder"), ("friend", "other_insider"))
+_title = lambda k: "CASE l_linenumber " + " ".join(f"WHEN {i} THEN '{x[k]}'" for i, x in enumerate(TITLES, 1)) + " END"
+_office = "CASE l_linenumber % 4 WHEN 0 THEN 'U.S. Senate' WHEN 1 THEN 'House' WHEN 2 THEN 'Representative' ELSE 'congress' END"
 _chambers = "CASE l_linenumber % 4 WHEN 0 THEN 'senate' WHEN 1 THEN 'house' WHEN 2 THEN 'house' ELSE 'congress_other' END"
 
 
 @query("e02_e07_e08_insider_congress", f"""WITH r AS (SELECT *, concat('S', l_suppkey) AS symbol, cast(l_shipdate AS DATE) AS event_date, CASE l_returnflag WHEN 'A' THEN 'up' WHEN 'R' THEN 'down' END AS t FROM lineitem)
-SELECT symbol, event_date, {_both('insider_buy', 'insider_sell', 'insider', "'P' || l_partkey", _roles)}, l_quantity AS strength FROM r WHERE t IS NOT NULL
-UNION ALL SELECT symbol, event_date, {_both('congress_buy', 'congress_sell', 'congress', "'Ann ' || l_partkey", _chambers)}, l_tax FROM r WHERE t IS NOT NULL""", dates=["event_date"], floats=["strength"], digits=3)
+SELECT DISTINCT symbol, event_date, {_both('insider_buy', 'insider_sell', 'insider', "'P' || l_partkey", _title(0))}, {_title(1)} AS actor_role, {_title(0)} AS actor_title, cast(NULL AS VARCHAR) AS actor_chamber, l_quantity::DOUBLE AS strength, l_quantity::DOUBLE AS transaction_shares, l_quantity * (1 + l_partkey % 10)::DOUBLE AS transaction_value FROM r WHERE t IS NOT NULL
+UNION ALL SELECT DISTINCT symbol, event_date, {_both('congress_buy', 'congress_sell', 'congress', "'Ann ' || l_partkey", _office)}, NULL, NULL, {_chambers}, l_tax::DOUBLE, NULL, NULL FROM r WHERE t IS NOT NULL""", dates=["event_date"], floats=["strength", "transaction_shares", "transaction_value"], digits=3)
 def e07_trades(spark, sf):
     li = _li(spark, sf)
-    titles = F.array(*[F.lit(t) for t in ("Chief Executive Officer", "EVP, CFO", "Director", "Vice President", "officer: legal", "10% owner", "friend")])
+    titles = F.array(*[F.lit(t) for t, _ in TITLES])
     kind = F.when(F.col("l_returnflag") == "A", "P-Purchase").when(F.col("l_returnflag") == "R", "Sale (partial)").otherwise("M-Exempt")
-    insider = li.select("symbol", F.col("l_shipdate").alias("transactionDate"), kind.alias("transactionType"), F.element_at(titles, F.col("l_linenumber")).alias("typeOfOwner"), F.concat(F.lit("P"), "l_partkey").alias("reportingName"), F.col("l_quantity").alias("securitiesTransacted"))
+    insider = li.select("symbol", F.col("l_shipdate").alias("transactionDate"), kind.alias("transactionType"), F.element_at(titles, F.col("l_linenumber")).alias("typeOfOwner"), F.concat(F.lit("P"), "l_partkey").alias("reportingName"), F.col("l_quantity").alias("securitiesTransacted"), (1 + F.col("l_partkey") % 10).alias("transaction_price"))
     where = F.when(F.col("l_linenumber") % 4 == 0, "U.S. Senate").when(F.col("l_linenumber") % 4 == 1, "House").when(F.col("l_linenumber") % 4 == 2, "Representative")
     congress = li.select("symbol", F.col("l_shipdate").alias("transaction_date"), kind.alias("type"), where.alias("office"), F.lit("Ann").alias("firstName"), F.col("l_partkey").alias("lastName"), F.col("l_tax").alias("amount"))
     both = b.build(insider, "insider").unionByName(b.build(congress, "congress"))
-    return both.select(*EVENT_COLUMNS, F.col("strength").cast("double").alias("strength"))
+    return both.select(*EVENT_COLUMNS, "actor_type", "actor_title", "actor_chamber", F.col("strength").cast("double").alias("strength"), "transaction_shares", "transaction_value")
 
 
 @query("e04_e07_price_targets", f"""WITH r AS (SELECT concat('S', l_suppkey) AS symbol, l_partkey % 20 AS a, cast(l_shipdate AS DATE) AS event_date, max(l_extendedprice) AS v FROM lineitem GROUP BY ALL), p AS (SELECT *, lag(v) OVER (PARTITION BY symbol, a ORDER BY event_date) AS b FROM r), q AS (SELECT *, CASE WHEN v > b THEN 'up' WHEN v < b THEN 'down' END AS t FROM p)
-SELECT symbol, event_date, {_both('price_target_raise', 'price_target_cut', 'price_target', "'A' || a", "'analyst'")}, v AS strength FROM q WHERE t IS NOT NULL""", dates=["event_date"], floats=["strength"], digits=2)
+SELECT symbol, event_date, {_both('price_target_raise', 'price_target_cut', 'price_target', "'A' || a", "'analyst'")}, 'analyst' AS actor_role, 'A' || a AS actor_firm, v AS strength FROM q WHERE t IS NOT NULL""", dates=["event_date"], floats=["strength"], digits=2)
 def e07_targets(spark, sf):
     raw = _li(spark, sf).groupBy("symbol", F.concat(F.lit("A"), F.col("l_partkey") % 20).alias("analystName"), F.to_date("l_shipdate").alias("publishedDate")).agg(F.max("l_extendedprice").alias("priceTarget"))
-    return b.build(raw, "price_target").select(*EVENT_COLUMNS, F.col("strength").cast("double").alias("strength"))
+    return b.build(raw, "price_target").select(*EVENT_COLUMNS, "actor_type", "actor_firm", F.col("strength").cast("double").alias("strength"))
 
 
 @query("e04_e07_institutional_dividend_split_earnings", f"""WITH {STATEMENTS}, w AS (SELECT *, lag(shares) OVER (PARTITION BY symbol ORDER BY period_ending) AS s0, lag(cash) OVER (PARTITION BY symbol ORDER BY period_ending) AS c0 FROM statements),
@@ -270,12 +272,27 @@ def e07_others(spark, sf):
     st = statements(spark, sf).withColumnRenamed("period_ending", "date")
     parts = (
         b.build(st.select("symbol", "date", F.col("shares").alias("sharesHeld")), "institutional"), b.build(st.select("symbol", "date", F.col("cash").alias("adjDividend")), "dividend", start="1995-01-01", end="2005-01-01"),
-        b.build(st.select("symbol", "date", F.col("debt").alias("numerator"), F.col("cash").alias("denominator")), "split"), b.build(st.select("symbol", "date", F.col("net_income").alias("epsActual"), F.lit("0").alias("epsEstimated")), "earnings"),
+        b.build(st.select("symbol", "date", F.col("debt").alias("numerator"), F.col("cash").alias("denominator")), "split"), b.build(st.select("symbol", F.col("date").alias("fiscalDateEnding"), F.col("net_income").alias("reportedEPS"), F.lit("0").alias("epsConsensus")), "earnings"),
     )
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(*EVENT_COLUMNS)
+    return out.select(*EVENT_COLUMNS[:-1], "actor_type")
+
+
+@query("e10_loaded_events", f"""WITH {STATEMENTS}, w AS (SELECT *, lag(cash) OVER (PARTITION BY symbol ORDER BY period_ending) AS c0, substr(symbol, 2)::INT % 2 = 0 AS even FROM statements),
+e AS (SELECT symbol, period_ending AS event_date, CASE WHEN net_income > 0 THEN 'earnings_beat' WHEN net_income < 0 THEN 'earnings_miss' END AS event_type, CASE WHEN even THEN 'cache' ELSE 'warehouse:equity_calendar_earnings' END AS source FROM w),
+d AS (SELECT symbol, period_ending AS event_date, CASE WHEN cash > c0 THEN 'dividend_increase' WHEN cash < c0 THEN 'dividend_cut' END AS event_type, 'warehouse:dividends' AS source FROM w)
+SELECT * FROM (SELECT * FROM e UNION ALL SELECT * FROM d) WHERE event_type IS NOT NULL AND event_date BETWEEN DATE '1996-03-31' AND DATE '2000-06-30'""", dates=["event_date"])
+def e10_loaded(spark, sf):
+    """Earnings of every second symbol are stored, twice; all else is built, and events of a family that nobody asks for are left out."""
+    st = statements(spark, sf).withColumnRenamed("period_ending", "date")
+    earnings, dividends, splits = (b.build(st.select("symbol", "date", *c), k) for k, c in (
+        ("earnings", (F.col("net_income").alias("actualEps"), F.lit(0).alias("estimatedEps"))), ("dividend", (F.col("cash").alias("dividend"),)), ("split", (F.lit(2).alias("ratio"),)),
+    ))
+    stored = earnings.filter("cast(substring(symbol, 2) as int) % 2 = 0").withColumn("source", F.lit("cache"))
+    built = earnings.unionByName(dividends).unionByName(splits)
+    return b.load(stored.unionByName(stored), built, families=("earnings", " Dividend "), start="1996-03-31", end="2000-06-30").select("symbol", "event_date", "event_type", "source")
 
 
 @query("e05_press_releases", "SELECT doc_id, CASE WHEN contains(lower(text), 'buyback') OR contains(lower(text), 'repurchase') OR doc_id % 5 = 0 THEN 'buyback_authorization' END AS event_type FROM documents", dates=[])
@@ -287,7 +304,7 @@ def e05(spark, sf):
 
 @query("e10_sliced_events", f"WITH {STATEMENTS} SELECT symbol, period_ending AS event_date, CASE WHEN net_income > 0 THEN 'earnings_beat' ELSE 'earnings_miss' END AS event_type FROM statements WHERE net_income <> 0 AND period_ending BETWEEN DATE '1997-03-31' AND DATE '1999-12-31'", dates=["event_date"])
 def e10(spark, sf):
-    st = statements(spark, sf).select("symbol", F.col("period_ending").alias("date"), F.col("net_income").alias("actual"), F.lit(0).alias("estimate"))
+    st = statements(spark, sf).select("symbol", F.col("period_ending").alias("date"), F.col("net_income").alias("eps"), F.lit(0).alias("epsEstimate"))
     return b.sliced(b.build(st, "earnings"), "1997-03-31", "1999-12-31").select("symbol", "event_date", "event_type")
 
 
