@@ -158,12 +158,6 @@ def label_statistics(panel: DataFrame) -> DataFrame:
     )
 
 
-def with_underlying(candidates: DataFrame, trades: DataFrame) -> DataFrame:
-    """Option candidates and, for each trade, the underlying itself as one more leg."""
-    legs = trades.select("trade_id", "symbol", F.lit(-1).cast("bigint").alias("part"), F.col("ret").alias("realised_return"))
-    return candidates.select("trade_id", "symbol", F.col("part").cast("bigint").alias("part"), "realised_return").unionByName(legs)
-
-
 def tag_statistics(rows: DataFrame, *tasks: str) -> DataFrame:
     """Of `tagged` label sets before they are made distinct: rows of each task, distinct ones, and how many repeat."""
     each = rows.groupBy("task").agg(F.count("*").alias("rows"), F.countDistinct("trade_id", "part").alias("distinct_rows"))
@@ -171,9 +165,9 @@ def tag_statistics(rows: DataFrame, *tasks: str) -> DataFrame:
 
 
 def tagged(*tasks: tuple[str, DataFrame, Column]) -> DataFrame:
-    """Several label sets (name, rows, label) as one: task, and the columns trade_id, part, label; one row of each."""
+    """Several label sets (name, rows, label) as one: task, and the columns trade_id, part, label; one row of each, with the largest of its labels (null counts least)."""
     out = None
     for name, rows, label in tasks:
         some = rows.select(F.lit(name).alias("task"), "trade_id", "part", label.cast("double").alias("label"))
         out = some if out is None else out.unionByName(some)
-    return out.dropDuplicates(["task", "trade_id", "part"])
+    return out.groupBy("task", "trade_id", "part").agg(F.max("label").alias("label"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestone.operators import evaluate as v, labels
+from lodestone.operators.compare import TaskSpec
 from lodestone.operators.technical import returns
 from lodestone.plans.events import PANEL, panel
 from lodestone.plans.registry import query
@@ -66,11 +67,22 @@ def v06(spark, sf):
     return both.groupBy("feature", "horizon").agg(F.corr("score", "target_value").alias("pearson"), F.count("*").alias("n"))
 
 
-@query("v10_text_rows", f"""WITH {PANEL}, r AS (SELECT symbol, date, close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1 AS ret, volume FROM prices)
-SELECT symbol, date, 'target_event_on__insider_buy' AS task, 'px' AS family, concat_ws(' ', 'source=prices', 'feature_family=px', CASE WHEN ret IS NOT NULL THEN 'ret=' || printf('%.2f', ret) END, 'volume=' || printf('%.2f', volume)) AS text FROM panel JOIN r USING (symbol, date) WHERE target_event_on__insider_buy > 0""")
+_TASKS = (TaskSpec("insider_side", "target_event_on__insider_buy", "target_event_on__insider_sell"), TaskSpec("insider_buy_or_large", "target_event_on__insider_buy", "large"))
+_two = lambda c: f"CASE WHEN round_even({c}, 2) = 0 THEN '0.00' ELSE printf('%.2f', round_even({c}, 2)) END"
+
+
+@query("v10_text_rows", f"""WITH {PANEL}, r AS (SELECT symbol, date, close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1 AS ret, volume, (volume > 45)::INT AS large FROM prices), j AS (SELECT * FROM panel JOIN r USING (symbol, date)),
+t AS (SELECT symbol, date, ret, volume, 'insider_side' AS task, target_event_on__insider_buy AS p, target_event_on__insider_sell AS n FROM j UNION ALL SELECT symbol, date, ret, volume, 'insider_buy_or_large', target_event_on__insider_buy, large FROM j),
+k AS (SELECT *, (p > 0)::INT AS label FROM t WHERE (p > 0) <> (n > 0))
+SELECT symbol, date, task, label, 'px' AS family, concat_ws(' ', 'source=prices', 'feature_family=px', 'ret_1d=' || {_two('ret')}, 'tot_volume=' || {_two('volume')}) AS text FROM k
+UNION ALL SELECT symbol, date, task, label, 'own', concat_ws(' ', 'source=prices', 'feature_family=own', 'ret_1d=' || {_two('ret')}) FROM k WHERE ret IS NOT NULL AND task = 'insider_side'""")
 def v10(spark, sf):
-    f = returns(prices(spark, sf), (1,)).select("symbol", "date", F.col("px__ret_1d").alias("ret"), "volume")
-    return v.text_rows(panel(spark, sf).join(f, ["symbol", "date"]), {"px": ["ret", "volume"]}, ("target_event_on__insider_buy",), "prices")
+    """Two tasks, of which days with both sides are left out, and two families, of which one needs all its columns and is asked for by one task."""
+    f = returns(prices(spark, sf), (1,)).select("symbol", "date", F.col("px__ret_1d").alias("px__ret_1d"), F.col("volume").alias("total_volume"), (F.col("volume") > 45).cast("int").alias("large"))
+    rows = panel(spark, sf).join(f, ["symbol", "date"])
+    px = v.text_rows(rows, {"px": ["px__ret_1d", "total_volume", "no_such_column"]}, _TASKS, "prices")
+    own = v.text_rows(rows.withColumnRenamed("px__ret_1d", "own__ret_1d"), {"own": ["own__ret_1d", "date"]}, _TASKS, "prices", least_coverage=1.0, allowed={"insider_side": {"own"}})
+    return px.unionByName(own)
 
 
 @query("l19_feature_target_matrix", f"""WITH {PANEL}, f AS (SELECT symbol, date, 'volume' AS feature, volume AS x FROM prices UNION ALL SELECT symbol, date, 'mom', close / lag(close, 5) OVER (PARTITION BY symbol ORDER BY date) - 1 FROM prices),
