@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions.columns import ratio
+from lodestone.functions.columns import numeric, ratio
 from lodestone.operators.asof import asof_join, lag_reports
 
 
@@ -51,7 +51,7 @@ def price_linked(daily: DataFrame, items: Iterable[str], *, shares: str = "share
 
 
 def valuation_panel(daily: DataFrame, items: Iterable[str]) -> DataFrame:
-    """Yields and multiples on market cap and on enterprise value (cap + debt - cash, missing parts 0)."""
+    """Yields and multiples of any items on market cap and on enterprise value (cap + debt - cash, missing parts 0); `daily_valuation` has the items of the vendor's statements."""
     rows = daily.withColumn("market_cap", F.col("shares") * F.col("close"))
     rows = rows.withColumn("enterprise_value", F.col("market_cap") + F.coalesce("debt", F.lit(0.0)) - F.coalesce("cash", F.lit(0.0)))
     out: dict[str, Column] = {}
@@ -60,6 +60,85 @@ def valuation_panel(daily: DataFrame, items: Iterable[str]) -> DataFrame:
     return rows.withColumns(out)
 
 
+# Items over the daily market cap: name, section, column, and whether higher is better; items over the enterprise value.
+CAP_ITEMS = (
+    ("revenue", "income", "revenue", True), ("gross_profit", "income", "gross_profit", True), ("operating_income", "income", "operating_income", True), ("ebit", "income", "ebit", True), ("ebitda", "income", "ebitda", True),
+    ("net_income", "income", "net_income", True), ("operating_cash_flow", "cash", "operating_cash_flow", True), ("free_cash_flow", "cash", "free_cash_flow", True), ("book_equity", "balance", "book_equity", True),
+    ("tangible_book", "balance", "tangible_book", True), ("cash", "balance", "cash_and_cash_equivalents", True), ("cash_and_short_term_investments", "balance", "cash_and_short_term_investments", True),
+    ("total_debt", "balance", "total_debt", False), ("net_debt", "balance", "net_debt", False),
+)
+EV_ITEMS = ("revenue", "gross_profit", "operating_income", "ebit", "ebitda", "operating_cash_flow", "free_cash_flow")
+# Vendor ratios taken as reported, and controls of quality: name, section, column, and whether higher is better.
+STATIC_RATIOS = (
+    ("static_pe", "ratios", "price_to_earnings", False), ("static_ps", "ratios", "price_to_sales", False), ("static_pb", "ratios", "price_to_book", False), ("static_pocf", "ratios", "price_to_operating_cash_flow", False),
+    ("static_pfcf", "ratios", "price_to_free_cash_flow", False), ("static_debt_to_market_cap", "ratios", "debt_to_market_cap", False), ("static_dividend_yield", "ratios", "dividend_yield", True),
+    ("static_ev_to_sales", "metrics", "ev_to_sales", False), ("static_ev_to_ebitda", "metrics", "ev_to_ebitda", False), ("static_ev_to_ocf", "metrics", "ev_to_operating_cash_flow", False), ("static_ev_to_fcf", "metrics", "ev_to_free_cash_flow", False),
+)
+CONTROLS = (
+    ("gross_profit_margin", "ratios", "gross_profit_margin", True), ("ebitda_margin", "ratios", "ebitda_margin", True), ("operating_profit_margin", "ratios", "operating_profit_margin", True), ("net_profit_margin", "ratios", "net_profit_margin", True),
+    ("current_ratio", "ratios", "current_ratio", True), ("quick_ratio", "ratios", "quick_ratio", True), ("debt_to_assets", "ratios", "debt_to_assets", False), ("debt_to_equity", "ratios", "debt_to_equity", False),
+    ("return_on_assets", "metrics", "return_on_assets", True), ("return_on_equity", "metrics", "return_on_equity", True), ("return_on_invested_capital", "metrics", "return_on_invested_capital", True), ("income_quality", "metrics", "income_quality", True),
+    ("net_debt_to_ebitda", "metrics", "net_debt_to_ebitda", False),
+)
+
+
+def with_book(balance: DataFrame) -> DataFrame:
+    """A balance with book_equity and tangible_book: equity less goodwill and intangible assets, given as one column or as two (a column that is not there counts 0)."""
+    if "total_stockholders_equity" not in balance.columns:
+        return balance
+    part = lambda c: F.col(c) if c in balance.columns else F.lit(0.0)
+    soft = F.col("goodwill_and_intangible_assets") if "goodwill_and_intangible_assets" in balance.columns else part("goodwill") + part("intangible_assets")
+    return balance.withColumns({"book_equity": F.col("total_stockholders_equity"), "tangible_book": F.col("total_stockholders_equity") - soft})
+
+
+def _known_daily(prices: DataFrame, sections: Mapping[str, DataFrame], lag: int, wanted: Iterable[tuple[str, str]]) -> tuple[DataFrame, set[str]]:
+    """Prices' days with the wanted columns of sections (symbol, period_ending, columns) known ``lag`` days after, as {section}.{column} with a double underscore."""
+    rows, there = prices.select("symbol", "date"), set()
+    for section, df in sections.items():
+        columns = [c for s, c in dict.fromkeys(wanted) if s == section and c in df.columns]
+        if columns:
+            sparse = df.select("symbol", "period_ending", *[numeric(F.col(c)).alias(f"{section}__{c}") for c in columns])
+            known = lag_reports(sparse, date_col="period_ending", days=lag)
+            rows = asof_join(rows, known, left_on="date", right_on="period_ending", by=("symbol",)).drop("period_ending")
+            there |= {f"{section}__{c}" for c in columns}
+    return rows, there
+
+
+def daily_valuation(prices: DataFrame, market_cap: DataFrame, sections: Mapping[str, DataFrame], *, lag: int = 45) -> tuple[DataFrame, dict[str, str]]:
+    """Yields and multiples of the statements' items on each day's market cap and enterprise value, and each column's direction (higher_is_better or lower_is_better).
+
+    ``market_cap``: (symbol, date, market_cap), the last one known holds. ``sections``: income, balance and cash reports (symbol, period_ending, columns), known ``lag`` days later. The enterprise value is cap plus debt
+    less cash, a missing part counting 0 beside another. Items that no section has are left out.
+    """
+    sections = {k: with_book(v) if k == "balance" else v for k, v in sections.items()}
+    rows, there = _known_daily(prices, sections, lag, [*((s, c) for _, s, c, _ in CAP_ITEMS)])
+    rows = asof_join(rows, market_cap.select("symbol", F.col("date").alias("__of"), "market_cap"), left_on="date", right_on="__of", by=("symbol",)).drop("__of")
+    part = lambda c: F.col(c) if c in there else F.lit(None).cast("double")
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    cap, debt, cash = F.col("market_cap").cast("double"), part("balance__total_debt"), part("balance__cash_and_cash_equivalents")
+    rows = rows.withColumn("enterprise_value", F.when(F.coalesce(cap, debt, cash).isNotNull(), zero(cap) + zero(debt) - zero(cash)))
+    out, direction = {}, {}
+    name = lambda up: "higher_is_better" if up else "lower_is_better"
+    for item, section, column, up in CAP_ITEMS:
+        if f"{section}__{column}" in there:
+            x = F.col(f"{section}__{column}")
+            out[f"fmp_daily_mcap_yield__{item}_to_mcap"], direction[f"fmp_daily_mcap_yield__{item}_to_mcap"] = ratio(x, cap), name(up)
+            out[f"fmp_daily_mcap_multiple__mcap_to_{item}"], direction[f"fmp_daily_mcap_multiple__mcap_to_{item}"] = ratio(cap, x), name(not up)
+            if item in EV_ITEMS:
+                out[f"fmp_daily_ev_yield__{item}_to_ev"], direction[f"fmp_daily_ev_yield__{item}_to_ev"] = ratio(x, F.col("enterprise_value")), name(True)
+                out[f"fmp_daily_ev_multiple__ev_to_{item}"], direction[f"fmp_daily_ev_multiple__ev_to_{item}"] = ratio(F.col("enterprise_value"), x), name(False)
+    return rows.withColumns(out).drop(*there), direction
+
+
+def quality_panel(prices: DataFrame, sections: Mapping[str, DataFrame], *, lag: int = 45, least: int = 120) -> tuple[DataFrame, dict[str, str]]:
+    """Vendor ratios as reported (static_*) and controls of quality (asof_*) on each day, from sections ratios and metrics, and each column's direction; null for symbols with fewer than ``least`` values of one."""
+    wanted = [(name if name.startswith("static_") else f"asof_{name}", f"{section}__{column}", section, column, up) for name, section, column, up in (*STATIC_RATIOS, *CONTROLS)]
+    rows, there = _known_daily(prices, sections, lag, [(s, c) for _, _, s, c, _ in wanted])
+    n = Window.partitionBy("symbol")
+    kept = {name: F.when(F.count(c).over(n) >= least, F.col(c)) for name, c, *_ in wanted if c in there}
+    return rows.withColumns(kept).drop(*there), {name: "higher_is_better" if up else "lower_is_better" for name, c, _, _, up in wanted if c in there}
+
+
 def growth_adjusted(daily: DataFrame, valuation: str, growth: str, name: str) -> DataFrame:
     """Valuation over growth in percent, for positive growth. Growth counts as a share, and is taken times 100, where the symbol's median size is 2 or less."""
     size = daily.groupBy("symbol").agg(F.percentile(F.abs(F.col(growth)), 0.5).alias("__m"))
@@ -69,12 +148,12 @@ def growth_adjusted(daily: DataFrame, valuation: str, growth: str, name: str) ->
 
 
 def statement_ratios(statements: DataFrame, date: str = "period_ending") -> DataFrame:
-    """Margins, leverage and quarter-on-quarter growth on the statements themselves."""
+    """Margins (gross, operating, net, free cash flow), returns on equity and assets, and quarter-on-quarter growth of revenue on the statements themselves."""
     w = Window.partitionBy("symbol").orderBy(date)
-    grow = lambda c: ratio(F.col(c), F.lag(c).over(w)) - 1
+    over = lambda a, b: ratio(F.col(a), F.col(b))
     return statements.withColumns({
-        "gross_margin": ratio(F.col("revenue") - F.col("cost"), F.col("revenue")), "net_margin": ratio(F.col("net_income"), F.col("revenue")), "debt_to_cash": ratio(F.col("debt"), F.col("cash")),
-        "revenue_growth": grow("revenue"), "income_growth": grow("net_income"),
+        "ft__gross_margin": over("gross_profit", "revenue"), "ft__operating_margin": over("operating_income", "revenue"), "ft__net_margin": over("net_income", "revenue"), "ft__return_on_equity": over("net_income", "total_equity"),
+        "ft__return_on_assets": over("net_income", "total_assets"), "ft__fcf_margin": over("free_cash_flow", "revenue"), "ft__revenue_growth_qoq": ratio(F.col("revenue"), F.lag("revenue").over(w)) - 1,
     })
 
 

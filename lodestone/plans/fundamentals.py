@@ -128,9 +128,50 @@ def f24(spark, sf):
     return f.valuation_panel(daily(spark, sf), ("revenue", "net_income")).select("symbol", "date", *_val_names)
 
 
-@query("f29_statement_ratios", f"WITH {STATEMENTS} SELECT symbol, period_ending AS date, (revenue - cost) / nullif(revenue, 0) AS gross_margin, net_income / nullif(revenue, 0) AS net_margin, debt / nullif(cash, 0) AS debt_to_cash, revenue / nullif(lag(revenue) OVER w, 0) - 1 AS revenue_growth, net_income / nullif(lag(net_income) OVER w, 0) - 1 AS income_growth FROM statements WINDOW w AS (PARTITION BY symbol ORDER BY period_ending)", floats=["gross_margin", "net_margin", "debt_to_cash", "revenue_growth", "income_growth"])
+_ft = ["ft__gross_margin", "ft__operating_margin", "ft__net_margin", "ft__return_on_equity", "ft__return_on_assets", "ft__fcf_margin", "ft__revenue_growth_qoq"]
+
+
+@query("f29_statement_ratios", f"""WITH {STATEMENTS} SELECT symbol, period_ending AS date, (revenue - cost) / nullif(revenue, 0) AS ft__gross_margin, (net_income - debt) / nullif(revenue, 0) AS ft__operating_margin, net_income / nullif(revenue, 0) AS ft__net_margin, net_income / nullif(cash, 0) AS ft__return_on_equity,
+net_income / nullif(revenue + cost, 0) AS ft__return_on_assets, debt / nullif(revenue, 0) AS ft__fcf_margin, revenue / nullif(lag(revenue) OVER (PARTITION BY symbol ORDER BY period_ending), 0) - 1 AS ft__revenue_growth_qoq FROM statements""", floats=_ft)
 def f29(spark, sf):
-    return f.statement_ratios(statements(spark, sf)).select("symbol", F.col("period_ending").alias("date"), "gross_margin", "net_margin", "debt_to_cash", "revenue_growth", "income_growth")
+    s = statements(spark, sf).withColumns({"gross_profit": F.col("revenue") - F.col("cost"), "operating_income": F.col("net_income") - F.col("debt"), "total_equity": F.col("cash"), "total_assets": F.col("revenue") + F.col("cost"), "free_cash_flow": F.col("debt")})
+    return f.statement_ratios(s).select("symbol", F.col("period_ending").alias("date"), *_ft)
+
+
+# Items of the vendor's statements from the figures there are; a third of the balances lacks cash, market caps are known on Mondays only.
+_SEC = f"""{PRICES}, {STATEMENTS}, sec AS (SELECT symbol, period_ending + 45 AS known, revenue, revenue - cost AS gross_profit, net_income AS ebit, debt AS free_cash_flow, revenue + cost AS equity, CASE WHEN month(period_ending) % 9 <> 0 THEN cash END AS cash, debt AS total_debt, revenue + cost - cost / 2 - debt / 4 AS tangible FROM statements),
+mc AS (SELECT symbol, date, close * 1000 AS market_cap FROM prices WHERE isodow(date) = 1), d0 AS (SELECT p.symbol, p.date, s.* EXCLUDE (symbol, known) FROM prices p ASOF LEFT JOIN sec s ON p.symbol = s.symbol AND p.date >= s.known),
+d AS (SELECT d0.*, mc.market_cap AS cap, CASE WHEN coalesce(mc.market_cap, total_debt, cash) IS NOT NULL THEN coalesce(mc.market_cap, 0) + coalesce(total_debt, 0) - coalesce(cash, 0) END AS ev FROM d0 ASOF LEFT JOIN mc ON d0.symbol = mc.symbol AND d0.date >= mc.date)"""
+_items = {"revenue": ("revenue", True), "gross_profit": ("gross_profit", True), "ebit": ("ebit", True), "free_cash_flow": ("free_cash_flow", True), "book_equity": ("equity", False), "tangible_book": ("tangible", False), "cash": ("cash", False), "total_debt": ("total_debt", False)}
+_daily_sql = ", ".join(
+    f"{x} / nullif(cap, 0) AS fmp_daily_mcap_yield__{i}_to_mcap, cap / nullif({x}, 0) AS fmp_daily_mcap_multiple__mcap_to_{i}" + (f", {x} / nullif(ev, 0) AS fmp_daily_ev_yield__{i}_to_ev, ev / nullif({x}, 0) AS fmp_daily_ev_multiple__ev_to_{i}" if e else "") for i, (x, e) in _items.items()
+)
+_daily_names = [c.split(" AS ")[1] for c in _daily_sql.split(", ") if " AS " in c]
+
+
+@query("f24_daily_valuation", f"WITH {_SEC} SELECT symbol, date, ev AS enterprise_value, {_daily_sql} FROM d", floats=["enterprise_value", *_daily_names], digits=4)
+def f24_daily(spark, sf):
+    st, p = statements(spark, sf), prices(spark, sf)
+    sections = {
+        "income": st.select("symbol", "period_ending", "revenue", (F.col("revenue") - F.col("cost")).alias("gross_profit"), F.col("net_income").cast("string").alias("ebit")), "cash": st.select("symbol", "period_ending", F.col("debt").alias("free_cash_flow")),
+        "balance": st.select("symbol", "period_ending", (F.col("revenue") + F.col("cost")).alias("total_stockholders_equity"), (F.col("cost") / 2).alias("goodwill"), (F.col("debt") / 4).alias("intangible_assets"), F.when(F.month("period_ending") % 9 != 0, F.col("cash")).alias("cash_and_cash_equivalents"), F.col("debt").alias("total_debt")),
+    }
+    caps = p.filter(F.weekday("date") == 0).select("symbol", "date", (F.col("close") * 1000).alias("market_cap"))
+    return f.daily_valuation(p, caps, sections)[0].select("symbol", "date", "enterprise_value", *_daily_names)
+
+
+_quality = {"static_pe": "revenue / cost", "static_dividend_yield": "cash / revenue", "static_ev_to_sales": "debt / revenue", "asof_current_ratio": "revenue / nullif(debt, 0)", "asof_return_on_equity": "CASE WHEN month(period_ending) = 3 THEN net_income / revenue END"}
+
+
+@query("f27_quality_panel", f"""WITH {PRICES}, {STATEMENTS}, r AS (SELECT symbol, period_ending + 45 AS known, {', '.join(f'{x} AS {n}' for n, x in _quality.items())} FROM statements), d AS (SELECT p.symbol, p.date, r.* EXCLUDE (symbol, known) FROM prices p ASOF LEFT JOIN r ON p.symbol = r.symbol AND p.date >= r.known)
+SELECT symbol, date, {', '.join(f'CASE WHEN count({n}) OVER (PARTITION BY symbol) >= 120 THEN {n} END AS {n}' for n in _quality)} FROM d""", floats=list(_quality))
+def f27_quality(spark, sf):
+    """A control that is reported once a year has too few values for some symbols."""
+    st = statements(spark, sf)
+    over = lambda a, c: F.try_divide(F.col(a), F.nullif(F.col(c), F.lit(0.0)))
+    ratios = st.select("symbol", "period_ending", over("revenue", "cost").alias("price_to_earnings"), over("cash", "revenue").alias("dividend_yield"), over("revenue", "debt").alias("current_ratio"))
+    metrics = st.select("symbol", "period_ending", over("debt", "revenue").alias("ev_to_sales"), F.when(F.month("period_ending") == 3, over("net_income", "revenue")).alias("return_on_equity"))
+    return f.quality_panel(prices(spark, sf), {"ratios": ratios, "metrics": metrics})[0].select("symbol", "date", *_quality)
 
 
 @query("f30_cap_features", f"""WITH {DAILY}, u AS (SELECT date, 'revenue' AS feature, revenue AS v FROM daily UNION ALL SELECT date, 'cost', cost FROM daily UNION ALL SELECT date, 'shares', shares FROM daily UNION ALL SELECT date, 'close', close FROM daily),
