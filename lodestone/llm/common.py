@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +33,29 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="lodestone-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/lodestone/{spark.sparkContext.applicationId}"
+    return f"{base.rstrip('/')}/lodestone/{spark.sparkContext.applicationId}{_scope.get()}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives the loss of executors."""
+#: The folder within the application's in which scratch tables are written at present.
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables that are made within go to a folder of their own, which is deleted at the end; what is to stay is written by `materialise` with ``stays``."""
+    token = _scope.set(f"/scope-{uuid.uuid4().hex[:12]}")
+    folder = shared_dir(spark)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        remove(spark, folder)
+
+
+def materialise(df: DataFrame, name: str, *, stays: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives the loss of executors. ``stays``: it outlives the `scratch` it is written in."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark).removesuffix(_scope.get()) if stays else shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

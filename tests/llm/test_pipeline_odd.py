@@ -64,3 +64,15 @@ def test_whole_run(spark, tables):
             assert offset == at
             at += length
         assert at <= 2048
+
+
+def test_stages_leave_only_the_last_result(spark, tables):
+    import os
+
+    from lodestone.llm.common import shared_dir
+
+    folder = shared_dir(spark)
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = p.run(spark, tables)
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and left.pop().startswith("best_fit_packing") and out.count() >= 0
