@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontaminate, neardup, packing, quality, substrings
-from lodestone.llm.common import materialise, table
+from lodestone.llm.common import discard, materialise, scratch, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 OTHERS = COLUMNS[1:]
@@ -57,7 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after the other. What a stage wrote for itself, and the documents it read, are deleted when its own result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        with scratch(spark):
+            after = materialise(stage(spark, docs, sf_dir), name, stays=True)
+        discard(docs)
+        docs = after
     return docs
