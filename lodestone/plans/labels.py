@@ -47,26 +47,6 @@ def l04_gains(spark, sf):
     return trades.groupBy("symbol", "period", "side", "k").agg(F.sum("profit").alias("gain"))
 
 
-@query("l04_oracle_trades")
-def l04(spark, sf):
-    return l.oracle_trades(prices(spark, sf))
-
-
-@query("l05_l06_completed_deduped")
-def l05(spark, sf):
-    return l.completed(l.dedupe_trades(l.oracle_trades(prices(spark, sf)), "entry_date"))
-
-
-@query("l07_l09_l10_weighted_labels")
-def l10(spark, sf):
-    return l.weighted_labels(l.optimal_events(l.dedupe_trades(l.oracle_trades(prices(spark, sf)))))
-
-
-@query("l08_trade_statistics")
-def l08(spark, sf):
-    return l.trade_statistics(l.oracle_trades(prices(spark, sf)), "side", "freq", "k")
-
-
 @query("l12_global_rank", f"""WITH {PRICES}, r AS (SELECT symbol, date, lead(close, 5) OVER (PARTITION BY symbol ORDER BY date) / close - 1 AS target_value FROM prices)
 SELECT *, CASE WHEN target_value IS NOT NULL THEN (rank() OVER (PARTITION BY target_value IS NULL ORDER BY target_value) + (count(*) OVER (PARTITION BY target_value) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY target_value IS NULL) END AS rank_pct FROM r""", floats=["target_value", "rank_pct"])
 def l12(spark, sf):
@@ -101,8 +81,47 @@ def _trades(name: str, period: str, freq: str) -> str:
 {name} AS (SELECT *, profit / abs(entry_px) AS ret FROM {name}x WHERE profit >= 0.05 * abs(entry_px) QUALIFY row_number() OVER (PARTITION BY symbol, period, side ORDER BY profit DESC, exit_date, entry_date) = 1)"""
 
 
-_YEAR, _QUARTER = "make_date(year(date), 12, 31)", "cast(date_trunc('quarter', date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)"
-ONE = f"{PRICES}, {_trades('ye', _YEAR, 'YE')}, {_trades('qe', _QUARTER, 'QE')}, t AS (SELECT * FROM ye UNION ALL SELECT * FROM qe)"
+def trade_sets(name: str, period: str, freq: str, ks: tuple[int, ...]) -> str:
+    """The best sets of at most k trades of each period and side, for each k: level by level over the pairs of days, then traced back from the last trade of a set.
+
+    The same rule for sets of equal gain as the operator's: within 1e-12 fewer trades, then the earlier exit; of equal totals the earlier entry.
+    """
+    g, most = "symbol, period, side", max(ks)
+    same = lambda x, y: f"{x}.symbol = {y}.symbol AND {x}.period = {y}.period AND {x}.side = {y}.side"
+    out = [
+        f"{name}p AS (SELECT *, {period} AS period, row_number() OVER (PARTITION BY symbol, {period} ORDER BY date) AS i FROM prices)",
+        f"""{name}g AS (SELECT a.symbol, s.side, a.period, a.i, z.i AS j, CASE s.side WHEN 'long' THEN z.high - a.low ELSE -(z.low - a.high) END AS gain FROM {name}p a JOIN {name}p z ON a.symbol = z.symbol AND a.period = z.period AND a.i < z.i CROSS JOIN (VALUES ('long'), ('short')) s(side)
+  WHERE CASE s.side WHEN 'long' THEN z.high - a.low >= 0.05 * abs(a.low) ELSE -(z.low - a.high) >= 0.05 * abs(a.high) END)""",
+        f"{name}a1 AS (SELECT {g}, j, i AS s, gain AS v FROM {name}g QUALIFY row_number() OVER (PARTITION BY {g}, j ORDER BY gain DESC, i) = 1)",
+    ]
+    for t in range(2, most + 1):
+        out.append(f"{name}b{t} AS (SELECT {g}, j, max(v) OVER (PARTITION BY {g} ORDER BY j) AS best FROM {name}a{t - 1})")
+        out.append(f"{name}a{t} AS (SELECT x.symbol, x.period, x.side, x.j, x.i AS s, b.best + x.gain AS v FROM {name}g x ASOF JOIN {name}b{t} b ON {same('x', 'b')} AND x.i > b.j QUALIFY row_number() OVER (PARTITION BY x.symbol, x.period, x.side, x.j ORDER BY b.best + x.gain DESC, x.i) = 1)")
+    tops = ", ".join(f"max(v) FILTER (t = {t}) AS t{t}" for t in range(1, most + 1))
+    rows = " UNION ALL ".join(f"SELECT {g}, {t} AS t, v FROM {name}a{t}" for t in range(1, most + 1))
+    counts, before, used = [], "0", "0"
+    for t in range(1, most + 1):
+        more = f"coalesce(t{t}, 0) > ({before}) + 1e-12"
+        used, before = f"CASE WHEN {more} THEN {t} ELSE ({used}) END", f"CASE WHEN {more} THEN t{t} ELSE ({before}) END"
+        counts.append(f"{used} AS c{t}")
+    out.append(f"{name}c AS (SELECT {g}, {', '.join(counts)} FROM (SELECT {g}, {tops} FROM ({rows}) GROUP BY ALL))")
+    for c in range(1, most + 1):
+        for t in range(c, 0, -1):
+            bound = "" if t == c else f" JOIN {name}x{c}_{t + 1} r ON {same('a', 'r')} AND a.j < r.s"
+            out.append(
+                f"{name}x{c}_{t} AS (SELECT symbol, period, side, j, s FROM (SELECT a.*, max(a.v) OVER (PARTITION BY a.symbol, a.period, a.side) AS top FROM {name}a{t} a{bound}) WHERE v >= top - 1e-12 QUALIFY row_number() OVER (PARTITION BY {g} ORDER BY j) = 1)"
+            )
+    every = " UNION ALL ".join(f"SELECT {g}, {c} AS c, j, s FROM {name}x{c}_{t}" for c in range(1, most + 1) for t in range(1, c + 1))
+    chosen = " UNION ALL ".join(f"SELECT {g}, {k}::INTEGER AS k, c{k} AS c FROM {name}c" for k in ks)
+    out.append(f"""{name} AS (SELECT w.symbol, w.side, '{freq}' AS freq, w.period, w.k, a.date AS entry_date, z.date AS exit_date, CASE w.side WHEN 'long' THEN a.low ELSE a.high END AS entry_px, CASE w.side WHEN 'long' THEN z.high ELSE z.low END AS exit_px,
+  CASE w.side WHEN 'long' THEN z.high - a.low ELSE a.high - z.low END AS profit, CASE w.side WHEN 'long' THEN z.high - a.low ELSE a.high - z.low END / abs(CASE w.side WHEN 'long' THEN a.low ELSE a.high END) AS ret
+  FROM ({chosen}) w JOIN ({every}) e ON {same('w', 'e')} AND w.c = e.c JOIN {name}p a ON a.symbol = e.symbol AND a.period = e.period AND a.i = e.s JOIN {name}p z ON z.symbol = e.symbol AND z.period = e.period AND z.i = e.j)""")
+    return ",\n".join(out)
+
+
+YEAR, QUARTER = "make_date(year(date), 12, 31)", "cast(date_trunc('quarter', date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)"
+ONE = f"{PRICES}, {_trades('ye', YEAR, 'YE')}, {_trades('qe', QUARTER, 'QE')}, t AS (SELECT * FROM ye UNION ALL SELECT * FROM qe)"
+THREE = f"{PRICES}, {trade_sets('ye', YEAR, 'YE', (1, 2, 3))}, t AS (SELECT * FROM ye)"
 _ID = "concat_ws('_', symbol, side, freq, k, entry_date, exit_date) AS trade_id"
 
 
@@ -155,3 +174,30 @@ def l11_one(spark, sf):
 @query("l13_label_panel_k1", f"WITH {ONE}, {_LEGS}, g AS (SELECT * FROM legs QUALIFY row_number() OVER (PARTITION BY date, symbol, side, action ORDER BY ret DESC, trade_id) = 1) SELECT trade_id, symbol, side, freq, k, ret, date, px, action, position FROM g", floats=["ret", "px"])
 def l13_one(spark, sf):
     return l.dedupe_labels(l.label_rows(l.dedupe_trades(one_trade(spark, sf))))
+
+
+_trade = ["entry_px", "exit_px", "profit", "ret"]
+_days = ["period", "entry_date", "exit_date"]
+
+
+@query("l04_oracle_trades", f"WITH {THREE} SELECT symbol, side, freq, period, k, entry_date, exit_date, entry_px, exit_px, profit, ret FROM t", floats=_trade, dates=_days)
+def l04(spark, sf):
+    return l.oracle_trades(prices(spark, sf))
+
+
+@query("l05_l06_completed_deduped", f"""WITH {THREE}, d AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY symbol, side, entry_date ORDER BY ret DESC, exit_date, k, period, freq) = 1)
+SELECT symbol, side, freq, period, k, entry_date, exit_date, entry_px, exit_px, profit, ret, (exit_date - entry_date)::INTEGER AS hold_days, {_ID} FROM d""", floats=_trade, dates=_days)
+def l05(spark, sf):
+    return l.completed(l.dedupe_trades(l.oracle_trades(prices(spark, sf)), "entry_date"))
+
+
+@query("l07_l09_l10_weighted_labels", f"""WITH {THREE}, {_LEGS}, n AS (SELECT side, k, count(*) AS n FROM legs GROUP BY ALL), c AS (SELECT *, ret - 2 * 3 / 1e4 AS net FROM legs)
+SELECT trade_id, symbol, c.side, freq, c.k, net AS ret, date, px, action, position, (action IN ('buy', 'cover'))::INTEGER AS target, (1 + 1.0 * least(greatest(net, 0.0), 0.5) / 0.5) * least(greatest((SELECT max(n) FROM n) / n.n, 1.0), 3.0) AS weight FROM c JOIN n ON c.side = n.side AND c.k = n.k""", floats=["ret", "px", "weight"])
+def l10(spark, sf):
+    return l.weighted_labels(l.optimal_events(l.dedupe_trades(l.oracle_trades(prices(spark, sf)))))
+
+
+@query("l08_trade_statistics", f"""WITH {THREE} SELECT side, freq, k, count(*) AS trades, round(100 * avg((ret > 0)::DOUBLE), 2) AS win_pct, round(100 * avg((ret < 0)::DOUBLE), 2) AS loss_pct, avg(ret) AS mean_ret, median(ret) AS median_ret, stddev_samp(ret) AS std_ret, avg(ret) / nullif(stddev_samp(ret), 0) AS sharpe, avg(exit_date - entry_date) AS mean_hold
+FROM t GROUP BY ALL""", floats=_stats, dates=[])
+def l08(spark, sf):
+    return l.trade_statistics(l.oracle_trades(prices(spark, sf)), "side", "freq", "k")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lodestone.operators import labels, planning, research as r, upsert
 from lodestone.operators.technical import returns
 from lodestone.plans.events import TYPED, typed
+from lodestone.plans.labels import QUARTER, YEAR, trade_sets
 from lodestone.plans.prices import _guard
 from lodestone.plans.registry import query
 from lodestone.views import CHAIN, MACRO, PRICES, chain, macro, prices
@@ -89,7 +90,16 @@ def p22(spark, sf):
     return r.rolling_beta(prices(spark, sf)).select("symbol", "date", "sp__beta", "sp__correl")
 
 
-@query("l17_oracle_panel")
+_OF = {"YE": (1,), "QE": (1, 2)}
+_hits = ", ".join(
+    [f"max((side {op})::INTEGER) AS target_oracle_{n}" for n, op in (("long", "= 'long'"), ("short", "= 'short'"), ("any", "IS NOT NULL"))]
+    + [f"max((side {op} AND freq = '{f}' AND k = {k})::INTEGER) AS target_oracle_{n}__{f.lower()}_{k}" for f in ("QE", "YE") for k in (1, 2) for n, op in (("long", "= 'long'"), ("short", "= 'short'"), ("any", "IS NOT NULL"))]
+)
+_flags = [x.split(" AS ")[1] for x in _hits.split(", ")]
+
+
+@query("l17_oracle_panel", f"""WITH {PRICES}, {trade_sets('ye', YEAR, 'YE', _OF['YE'])}, {trade_sets('qe', QUARTER, 'QE', _OF['QE'])}, d AS (SELECT symbol, entry_date AS date, {_hits} FROM (SELECT * FROM ye UNION ALL SELECT * FROM qe) GROUP BY ALL)
+SELECT p.symbol, p.date, {', '.join(f'coalesce({c}, 0) AS {c}' for c in _flags)} FROM prices p LEFT JOIN d USING (symbol, date)""")
 def l17(spark, sf):
     p = prices(spark, sf)
     trades = labels.oracle_trades(p, freq="QE", ks=(1, 2)).unionByName(labels.oracle_trades(p, freq="YE", ks=(1,)))

@@ -63,10 +63,11 @@ def j11(spark, sf):
     return asof.asof_join(prices(spark, sf).select("symbol", "date"), d, left_on="date", right_on="snapshot_date", by=("symbol",))
 
 
-@query("j13_trade_window_quotes", f"WITH {CHAIN}, t AS (SELECT symbol, event_date AS a, event_date + 5 AS b FROM (WITH {EVENTS} SELECT DISTINCT symbol, event_date FROM raw_events) WHERE day(event_date) = 1) SELECT t.symbol, t.a AS entry_date, c.snapshot_date, c.part FROM t JOIN chain c ON c.underlying = t.symbol AND c.snapshot_date BETWEEN t.a AND t.b", dates=["entry_date", "snapshot_date"])
+@query("j13_trade_window_quotes", f"WITH {CHAIN}, {EVENTS}, t AS (SELECT DISTINCT symbol, event_date AS a FROM raw_events) SELECT t.symbol, t.a AS entry_date, count(*) AS quotes, count(DISTINCT c.snapshot_date) AS days, min(c.snapshot_date) AS first_day, max(c.part) AS last_part FROM t JOIN chain c ON c.underlying = t.symbol AND c.snapshot_date BETWEEN t.a AND t.a + 5 GROUP BY ALL", dates=["entry_date", "first_day"])
 def j13(spark, sf):
-    """Trades of each month's first day, as its SQL has them; ``j13_all_trade_window_quotes`` takes every trade."""
-    return trade_window_quotes(raw_events(spark, sf).filter(F.dayofmonth("event_date") == 1), chain(spark, sf))
+    """What the window of each trade holds; ``j13_all_trade_window_quotes`` lists it."""
+    rows = trade_window_quotes(raw_events(spark, sf), chain(spark, sf))
+    return rows.groupBy("symbol", "entry_date").agg(F.count("*").alias("quotes"), F.countDistinct("snapshot_date").alias("days"), F.min("snapshot_date").alias("first_day"), F.max("part").alias("last_part"))
 
 
 def trade_window_quotes(events, quotes):

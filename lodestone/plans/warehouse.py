@@ -95,10 +95,14 @@ def s20(spark, sf):
     return s.join(s.agg(F.max("date").alias("date")), "date").select("symbol", "date", "shares")
 
 
-@query("s21_price_panel", f"WITH {PRICES} SELECT date, max(close) FILTER (symbol = 'S1') AS \"S1\", max(close) FILTER (symbol = 'S2') AS \"S2\", max(close) FILTER (symbol = 'S3') AS \"S3\" FROM prices GROUP BY ALL HAVING count(*) FILTER (symbol IN ('S1', 'S2', 'S3')) > 0")
+_POOLS = tuple(f"pool_{i}" for i in range(10))
+
+
+@query("s21_price_panel", f"WITH {PRICES} SELECT date, {', '.join(f'max(close) FILTER (substr(symbol, 2)::INT % 10 = {i}) AS {c}' for i, c in enumerate(_POOLS))} FROM prices GROUP BY ALL")
 def s21(spark, sf):
-    names = ["S1", "S2", "S3"]
-    return prices(spark, sf).filter(F.col("symbol").isin(names)).groupBy("date").pivot("symbol", names).agg(F.max("close"))
+    """All symbols, pooled by their numbers' last digit, as columns; ``s21_price_panel_blocks`` has a column for each symbol."""
+    pool = F.concat(F.lit("pool_"), F.substring("symbol", 2, 20).cast("int") % 10)
+    return prices(spark, sf).withColumn("pool", pool).groupBy("date").pivot("pool", list(_POOLS)).agg(F.max("close"))
 
 
 SERIES = ("macro__africa", "macro__america", "macro__asia", "macro__europe", "macro__middle_east")
@@ -111,7 +115,7 @@ def s22(spark, sf):
 
 @query("s21_price_panel_blocks", f"WITH {PRICES}, n AS (SELECT symbol, row_number() OVER (ORDER BY symbol) - 1 AS n FROM (SELECT DISTINCT symbol FROM prices)), r AS (SELECT p.date, p.symbol, p.close, n.n, n.n // 50 AS block FROM prices p JOIN n USING (symbol)), f AS (SELECT n // 50 AS block, min(symbol) AS first_symbol FROM n GROUP BY ALL) SELECT block::INT AS block, date, first_symbol, {', '.join(f'max(close) FILTER (n % 50 = {i}) AS p{i}' for i in range(50))} FROM r JOIN f USING (block) GROUP BY ALL", floats=[f"p{i}" for i in range(50)])
 def s21_blocks(spark, sf):
-    """All symbols; ``s21_price_panel`` shows the panel of a list of three, which is an argument."""
+    """A column for each symbol, in blocks."""
     return planning.panel_blocks(prices(spark, sf))
 
 
