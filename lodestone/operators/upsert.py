@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Whole rows of ``incoming`` replace rows of equal key (nulls are equal); columns either lacks are null."""
-    keys = list(keys)
+def upsert(existing: DataFrame, incoming: DataFrame, keys: Iterable[str], *, order: Iterable[str] = ()) -> DataFrame:
+    """Whole rows of ``incoming`` replace rows of equal key (nulls are equal); columns either lacks are null. Of rows of one key on one side the last by ``order`` wins, then by their other values."""
+    keys, order = list(keys), list(order)
     rows = existing.withColumn("__new", F.lit(0)).unionByName(incoming.withColumn("__new", F.lit(1)), allowMissingColumns=True)
     others = [c for c in rows.columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max(F.struct(F.col("__new"), *[c for c in others if c != "__new"])).alias("r"))
+    last = rows.groupBy(*keys).agg(F.max(F.struct("__new", *order, *[c for c in others if c != "__new" and c not in order])).alias("r"))
     return last.select(*keys, *[F.col(f"r.{c}").alias(c) for c in others if c != "__new"])
 
 

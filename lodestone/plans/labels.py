@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestone.operators import labels as l
+from lodestone.operators.specs import LabelSpec
 from lodestone.plans.registry import query
 from lodestone.views import PRICES, prices
 
@@ -201,3 +202,13 @@ def l10(spark, sf):
 FROM t GROUP BY ALL""", floats=_stats, dates=[])
 def l08(spark, sf):
     return l.trade_statistics(l.oracle_trades(prices(spark, sf)), "side", "freq", "k")
+
+
+_BUILT = f"{PRICES}, {trade_sets('ye', YEAR, 'YE', (1, 2, 3))}, {trade_sets('qe', QUARTER, 'QE', (1,))}, t AS (SELECT * FROM ye UNION ALL SELECT * FROM qe)"
+
+
+@query("l14_label_build", f"""WITH {_BUILT}, {_LEGS}, n AS (SELECT side, k, count(*) AS n FROM legs GROUP BY ALL), c AS (SELECT *, ret - 2 * (2 + 1) / 1e4 AS net FROM legs)
+SELECT symbol, c.side, freq, c.k, date, action, net AS ret, (1 + 1.0 * least(greatest(net, 0.0), 0.5) / 0.5) * least(greatest((SELECT max(n) FROM n) / n.n, 1.0), 3.0) AS weight FROM c JOIN n ON c.side = n.side AND c.k = n.k""", floats=["ret", "weight"])
+def l14(spark, sf):
+    """All labels of a build specification: yearly trades of three counts and quarterly ones."""
+    return LabelSpec().labels(prices(spark, sf)).select("symbol", "side", "freq", "k", "date", "action", "ret", "weight")

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lodestone.operators import events as e
 from lodestone.operators import evaluate as v
 from lodestone.operators import options as o
 from lodestone.operators import planning as p
+from lodestone.operators import plugins, specs
 from lodestone.operators.technical import returns
+from lodestone.operators.upsert import upsert
 from lodestone.plans.events import TYPED, typed
 from lodestone.plans.evaluate import RET
 from lodestone.plans.registry import query
 from lodestone.plans.research import TRADES, daily_trades
-from lodestone.sources.normalize import COUNTRIES
-from lodestone.views import CHAIN, PRICES, PROFILES, chain, prices, profiles, table
+from lodestone.scratch import shared_folder
+from lodestone.sources import tables
+from lodestone.sources.normalize import COUNTRIES, economic_series
+from lodestone.views import CHAIN, MACRO, PRICES, PROFILES, chain, macro, prices, profiles, table
 
 NOW, TARGET = "2001-11-05 12:00:00", "2001-11-02"
 # Fixed small list: sections of every kind that a plan tells apart.
@@ -161,3 +168,55 @@ def o17(spark, sf):
     t = daily_trades(spark, sf)
     days = o.window_days(t.join(t.agg(F.min("symbol").alias("symbol")), "symbol")).select(F.col("date").alias("snapshot_date")).distinct()
     return o.at_snapshots(chain(spark, sf), days).groupBy("underlying", "snapshot_date").agg(F.count("*").alias("n"))
+
+
+@query("s41_states_by_registry", f"""WITH {STATES}, g(section, library, kind, windowed, dimension) AS (VALUES ('prices', 'prices', 'price', true, NULL), ('income', 'fundamental_income', 'period', true, NULL), ('filings', 'fundamental_filings', 'dated', true, 'report_type'), ('etf_nport_disclosure', 'etf_nport_disclosure', 'dated', false, 'cusip'),
+  ('dividends', 'fundamental_dividends', 'dated', true, NULL), ('management', 'fundamental_management', 'snapshot', false, NULL), ('etf_prices', 'etf_prices', 'price', true, NULL))
+SELECT library, kind, windowed, dimension, count(*) AS states, sum(row_count)::BIGINT AS rows FROM st JOIN g USING (section) GROUP BY ALL""", dates=[])
+def s41(spark, sf):
+    """What is stored, by the sections' entries in the registry."""
+    rows = states(spark, sf).join(F.broadcast(specs.registry(spark)), "section")
+    return rows.groupBy("library", "kind", "windowed", "dimension").agg(F.count("*").alias("states"), F.sum("row_count").alias("rows"))
+
+
+@query("s13_upsert_by_order", f"WITH {STATES}, x AS (SELECT section, provider, max(substr(symbol, 2)::INT) AS n FROM st GROUP BY ALL) SELECT section, provider, concat('C', n) AS symbol FROM x", dates=[])
+def s13(spark, sf):
+    """Of many rows of one key in a batch the last by their number wins, whatever their other values are."""
+    s = states(spark, sf).select("section", "provider", "symbol", F.substring("symbol", 2, 20).cast("int").alias("n"))
+    return upsert(s.filter("n % 2 = 0"), s, ("section", "provider"), order=("n",)).select("section", "provider", "symbol")
+
+
+@query("s40_s46_saved_features", f"WITH {RET} SELECT symbol, date, r AS px__ret_1d, 'kept' AS recipe_is FROM r WHERE date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'", floats=["px__ret_1d"])
+def s46(spark, sf):
+    """Features of two recipes in one table, of which one is written again; read back by recipe and days, and saved as CSV."""
+    path, p = f"{shared_folder(spark)}/features-{uuid.uuid4().hex[:12]}", prices(spark, sf)
+    features = returns(p, (1,)).select("symbol", "date", "px__ret_1d")
+    kept, other = {"set": "returns", "n": 1}, {"set": "returns", "n": 2}
+    for recipe, rows in ((kept, features.withColumn("px__ret_1d", F.lit(7.0))), (other, features.withColumn("px__ret_1d", F.lit(9.0))), (kept, features)):
+        tables.write_features(rows, path, recipe)
+    found = tables.read_features(spark, path, kept, start="1996-01-01", end="1999-12-31")
+    tables.save(found, f"{path}-csv", "csv")
+    return spark.read.option("header", True).schema(found.schema).csv(f"{path}-csv").withColumn("recipe_is", F.lit("kept"))
+
+
+@query("s43_economic_series", f"WITH {MACRO} SELECT series_code, date, value FROM macro WHERE value IS NOT NULL", floats=["value"], digits=2)
+def s43(spark, sf):
+    """Each series without a column of that name: the first numeric one is its value."""
+    m = macro(spark, sf)
+    out = None
+    for code in (r.series_code for r in m.select("series_code").distinct().collect()):  # a row a series
+        rows = economic_series(m.filter(F.col("series_code") == code).select("date", F.col("series_code").alias("name"), F.col("value").alias("level"))).withColumn("series_code", F.lit(code))
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("series_code", "date", "value")
+
+
+@plugins.register_feature_builder("range_share", "up__range double, up__mean_3 double")
+def _range_share(symbol: str, frame: pd.DataFrame) -> pd.DataFrame:
+    share = (frame["high"] - frame["low"]) / frame["close"]
+    return pd.DataFrame({"up__range": share, "up__mean_3": share.rolling(3).mean()})
+
+
+@query("u01_plugin_features", f"WITH {PRICES}, s AS (SELECT symbol, date, (high - low) / close AS x FROM prices) SELECT symbol, date, x AS up__range, CASE WHEN count(x) OVER w = 3 THEN avg(x) OVER w END AS up__mean_3 FROM s WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 2 PRECEDING)", floats=["up__range", "up__mean_3"])
+def u01(spark, sf):
+    """A feature builder of the user's own."""
+    return plugins.build_features(prices(spark, sf), "range_share")
