@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 
 import numpy as np
@@ -88,6 +90,26 @@ def chunks(values: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, list]]:
         yield start, held
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: a Python worker that waits for its next task should hold little."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches; when it has ended, what it held is given back."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return wrapped
+
+
 class WordHashes(dict):
     """64-bit xxhash of each distinct word (bytes); emptied when it has grown to WORD_CACHE words."""
 

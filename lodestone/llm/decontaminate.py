@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialise
+from .common import chunks, materialise, tidy
 
 #: Bytes of text in a shard; sampling distance of suffix positions; benchmark bytes in one pass (broadcast).
 SHARD, SAMPLE, BLOCK = 4 << 20, 8, 16 << 20
@@ -211,7 +211,7 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, *, window: int = 13,
                     pairs = pa.array([[{"start": x, "stop": y} for x, y in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
                     yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(counts, pa.int64()), pairs, pa.array(items, pa.list_(pa.string())), *b.columns[5:]], names=b.schema.names)
 
-        rows = rows.mapInArrow(run, schema)
+        rows = rows.mapInArrow(tidy(run), schema)
         if blocks > 1:
             rows = materialise(rows, "decontaminate")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])

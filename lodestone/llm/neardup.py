@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunks, materialise, windows
+from .common import WordHashes, chunks, materialise, tidy, windows
 from .components import components
 
 SKETCH, INDEXED, CROWD, PIVOTS = 32, 24, 50, 3
@@ -67,7 +67,7 @@ def sketch(df: DataFrame, *, k: int = 5, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array([len(s) for s in sets], pa.int64()), digests, least], names=["doc_id", "n_shingles", "digest", "sketch"])
 
     rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, sketch array<long>")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, n_shingles long, digest binary, sketch array<long>")
 
 
 def _near(n_a: str = "n_a", n_b: str = "n_b", percent: int = 75) -> F.Column:
@@ -103,7 +103,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
 
     kind = pairs.schema["a"].dataType.simpleString()
     full = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("t_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("t_a")), "a")
-    return full.select("a", "b", "t_a", "t_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return full.select("a", "b", "t_a", "t_b").mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 def near_duplicates(df: DataFrame, *, k: int = 5, percent: int = 75, likely: float = LIKELY, mostly: float = MOSTLY_CROWDED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -207,7 +207,7 @@ def _across(crowded: DataFrame, roots: DataFrame, texts: DataFrame, k: int, perc
                 _, _, a, c = joined(*sides, percent)
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, c)), pa.array(np.maximum(a, c))], names=["a", "b"])
 
-    return pairs.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return pairs.mapInArrow(tidy(run), f"a {kind}, b {kind}").distinct()
 
 
 def _sets(texts: DataFrame, k: int) -> DataFrame:
@@ -219,7 +219,7 @@ def _sets(texts: DataFrame, k: int) -> DataFrame:
             for at, some in chunks(b.column(1)):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(some)), pa.array([shingles(t, k, hashes).tobytes() for t in some], pa.binary())], names=["node", "members"])
 
-    return texts.select("node", "text").mapInArrow(run, f"node {texts.schema['node'].dataType.simpleString()}, members binary")
+    return texts.select("node", "text").mapInArrow(tidy(run), f"node {texts.schema['node'].dataType.simpleString()}, members binary")
 
 
 def joined(left: tuple, right: tuple, percent: int) -> tuple[np.ndarray, ...]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, mix, remove, shared_dir
+from .common import discard, materialise, mix, remove, shared_dir, tidy
 
 #: Neighbours of a node, and as many at most that it is a neighbour of; tables of random planes; nodes of a group on average.
 DEGREE, TABLES, GROUP = 20, 4, 2048
@@ -129,7 +129,7 @@ def encode(rows: DataFrame, dim: int) -> DataFrame:
             code[:, : m.shape[1]] = np.rint(m / np.where(scale > 0, scale, 1)[:, None])
             yield pa.RecordBatch.from_arrays([b.column(0), _binary(code.ravel(), np.full(len(m), dim)), pa.array(scale)], names=["v", "code", "scale"])
 
-    return rows.mapInArrow(run, "v long, code binary, scale double")
+    return rows.mapInArrow(tidy(run), "v long, code binary, scale double")
 
 
 def _groups(nodes: DataFrame, dim: int, rows: int, seed: int) -> DataFrame:
@@ -145,7 +145,7 @@ def _groups(nodes: DataFrame, dim: int, rows: int, seed: int) -> DataFrame:
                 at = ((m @ planes[t].T > 0) << np.arange(bits)).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(m), t, np.int32)), pa.array(at.astype(np.int64)), *b.columns], names=["t", "at", "v", "code", "scale"])
 
-    sides = nodes.mapInArrow(side, "t int, at long, v long, code binary, scale double")
+    sides = nodes.mapInArrow(tidy(side), "t int, at long, v long, code binary, scale double")
     here = sides.groupBy("t", "at").agg(F.count("*").alias("here"))
     part = F.pmod(F.xxhash64("v", "t"), F.ceil(F.col("here") / GROUP))
     # dealt out anew after the join, so that a crowded side is split before and after
@@ -168,7 +168,7 @@ def _groups(nodes: DataFrame, dim: int, rows: int, seed: int) -> DataFrame:
         return pa.Table.from_batches(out, schema)
 
     found = parts.groupBy("t", "at", "part").applyInArrow(score, LIST)
-    return _by_key(found).mapInArrow(_merge, LIST)
+    return _by_key(found).mapInArrow(tidy(_merge), LIST)
 
 
 def around(graph: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -214,10 +214,10 @@ def around(graph: DataFrame, nodes: DataFrame) -> DataFrame:
             codes = _binary(data, np.add.reduceat(size, np.cumsum(counts) - counts))
             yield pa.RecordBatch.from_arrays([pa.array(names), _binary(u.to_numpy(), counts), codes, _binary(scale.to_numpy(), counts), _binary(worst.to_numpy(), counts)], names=["v", "us", "codes", "scales", "worsts"])
 
-    pairs = _by_key(graph.select("v", "us").mapInArrow(both, "v long, us binary, draws binary")).mapInArrow(edges, "v long, u long")
-    known = nodes.withColumnRenamed("v", "u").join(graph.select("v", "us", "scores").mapInArrow(least, "u long, worst double"), "u", "left")
+    pairs = _by_key(graph.select("v", "us").mapInArrow(tidy(both), "v long, us binary, draws binary")).mapInArrow(tidy(edges), "v long, u long")
+    known = nodes.withColumnRenamed("v", "u").join(graph.select("v", "us", "scores").mapInArrow(tidy(least), "u long, worst double"), "u", "left")
     met = pairs.join(known.fillna(float("-inf"), ["worst"]), "u").select("v", "u", "code", "scale", "worst")
-    return _by_key(met).mapInArrow(gather, "v long, us binary, codes binary, scales binary, worsts binary")
+    return _by_key(met).mapInArrow(tidy(gather), "v long, us binary, codes binary, scales binary, worsts binary")
 
 
 def _descend(graph: DataFrame, met: DataFrame, dim: int) -> DataFrame:
@@ -248,7 +248,7 @@ def _descend(graph: DataFrame, met: DataFrame, dim: int) -> DataFrame:
             n = _flat(b.column(1), "i8")[1]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], _binary(np.ones(n.sum(), np.int8), n)], names=b.schema.names)
 
-    return _by_key(graph.mapInArrow(old, LIST).union(met.mapInArrow(propose, LIST))).mapInArrow(_merge, LIST)
+    return _by_key(graph.mapInArrow(tidy(old), LIST).union(met.mapInArrow(tidy(propose), LIST))).mapInArrow(tidy(_merge), LIST)
 
 
 def build(nodes: DataFrame, dim: int, rows: int, *, seed: int = 11) -> tuple[DataFrame, DataFrame]:
@@ -349,10 +349,10 @@ def _walk(ready: DataFrame, queries: DataFrame, dim: int, beam: int) -> DataFram
             rows = pa.array(np.flatnonzero(is_beam))
             yield pa.RecordBatch.from_arrays([pa.array(names), code.take(rows), scale.take(rows), _binary(u[keep], counts), _binary(s[keep], counts), _binary(known[keep], counts), pa.array(open_)], names=["q", "code", "scale", "us", "scores", "done", "open"])
 
-    now = materialise(queries.mapInArrow(start, BEAM), "beam")
+    now = materialise(queries.mapInArrow(tidy(start), BEAM), "beam")
     ended = now.limit(0)
     while not now.isEmpty():
-        asked = now.mapInArrow(ask, "v long, q long, code binary, scale double, worst double")
+        asked = now.mapInArrow(tidy(ask), "v long, q long, code binary, scale double, worst double")
         # a node that many queries ask at once would be one task's work: the few such nodes are handed to all tasks instead
         total = now.agg(F.sum(F.least("open", F.lit(expand)))).first()[0]
         hubs = [r.v for r in asked.groupBy("v").agg(F.count("*").alias("n")).filter(F.col("n") * HUBS > total).collect()]  # fewer than HUBS
@@ -360,8 +360,8 @@ def _walk(ready: DataFrame, queries: DataFrame, dim: int, beam: int) -> DataFram
         if hubs:
             # dealt anew, so that asking and answering are not two Python workers of one task
             met = met.unionByName(asked.filter(F.col("v").isin(hubs)).repartition("q").join(F.broadcast(ready.filter(F.col("v").isin(hubs))), "v"))
-        answers = met.select("q", "code", "scale", "worst", "us", "codes", "scales").mapInArrow(answer, BEAM)
-        after = materialise(_by_key(now.union(answers)).mapInArrow(take, BEAM), "beam")
+        answers = met.select("q", "code", "scale", "worst", "us", "codes", "scales").mapInArrow(tidy(answer), BEAM)
+        after = materialise(_by_key(now.union(answers)).mapInArrow(tidy(take), BEAM), "beam")
         discard(now)
         now, over = after.filter("open > 0"), after.filter("open = 0")
         if not over.isEmpty():
@@ -382,7 +382,7 @@ def _exact(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.einsum("ij,ij->i", x[:, :n], y[:, :n]))], names=["q", "u", "score"])
 
     full = pairs.join(vectors.select(F.col("v").alias("u"), F.col("vector").alias("y")), "u").join(vectors.select(F.col("v").alias("q"), F.col("vector").alias("x")), "q")
-    return full.select("q", "u", "x", "y").mapInArrow(run, "q long, u long, score double")
+    return full.select("q", "u", "x", "y").mapInArrow(tidy(run), "q long, u long, score double")
 
 
 def nearest(df: DataFrame, *, count: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -412,7 +412,7 @@ def nearest(df: DataFrame, *, count: int = 20, every: int = 20, id_col: str = "v
             keep = np.arange(len(u)) - np.repeat(np.cumsum(n) - n, n) < count + 1 + SPARE
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), n)[keep]), pa.array(u[keep])], names=["q", "u"])
 
-    beam = _exact(beam.select("q", "us").mapInArrow(first, "q long, u long"), vectors)
+    beam = _exact(beam.select("q", "us").mapInArrow(tidy(first), "q long, u long"), vectors)
     # the least ids of each vector: more cannot be among a query's nearest; found in parts, so that no vector's rows meet in one task
     part = rows.select("v", "id", F.pmod(F.xxhash64("id"), F.lit(64)).alias("part"))
     for by in (("v", "part"), ("v",)):

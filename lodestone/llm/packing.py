@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialise
+from .common import chunks, materialise, tidy
 
 #: Pieces a packing group holds on average, pieces of a run, and bins open at a time in a group. On the generated documents a group
 #: then closes some 2,500 bins by the rule, and its sequences are 0.03 % more than their tokens need at least.
@@ -151,7 +151,7 @@ def pieces(df: DataFrame, path: str, *, capacity: int = 2048, end_id: int = 0, i
             encode.forget()
 
     rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids binary")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, piece int, start long, length long, ids binary")
 
 
 def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[int], list[int]]:

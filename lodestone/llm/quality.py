@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, tidy
 
 STRIDE, WIDTH, BLOCK = 4, 8, 256
 EMBED, FILTERS, HIDDEN = 8, 48, 24
@@ -178,4 +178,4 @@ def score(df: DataFrame, net: Network, *, threshold: float = 0.7, id_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.concatenate(p) if p else np.zeros(0)), *b.columns[3:]], names=["doc_id", "held_out", "score", *b.schema.names[3:]])
 
     more = "".join(f", c{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double{more}").select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, held_out boolean, score double{more}").select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])

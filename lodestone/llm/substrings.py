@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunks, materialise, mix, windows
+from .common import WordHashes, chunks, materialise, mix, tidy, windows
 
 #: Words of an anchor; text bytes of a batch; phrases of one anchor in a batch from which it is dealt out.
 GRAM, BATCH, CROWD = 8, 6 << 20, 32
@@ -182,7 +182,7 @@ def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", t
             yield _out(mix(lo.astype(np.uint64) + hashes[begins[own] + lo - (own << 32)]), hi - (own << 32), b, own, _place(lo - (own << 32), 0 * lo, SPAN))
 
     schema = f"key long, extra long, doc_id {kind}, tag int, place long"
-    found = docs.select("doc_id", "tag", "text", *docs.columns[3:]).mapInArrow(phrases, schema).repartition(n, "key")
+    found = docs.select("doc_id", "tag", "text", *docs.columns[3:]).mapInArrow(tidy(phrases), schema).repartition(n, "key")
     says = F.col("place").bitwiseAND(3)
     of_phrase = Window.partitionBy("key", "extra").orderBy("doc_id", "tag", "place")
     of_anchor = Window.partitionBy("key")
@@ -223,7 +223,7 @@ def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", t
             doc, start = lo >> 32, lo & ((1 << 32) - 1)
             yield _out(mix(lo.astype(np.uint64)), hi - (doc << 32), b, doc, _place(start, 0 * lo, SPAN))
 
-    checked = docs.join(of_doc, ["doc_id", "tag"]).select("doc_id", "tag", "text", "s", *docs.columns[3:]).mapInArrow(boundaries, schema).repartition(n, "key")
+    checked = docs.join(of_doc, ["doc_id", "tag"]).select("doc_id", "tag", "text", "s", *docs.columns[3:]).mapInArrow(tidy(boundaries), schema).repartition(n, "key")
     nth = F.rank().over(Window.partitionBy("key", "extra", says).orderBy("doc_id", "tag", "place"))
     gone = checked.withColumn("nth", nth).filter((says == SPAN) | (F.col("nth") > 1))
     gone = gone.select("doc_id", "tag", F.struct(start.alias("start"), F.when(says == SPAN, F.col("extra")).otherwise(start + window).alias("stop")).alias("s"))
@@ -250,5 +250,5 @@ def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", t
 
     more = "".join(f", c{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
     last = docs.join(gone, ["doc_id", "tag"], "left").select("doc_id", "tag", "text", "s", *docs.columns[3:])
-    last = last.mapInArrow(keep, f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start:bigint,stop:bigint>>, kept string{more}")
+    last = last.mapInArrow(tidy(keep), f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start:bigint,stop:bigint>>, kept string{more}")
     return last.select("doc_id", "n_words", "n_removed", "spans", "kept", *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
