@@ -156,7 +156,10 @@ def o07(spark, sf):
     return c.agg(*[(F.count(x) > 0).alias(x) for x in ("ask", "bid", "volume", "open_interest")])
 
 
-@query("l11_l13_action_labels")
+@query("l11_l13_action_labels", f"""WITH {PRICES}, {trade_sets('ye', YEAR, 'YE', (2,))}, d AS (SELECT * FROM ye QUALIFY row_number() OVER (PARTITION BY symbol, side, entry_date ORDER BY ret DESC, exit_date, k, period, freq) = 1),
+legs AS (SELECT symbol, entry_date AS date, CASE side WHEN 'long' THEN 'buy' ELSE 'short' END AS action, CASE side WHEN 'long' THEN 1 ELSE -1 END AS position FROM d UNION ALL SELECT symbol, exit_date, CASE side WHEN 'long' THEN 'sell' ELSE 'cover' END, 0 FROM d),
+f AS (SELECT * FROM legs QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY CASE action WHEN 'buy' THEN 1 WHEN 'short' THEN 2 WHEN 'sell' THEN 3 ELSE 4 END) = 1)
+SELECT p.symbol, p.date, coalesce(f.action, 'hold') AS action, coalesce(f.position, 0) AS position FROM prices p LEFT JOIN f USING (symbol, date)""")
 def l11(spark, sf):
     p = prices(spark, sf)
     return labels.action_labels(p.select("symbol", "date"), labels.dedupe_trades(labels.oracle_trades(p, ks=(2,)), "entry_date"))
