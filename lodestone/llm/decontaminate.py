@@ -181,7 +181,8 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, *, window: int = 13,
     """Per row: doc_id, n_words, n_hit, spans (hit [start, stop) in words), items (sorted as strings), contaminated (n_hit > 0 and share * n_hit >= n_words), and ``carry``.
 
     An item's phrases are its ``window`` consecutive words, or all of fewer. A null text has no words; items of no id
-    or no words are left out; items with one id count as one. Rows are judged each, whatever their id.
+    or no words are left out; items with one id count as one. Rows are judged each, whatever their id (a null one is passed on). Columns that are
+    not in ``carry`` are not looked at; no rows give no rows, no items hit nothing.
     A benchmark of more than BLOCK bytes is searched in blocks, one pass over the rows for each, which are written in between.
     """
     spark = df.sparkSession

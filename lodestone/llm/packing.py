@@ -125,7 +125,8 @@ def pieces(df: DataFrame, path: str, *, capacity: int = 2048, end_id: int = 0, i
 
     A document is its text's ids and then ``end_id``; only a longer one than ``capacity`` is cut.
     ``path``: a tokenizers file; see `WordIds` for those whose words are remembered. A null text counts as empty
-    (one piece with the end id alone); repeated rows give pieces each; very long texts are encoded whole.
+    (one piece with the end id alone); repeated rows and rows of no id give pieces each; very long texts are encoded whole. Other columns,
+    whatever their names, are not looked at; no rows give no pieces.
     """
     kind = df.schema[id_col].dataType.simpleString()
     end = int(end_id).to_bytes(4, "little")

@@ -166,7 +166,8 @@ def train(documents: DataFrame, labels: DataFrame, *, label_col: str = "quality"
 def score(df: DataFrame, net: Network, *, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Per row: doc_id, held_out, score (0 to 1), predicted (1 if score >= threshold), and ``carry``.
 
-    The whole text is scored, from its bytes alone; a null text counts as empty. Repeated rows are scored each.
+    The whole text is scored, from its bytes alone, however long; a null text counts as empty. Repeated rows and rows of no id are scored each (the
+    latter are not held out). Columns that are not in ``carry`` are not looked at; no rows give no rows.
     """
     shared = df.sparkSession.sparkContext.broadcast(net)  # some 20,000 numbers
     kind = df.schema[id_col].dataType.simpleString()

@@ -140,6 +140,7 @@ def remove_repeats(df: DataFrame, *, window: int = 20, id_col: str = "doc_id", t
     are judged on the input. A null text has no words. Rows with a null id are kept whole and are no one's
     reference. Rows with equal id and text are one document and get equal results; rows with equal
     id and other text are ordered by a digest of the text. With ``verbatim``, ``kept`` is the text itself where no word goes.
+    Columns that are not in ``carry``, whatever their names, are not looked at; no rows give no rows.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
