@@ -29,6 +29,8 @@ GROUP_ROWS, RUN, OPEN_BINS = 32_768, 2048, 1024
 SAME = 256
 #: Words longer than this are encoded anew each time. Of shorter ones two generations of GENERATION are remembered.
 LONGEST, GENERATION = 48, 120_000
+#: Bytes of text that are cut into words at a time.
+CHUNK = 4 << 20
 
 # The parts of a tokenizer file for which texts may be cut at words.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -41,13 +43,52 @@ PRE_TOKENIZER = {
 }
 END_OF_WORD = "</w>"
 
+# Kinds of bytes, for the places at which texts may be cut; others are never cut at. An apostrophe may begin a contraction.
+SPACE, LETTER, DIGIT, MARK, APOSTROPHE = 1, 2, 3, 4, 5
+KIND = np.zeros(256, np.uint8)
+KIND[33:127] = MARK
+KIND[[*range(9, 14), 32]] = SPACE
+KIND[[*b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = LETTER
+KIND[[*b"0123456789"]] = DIGIT
+KIND[ord("'")] = APOSTROPHE
+
+
+def cut_words(texts: list[bytes], *, finely: bool = True) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, and up to which of them each text's go.
+
+    Words are cut at white space; ``finely``, also where of two ASCII characters (or a letter of Latin-1 and an ASCII character) one is a letter, digit or mark and the
+    other of another of these kinds, between digits, and not after an apostrophe; and their letters up to U+00DE are lower-cased, but for one that a
+    combining character follows: with it the small letter may have a character of its own where the capital has none.
+    """
+    data = np.frombuffer(b" ".join(texts), np.uint8).copy()
+    kind = KIND[data]
+    start = np.empty(len(data), bool)
+    start[:1] = True
+    np.equal(kind[:-1], SPACE, out=start[1:])
+    if finely:
+        lead = np.flatnonzero(data == 0xC3)  # U+00C0 to U+00FF, without the two signs among them
+        latin = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)] + 1
+        kind[latin] = LETTER
+        upper = np.concatenate([np.flatnonzero((data >= 65) & (data <= 90)), latin[data[latin] <= 0x9E]])
+        after = data[np.minimum(upper + 1, len(data) - 1)]
+        data[upper[(after != 0xCC) & (after != 0xCD)]] += 32
+        a, b = kind[:-1], kind[1:]
+        start[1:] |= ((a == LETTER) | (a == DIGIT)) & (b > LETTER)
+        start[1:] |= ((a == MARK) | (a == DIGIT)) & ((b == LETTER) | (b == DIGIT))
+    inside = kind != SPACE
+    start &= inside
+    upto = np.searchsorted(np.flatnonzero(start), np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1))
+    body = data[inside]
+    bounds = np.append(np.flatnonzero(start[inside]), len(body)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(body)]), upto
+
 
 class WordIds:
     """The ids (little-endian uint32 bytes) of whole texts, remembered by word where the tokenizer file allows that.
 
     It does if its normalizer and pre-tokenizer are those above, it adds no tokens around a text, and all added tokens' strings hold
-    a ``<``. Then A-Z may be lower-cased first, and texts cut at white space and between a letter or digit and a full stop
-    or comma: no token reaches across, and no character of Unicode is composed across. Texts with ``<`` are cut at white space only and not
+    a ``<``. Then texts are cut by `cut_words`: no token reaches across such a cut, and no character of Unicode is composed across; each distinct word of a
+    chunk of texts is looked up or encoded once. Texts with ``<`` are cut at white space only and not
     lower-cased, since that could make an added token of another string. With any other file whole texts are encoded.
     """
 
@@ -70,23 +111,29 @@ class WordIds:
         self.last = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         if model.get("end_of_word_suffix") == END_OF_WORD:
             self.last[[i for t, i in model["vocab"].items() if t.endswith(END_OF_WORD)]] = True
-        self.stop = re.compile(rb"[.,](?<=[a-z0-9].)")
-        self.letters = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch  # one pre-token each, lower-cased letter by letter
+        self.letters = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch  # one pre-token each, which the normalizer leaves as it is
+        if self.by_word:
+            from tokenizers import Tokenizer, pre_tokenizers
+
+            self.plain = Tokenizer(self.tokenizer.model)
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def _encode(self, texts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+    def _encode(self, texts: list[bytes], tokenizer=None) -> list[list[int]]:
+        return [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
     def _words(self, new: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of each of ``new``; words of letters alone go through the tokenizer many at a time."""
-        plain = [w for w in new if self.letters(w)]
-        other = [w for w in new if not self.letters(w)]
-        found = self._encode([b" ".join(plain[i : i + 64]) for i in range(0, len(plain), 64)])
-        ids = np.concatenate([np.array(x, "<u4") for x in found]) if found else np.zeros(0, "<u4")
+        """The ids of each of ``new``; words of letters alone go through the tokenizer's merges many at a time."""
+        plain, other = [], []
+        for w in new:
+            (plain if self.letters(w) else other).append(w)
+        joined = [b" ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
+        found = [np.array(x, "<u4") for i in range(0, len(joined), 32) for x in self._encode(joined[i : i + 32], self.plain)]  # the library's own records of tokens are large
+        ids = np.concatenate(found) if found else np.zeros(0, "<u4")
         stops = (np.flatnonzero(self.last[ids]) + 1) * 4
         made = {}
         if len(stops) == len(plain):
@@ -98,23 +145,36 @@ class WordIds:
         made.update((w, np.array(x, "<u4").tobytes()) for w, x in zip(other, self._encode(other), strict=True))
         return made
 
+    def _ids(self, texts: list[bytes], finely: bool) -> list[bytes]:
+        words, upto = cut_words(texts, finely=finely)
+        words = words.dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        if len(self.known) > GENERATION:  # frequent words come back from the older half
+            self.known, self.older = {}, self.known
+        ids = list(map(self.known.get, distinct))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        again = list(map(self.older.get, map(distinct.__getitem__, missing)))
+        made = self._words([distinct[i] for i, x in zip(missing, again, strict=True) if x is None])
+        for i, x in zip(missing, again, strict=True):
+            w = distinct[i]
+            ids[i] = made[w] if x is None else x
+            if len(w) <= LONGEST:
+                self.known[w] = ids[i]
+        all_ids = pa.array(ids, pa.large_binary()).take(words.indices)
+        _, bounds, data = all_ids.buffers()
+        if not len(words):
+            return [b""] * len(texts)
+        ends = np.frombuffer(bounds, np.int64)[all_ids.offset + upto].tolist()
+        return [data[a:b].to_pybytes() for a, b in zip([0, *ends], ends, strict=False)]
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return [np.array(x, "<u4").tobytes() for x in self._encode(texts)]
-        cut = [text.split() if b"<" in text else self.stop.sub(rb" \g<0>", text.lower()).split() for text in texts]
-        if len(self.known) > GENERATION:  # frequent words come back from the older half
-            self.known, self.older = {}, self.known
-        new = set().union(*cut).difference(self.known)
-        again = new.intersection(self.older)
-        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
-        made = self._words(list(new - again))
-        self.known.update(made)
-        one = self.known.__getitem__
-        out = [b"".join(map(one, words)) for words in cut]
-        for w in made:
-            if len(w) > LONGEST:
-                del self.known[w]
-        return out
+        odd = [b"<" in text for text in texts]
+        if not any(odd):
+            return self._ids(texts, True)
+        done = {some: iter(self._ids([t for t, x in zip(texts, odd, strict=True) if x == some], not some)) for some in (False, True)}
+        return [next(done[x]) for x in odd]
 
 
 _words: dict[str, WordIds] = {}
@@ -138,7 +198,7 @@ def pieces(df: DataFrame, path: str, *, capacity: int = 2048, end_id: int = 0, i
         try:
             for b in batches:
                 schema = schema or pa.schema([b.schema.field(0), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
-                for lo, texts in chunks(b.column(1)):
+                for lo, texts in chunks(b.column(1), CHUNK):
                     owner, number, start, ids = [], [], [], []
                     for i, all_ids in enumerate(encode(texts), lo):
                         all_ids += end

@@ -128,6 +128,18 @@ def test_words_are_remembered_in_two_generations(monkeypatch):
         assert len(ids.known) < 200 and not any(len(w) > packing.LONGEST for w in ids.known)
 
 
+def test_cut_words_leave_no_token_across():
+    words, upto = packing.cut_words([b"", "Été 12 (don't) x-y".encode(), b" \t", "H\u0331e".encode()])
+    assert words.to_pylist() == [w.encode() for w in ["été", "1", "2", "(", "don", "'t", ")", "x", "-", "y", "H\u0331e"]] and upto.tolist() == [0, 10, 10, 11]
+    assert packing.cut_words([b"A.b C"], finely=False)[0].to_pylist() == [b"A.b", b"C"] and len(packing.cut_words([b"", b""])[0]) == 0
+    ids, t, rng = packing.WordIds(WORD), Tokenizer.from_file(WORD), random.Random(4)
+    parts = [*"ahtwyjkHTWYJK019éÀßÞ×÷ÿ'.,;-=>( \t\x1c\xa0\u2028\u0301\u0308\u030a\u0331\u0338Σİ가", "'s", "'re", "'ll ", "the ", "<|endoftext|>"]
+    for several in (parts[:-1], parts):  # capitals under combining characters were lower-cased too early
+        texts = ["".join(rng.choices(several, k=rng.choice([0, 1, 3, 30]))) for _ in range(400)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in ids([x.encode() for x in texts])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert ids([b"", b" "]) == [b"", b""] and ids([]) == []
+
+
 def test_other_tokenizer_files_encode_whole_texts():
     ids, t = packing.WordIds(BYTE), Tokenizer.from_file(BYTE)
     assert not ids.by_word
