@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions.batches import changes, whole_groups
 from lodestone.functions.columns import by_date
 from lodestone.operators.quantiles import exact_quantiles
 from lodestone.scratch import written
@@ -53,72 +54,123 @@ def period_end(date: str, freq: str) -> Column:
     raise ValueError(f"unknown frequency {freq}")
 
 
-def best_trades(entry: np.ndarray, exit_: np.ndarray, k: int, least: float, short: bool) -> list[list[tuple[int, int]]]:
-    """For each count up to ``k``: the trades (entry row, exit row) of the largest total gain among all sets of so many trades at most.
+def best_trade_sets(entry: np.ndarray, exit_: np.ndarray, k: int, least: float, short: bool) -> list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """For each count up to ``k``: the trades (group, entry row, exit row) of the largest total gain among all sets of so many trades at most.
 
-    Trades of a set follow each other, the next entry on a later row than the exit before; each has a gain of ``least`` or more as a share of its
-    entry price's size. Sets of equal gain (within 1e-12): the one of fewer trades, then of earlier exits, then of earlier entries.
-    Exact: the gain of every allowed pair of rows is one matrix, and the best sets of t trades that end by a row follow from those of t - 1.
+    ``entry`` and ``exit_`` hold a group's prices in a column, in order, and NaN below its last row. Trades of a set follow each other, the next entry on a
+    later row than the exit before; each has a gain of ``least`` or more as a share of its entry price's size. Sets of equal gain (within 1e-12): the one of
+    fewer trades, then of earlier exits, then of earlier entries.
+    Exact: the gains of every allowed pair of rows are looked at, exit row by exit row for all groups at once, and the best sets of t trades that end by a row
+    follow from those of t - 1. Entries are looked for only where a set is traced back.
     """
-    n = len(entry)
-    gain = exit_[None, :] - entry[:, None]
-    if short:
-        gain = -gain
-    size = np.abs(entry)[:, None]
-    allowed = np.triu(np.ones((n, n), bool), 1) & (size > 0) & (gain >= least * size)
-    gain = np.where(allowed, gain, -np.inf)
-    # by[t][j]: the best of exactly t trades with exits before row j; ends[t], starts[t]: the last trade of a set that exits at row j
-    by, starts = [np.zeros(n + 1)], [np.zeros(n, np.int64)]
-    at = [np.full(n, -np.inf)]
-    for t in range(1, k + 1):
-        total = by[t - 1][:n, None] + gain
-        starts.append(total.argmax(axis=0) if n else np.zeros(0, np.int64))
-        at.append(total.max(axis=0, initial=-np.inf))
-        by.append(np.maximum.accumulate(np.concatenate([[-np.inf], at[t]])))
-    found: list[list[tuple[int, int]]] = []
-    best, count = 0.0, 0
+    n, groups = entry.shape
+    size = np.abs(entry)
+    entry = np.where(size > 0, entry, np.nan)
+    needed = least * size
+    columns = np.arange(groups)
+
+    def gains(rows: int, out: np.ndarray, of: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Of entries on the first ``rows`` rows of groups, for their exit prices; -inf where a pair is not allowed."""
+        gain = entry[:rows, of] - out if short else out - entry[:rows, of]
+        return np.where(gain >= needed[:rows, of], gain, -np.inf)
+
+    # by[t][j]: the best of exactly t trades with exits before row j; at[t][j]: of those whose last exit is on row j
+    by = [np.zeros((n + 1, groups)), *[np.full((n + 1, groups), -np.inf) for _ in range(k)]]
+    at = [np.full((n, groups), -np.inf) for _ in range(k + 1)]
+    for j in range(1, n):
+        gain = gains(j, exit_[j])
+        for t in range(1, k + 1):
+            at[t][j] = (gain if t == 1 else by[t - 1][:j] + gain).max(axis=0)
+            np.maximum(by[t][j], at[t][j], out=by[t][j + 1])
+    found: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = []
+    best, count = np.zeros(groups), np.zeros(groups, np.int64)
+    rows = np.arange(n)[:, None]
     for k_ in range(1, k + 1):
-        if by[k_][n] > best + 1e-12:
-            best, count = by[k_][n], k_
-        trades, stop = [], n
-        for t in range(count, 0, -1):
-            exit_row = int(np.flatnonzero(at[t][:stop] >= by[t][stop] - 1e-12)[0])
-            trades.append((int(starts[t][exit_row]), exit_row))
-            stop = trades[-1][0]
+        more = by[k_][n] > best + 1e-12
+        best, count = np.where(more, by[k_][n], best), np.where(more, k_, count)
+        trades, stop = [], np.full(groups, n)
+        for t in range(k_, 0, -1):
+            of = columns[count >= t]
+            if not len(of):
+                continue
+            end = stop[of]
+            exits = ((at[t][:, of] >= by[t][end, of] - 1e-12) & (rows < end)).argmax(axis=0)
+            total = by[t - 1][:n, of] + np.where(rows < exits, gains(n, exit_[exits, of], of), -np.inf)
+            starts = total.argmax(axis=0)
+            trades.append((of, starts, exits))
+            stop[of] = starts
         found.append(trades[::-1])
     return found
 
 
+def best_trades(entry: np.ndarray, exit_: np.ndarray, k: int, least: float, short: bool) -> list[list[tuple[int, int]]]:
+    """`best_trade_sets` of one group: for each count up to ``k`` its trades (entry row, exit row)."""
+    sets = best_trade_sets(np.asarray(entry, float)[:, None], np.asarray(exit_, float)[:, None], k, least, short)
+    return [[(int(i[0]), int(j[0])) for _, i, j in trades] for trades in sets]
+
+
 #: Slices of a value's range in which global ranks are counted.
 SLICES = 200
 TRADES = "symbol string, side string, freq string, period date, k int, entry_date date, exit_date date, entry_px double, exit_px double, profit double, ret double"
 
 
-def oracle_trades(prices: DataFrame, *, freq: str = "YE", ks: Iterable[int] = (1, 2, 3), least: float = 0.05, sides: Iterable[str] = ("long", "short"), entry: dict[str, str] | None = None, exit_: dict[str, str] | None = None) -> DataFrame:
-    """The best at most k trades of each symbol, calendar period, side and k, in hindsight; see `best_trades`.
+#: Prices of groups that are solved at once.
+CELLS = 40_000
+
+
+def _side_by_side(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Groups of about equal size, some CELLS rows at a time: the groups, their rows as columns, and which of these are theirs."""
+    order = np.argsort(sizes, kind="stable")[::-1]
+    at = 0
+    while at < len(order):
+        n = int(sizes[order[at]])
+        some = order[at : at + max(1, CELLS // n)]
+        at += len(some)
+        rows = np.arange(n)[:, None]
+        there = rows < sizes[some]
+        yield some, np.where(there, starts[some] + rows, 0), there
+
+
+def oracle_trades(prices: DataFrame, *, freq: str | dict[str, Iterable[int]] = "YE", ks: Iterable[int] = (1, 2, 3), least: float = 0.05, sides: Iterable[str] = ("long", "short"), entry: dict[str, str] | None = None, exit_: dict[str, str] | None = None) -> DataFrame:
+    """The best at most k trades of each symbol, calendar period, side and k, in hindsight; see `best_trade_sets`.
 
-    Long trades buy at the low and sell at the high by default, short ones the other way round. One group is a symbol's
-    period: its rows are bounded by the calendar.
+    Long trades buy at the low and sell at the high by default, short ones the other way round. ``freq``: one frequency, or several with their counts, which
+    share one shuffle and sort. One group is a symbol's period: its rows are bounded by the calendar. Groups are solved many at a time.
     """
     entry = entry or {"long": "low", "short": "high"}
     exit_ = exit_ or {"long": "high", "short": "low"}
     columns = sorted({*entry.values(), *exit_.values()})
-    ks, sides = tuple(ks), tuple(sides)
+    counts = {f: tuple(v) for f, v in freq.items()} if isinstance(freq, dict) else {freq: tuple(ks)}
+    sides = tuple(sides)
+    names = [c.split()[0] for c in TRADES.split(", ")]
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", kind="stable")
-        dates, out = pdf["date"].tolist(), []
+    def solve(table: pa.Table, freq: str, period: str, ks: tuple[int, ...], x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(changes(table, "symbol", period))
+        sizes = np.diff(np.append(starts, table.num_rows))
         for side in sides:
-            a, b = pdf[entry[side]].to_numpy(float), pdf[exit_[side]].to_numpy(float)
-            sets = best_trades(a, b, max(ks), least, side == "short")
-            for k in ks:
-                for i, j in sets[k - 1]:
-                    profit = b[j] - a[i] if side == "long" else a[i] - b[j]
-                    out.append((pdf["symbol"].iat[0], side, freq, pdf["period"].iat[0], k, dates[i], dates[j], a[i], b[j], profit, profit / abs(a[i])))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in TRADES.split(", ")])
-
-    rows = prices.select("symbol", "date", *columns).dropna().withColumn("period", period_end("date", freq))
-    return rows.groupBy("symbol", "period").applyInPandas(solve, TRADES)
+            parts = []
+            for some, rows, there in _side_by_side(starts, sizes):
+                a, b = (np.where(there, x[c][rows], np.nan) for c in (entry[side], exit_[side]))
+                sets = best_trade_sets(a, b, max(ks), least, side == "short")
+                parts += [(np.full(len(g), k), starts[some[g]] + i, starts[some[g]] + j) for k in ks for g, i, j in sets[k - 1]]
+            if not parts:
+                continue
+            k, i, j = (np.concatenate(p) for p in zip(*parts, strict=True))
+            a, b = x[entry[side]][i], x[exit_[side]][j]
+            profit = b - a if side == "long" else a - b
+            date, one = table.column("date").combine_chunks(), len(k)
+            values = [table.column("symbol").take(i), pa.repeat(side, one), pa.repeat(freq, one), table.column(period).take(i), pa.array(k, pa.int32()), date.take(i), date.take(j), a, b, profit, profit / np.abs(a)]
+            yield from pa.table(values, names=names).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "symbol"):
+            x = {c: table.column(c).to_numpy() for c in columns}
+            for n, (f, k) in enumerate(counts.items()):
+                yield from solve(table, f, f"__p{n}", k, x)
+
+    rows = prices.select("symbol", F.to_date("date").alias("date"), *[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    rows = rows.repartition("symbol").sortWithinPartitions("symbol", "date").withColumns({f"__p{n}": period_end("date", f) for n, f in enumerate(counts)})
+    return rows.mapInArrow(run, TRADES)
 
 
 def completed(trades: DataFrame) -> DataFrame:

@@ -127,8 +127,7 @@ _ID = "concat_ws('_', symbol, side, freq, k, entry_date, exit_date) AS trade_id"
 
 
 def one_trade(spark, sf):
-    p = prices(spark, sf)
-    return l.oracle_trades(p, freq="YE", ks=(1,)).unionByName(l.oracle_trades(p, freq="QE", ks=(1,)))
+    return l.oracle_trades(prices(spark, sf), freq={"YE": (1,), "QE": (1,)})
 
 
 @query("l05_completed_k1", f"WITH {ONE} SELECT symbol, side, freq, period, k, entry_date, exit_date, entry_px, exit_px, profit, ret, (exit_date - entry_date)::INTEGER AS hold_days, {_ID} FROM t", floats=["entry_px", "exit_px", "profit", "ret"], dates=["period", "entry_date", "exit_date"])
