@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lodestone.operators import labels as l
 from lodestone.operators.specs import LabelSpec
 from lodestone.plans.registry import query
+from lodestone.scratch import written
 from lodestone.views import PRICES, prices
 
 LONG = f"""{PRICES}, wide AS (SELECT symbol, date, {', '.join(f'lead(close, {h}) OVER (PARTITION BY symbol ORDER BY date) / close - 1 AS h{h}' for h in (1, 5, 20))} FROM prices),
@@ -140,7 +141,7 @@ _DEDUPED = "d AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY symbol
 
 @query("l06_deduped_k1", f"WITH {ONE}, {_DEDUPED}, e AS (SELECT 'exact' AS mode, symbol, side, entry_date, exit_date, ret FROM d UNION ALL SELECT 'entry_date', symbol, side, entry_date, exit_date, ret FROM (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY symbol, side, entry_date ORDER BY ret DESC, exit_date, k, period, freq) = 1)) SELECT * FROM e", floats=["ret"], dates=["entry_date", "exit_date"])
 def l06_one(spark, sf):
-    t = one_trade(spark, sf)
+    t = written(one_trade(spark, sf), "trades")
     both = [l.dedupe_trades(t, m).select(F.lit(m).alias("mode"), "symbol", "side", "entry_date", "exit_date", "ret") for m in ("exact", "entry_date")]
     return both[0].unionByName(both[1])
 
