@@ -213,7 +213,8 @@ def optimal_events(trades: DataFrame, *, fee_bps: float = 1.0, slip_bps: float =
 
 
 def weighted_labels(events: DataFrame, *, alpha: float = 1.0, clip: float = 0.5, cap: float = 3.0) -> DataFrame:
-    """target (long entries and short exits are 1) and a weight: 1 + alpha * clipped return / clip, balanced over (side, k) by a capped factor."""
+    """target (long entries and short exits are 1) and a weight: 1 + alpha * clipped return / clip, balanced over (side, k) by a capped factor; the events are written once."""
+    events = written(events, "label-events")
     target = ((F.col("side") == "long") & (F.col("action") == "buy")) | ((F.col("side") == "short") & (F.col("action") == "cover"))
     rows = events.withColumn("target", target.cast("int")).withColumn("weight", 1 + alpha * F.least(F.greatest("ret", F.lit(0.0)), F.lit(clip)) / clip)
     n = rows.groupBy("side", "k").agg(F.count("*").alias("n"))

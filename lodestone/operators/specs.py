@@ -147,11 +147,7 @@ class LabelSpec:
         """The optimal trades of every frequency, each once."""
         from lodestone.operators import labels
 
-        out = None
-        for freq, ks in self.ks.items():
-            some = labels.oracle_trades(prices, freq=freq, ks=ks, least=self.least, sides=self.sides)
-            out = some if out is None else out.unionByName(some)
-        return out
+        return labels.oracle_trades(prices, freq=self.ks, least=self.least, sides=self.sides)
 
     def labels(self, prices: DataFrame) -> DataFrame:
         """Label rows with weights, net of costs."""
