@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions.batches import changes, whole_groups
 from lodestone.functions.columns import ratio
 
 GREEKS = ("delta", "gamma", "theta", "vega", "rho")
@@ -354,23 +357,65 @@ def trade_weights(quotes: DataFrame, *, shrink: float = 0.1, profile: str | None
     """(trade_id, contract, weight) by `mean_variance_weights`, with the settings of a profile or one's own, from quotes (trade_id, contract, date, price) in each trade's window.
 
     Per trade: mean price of a day, gaps filled forward then backward, daily returns, covariance shrunk to its diagonal
-    with eigenvalues floored at 0, expected return of the whole window. A trade's contracts and days are a bounded group.
+    with eigenvalues floored at 0, expected return of the whole window. A trade's contracts and days are a bounded group; many go through Python at once,
+    and trades of which no contract's price moves are solved once for each number of contracts.
     """
 
     settings = PROFILES[profile] | solver if profile else solver
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.groupby(["date", "contract"])["price"].mean().unstack().sort_index().ffill().bfill()
-        r = wide.pct_change().iloc[1:].replace([np.inf, -np.inf], np.nan).fillna(0.0)
-        mu = (wide.iloc[-1] / wide.iloc[0] - 1).replace([np.inf, -np.inf], np.nan).fillna(0.0).to_numpy()
-        c = np.atleast_2d(np.cov(r.to_numpy().T)) if len(r) > 1 else np.zeros((len(mu), len(mu)))
+    def weights(p: np.ndarray) -> np.ndarray:
+        """Of mean prices, a row a day and a column a contract, NaN where there is none."""
+        with np.errstate(all="ignore"):
+            r, mu = p[1:] / p[:-1] - 1, p[-1] / p[0] - 1
+        r, mu = np.where(np.isfinite(r), r, 0.0), np.where(np.isfinite(mu), mu, 0.0)
+        c = np.atleast_2d(np.cov(r.T)) if len(r) > 1 else np.zeros((len(mu), len(mu)))
         c = (1 - shrink) * c + shrink * np.diag(np.diag(c))
         values, vectors = np.linalg.eigh(c)
         c = (vectors * np.maximum(values, 0)) @ vectors.T
-        return pd.DataFrame({"trade_id": pdf["trade_id"].iat[0], "contract": wide.columns, "weight": mean_variance_weights(mu, c, **settings)})
+        return mean_variance_weights(mu, c, **settings)
+
+    def filled(p: np.ndarray) -> np.ndarray:
+        """Gaps with the value above."""
+        return np.take_along_axis(p, np.maximum.accumulate(np.where(np.isnan(p), 0, np.arange(len(p))[:, None]), axis=0), axis=0)
+
+    def solve(table: pa.Table, still: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        # rows are in order of trade and contract: a trade's contracts are runs of rows
+        price = table.column("price").to_numpy()
+        first_of_trade, first_of_contract = changes(table, "trade_id"), changes(table, "trade_id", "contract")
+        runs = np.flatnonzero(first_of_contract)
+        least, most = np.fmin.reduceat(price, runs), np.fmax.reduceat(price, runs)
+        flat = (least == most) | np.isnan(most)  # such a contract has no returns
+        trades = np.flatnonzero(first_of_trade[runs])  # places in runs
+        ends = np.append(trades[1:], len(runs))
+        found = np.empty(len(runs))
+        quiet = np.logical_and.reduceat(flat, trades)
+        day = table.column("date").to_numpy()
+        for i in range(len(trades)):
+            lo, hi = trades[i], ends[i]
+            if quiet[i]:
+                n = int(hi - lo)
+                if n not in still:
+                    still[n] = weights(np.ones((2, n)))
+                found[lo:hi] = still[n]
+                continue
+            rows = slice(runs[lo], runs[hi] if hi < len(runs) else len(price))
+            days, at = np.unique(day[rows], return_inverse=True)
+            cell = at * (hi - lo) + np.cumsum(first_of_contract[rows]) - 1
+            here, there = price[rows], ~np.isnan(price[rows])
+            size = len(days) * (hi - lo)
+            with np.errstate(invalid="ignore"):
+                p = (np.bincount(cell[there], here[there], size) / np.bincount(cell[there], minlength=size)).reshape(len(days), hi - lo)
+            found[lo:hi] = weights(filled(filled(p)[::-1])[::-1])
+        yield from pa.table([table.column("trade_id").take(runs), table.column("contract").take(runs), found], names=["trade_id", "contract", "weight"]).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        still: dict[int, np.ndarray] = {}  # weights of so many contracts whose prices don't move
+        for table in whole_groups(batches, "trade_id"):
+            yield from solve(table, still)
 
     kinds = dict(quotes.dtypes)
-    return quotes.select("trade_id", "contract", "date", "price").groupBy("trade_id").applyInPandas(solve, f"trade_id {kinds['trade_id']}, contract {kinds['contract']}, weight double")
+    rows = quotes.select("trade_id", "contract", "date", F.col("price").cast("double").alias("price")).dropna(subset=["contract", "date"])
+    return rows.repartition("trade_id").sortWithinPartitions("trade_id", "contract", "date").mapInArrow(run, f"trade_id {kinds['trade_id']}, contract {kinds['contract']}, weight double")
 
 
 # Features a contract ranker can use.
