@@ -63,7 +63,7 @@ def test_several_frequencies_equal_each_alone(spark):
 
 # queries that failed by time: groups went through pandas one by one, and trades were computed for each frequency and use
 @pytest.mark.parametrize("name", [
-    "l05_completed_k1", "l06_deduped_k1", "l14_label_build", "l08_statistics_k1", "l11_l13_actions_k1", "l13_label_panel_k1", "l07_l09_l10_weights_k1",
+    "l05_completed_k1", "l06_deduped_k1", "l14_label_build", "l08_statistics_k1", "l11_l13_actions_k1", "l13_label_panel_k1", "l07_l09_l10_weights_k1", "l07_l09_l10_weighted_labels",
 ])
 def test_trades_are_computed_once(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
